@@ -39,7 +39,7 @@ def keep_fields(df: DataFrame, column: str, fields: Sequence[str]) -> Column:
     ``transform`` over the structs would read them all.
     """
     kinds = df.schema[column].dataType.elementType
-    target = T.ArrayType(T.StructType([kinds[field] for field in fields]))
+    target = T.ArrayType(T.StructType([T.StructField(f, kinds[f].dataType, True) for f in fields]))
     return F.arrays_zip(*[F.col(f"{column}.`{field}`") for field in fields]).cast(target)
 
 

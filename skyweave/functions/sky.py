@@ -69,6 +69,17 @@ def directory_of(pixel: Column) -> Column:
     return (F.floor(pixel / PIXELS_PER_DIR) * PIXELS_PER_DIR).cast("long")
 
 
+def settled(df: DataFrame, names: list[str], drop: list[str]) -> DataFrame:
+    """Pass computed columns through a one-element ``inline``.
+
+    Spark moves a filter below the projections that compute its columns by writing them out in
+    full, which for these step-wise expressions grows without bound; it does not move filters
+    below a generator.
+    """
+    kept = [c for c in df.columns if c not in names and c not in drop]
+    return df.select(*kept, F.inline(F.array(F.struct(*names))))
+
+
 def with_pixel(
     df: DataFrame,
     ra: str = "ra",
@@ -139,9 +150,10 @@ def with_pixel(
         )
     pixel = F.shiftleft(F.col("_face"), 2 * order) + F.col("_sx") + F.shiftleft("_sy", 1)
     drop = ["_z", "_cos", "_quarter", "_belt", "_cap", "_scale", "_rise", "_fall", "_sx", "_sy"]
+    face = ["_face", "_ix", "_iy"]
     if not keep_face:
-        drop += ["_face", "_ix", "_iy"]
-    return staged.withColumn(out, pixel).drop(*drop)
+        drop += face
+    return settled(staged.withColumn(out, pixel), [out, *face] if keep_face else [out], drop)
 
 
 def with_face_position(df: DataFrame, pixel: str, order: str) -> DataFrame:
@@ -163,7 +175,7 @@ def with_face_position(df: DataFrame, pixel: str, order: str) -> DataFrame:
                 for name in ("_ix", "_iy")
             }
         )
-    return staged
+    return settled(staged, ["_face", "_ix", "_iy"], [])
 
 
 # Fixed values of the pixel scheme: ring and longitude index of each base face.
@@ -198,9 +210,8 @@ def with_face_vector(
         F.sqrt(1.0 - height * height)
     )
     vector = (radius * F.cos("_phi"), radius * F.sin("_phi"), height)
-    return staged.withColumns(dict(zip(names, vector))).drop(
-        "_n", "_jr", "_dxy", "_nr", "_height", "_phi"
-    )
+    done = staged.withColumns(dict(zip(names, vector)))
+    return settled(done, list(names), ["_n", "_jr", "_dxy", "_nr", "_height", "_phi"])
 
 
 def pixel_width_arcsec(order: int) -> float:

@@ -117,8 +117,8 @@ def catalog_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     properties = object_catalog(spark, sf_dir).properties
     return data.table(spark, sf_dir, "region").limit(1).select(
         F.lit("all").alias("catalog_name"),
-        F.lit(properties["total_rows"]).alias("total_rows"),
-        F.lit(properties["n_columns"]).alias("n_columns"),
+        F.lit(properties["total_rows"]).cast("long").alias("total_rows"),
+        F.lit(properties["n_columns"]).cast("long").alias("n_columns"),
     )
 
 
@@ -139,7 +139,7 @@ def repartitioned_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _REWRITTEN = f"""
 SELECT s.objectId, s.sourceId, s.visit, s.detector, s.psfFlux::FLOAT AS psfFlux, v.expMidptMJD AS midpointMjdTai,
-       round(({sql.magnitude('psfFlux')})::FLOAT::DOUBLE, 4) AS psfMag
+       ({sql.magnitude('psfFlux')})::FLOAT AS psfMag
 FROM ({sql.FORCED}) s LEFT JOIN ({sql.VISITS}) v ON s.visit = v.visitId"""
 
 
@@ -152,7 +152,7 @@ def rewritten_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     assert after.properties["n_partitions"] == before.properties["n_partitions"]
     return open_catalog(spark, after.root).all_rows().select(
         "objectId", "sourceId", "visit", "detector", "psfFlux", "midpointMjdTai",
-        F.round(F.col("psfMag").cast("double"), 4).alias("psfMag"),
+        "psfMag",
     )
 
 

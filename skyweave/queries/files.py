@@ -135,7 +135,7 @@ def seeded_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
 SELECT s.objectId, s.band, s.visit % 4 AS tract, v.expMidptMJD AS midpointMjdTai, s.psfFlux::FLOAT AS psfFlux,
-       round(({sql.magnitude('psfFlux')})::FLOAT::DOUBLE, 4) AS psfMag
+       ({sql.magnitude('psfFlux')})::FLOAT AS psfMag
 FROM ({sql.FORCED}) s LEFT JOIN ({sql.VISITS}) v ON s.visit = v.visitId""")
 def imported_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw files scanned through their index, calibrated, and written as a catalog."""
@@ -149,7 +149,7 @@ def imported_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return catalog.all_rows().select(
         "objectId", "band", "tract", "midpointMjdTai", "psfFlux",
-        F.round(F.col("psfMag").cast("double"), 4).alias("psfMag"),
+        "psfMag",
     )
 
 
@@ -166,7 +166,7 @@ def side_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
 SELECT s.objectId, s.visit, s.psfFlux::FLOAT AS psfFlux, v.expMidptMJD AS midpointMjdTai,
-       round(({sql.magnitude('psfFlux')})::FLOAT::DOUBLE, 4) AS psfMag
+       ({sql.magnitude('psfFlux')})::FLOAT AS psfMag
 FROM ({sql.FORCED}) s LEFT JOIN ({sql.VISITS}) v ON s.visit = v.visitId""")
 def streamed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files taken up as a stream and calibrated; a second run finds nothing new."""
@@ -179,6 +179,4 @@ def streamed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("l_extendedprice").alias("psfFlux"),
         )
         ingest_available(rows, output, checkpoint, ["psf"], data.visits(spark, sf_dir)).awaitTermination()
-    return spark.read.parquet(output).select(
-        "objectId", "visit", "psfFlux", "midpointMjdTai", F.round(F.col("psfMag").cast("double"), 4).alias("psfMag")
-    )
+    return spark.read.parquet(output)

@@ -82,9 +82,8 @@ def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def visit_detectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conditions of every detector of every visit, with gaps in the seeing."""
-    rows = table(spark, sf_dir, "supplier").select(
-        "s_suppkey", "s_acctbal", F.explode(F.sequence(F.lit(1), F.lit(7))).cast("long").alias("detector")
-    )
+    numbers = F.sequence(F.lit(1).cast("long"), F.lit(7).cast("long"))
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal", F.explode(numbers).alias("detector"))
     total = F.col("s_suppkey") + F.col("detector")
     return rows.select(
         F.col("s_suppkey").alias("visitId"),

@@ -22,19 +22,20 @@ from skyweave.queries import sql
 from skyweave.queries.registry import query
 
 
-def _rounded(*columns: str, digits: int = 4):
-    return [F.round(F.col(c).cast("double"), digits).alias(c) for c in columns]
+def _floats(*columns: str):
+    """Results whose last bits depend on the order of summation, at single precision."""
+    return [F.col(c).cast("float").alias(c) for c in columns]
 
 
 @query(f"""
-SELECT objectId, round(({sql.magnitude('psfFlux')})::FLOAT::DOUBLE, 4) AS psfMag,
-       round(({sql.magnitude_error('psfFlux', 'psfFluxErr')})::FLOAT::DOUBLE, 4) AS psfMagErr,
-       round(({sql.magnitude('kronFlux')})::FLOAT::DOUBLE, 4) AS kronMag
+SELECT objectId, ({sql.magnitude('psfFlux')})::FLOAT AS psfMag,
+       ({sql.magnitude_error('psfFlux', 'psfFluxErr')})::FLOAT AS psfMagErr,
+       ({sql.magnitude('kronFlux')})::FLOAT AS kronMag
 FROM ({sql.SIGNED})""")
 def ab_magnitude(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Magnitudes of signed, zero and missing fluxes, with errors where the table has them."""
     rows = add_magnitudes(data.signed_fluxes(spark, sf_dir), ["psf", "kron"])
-    return rows.select("objectId", *_rounded("psfMag", "psfMagErr", "kronMag"))
+    return rows.select("objectId", "psfMag", "psfMagErr", "kronMag")
 
 
 @query(f"""
@@ -59,8 +60,8 @@ def visit_time_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 _CALIBRATED = f"""
 SELECT s.objectId, s.sourceId, s.visit, s.detector, s.band, s.psfFlux::FLOAT AS psfFlux,
        s.psfFluxErr::FLOAT AS psfFluxErr, v.expMidptMJD AS midpointMjdTai,
-       round(({sql.magnitude('psfFlux')})::FLOAT::DOUBLE, 4) AS psfMag,
-       round(({sql.magnitude_error('psfFlux', 'psfFluxErr')})::FLOAT::DOUBLE, 4) AS psfMagErr
+       ({sql.magnitude('psfFlux')})::FLOAT AS psfMag,
+       ({sql.magnitude_error('psfFlux', 'psfFluxErr')})::FLOAT AS psfMagErr
 FROM ({sql.FORCED}) s LEFT JOIN ({sql.VISITS}) v ON s.visit = v.visitId"""
 
 
@@ -73,7 +74,7 @@ def calibrate_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = calibrate(sources, ["psf"], data.visits(spark, sf_dir))
     return rows.select(
         "objectId", "sourceId", "visit", "detector", "band", "psfFlux", "psfFluxErr", "midpointMjdTai",
-        *_rounded("psfMag", "psfMagErr"),
+        "psfMag", "psfMagErr",
     )
 
 
@@ -113,7 +114,7 @@ WITH f AS (SELECT objectId, count(*) AS n_forced, min(midpointMjdTai) AS first_t
                   max(midpointMjdTai) AS last_time, avg(psfFlux) AS mean_flux FROM ({sql.FORCED}) GROUP BY objectId),
      d AS (SELECT objectId, count(*) AS n_detected, min(midpointMjdTai) AS first_detected
            FROM ({sql.DETECTIONS}) GROUP BY objectId)
-SELECT o.objectId, coalesce(n_forced, 0) AS n_forced, first_time, last_time, round(mean_flux, 4) AS mean_flux,
+SELECT o.objectId, coalesce(n_forced, 0) AS n_forced, first_time, last_time, mean_flux::FLOAT AS mean_flux,
        coalesce(n_detected, 0) AS n_detected, first_detected
 FROM ({sql.OBJECTS}) o LEFT JOIN f USING (objectId) LEFT JOIN d USING (objectId)""")
 def light_curve_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,7 +127,7 @@ def light_curve_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.size("forced"), F.lit(0)).cast("long").alias("n_forced"),
         F.get(times, 0).alias("first_time"),
         F.get(times, F.size(times) - 1).alias("last_time"),
-        F.round(F.try_divide(total, F.size("forced")), 4).alias("mean_flux"),
+        F.try_divide(total, F.size("forced")).cast("float").alias("mean_flux"),
         F.coalesce(F.size("detected"), F.lit(0)).cast("long").alias("n_detected"),
         F.get(seen, 0).alias("first_detected"),
     )
@@ -142,8 +143,8 @@ def nest_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-SELECT band, count(*) AS len, round(avg(psfFlux), 4) AS mean_psfFlux, min(psfFlux) AS min_psfFlux,
-       max(psfFlux) AS max_psfFlux, round(avg(psfFluxErr), 4) AS mean_psfFluxErr,
+SELECT band, count(*) AS len, avg(psfFlux)::FLOAT AS mean_psfFlux, min(psfFlux) AS min_psfFlux,
+       max(psfFlux) AS max_psfFlux, avg(psfFluxErr)::FLOAT AS mean_psfFluxErr,
        min(psfFluxErr) AS min_psfFluxErr, max(psfFluxErr) AS max_psfFluxErr
 FROM ({sql.FORCED}) GROUP BY band""")
 def nested_band_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,12 +153,12 @@ def nested_band_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = band_statistics(flat, ["psfFlux", "psfFluxErr"])
     return rows.select(
         "band", "len", "min_psfFlux", "max_psfFlux", "min_psfFluxErr", "max_psfFluxErr",
-        *_rounded("mean_psfFlux", "mean_psfFluxErr"),
+        *_floats("mean_psfFlux", "mean_psfFluxErr"),
     )
 
 
 @query(f"""
-SELECT objectId, count(*) AS n, round(sum(psfFlux + psfFluxErr), 4) AS upper_sum,
+SELECT objectId, count(*) AS n, sum(psfFlux + psfFluxErr)::FLOAT AS upper_sum,
        count(*) FILTER (WHERE band = 'g') AS n_g
 FROM ({sql.FORCED}) GROUP BY objectId""")
 def nested_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,7 +171,7 @@ def nested_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slim.where(F.col("forced").isNotNull()).select(
         "objectId",
         F.size("forced").cast("long").alias("n"),
-        F.round(F.aggregate("forced.upper", F.lit(0.0), lambda a, b: a + b), 4).alias("upper_sum"),
+        F.aggregate("forced.upper", F.lit(0.0), lambda a, b: a + b).cast("float").alias("upper_sum"),
         F.size(F.filter("forced.band", lambda b: b == "g")).cast("long").alias("n_g"),
     )
 

@@ -116,7 +116,7 @@ SELECT field, m.* FROM ({_MEASURED}) m JOIN ({sql.fields()}) ON {sql.separation(
 
 def _by_band(values: list[str], mean) -> str:
     return ", ".join(
-        f"round({mean(v)}, 4) AS mean_{v}, min({v}) AS min_{v}, max({v}) AS max_{v}" for v in values
+        f"({mean(v)})::FLOAT AS mean_{v}, min({v}) AS min_{v}, max({v}) AS max_{v}" for v in values
     )
 
 
@@ -126,14 +126,14 @@ FROM ({_IN_FIELDS}) GROUP BY field, band""")
 def field_band_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics per field and band, all fields in one pass."""
     rows = field_statistics(_measured(spark, sf_dir), radius_arcsec=_FIELD_RADIUS, columns=_VALUES)
-    return rows.withColumns({f"mean_{v}": F.round(f"mean_{v}", 4) for v in _VALUES})
+    return rows.withColumns({f"mean_{v}": F.col(f"mean_{v}").cast("float") for v in _VALUES})
 
 
 _PARTS = ", ".join(
     f"avg({v}) AS mean_{v}, min({v}) AS min_{v}, max({v}) AS max_{v}" for v in _VALUES
 )
 _COMBINED = ", ".join(
-    f"round(coalesce(sum(mean_{v} * len), 0) / sum(len), 4) AS mean_{v},"
+    f"(coalesce(sum(mean_{v} * len), 0) / sum(len))::FLOAT AS mean_{v},"
     f" min(min_{v}) AS min_{v}, max(max_{v}) AS max_{v}"
     for v in _VALUES
 )
@@ -150,7 +150,7 @@ def field_weighted_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
         {"Norder": F.lit(3), "Npix": parent_pixel(F.col(PIXEL), FINEST_ORDER, 3)}
     )
     rows = field_statistics(placed, radius_arcsec=_FIELD_RADIUS, columns=_VALUES, exact=False)
-    return rows.withColumns({f"mean_{v}": F.round(f"mean_{v}", 4) for v in _VALUES})
+    return rows.withColumns({f"mean_{v}": F.col(f"mean_{v}").cast("float") for v in _VALUES})
 
 
 _STATISTICS = " UNION ALL ".join(
@@ -159,7 +159,7 @@ _STATISTICS = " UNION ALL ".join(
     for kind, function in (("mean", "avg"), ("min", "min"), ("max", "max"))
 )
 _FIELD_COLUMNS = ", ".join(
-    f"round(max(CASE WHEN field = '{name}' THEN value END), 4) AS \"{name}\"" for name in sql.FIELDS
+    f"max(CASE WHEN field = '{name}' THEN value END)::FLOAT AS \"{name}\"" for name in sql.FIELDS
 )
 
 
@@ -169,12 +169,12 @@ SELECT statistic, {_FIELD_COLUMNS} FROM s GROUP BY statistic""")
 def field_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics as rows, fields as columns."""
     report = field_statistics_report(_measured(spark, sf_dir), _VALUES, radius_arcsec=_FIELD_RADIUS)
-    return report.withColumns({name: F.round(F.col(f"`{name}`"), 4) for name in SKY_FIELDS})
+    return report.withColumns({name: F.col(f"`{name}`").cast("float") for name in SKY_FIELDS})
 
 
 @query(f"""
-SELECT band, count(*) AS len, round(avg(psfFlux), 4) AS mean_psfFlux,
-       round(avg(psfDiffFlux), 4) AS mean_psfDiffFlux, round(avg(quantity), 4) AS mean_quantity
+SELECT band, count(*) AS len, avg(psfFlux)::FLOAT AS mean_psfFlux,
+       avg(psfDiffFlux)::FLOAT AS mean_psfDiffFlux, avg(quantity)::FLOAT AS mean_quantity
 FROM ({sql.FORCED}) GROUP BY band""")
 def numeric_column_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics of all numeric columns that are neither ids nor magnitudes."""
@@ -185,7 +185,7 @@ def numeric_column_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     assert "sourceId" not in columns and "psfFlux" in columns
     means = ["mean_psfFlux", "mean_psfDiffFlux", "mean_quantity"]
     stats = band_statistics(rows, columns)
-    return stats.select("band", "len", *[F.round(m, 4).alias(m) for m in means])
+    return stats.select("band", "len", *[F.col(m).cast("float").alias(m) for m in means])
 
 
 def _matched(spark: SparkSession, sf_dir: str, radius: float, n: int) -> DataFrame:
@@ -200,10 +200,10 @@ def _matched(spark: SparkSession, sf_dir: str, radius: float, n: int) -> DataFra
     )
 
 
-def _match_sql(radius: float, n: int) -> str:
+def _match_sql(radius: float, n: int, digits: int = 6) -> str:
     angle = f"3600 * {sql.separation('o.ra', 'o.dec', 's.ra', 's.dec')}"
     return f"""
-SELECT objectId, objectid_ztf, round(d, 6) AS _dist_arcsec
+SELECT objectId, objectid_ztf, round(d, {digits}) AS _dist_arcsec
 FROM (SELECT *, row_number() OVER (PARTITION BY objectId ORDER BY d, objectid_ztf) AS rank
       FROM (SELECT o.objectId, s.objectid AS objectid_ztf, {angle} AS d
             FROM ({sql.OBJECTS}) o JOIN ({sql.SURVEY}) s ON abs(o.dec - s.dec) <= {radius / 3600 + 1e-6})
@@ -216,10 +216,10 @@ def crossmatch_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _matched(spark, sf_dir, 0.2, 20).withColumn("_dist_arcsec", F.round("_dist_arcsec", 6))
 
 
-@query(_match_sql(7200.0, 3))
+@query(_match_sql(7200.0, 3, digits=3))
 def crossmatch_nearest_three(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three nearest survey rows within two degrees."""
-    return _matched(spark, sf_dir, 7200.0, 3).withColumn("_dist_arcsec", F.round("_dist_arcsec", 6))
+    return _matched(spark, sf_dir, 7200.0, 3).withColumn("_dist_arcsec", F.round("_dist_arcsec", 3))
 
 
 @query(f"""

@@ -59,10 +59,10 @@ def collection_summary(
         F.struct(F.lit(catalog.root).alias("catalog")).alias("urls"),
         _links(other_urls).alias("other_urls"),
         F.struct(
-            F.lit(properties["total_rows"]).alias("numRows"),
-            F.lit(properties["n_columns"]).alias("numColumns"),
-            F.lit(properties["n_partitions"]).alias("numPartitions"),
-            readable_size(F.lit(properties["est_size_kb"]) * 1024).alias("sizeOnDisk"),
+            F.lit(properties["total_rows"]).cast("long").alias("numRows"),
+            F.lit(properties["n_columns"]).cast("long").alias("numColumns"),
+            F.lit(properties["n_partitions"]).cast("long").alias("numPartitions"),
+            readable_size(F.lit(properties["est_size_kb"]).cast("long") * 1024).alias("sizeOnDisk"),
             F.lit(properties["builder"]).alias("builder"),
         ).alias("metadata"),
         (F.array(*titles) if titles else F.array().cast("array<struct<title:string>>")).alias("badges"),
