@@ -145,9 +145,9 @@ def _lay_out(df: DataFrame, path: str, max_records_per_file: int, options: dict[
     writer.option("maxRecordsPerFile", max_records_per_file).partitionBy(*layout).parquet(path)
 
 
-def _measured_partitions(spark: SparkSession, path: str) -> DataFrame:
-    """Rows and bytes per partition as they are in the files."""
-    rows = spark.read.parquet(path).select(
+def _measured_partitions(data: DataFrame) -> DataFrame:
+    """Rows and bytes per partition as they are in the files; no column is read."""
+    rows = data.select(
         "Norder", "Dir", "Npix", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("b")
     )
     files = rows.groupBy("Norder", "Dir", "Npix", "f").agg(
@@ -174,11 +174,9 @@ def record_version(
     """Count what was written, store the partition table and make the version the one in force."""
     data_path = f"{root}/data-{version}"
     partitions_path = f"{root}/partitions-{version}"
-    measured = _measured_partitions(spark, data_path)
-    measured.repartitionByRange("Norder", "Npix").sortWithinPartitions("Norder", "Npix").write.mode(
-        "overwrite"
-    ).parquet(partitions_path)
-    n_columns = len(full_column_names(spark.read.parquet(data_path)))
+    data = spark.read.parquet(data_path)
+    _measured_partitions(data).write.mode("overwrite").parquet(partitions_path)
+    n_columns = len(full_column_names(data))
     totals = spark.read.parquet(partitions_path).agg(
         F.coalesce(F.sum("n_rows"), F.lit(0)).alias("total_rows"),
         F.count(F.lit(1)).alias("n_partitions"),
