@@ -20,11 +20,15 @@ def _time_order(df: DataFrame, sort_by: str, tie_break: Sequence[str]) -> list[C
 
 
 def _collected(rows: DataFrame, on: list[str], into: str, order: list[Column], fields: list[str]) -> DataFrame:
-    """Fields of each key as one array in the given order; nulls first was settled by the order."""
+    """Fields of each key as one array in the given order.
+
+    Collecting reduces nothing, so rows are shuffled as they are and grouped after, rather than
+    packed into arrays on both sides of the shuffle.
+    """
     keys = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)])
     entry = F.struct(keys.alias("key"), F.struct(*fields).alias("row"))
     ordered = F.array_sort(F.collect_list(entry))
-    return rows.groupBy(*on).agg(F.transform(ordered, lambda e: e["row"]).alias(into))
+    return rows.repartition(*on).groupBy(*on).agg(F.transform(ordered, lambda e: e["row"]).alias(into))
 
 
 def _collect_sources(

@@ -39,7 +39,7 @@ from skyweave.sources.catalog import (
 )
 from skyweave.sources.exports import collection_summary, write_summaries
 
-_ORDER, _ROWS = 7, 1_000
+_ORDER, _ROWS = 7, 5_000
 
 
 def object_catalog(spark: SparkSession, sf_dir: str, threshold: int = _ROWS) -> Catalog:
@@ -65,7 +65,7 @@ def source_catalog(spark: SparkSession, sf_dir: str, name: str = "forced") -> Ca
         catalog_type="source",
         ra="coord_ra",
         dec="coord_dec",
-        threshold=8_000,
+        threshold=20_000,
         highest_order=_ORDER,
     )
 
@@ -75,7 +75,7 @@ _NESTING = NestingSettings(
     join_id="objectId",
     source_catalogs=("forced",),
     nested_columns=("objectForcedSource",),
-    threshold=600,
+    threshold=3_000,
     highest_order=8,
     default_columns=("objectId", "ra", "dec", "objectForcedSource.psfFlux", "objectForcedSource.midpointMjdTai"),
 )
@@ -125,11 +125,11 @@ def catalog_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"SELECT objectId, ra, dec FROM ({sql.CROWDED})")
 def repartitioned_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A catalog written anew with smaller partitions, default columns and a finer order."""
-    first = object_catalog(spark, sf_dir, threshold=4_000)
+    first = object_catalog(spark, sf_dir, threshold=6_000)
     second = repartition_catalog(
         first,
         scratch_path(spark, "object_fine"),
-        threshold=500,
+        threshold=1_000,
         highest_order=9,
         default_columns=["objectId", "ra", "dec", "unknown"],
     )

@@ -141,7 +141,7 @@ def imported_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw files scanned through their index, calibrated, and written as a catalog."""
     settings = CatalogSettings(
         dims=("band", "tract"), group_by=("tract",), ra="coord_ra", dec="coord_dec",
-        catalog_type="source", threshold=2_000, flux_prefixes=("psf",), add_time=True,
+        catalog_type="source", threshold=20_000, flux_prefixes=("psf",), add_time=True,
     )
     catalog = import_catalog(
         spark, raw_index(spark, sf_dir), scratch_path(spark, "forced"), "forced", settings,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyweave.functions.sky import FINEST_ORDER, PIXEL, parent_pixel, with_pixel
+from skyweave.functions.sky import FINEST_ORDER, PIXEL, parent_pixel, settled, with_pixel
 from skyweave.operators.partitioning import (
     assign_partitions,
     density_map,
@@ -105,6 +105,8 @@ def _measured(spark: SparkSession, sf_dir: str) -> DataFrame:
     ra, dec = data.position(F.col("objectId"))
     error = F.col("psfFluxErr")
     rows = data.forced_sources(spark, sf_dir).withColumns({"ra": ra, "dec": dec})
+    # Positions are columns of a real table; here they are computed once, not again per filter.
+    rows = settled(rows, ["ra", "dec"], [])
     return rows.withColumn("psfFluxErr", F.when(error != 0, error))
 
 
