@@ -149,6 +149,7 @@ def with_pixel(
             }
         )
     pixel = F.shiftleft(F.col("_face"), 2 * order) + F.col("_sx") + F.shiftleft("_sy", 1)
+    pixel = F.when(z.isNotNull(), pixel)
     drop = ["_z", "_cos", "_quarter", "_belt", "_cap", "_scale", "_rise", "_fall", "_sx", "_sy"]
     face = ["_face", "_ix", "_iy"]
     if not keep_face:
