@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyweave.functions.sky import FINEST_ORDER, PIXEL, directory_of, parent_pixel
-from skyweave.runtime import broadcast_checked
+from skyweave.runtime import fits_broadcast, materialize
 
 
 def pixel_histogram(df: DataFrame, order: int) -> DataFrame:
@@ -73,10 +73,35 @@ def partition_list(pmap: DataFrame) -> DataFrame:
 
 
 def assign_partitions(df: DataFrame, pmap: DataFrame, order: int) -> DataFrame:
-    """Add ``Norder, Dir, Npix`` to rows that carry a finest-order pixel."""
-    places = pmap.select(F.col("pixel").alias("_fine"), "Norder", "Dir", "Npix")
-    fine = df.withColumn("_fine", parent_pixel(F.col(PIXEL), FINEST_ORDER, order))
-    return fine.join(broadcast_checked(places), "_fine").drop("_fine")
+    """Add ``Norder, Dir, Npix`` to rows that carry a finest-order pixel.
+
+    There are as many partitions as rows divided by the threshold, far fewer than pixels, so
+    they are looked up order by order in small broadcast tables and the rows are not shuffled.
+    Should the partitions themselves be too many for that, rows join the pixel map by shuffle.
+    """
+    partitions = materialize(partition_list(pmap).select("Norder", "Npix"))
+    if not fits_broadcast(partitions):
+        places = pmap.select(F.col("pixel").alias("_fine"), "Norder", "Dir", "Npix")
+        fine = df.withColumn("_fine", parent_pixel(F.col(PIXEL), FINEST_ORDER, order))
+        return fine.join(places, "_fine").drop("_fine")
+    orders = sorted(row["Norder"] for row in partitions.select("Norder").distinct().collect())
+    found: list[Column] = []
+    for o in orders:
+        pixel = f"_at{o}"
+        known = partitions.where(F.col("Norder") == o)
+        known = known.select(F.col("Npix").alias(pixel), F.lit(True).alias(f"_in{o}"))
+        df = df.withColumn(pixel, parent_pixel(F.col(PIXEL), FINEST_ORDER, o))
+        df = df.join(F.broadcast(known), pixel, "left")
+        found.append(F.when(F.col(f"_in{o}"), F.struct(F.lit(o).alias("o"), F.col(pixel).alias("p"))))
+    if not found:
+        nothing = df.withColumns({"Norder": F.lit(0), "Dir": F.lit(0).cast("long"), "Npix": F.lit(0).cast("long")})
+        return nothing.where(F.lit(False))
+    placed = df.withColumn("_place", F.coalesce(*found)).where(F.col("_place").isNotNull())
+    helpers = ["_place", *[f"_at{o}" for o in orders], *[f"_in{o}" for o in orders]]
+    npix = F.col("_place.p")
+    return placed.withColumns(
+        {"Norder": F.col("_place.o"), "Dir": directory_of(npix), "Npix": npix}
+    ).drop(*helpers)
 
 
 def first_partitions(df: DataFrame, partitions: DataFrame, n: int = 10) -> DataFrame:

@@ -36,6 +36,7 @@ from skyweave.sources.catalog import (
     Catalog,
     Collection,
     build_collection,
+    dataset_exists,
     read_remote,
     write_association,
     write_catalog,
@@ -132,13 +133,23 @@ def collect(catalog: Catalog, root: str, settings: CollectionSettings, resume: b
 
 
 def match_surveys(
-    collections: Mapping[str, Collection], surveys: Mapping[str, SurveySettings], root: str
+    collections: Mapping[str, Collection],
+    surveys: Mapping[str, SurveySettings],
+    root: str,
+    resume: bool = False,
 ) -> dict[str, str]:
-    """Association table of every collection with every survey; returns their paths by name."""
+    """Association table of every collection with every survey; returns their paths by name.
+
+    With ``resume``, tables that exist are left alone.
+    """
     written = {}
     for survey_name, survey in surveys.items():
         for collection in collections.values():
             catalog, id_column = collection.catalog, collection.id_column
+            name = f"{catalog.properties['catalog_name']}_x_{survey_name}"
+            if resume and dataset_exists(catalog.spark, f"{root}/{name}"):
+                written[name] = f"{root}/{name}"
+                continue
             outside = read_remote(catalog.spark, survey.path, survey.endpoint, survey.anonymous)
             rows = catalog.all_rows()
             if PART in rows.columns:
@@ -154,7 +165,6 @@ def match_surveys(
                 left_position=catalog.position,
                 right_position=(survey.ra, survey.dec),
             )
-            name = f"{catalog.properties['catalog_name']}_x_{survey_name}"
             written[name] = write_association(pairs, catalog, collection.index(), root, id_column, name)
     return written
 

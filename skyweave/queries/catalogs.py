@@ -156,6 +156,20 @@ def rewritten_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(f"""
+SELECT objectId, sourceId, ({sql.magnitude('psfFlux')})::FLOAT AS psfMag FROM ({sql.FORCED})""")
+def mapped_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A function applied to pandas batches of a catalog."""
+
+    def magnitudes(batch):
+        import numpy as np
+
+        flux = batch["psfFlux"].to_numpy()
+        return batch[["objectId", "sourceId"]].assign(psfMag=(31.4 - 2.5 * np.log10(flux)).astype("float32"))
+
+    return source_catalog(spark, sf_dir).map_batches(magnitudes, "objectId long, sourceId long, psfMag float")
+
+
 @query("SELECT 'none' AS problem, 0::BIGINT AS n LIMIT 0")
 def catalog_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Disagreements between records and files of a catalog: none."""

@@ -57,15 +57,17 @@ def row_bytes(schema: T.StructType) -> int:
     return total
 
 
+def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """Whether the counted rows of ``df`` fit in ``max_bytes``; collections have no width bound."""
+    if any(isinstance(f.dataType, (T.ArrayType, T.MapType)) for f in df.schema.fields):
+        return False
+    return df.count() * row_bytes(df.schema) <= max_bytes
+
+
 def broadcast_checked(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Mark ``df`` for broadcast if its counted rows fit in ``max_bytes``.
 
     Beyond the bound the frame comes back without a hint and Spark joins by shuffle, where
-    adaptive execution splits skewed partitions. Collections have no width bound, so frames
-    that hold arrays or maps are never marked.
+    adaptive execution splits skewed partitions.
     """
-    if any(isinstance(f.dataType, (T.ArrayType, T.MapType)) for f in df.schema.fields):
-        return df
-    if df.count() * row_bytes(df.schema) <= max_bytes:
-        return F.broadcast(df)
-    return df
+    return F.broadcast(df) if fits_broadcast(df, max_bytes) else df

@@ -8,6 +8,7 @@ visible at once, and readers of the previous version keep their files.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -15,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skyweave import __version__
 from skyweave.functions.nested import available_columns, full_column_names, select_columns
@@ -35,8 +37,10 @@ _PROPERTIES_SCHEMA = """
     version string, created timestamp, catalog_name string, catalog_type string,
     ra_column string, dec_column string, total_rows bigint, n_partitions bigint,
     n_columns bigint, est_size_kb bigint, highest_order int, builder string,
-    default_columns string, margin_threshold double
+    default_columns string, margin_threshold double, row_schema string
 """
+_PARTITIONS_SCHEMA = "Norder int, Dir bigint, Npix bigint, n_rows bigint, n_bytes bigint"
+_LAYOUT = ("Norder", "Dir", "Npix")
 
 
 @dataclass(frozen=True)
@@ -57,10 +61,13 @@ class Catalog:
 
     def partitions(self) -> DataFrame:
         """``Norder, Dir, Npix, n_rows, n_bytes`` as recorded when the version was written."""
-        return self.spark.read.parquet(f"{self.root}/partitions-{self.properties['version']}")
+        path = f"{self.root}/partitions-{self.properties['version']}"
+        return self.spark.read.schema(_PARTITIONS_SCHEMA).parquet(path)
 
     def all_rows(self) -> DataFrame:
-        return self.spark.read.parquet(self.data_path)
+        """Everything, with the recorded schema; nothing has to be inferred, also not from no files."""
+        schema = T.StructType.fromJson(json.loads(self.properties["row_schema"]))
+        return self.spark.read.schema(schema).parquet(self.data_path)
 
     def rows(self, columns: Sequence[str] | str | None = None) -> DataFrame:
         """Default columns, all columns (``"all"``), or the listed ones (``nested.field`` too)."""
@@ -74,6 +81,15 @@ class Catalog:
             columns = default.split(",")
         return select_columns(data, columns)
 
+    def map_batches(self, function, schema: T.StructType | str, columns=None) -> DataFrame:
+        """Apply a function to pandas batches of the catalog's rows; rows stay in their tasks."""
+
+        def apply(batches):
+            for batch in batches:
+                yield function(batch)
+
+        return self.rows(columns).mapInPandas(apply, schema)
+
     def cone(self, ra: float, dec: float, radius_arcsec: float) -> DataFrame:
         """Rows in a cone; folders of far partitions are skipped, row groups pruned by position."""
         near = broadcast_checked(
@@ -83,13 +99,24 @@ class Catalog:
         return rows.join(near, ["Norder", "Npix"], "left_semi")
 
 
+def dataset_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a parquet dataset can be read at a path."""
+    try:
+        spark.read.parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
+    return True
+
+
 def properties_of(spark: SparkSession, root: str) -> Row | None:
     """Newest properties of a catalog, or None where there is no catalog."""
     try:
         log = spark.read.schema(_PROPERTIES_SCHEMA).json(f"{root}/properties")
         return log.orderBy(F.desc("created"), F.desc("version")).limit(1).first()
     except AnalysisException as missing:
-        if "PATH_NOT_FOUND" in str(missing.getCondition()):
+        if missing.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
 
@@ -139,16 +166,15 @@ def _lay_out(df: DataFrame, path: str, max_records_per_file: int, options: dict[
     The rebalance splits a partition that is far larger than the others over several tasks and
     files, so a crowded pixel is never written by one task.
     """
-    layout = ["Norder", "Dir", "Npix"]
-    rows = df.hint("rebalance", *layout).sortWithinPartitions(*layout, PIXEL)
+    rows = df.hint("rebalance", *_LAYOUT).sortWithinPartitions(*_LAYOUT, PIXEL)
     writer = rows.write.mode("errorifexists").options(**options)
-    writer.option("maxRecordsPerFile", max_records_per_file).partitionBy(*layout).parquet(path)
+    writer.option("maxRecordsPerFile", max_records_per_file).partitionBy(*_LAYOUT).parquet(path)
 
 
 def _measured_partitions(data: DataFrame) -> DataFrame:
     """Rows and bytes per partition as they are in the files; no column is read."""
     rows = data.select(
-        "Norder", "Dir", "Npix", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("b")
+        *_LAYOUT, F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("b")
     )
     files = rows.groupBy("Norder", "Dir", "Npix", "f").agg(
         F.count(F.lit(1)).alias("n_rows"), F.first("b").alias("b")
@@ -158,10 +184,18 @@ def _measured_partitions(data: DataFrame) -> DataFrame:
     )
 
 
+def _stored_schema(schema: T.StructType) -> T.StructType:
+    """Schema as it is read back: partition columns last, of fixed types, everything nullable."""
+    types = {"Norder": T.IntegerType(), "Dir": T.LongType(), "Npix": T.LongType()}
+    own = [T.StructField(f.name, f.dataType, True) for f in schema.fields if f.name not in types]
+    return T.StructType(own + [T.StructField(name, kind, True) for name, kind in types.items()])
+
+
 def record_version(
     spark: SparkSession,
     root: str,
     version: str,
+    schema: T.StructType,
     *,
     name: str,
     catalog_type: str,
@@ -174,10 +208,11 @@ def record_version(
     """Count what was written, store the partition table and make the version the one in force."""
     data_path = f"{root}/data-{version}"
     partitions_path = f"{root}/partitions-{version}"
-    data = spark.read.parquet(data_path)
+    schema = _stored_schema(schema)
+    data = spark.read.schema(schema).parquet(data_path)
     _measured_partitions(data).write.mode("overwrite").parquet(partitions_path)
     n_columns = len(full_column_names(data))
-    totals = spark.read.parquet(partitions_path).agg(
+    totals = spark.read.schema(_PARTITIONS_SCHEMA).parquet(partitions_path).agg(
         F.coalesce(F.sum("n_rows"), F.lit(0)).alias("total_rows"),
         F.count(F.lit(1)).alias("n_partitions"),
         F.coalesce(F.floor(F.sum("n_bytes") / 1024), F.lit(0)).alias("est_size_kb"),
@@ -197,6 +232,7 @@ def record_version(
         F.lit(f"skyweave v{__version__}").alias("builder"),
         F.lit(",".join(default_columns)).alias("default_columns"),
         F.lit(margin_threshold).cast("double").alias("margin_threshold"),
+        F.lit(schema.json()).alias("row_schema"),
     )
     row.coalesce(1).write.mode("append").json(f"{root}/properties")
     return open_catalog(spark, root)
@@ -243,6 +279,7 @@ def write_catalog(
         spark,
         root,
         version,
+        rows.schema,
         name=name,
         catalog_type=catalog_type,
         ra=ra,
@@ -257,9 +294,8 @@ def _write_in_place(rows: DataFrame, writer_options: dict[str, str], path: str)
 
     A task's rows come from few partitions, in order, and go to as few folders again.
     """
-    layout = ["Norder", "Dir", "Npix"]
-    writer = rows.sortWithinPartitions(*layout, PIXEL).write.options(**writer_options)
-    writer.mode("overwrite").partitionBy(*layout).parquet(path)
+    writer = rows.sortWithinPartitions(*_LAYOUT, PIXEL).write.options(**writer_options)
+    writer.mode("overwrite").partitionBy(*_LAYOUT).parquet(path)
 
 
 def rewrite_catalog(catalog: Catalog, transform) -> Catalog:
@@ -269,13 +305,15 @@ def rewrite_catalog(catalog: Catalog, transform) -> Catalog:
     version; the old files are not touched while they are read.
     """
     version = uuid.uuid4().hex
-    _write_in_place(transform(catalog.all_rows()), {}, f"{catalog.root}/data-{version}")
+    rows = transform(catalog.all_rows())
+    _write_in_place(rows, {}, f"{catalog.root}/data-{version}")
     properties = catalog.properties
     ra, dec = catalog.position
     return record_version(
         catalog.spark,
         catalog.root,
         version,
+        rows.schema,
         name=properties["catalog_name"],
         catalog_type=properties["catalog_type"],
         ra=ra,
@@ -295,6 +333,7 @@ def write_in_same_partitions(rows: DataFrame, like: Catalog, root: str) -> Catal
         like.spark,
         root,
         version,
+        rows.schema,
         name=properties["catalog_name"],
         catalog_type=properties["catalog_type"],
         ra=ra,
@@ -337,16 +376,13 @@ def process_partitions(
     by other rules, everything is done again. Gives the tally ``status, n_partitions``.
     """
     spark = catalog.spark
-    layout = ["Norder", "Dir", "Npix"]
+    layout = list(_LAYOUT)
     everything = catalog.partitions().select(*layout)
     done = None
-    try:
+    if dataset_exists(spark, output):
         found = spark.read.parquet(output)
         if is_finished(found.columns):
             done = materialize(found.select(*layout).distinct())
-    except AnalysisException as missing:
-        if "PATH_NOT_FOUND" not in str(missing.getCondition()):
-            raise
     todo = everything if done is None else everything.join(done, layout, "left_anti")
     todo = materialize(todo)
     # The comparison makes Spark prune the folders of finished partitions at run time.
@@ -397,7 +433,7 @@ def is_valid_catalog(spark: SparkSession, root: str, strict: bool = False) -> bo
         total = catalog.partitions().agg(F.sum("n_rows").alias("n")).first()["n"] or 0
         return total == properties["total_rows"] == catalog.all_rows().count()
     except AnalysisException as missing:
-        if "PATH_NOT_FOUND" in str(missing.getCondition()):
+        if missing.getCondition() == "PATH_NOT_FOUND":
             return False
         raise
 
@@ -446,6 +482,7 @@ def write_margin(
         spark,
         root,
         version,
+        rows.schema,
         name=f"{properties['catalog_name']}_margin",
         catalog_type="margin",
         ra=properties["ra_column"],
@@ -487,7 +524,8 @@ def build_collection(
     """Margin table and id index beside a catalog."""
     margin = write_margin(catalog, f"{root}/margin", margin_arcsec, resume)
     index_path = f"{root}/index"
-    write_index(catalog, index_path, id_column)
+    if not (resume and dataset_exists(catalog.spark, index_path)):
+        write_index(catalog, index_path, id_column)
     return Collection(catalog, margin, index_path, id_column)
 
 
@@ -495,9 +533,9 @@ def write_association(
     pairs: DataFrame, catalog: Catalog, index: DataFrame, root: str, id_column: str, name: str
 ) -> str:
     """Matched id pairs with distances, laid out like the primary catalog; returns the data path."""
-    layout = ["Norder", "Dir", "Npix"]
+    layout = list(_LAYOUT)
     placed = pairs.join(index.select(id_column, PIXEL, *layout).distinct(), id_column)
     path = f"{root}/{name}"
-    laid_out = placed.hint("rebalance", *layout).sortWithinPartitions(*layout, PIXEL)
-    laid_out.write.mode("overwrite").partitionBy(*layout).parquet(path)
+    laid_out = placed.hint("rebalance", *layout).sortWithinPartitions(*_LAYOUT, PIXEL)
+    laid_out.write.mode("overwrite").partitionBy(*_LAYOUT).parquet(path)
     return path
