@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyweave.functions.sky import FINEST_ORDER, PIXEL, directory_of, parent_pixel
-from skyweave.runtime import fits_broadcast, materialize
+from skyweave.runtime import fits_broadcast
 
 
 def pixel_histogram(df: DataFrame, order: int) -> DataFrame:
@@ -32,11 +32,11 @@ def density_map(histogram: DataFrame, order: int, orders: Sequence[int]) -> Data
 
 
 def partition_map(histogram: DataFrame, order: int, threshold: int) -> DataFrame:
-    """Partition of each occupied pixel: ``pixel, Norder, Dir, Npix, partition_rows``.
+    """Partitions that fit a histogram: ``Norder, Dir, Npix, n_rows``.
 
-    A pixel joins the coarsest ancestor that holds at most ``threshold`` rows; pixels above the
+    A partition is the coarsest pixel that holds at most ``threshold`` rows; pixels above the
     threshold at the finest order stay as they are. Counts only fall with the order, so the
-    chosen ancestors are disjoint and cover everything.
+    partitions are disjoint and cover everything.
     """
     ancestors = F.array(
         *[
@@ -44,9 +44,9 @@ def partition_map(histogram: DataFrame, order: int, threshold: int) -> DataFrame
             for o in range(order + 1)
         ]
     )
-    levels = histogram.select("pixel", "n_rows", F.explode(ancestors).alias("a"))
-    totals = levels.groupBy("a.o", "a.p").agg(F.sum("n_rows").alias("total"))
-    fitting = totals.where((F.col("total") <= threshold) | (F.col("o") == order))
+    levels = histogram.select("n_rows", F.explode(ancestors).alias("a"))
+    totals = levels.groupBy("a.o", "a.p").agg(F.sum("n_rows").alias("n_rows"))
+    fitting = totals.where((F.col("n_rows") <= threshold) | (F.col("o") == order))
     # A chosen pixel is one that fits while its parent does not; each has one parent, so the
     # test is an equi-join on (order, pixel) instead of a window over all levels.
     parents = fitting.select(F.col("o").alias("po"), F.col("p").alias("pp"))
@@ -55,35 +55,30 @@ def partition_map(histogram: DataFrame, order: int, threshold: int) -> DataFrame
         (F.col("o") - 1 == F.col("po")) & (F.shiftright("p", 2) == F.col("pp")),
         "left_anti",
     )
-    partitions = chosen.select(
-        F.col("o").alias("Norder"),
-        directory_of(F.col("p")).alias("Dir"),
-        F.col("p").alias("Npix"),
-        F.col("total").alias("partition_rows"),
-    )
-    places = levels.select("pixel", F.col("a.o").alias("Norder"), F.col("a.p").alias("Npix"))
-    return places.join(partitions, ["Norder", "Npix"]).select(
-        "pixel", "Norder", "Dir", "Npix", "partition_rows"
+    return chosen.select(
+        F.col("o").alias("Norder"), directory_of(F.col("p")).alias("Dir"), F.col("p").alias("Npix"), "n_rows"
     )
 
 
-def partition_list(pmap: DataFrame) -> DataFrame:
-    """One row per partition with its row count."""
-    return pmap.groupBy("Norder", "Dir", "Npix").agg(F.first("partition_rows").alias("n_rows"))
+def partition_pixels(partitions: DataFrame, order: int) -> DataFrame:
+    """Partition of every pixel of an order at least as fine: ``pixel, Norder, Dir, Npix``.
+
+    Partitions tile at most the sky, so there are never more than 12 · 4^order rows.
+    """
+    n = F.expr(f"shiftleft(1L, 2 * ({order} - cast(Norder as int)))")
+    pixels = F.explode(F.sequence(F.col("Npix") * n, F.col("Npix") * n + n - 1))
+    return partitions.select(pixels.alias("pixel"), "Norder", "Dir", "Npix")
 
 
-def assign_partitions(df: DataFrame, pmap: DataFrame, order: int) -> DataFrame:
+def assign_partitions(df: DataFrame, partitions: DataFrame) -> DataFrame:
     """Add ``Norder, Dir, Npix`` to rows that carry a finest-order pixel.
 
     There are as many partitions as rows divided by the threshold, far fewer than pixels, so
     they are looked up order by order in small broadcast tables and the rows are not shuffled.
-    Should the partitions themselves be too many for that, rows join the pixel map by shuffle.
+    Should the partitions be too many for that, the same lookups are joins by shuffle.
     """
-    partitions = materialize(partition_list(pmap).select("Norder", "Npix"))
-    if not fits_broadcast(partitions):
-        places = pmap.select(F.col("pixel").alias("_fine"), "Norder", "Dir", "Npix")
-        fine = df.withColumn("_fine", parent_pixel(F.col(PIXEL), FINEST_ORDER, order))
-        return fine.join(places, "_fine").drop("_fine")
+    partitions = partitions.select("Norder", "Npix")
+    small = fits_broadcast(partitions)
     orders = sorted(row["Norder"] for row in partitions.select("Norder").distinct().collect())
     found: list[Column] = []
     for o in orders:
@@ -91,7 +86,7 @@ def assign_partitions(df: DataFrame, pmap: DataFrame, order: int) -> DataFrame:
         known = partitions.where(F.col("Norder") == o)
         known = known.select(F.col("Npix").alias(pixel), F.lit(True).alias(f"_in{o}"))
         df = df.withColumn(pixel, parent_pixel(F.col(PIXEL), FINEST_ORDER, o))
-        df = df.join(F.broadcast(known), pixel, "left")
+        df = df.join(F.broadcast(known) if small else known, pixel, "left")
         found.append(F.when(F.col(f"_in{o}"), F.struct(F.lit(o).alias("o"), F.col(pixel).alias("p"))))
     if not found:
         nothing = df.withColumns({"Norder": F.lit(0), "Dir": F.lit(0).cast("long"), "Npix": F.lit(0).cast("long")})

@@ -299,7 +299,7 @@ def _ring(df: DataFrame, centre: tuple[str, str, str], angle: float, n_points: i
 
 def margin_rows(
     df: DataFrame,
-    pmap: DataFrame,
+    places: DataFrame,
     order: int,
     threshold_arcsec: float,
     ra: str = "ra",
@@ -307,8 +307,8 @@ def margin_rows(
 ) -> DataFrame:
     """Copies of rows just outside each partition, keyed to that partition.
 
-    ``df`` carries its own ``Norder, Npix``; the result carries the target's ``Norder, Dir,
-    Npix``. No row within the threshold is missing; rows up to about 2 % beyond it may be there.
+    ``df`` carries its own ``Norder, Npix``; ``places`` names the partition of every pixel of
+    ``order``. The result carries the target's ``Norder, Dir, Npix``. No row within the threshold is missing; rows up to about 2 % beyond it may be there.
     The points of a ring round each row, and round a close pixel corner, tell which partitions
     its disc touches.
     """
@@ -357,7 +357,6 @@ def margin_rows(
 
     samples = with_pixel(around_row.unionByName(around_corner), "_pra", "_pdec", out="_sample")
     samples = samples.select("_strip", parent_pixel(F.col("_sample"), FINEST_ORDER, order).alias("pixel"))
-    places = pmap.select("pixel", "Norder", "Dir", "Npix")
     targets = (
         samples.distinct()
         .join(broadcast_checked(places), "pixel")

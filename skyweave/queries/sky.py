@@ -10,8 +10,8 @@ from skyweave.operators.partitioning import (
     assign_partitions,
     density_map,
     first_partitions,
-    partition_list,
     partition_map,
+    partition_pixels,
     pixel_histogram,
 )
 from skyweave.operators.spatial import attach_matched_columns, cone_search, crossmatch, margin_rows
@@ -70,7 +70,7 @@ def _map(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 SELECT Norder, Npix // 10000 * 10000 AS Dir, Npix, sum(n)::BIGINT AS n_rows FROM m GROUP BY Norder, Npix""")
 def adaptive_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Partitions of a sky with a crowded patch."""
-    return partition_list(_map(spark, sf_dir)[1])
+    return _map(spark, sf_dir)[1]
 
 
 @query(f"""{_MAP_CTE},
@@ -79,9 +79,8 @@ def adaptive_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT r.objectId, f.Norder, f.Npix FROM r JOIN f ON r.pixel >> (2 * ({_MAP_ORDER} - f.Norder)) = f.Npix""")
 def first_ten_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Objects of the first ten partitions along the sky curve."""
-    rows, pmap = _map(spark, sf_dir)
-    placed = assign_partitions(rows, pmap, _MAP_ORDER)
-    chosen = first_partitions(placed, partition_list(pmap), 10)
+    rows, partitions = _map(spark, sf_dir)
+    chosen = first_partitions(assign_partitions(rows, partitions), partitions, 10)
     return chosen.select("objectId", F.col("Norder").cast("int").alias("Norder"), "Npix")
 
 
@@ -240,10 +239,6 @@ def crossmatch_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def margin_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies of objects within 3 arcmin of another partition; checked by brute force in the tests."""
-    rows, pmap = _map(spark, sf_dir)
-    placed = assign_partitions(rows, pmap, _MAP_ORDER)
-    tiles = F.expr(f"shiftleft(1L, 2 * ({_MAP_ORDER} - cast(Norder as int)))")
-    partitions = partition_list(pmap)
-    pixels = F.explode(F.sequence(F.col("Npix") * tiles, F.col("Npix") * tiles + tiles - 1))
-    places = partitions.select(pixels.alias("pixel"), "Norder", "Dir", "Npix")
-    return margin_rows(placed, places, _MAP_ORDER, 150.0).select("objectId", "Norder", "Dir", "Npix")
+    rows, partitions = _map(spark, sf_dir)
+    places = partition_pixels(partitions, _MAP_ORDER)
+    return margin_rows(assign_partitions(rows, partitions), places, _MAP_ORDER, 150.0).select("objectId", "Norder", "Dir", "Npix")

@@ -25,6 +25,7 @@ from skyweave.operators.keys import lookup_ids
 from skyweave.operators.partitioning import (
     assign_partitions,
     partition_map,
+    partition_pixels,
     pixel_histogram,
 )
 from skyweave.operators.spatial import cone_search, margin_rows, partitions_in_cone
@@ -155,7 +156,7 @@ def with_positions(df: DataFrame, ra: str, dec: str) -> DataFrame:
 
 
 def plan_partitions(df: DataFrame, threshold: int, highest_order: int) -> DataFrame:
-    """Fixed partition map of rows that carry a finest-order pixel."""
+    """Fixed partitions of rows that carry a finest-order pixel."""
     histogram = materialize(pixel_histogram(df.select(PIXEL), highest_order))
     return materialize(partition_map(histogram, highest_order, threshold))
 
@@ -270,8 +271,8 @@ def write_catalog(
         raise FileExistsError(f"a catalog exists at {root}")
     df = df.drop(*LAYOUT_COLUMNS)
     counted = (df if positions is None else positions).select(ra, dec)
-    pmap = plan_partitions(with_positions(counted, ra, dec), threshold, highest_order)
-    rows = assign_partitions(with_positions(df, ra, dec), pmap, highest_order)
+    partitions = plan_partitions(with_positions(counted, ra, dec), threshold, highest_order)
+    rows = assign_partitions(with_positions(df, ra, dec), partitions)
     version = uuid.uuid4().hex
     _lay_out(rows, f"{root}/data-{version}", max_records_per_file, write_options or {})
     chosen, _ = available_columns(df, default_columns)
@@ -449,16 +450,6 @@ def is_reusable_margin(spark: SparkSession, root: str, threshold_arcsec: float)
 # margin, index, collection
 
 
-def _partition_pixels(catalog: Catalog, order: int) -> DataFrame:
-    """Partition of every pixel of the given order, occupied or not.
-
-    Partitions tile at most the sky, so there are never more than 12 · 4^order rows.
-    """
-    n = F.expr(f"shiftleft(1L, 2 * ({order} - cast(Norder as int)))")
-    pixels = F.explode(F.sequence(F.col("Npix") * n, F.col("Npix") * n + n - 1))
-    return catalog.partitions().select(pixels.alias("pixel"), "Norder", "Dir", "Npix")
-
-
 def write_margin(
     catalog: Catalog, root: str, threshold_arcsec: float, resume: bool = False
 ) -> Catalog:
@@ -472,7 +463,7 @@ def write_margin(
     # Only orders in use matter: every partition is a union of pixels of the finest one.
     order = catalog.partitions().agg(F.max("Norder")).first()[0] or 0
     rows = margin_rows(
-        catalog.all_rows(), _partition_pixels(catalog, order), order, threshold_arcsec, *catalog.position
+        catalog.all_rows(), partition_pixels(catalog.partitions(), order), order, threshold_arcsec, *catalog.position
     )
     version = uuid.uuid4().hex
     path = f"{root}/data-{version}"

@@ -17,8 +17,8 @@ from skyweave.functions.sky import (
 from skyweave.operators.partitioning import (
     assign_partitions,
     density_map,
-    partition_list,
     partition_map,
+    partition_pixels,
     pixel_histogram,
 )
 from skyweave.operators.spatial import (
@@ -128,9 +128,11 @@ def test_partition_map_is_disjoint_complete_and_bounded(spark):
     order, threshold = 6, 100
     df = clustered(spark)
     pmap = partition_map(pixel_histogram(df, order), order, threshold)
-    placed = assign_partitions(df, pmap, order)
+    placed = assign_partitions(df, pmap)
     assert placed.count() == df.count()
-    parts = partition_list(pmap).collect()
+    inside = F.expr("shiftright(_healpix_29, 2 * (29 - Norder)) = Npix")
+    assert placed.where(inside).count() == df.count()
+    parts = pmap.collect()
     assert sum(r["n_rows"] for r in parts) == df.count()
     assert all(r["n_rows"] <= threshold or r["Norder"] == order for r in parts)
     assert any(r["n_rows"] > threshold for r in parts)
@@ -146,10 +148,18 @@ def test_partition_map_is_disjoint_complete_and_bounded(spark):
 def test_partition_map_of_nothing_and_of_one_row(spark):
     df = with_pixel(points(spark, [(1, 5.0, 5.0)]))
     assert partition_map(pixel_histogram(df.limit(0), 4), 4, 10).count() == 0
-    only = partition_list(partition_map(pixel_histogram(df, 4), 4, 10)).collect()
+    only = partition_map(pixel_histogram(df, 4), 4, 10).collect()
     assert [(r["Norder"], r["n_rows"]) for r in only] == [(0, 1)]
 
 
+def test_partitions_too_many_to_broadcast(spark, monkeypatch):
+    df = clustered(spark)
+    pmap = partition_map(pixel_histogram(df, 6), 6, 100)
+    usual = assign_partitions(df, pmap).collect()
+    monkeypatch.setattr("skyweave.operators.partitioning.fits_broadcast", lambda frame: False)
+    assert sorted(assign_partitions(df, pmap).collect()) == sorted(usual)
+
+
 def test_density_map_totals(spark):
     df = clustered(spark)
     maps = density_map(pixel_histogram(df, 6), 6, (2, 4, 6)).groupBy("map_order").agg(F.sum("n_rows").alias("n"))
@@ -160,12 +170,12 @@ def test_no_partition_of_a_cone_is_missed(spark):
     order = 5
     df = clustered(spark)
     pmap = partition_map(pixel_histogram(df, order), order, 50)
-    placed = assign_partitions(df, pmap, order).cache()
+    placed = assign_partitions(df, pmap).cache()
     for ra, dec, radius in [(40.0, 10.0, 0.5), (0.0, 0.0, 5.0), (120.0, 89.0, 3.0)]:
-        near = {(r["Norder"], r["Npix"]) for r in partitions_in_cone(partition_list(pmap), ra, dec, radius * 3600).collect()}
+        near = {(r["Norder"], r["Npix"]) for r in partitions_in_cone(pmap, ra, dec, radius * 3600).collect()}
         hits = cone_search(placed, ra, dec, radius * 3600).select("Norder", "Npix").distinct().collect()
         assert {tuple(r) for r in hits} <= near
-        assert len(near) < partition_list(pmap).count()
+        assert len(near) < pmap.count()
 
 
 # ------------------------------------------------------------------------------------ cross-match
@@ -247,10 +257,8 @@ def test_margin_misses_nothing_within_the_threshold(spark):
             rows.append((20_000 + i, r["ra"] + rng.uniform(-jitter, jitter), r["dec"] + rng.uniform(-jitter, jitter)))
     df = with_pixel(points(spark, rows))
     pmap = partition_map(pixel_histogram(df, order), order, 40)
-    placed = assign_partitions(df, pmap, order)
-    tiles = F.expr(f"shiftleft(1L, 2 * ({order} - cast(Norder as int)))")
-    pixels = F.explode(F.sequence(F.col("Npix") * tiles, F.col("Npix") * tiles + tiles - 1))
-    places = partition_list(pmap).select(pixels.alias("pixel"), "Norder", "Dir", "Npix")
+    placed = assign_partitions(df, pmap)
+    places = partition_pixels(pmap, order)
     found = margin_rows(placed, places, order, threshold)
     assert found.columns == placed.select("id", "ra", "dec", PIXEL, "Norder", "Dir", "Npix").columns
     copies = {(r["id"], r["Norder"], r["Npix"]) for r in found.collect()}
@@ -280,13 +288,13 @@ def test_margin_wider_than_a_pixel_is_refused(spark):
     df = with_pixel(points(spark, uniform(10)))
     pmap = partition_map(pixel_histogram(df, 9), 9, 1)
     with pytest.raises(ValueError, match="too wide"):
-        margin_rows(assign_partitions(df, pmap, 9), pmap, 9, 400.0)
+        margin_rows(assign_partitions(df, pmap), partition_pixels(pmap, 9), 9, 400.0)
 
 
 def test_equal_rows_have_separate_margin_copies(spark):
     df = with_pixel(points(spark, [(1, 45.0001, 0.0)] * 3 + [(2, 44.9999, 0.0)]))
     order = 4
     pmap = partition_map(pixel_histogram(df, order), order, 0)
-    placed = assign_partitions(df, pmap, order)
+    placed = assign_partitions(df, pmap)
     assert placed.select("Npix").distinct().count() == 2
-    assert margin_rows(placed, pmap, order, 5.0).where("id = 1").count() == 3
+    assert margin_rows(placed, partition_pixels(pmap, order), order, 5.0).where("id = 1").count() == 3
