@@ -98,7 +98,7 @@ def index_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"SELECT DISTINCT band, tract, TRUE AS agrees FROM ({_RAW})")
 def zipped_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A path list and a key table in the same order, put side by side by position."""
-    index = raw_index(spark, sf_dir).coalesce(1).sortWithinPartitions("path")
+    index = raw_index(spark, sf_dir).orderBy("path")
     paths_file, keys_file = scratch_path(spark, "paths"), scratch_path(spark, "refs")
     padded = index.select(F.concat(F.lit("  "), "path", F.lit(" \n")).alias("value"))
     padded.write.text(paths_file)
