@@ -60,16 +60,6 @@ def partition_map(histogram: DataFrame, order: int, threshold: int) -> DataFrame
     )
 
 
-def partition_pixels(partitions: DataFrame, order: int) -> DataFrame:
-    """Partition of every pixel of an order at least as fine: ``pixel, Norder, Dir, Npix``.
-
-    Partitions tile at most the sky, so there are never more than 12 · 4^order rows.
-    """
-    n = F.expr(f"shiftleft(1L, 2 * ({order} - cast(Norder as int)))")
-    pixels = F.explode(F.sequence(F.col("Npix") * n, F.col("Npix") * n + n - 1))
-    return partitions.select(pixels.alias("pixel"), "Norder", "Dir", "Npix")
-
-
 def assign_partitions(df: DataFrame, partitions: DataFrame) -> DataFrame:
     """Add ``Norder, Dir, Npix`` to rows that carry a finest-order pixel.
 

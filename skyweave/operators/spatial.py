@@ -32,6 +32,7 @@ from skyweave.functions.sky import (
     with_pixel,
     with_unit_vector,
 )
+from skyweave.operators.partitioning import assign_partitions
 from skyweave.runtime import broadcast_checked, materialize
 
 CELL = ("_cx", "_cy", "_cz")
@@ -299,7 +300,7 @@ def _ring(df: DataFrame, centre: tuple[str, str, str], angle: float, n_points: i
 
 def margin_rows(
     df: DataFrame,
-    places: DataFrame,
+    partitions: DataFrame,
     order: int,
     threshold_arcsec: float,
     ra: str = "ra",
@@ -307,8 +308,8 @@ def margin_rows(
 ) -> DataFrame:
     """Copies of rows just outside each partition, keyed to that partition.
 
-    ``df`` carries its own ``Norder, Npix``; ``places`` names the partition of every pixel of
-    ``order``. The result carries the target's ``Norder, Dir, Npix``. No row within the threshold is missing; rows up to about 2 % beyond it may be there.
+    ``df`` carries its own ``Norder, Npix``; ``partitions`` lists all partitions and ``order`` is
+    the finest order among them. The result carries the target's ``Norder, Dir, Npix``. No row within the threshold is missing; rows up to about 2 % beyond it may be there.
     The points of a ring round each row, and round a close pixel corner, tell which partitions
     its disc touches.
     """
@@ -356,13 +357,10 @@ def margin_rows(
     around_corner = _ring(corners, _RIGHT, corner_angle, _CORNER_POINTS, ["_strip"])
 
     samples = with_pixel(around_row.unionByName(around_corner), "_pra", "_pdec", out="_sample")
-    samples = samples.select("_strip", parent_pixel(F.col("_sample"), FINEST_ORDER, order).alias("pixel"))
-    targets = (
-        samples.distinct()
-        .join(broadcast_checked(places), "pixel")
-        .select("_strip", "Norder", "Dir", "Npix")
-        .distinct()
-    )
+    # Points of one order-K pixel are in one partition: look each pixel up once, by its first child.
+    pixel = parent_pixel(F.col("_sample"), FINEST_ORDER, order)
+    samples = samples.select("_strip", F.shiftleft(pixel, 2 * (FINEST_ORDER - order)).alias(PIXEL)).distinct()
+    targets = assign_partitions(samples, partitions).select("_strip", "Norder", "Dir", "Npix").distinct()
     own = [c for c in df.columns if c not in ("Norder", "Dir", "Npix")]
     rows = close.select("_strip", F.col("Norder").alias("_o"), F.col("Npix").alias("_p"), *own)
     copies = rows.join(targets, "_strip").where(

@@ -11,7 +11,6 @@ from skyweave.operators.partitioning import (
     density_map,
     first_partitions,
     partition_map,
-    partition_pixels,
     pixel_histogram,
 )
 from skyweave.operators.spatial import attach_matched_columns, cone_search, crossmatch, margin_rows
@@ -238,7 +237,6 @@ def crossmatch_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def margin_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Copies of objects within 3 arcmin of another partition; checked by brute force in the tests."""
+    """Copies of objects within 150 arcsec of another partition; checked by brute force in the tests."""
     rows, partitions = _map(spark, sf_dir)
-    places = partition_pixels(partitions, _MAP_ORDER)
-    return margin_rows(assign_partitions(rows, partitions), places, _MAP_ORDER, 150.0).select("objectId", "Norder", "Dir", "Npix")
+    return margin_rows(assign_partitions(rows, partitions), partitions, _MAP_ORDER, 150.0).select("objectId", "Norder", "Dir", "Npix")

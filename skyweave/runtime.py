@@ -43,25 +43,20 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def row_bytes(schema: T.StructType) -> int:
-    """Rough width of a row, used to bound a broadcast before making it."""
-    widths = {T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4, T.BooleanType: 1}
-    total = 16
-    for field in schema.fields:
-        if isinstance(field.dataType, T.StringType):
-            total += 128
-        elif isinstance(field.dataType, T.StructType):
-            total += row_bytes(field.dataType)
-        else:
-            total += widths.get(type(field.dataType), 8)
-    return total
-
-
 def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
-    """Whether the counted rows of ``df`` fit in ``max_bytes``; collections have no width bound."""
-    if any(isinstance(f.dataType, (T.ArrayType, T.MapType)) for f in df.schema.fields):
+    """Whether ``df`` fits in ``max_bytes``, by its counted rows and the lengths of its strings.
+
+    A value takes at most 16 bytes besides the text of a string. Frames that hold nested types
+    are not measured and do not fit.
+    """
+    if any(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)) for f in df.schema.fields):
         return False
-    return df.count() * row_bytes(df.schema) <= max_bytes
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    lengths = [F.coalesce(F.sum(F.octet_length(F.col(f"`{name}`"))), F.lit(0)) for name in texts]
+    size = F.count(F.lit(1)) * F.lit(16 + 16 * len(df.columns)).cast("long")
+    for length in lengths:
+        size = size + length
+    return df.agg(size.alias("bytes")).first()["bytes"] <= max_bytes
 
 
 def broadcast_checked(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:

@@ -25,7 +25,6 @@ from skyweave.operators.keys import lookup_ids
 from skyweave.operators.partitioning import (
     assign_partitions,
     partition_map,
-    partition_pixels,
     pixel_histogram,
 )
 from skyweave.operators.spatial import cone_search, margin_rows, partitions_in_cone
@@ -463,7 +462,7 @@ def write_margin(
     # Only orders in use matter: every partition is a union of pixels of the finest one.
     order = catalog.partitions().agg(F.max("Norder")).first()[0] or 0
     rows = margin_rows(
-        catalog.all_rows(), partition_pixels(catalog.partitions(), order), order, threshold_arcsec, *catalog.position
+        catalog.all_rows(), catalog.partitions(), order, threshold_arcsec, *catalog.position
     )
     version = uuid.uuid4().hex
     path = f"{root}/data-{version}"

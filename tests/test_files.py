@@ -139,6 +139,7 @@ def test_broadcast_is_bounded(spark):
     assert fits_broadcast(df) and not fits_broadcast(df, max_bytes=1000)
     assert "Broadcast" not in broadcast_checked(df, 10)._jdf.queryExecution().analyzed().toString()
     assert not fits_broadcast(df.select(F.array("id").alias("a")))
+    assert not fits_broadcast(df.select(F.repeat(F.lit("x"), 10_000).alias("long")), max_bytes=1_000_000)
 
 
 def test_shared_folder_comes_from_the_session(spark):

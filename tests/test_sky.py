@@ -18,7 +18,6 @@ from skyweave.operators.partitioning import (
     assign_partitions,
     density_map,
     partition_map,
-    partition_pixels,
     pixel_histogram,
 )
 from skyweave.operators.spatial import (
@@ -258,13 +257,15 @@ def test_margin_misses_nothing_within_the_threshold(spark):
     df = with_pixel(points(spark, rows))
     pmap = partition_map(pixel_histogram(df, order), order, 40)
     placed = assign_partitions(df, pmap)
-    places = partition_pixels(pmap, order)
-    found = margin_rows(placed, places, order, threshold)
+    found = margin_rows(placed, pmap, order, threshold)
     assert found.columns == placed.select("id", "ra", "dec", PIXEL, "Norder", "Dir", "Npix").columns
     copies = {(r["id"], r["Norder"], r["Npix"]) for r in found.collect()}
     assert len(copies) == found.count()
 
-    place_of = {r["pixel"]: (r["Norder"], r["Npix"]) for r in places.collect()}
+    place_of = {}
+    for r in pmap.collect():
+        tiles = 4 ** (order - r["Norder"])
+        place_of |= {p: (r["Norder"], r["Npix"]) for p in range(r["Npix"] * tiles, (r["Npix"] + 1) * tiles)}
     own = {r["id"]: (r["Norder"], r["Npix"]) for r in placed.collect()}
     sampled, keys = [], []
     for i, r, d in rows:
@@ -288,7 +289,7 @@ def test_margin_wider_than_a_pixel_is_refused(spark):
     df = with_pixel(points(spark, uniform(10)))
     pmap = partition_map(pixel_histogram(df, 9), 9, 1)
     with pytest.raises(ValueError, match="too wide"):
-        margin_rows(assign_partitions(df, pmap), partition_pixels(pmap, 9), 9, 400.0)
+        margin_rows(assign_partitions(df, pmap), pmap, 9, 400.0)
 
 
 def test_equal_rows_have_separate_margin_copies(spark):
@@ -297,4 +298,4 @@ def test_equal_rows_have_separate_margin_copies(spark):
     pmap = partition_map(pixel_histogram(df, order), order, 0)
     placed = assign_partitions(df, pmap)
     assert placed.select("Npix").distinct().count() == 2
-    assert margin_rows(placed, partition_pixels(pmap, order), order, 5.0).where("id = 1").count() == 3
+    assert margin_rows(placed, pmap, order, 5.0).where("id = 1").count() == 3
