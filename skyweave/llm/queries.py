@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyweave.llm import chat, decontaminate, jaccard, mixing, quality, sharding, suffixes, urls
+from skyweave.llm import chat, decontaminate, jaccard, lines, mixing, quality, sharding, suffixes, urls
 from skyweave.llm.rows import text_of
 from skyweave.queries.registry import query
 
@@ -30,6 +30,15 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planned.select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+@query(lines.lines_sql())
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = lines.line_report(table(spark, sf_dir, "documents"))
+    return report.select(
+        "doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.col("n_removed").cast("long").alias("n_removed"),
+        F.array_join(F.col("kept").cast("array<string>"), ",").alias("kept_lines"),
+    )
+
+
 @query()
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), (F.col("quality") == 0).alias("bad"))
