@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyweave.llm import chat, decontaminate, jaccard, lines, mixing, quality, sharding, suffixes, urls
+from skyweave.llm import chat, decontaminate, jaccard, licenses, lines, mixing, quality, sharding, suffixes, urls
 from skyweave.llm.rows import text_of
 from skyweave.queries.registry import query
 
@@ -46,6 +46,11 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", F.array_join("mined", "; ").alias("mined"))
 
 
+@query()
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
