@@ -191,15 +191,18 @@ def _mark(table: pa.Table) -> pa.Table:
         found, entries = family.scan(ordered[starts])
         marked = np.zeros(len(keys), bool)
         marked[order] = np.repeat(several | found, np.diff(np.r_[starts, len(keys)]))
-        marks.append((r, at, marked, entries))
+        marks.append((r, at, marked, entries, order.astype(np.int32), starts))
         family.add(ordered[starts], at + order[starts])
         at += len(keys)
     every = np.zeros(at, bool)
-    for _, begin, marked, entries in marks:
+    for _, begin, marked, entries, *_ in marks:
         every[begin : begin + len(marked)] |= marked
         every[entries] = True
-    for r, begin, marked, _ in marks:
-        out.append((r["bucket"], r["chunk"], 0, np.packbits(every[begin : begin + len(marked)]).tobytes(), None, None, None))
+    for r, begin, marked, _, order, starts in marks:
+        # A level names one entry for each seed of a chunk; the mark holds for all of them.
+        ordered = np.maximum.reduceat(every[begin : begin + len(marked)][order], starts)
+        marked[order] = np.repeat(ordered, np.diff(np.r_[starts, len(marked)]))
+        out.append((r["bucket"], r["chunk"], 0, np.packbits(marked).tobytes(), None, None, None))
     first: dict[bytes, int] = {}
     copies = [r for r in rows if r["kind"]]
     for r in copies:
