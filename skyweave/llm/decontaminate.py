@@ -178,7 +178,7 @@ def _scanner(shared, window: int, drop_text: bool):
 
 def remove_spans(text: str | None, spans) -> str | None:
     """The text without these byte runs."""
-    if text is None or not spans:
+    if text is None or len(spans) == 0:
         return text
     data, out, at = text.encode(), [], 0
     for span in spans:
