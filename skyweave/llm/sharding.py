@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from skyweave.llm.rows import cumulate, text_of
 from skyweave.operators.numbering import number_rows
+from skyweave.runtime import materialize
 
 SEED = 2024
 
@@ -17,7 +18,7 @@ def shard_plan(
     """One narrow row per input row: ``doc_id``, ``size``, ``text_crc32``, ``shard``, ``slot``.
 
     Rows are shuffled within their source by a seeded hash, and the fractional rank
-    (rank + 1/2) / rows of the source interleaves all sources; the sorted sequence is cut into
+    (rank + phase) / rows of the source, the phase a hash of the source, interleaves all sources; the sorted sequence is cut into
     ``n_shards`` runs whose row counts differ by at most one, so each holds every source in
     proportion. ``size`` is UTF-8 bytes plus 8, ``text_crc32`` the unsigned checksum of the text.
 
@@ -27,22 +28,26 @@ def shard_plan(
     source is spread over many tasks.
     """
     text_column = text_of(F.col(f"`{text}`"))
-    narrow = docs.select(
-        F.col(f"`{key}`").alias("doc_id"),
-        F.col(f"`{source}`").alias("_source"),
-        (F.octet_length(text_column) + 8).cast("long").alias("size"),
-        F.crc32(text_column).alias("text_crc32"),
-        F.lit(1).alias("_one"),
-    ).withColumn("_shuffled", F.xxhash64(F.lit(seed), "doc_id", "text_crc32"))
+    narrow = materialize(
+        docs.select(
+            F.col(f"`{key}`").alias("doc_id"),
+            F.col(f"`{source}`").alias("_source"),
+            (F.octet_length(text_column) + 8).cast("long").alias("size"),
+            F.crc32(text_column).alias("text_crc32"),
+            F.lit(1).alias("_one"),
+        ).withColumn("_shuffled", F.xxhash64(F.lit(seed), "doc_id", "text_crc32"))
+    )
     ranked = cumulate(narrow, ["_shuffled", "doc_id", "text_crc32"], "_one", within=["_source"])
     counts = narrow.groupBy("_source").agg(F.count(F.lit(1)).alias("_rows"))
-    fraction = ((F.col("_rank") * 2 + 1) / (F.col("_rows") * 2)).alias("_fraction")
+    # A phase of its own for each source; with one phase for all, sources of one size would move in step.
+    phase = F.pmod(F.xxhash64(F.lit(seed), "r._source"), F.lit(1 << 20)) / (1 << 20)
+    fraction = ((F.col("_rank") + phase) / F.col("_rows")).alias("_fraction")
     placed = ranked.alias("r").join(counts.alias("c"), F.col("r._source").eqNullSafe(F.col("c._source"))).select(
         "r.doc_id", "r._source", "r.size", "r.text_crc32", "r._shuffled", fraction
     )
     order = ["_fraction", "_source", "_shuffled", "doc_id", "text_crc32"]
     ordered = number_rows(placed, order, out="_row")
-    total = docs.agg(F.count(F.lit(1)).alias("_total"))
+    total = counts.agg(F.sum("_rows").alias("_total"))
     shard = F.expr(f"_row * {n_shards} div _total")
     # The first row of shard s is ceil(s * total / shards).
     first = F.expr(f"(_shard * _total + {n_shards - 1}) div {n_shards}")
