@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Position of a row's first element, where an array goes on over several rows.
+START = "_start"
+
 
 def nested_fields(df: DataFrame, column: str) -> list[str]:
     """Field names of a nested column; empty for a plain one."""
@@ -81,15 +84,21 @@ def flatten(
 ) -> DataFrame:
     """One row per nested element with the carried parent columns and the element's position.
 
-    With ``outer`` a parent without elements gives one row with null fields.
+    Positions run on over the rows of a parent that has several. With ``outer`` a parent without
+    elements gives one row with null fields.
     """
     explode = F.posexplode_outer if outer else F.posexplode
-    rows = df.select(*carry, explode(column).alias(position, "_element"))
-    return rows.select(*carry, position, "_element.*")
+    start = F.col(START) if START in df.columns else F.lit(0).cast("long")
+    rows = df.select(*carry, start.alias("_first"), explode(column).alias("_at", "_element"))
+    return rows.select(*carry, (F.col("_first") + F.col("_at")).alias(position), "_element.*")
+
 
+def nest(flat: DataFrame, on: Sequence[str], column: str, position: str = "_pos", max_rows: int = 100_000) -> DataFrame:
+    """Rows back under their parents, in order of position, at most ``max_rows`` positions in a row.
 
-def nest(flat: DataFrame, on: Sequence[str], column: str, position: str = "_pos") -> DataFrame:
-    """Rows back under their parents, in order of position."""
+    ``_start`` is the first position that a row can hold.
+    """
     fields = [c for c in flat.columns if c not in (*on, position)]
+    start = (F.floor(F.col(position) / max_rows) * max_rows).cast("long")
     ordered = F.array_sort(F.collect_list(F.struct(position, F.struct(*fields).alias("_row"))))
-    return flat.groupBy(*on).agg(F.transform(ordered, lambda e: e["_row"]).alias(column))
+    return flat.groupBy(*on, start.alias(START)).agg(F.transform(ordered, lambda e: e["_row"]).alias(column))

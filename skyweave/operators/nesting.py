@@ -7,9 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skyweave.functions.nested import START, flatten
 from skyweave.operators.numbering import number_rows
-from skyweave.runtime import broadcast_checked
+from skyweave.runtime import broadcast_checked, scratch_path
 
+# Part of a light curve that a row holds.
 PART = "_part"
 # Longest nested array in one row. A longer light curve continues in further rows.
 MAX_ROWS_PER_PART = 100_000
@@ -31,31 +33,43 @@ def _collected(rows: DataFrame, on: list[str], into: str, order: list[Column], f
     return rows.repartition(*on).groupBy(*on).agg(F.transform(ordered, lambda e: e["row"]).alias(into))
 
 
-def _collect_sources(
-    sources: DataFrame,
-    on: str,
-    into: str,
-    sort_by: str,
-    tie_break: Sequence[str],
-    max_rows: int,
-) -> tuple[DataFrame, bool]:
-    """``on, _part, into``, and whether any key was crowded and goes on in further parts."""
-    fields = [c for c in sources.columns if c != on]
-    order = _time_order(sources, sort_by, tie_break)
-    sources = sources.where(F.col(on).isNotNull())
-    crowded = (
-        sources.groupBy(on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_rows).select(on)
-    )
-    if crowded.isEmpty():
-        return _collected(sources, [on], into, order, fields).withColumn(PART, F.lit(0)), False
+def _long_keys(sources: DataFrame, on: str, max_rows: int) -> DataFrame:
+    """``on, _parts`` of the keys that need more than one part; at most one key per max_rows rows.
+
+    Written and read again rather than checkpointed: the table stands in one plan several times, and
+    Spark 4.1 does not carry the constraints of a checkpoint over to its copies.
+    """
+    counts = sources.where(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias("_n"))
+    parts = F.ceil(F.col("_n") / max_rows).cast("int").alias("_parts")
+    path = scratch_path(sources.sparkSession, "long-keys")
+    counts.where(F.col("_n") > max_rows).select(on, parts).write.parquet(path)
+    return sources.sparkSession.read.parquet(path)
+
 
-    # At most one key per max_rows rows is crowded, so this side is small next to the data.
-    crowded = broadcast_checked(crowded)
-    usual = _collected(sources.join(crowded, on, "left_anti"), [on], into, order, fields)
-    numbered = number_rows(sources.join(crowded, on, "left_semi"), order, within=[on])
-    parts = numbered.withColumn(PART, F.floor(F.col("_row") / max_rows).cast("int"))
-    split = _collected(parts, [on, PART], into, [F.col("_row")], fields)
-    return usual.withColumn(PART, F.lit(0)).unionByName(split), True
+def _in_parts(rows: DataFrame, on: str, order: list[Column], long_keys: DataFrame, max_rows: int) -> DataFrame:
+    """Rows with their part: 0, but for those of long keys, which are numbered in order."""
+    rows = rows.where(F.col(on).isNotNull())
+    keys = broadcast_checked(long_keys.select(F.col(on).alias("_long")))
+    is_long = F.col(on) == F.col("_long")
+    numbered = number_rows(rows.join(keys, is_long, "left_semi"), order, within=[on])
+    later = numbered.withColumn(PART, F.floor(F.col("_row") / max_rows).cast("int")).drop("_row")
+    return rows.join(keys, is_long, "left_anti").withColumn(PART, F.lit(0)).unionByName(later)
+
+
+def object_parts(objects: DataFrame, sources: Sequence[DataFrame], on: str, max_rows: int = MAX_ROWS_PER_PART) -> DataFrame:
+    """Objects, each as often as its longest light curve needs parts, with ``_part`` and ``_start``."""
+    return _with_parts(objects, [_long_keys(table, on, max_rows) for table in sources], on, max_rows)
+
+
+def _with_parts(objects: DataFrame, long_keys: Sequence[DataFrame], on: str, max_rows: int) -> DataFrame:
+    every = long_keys[0]
+    for keys in long_keys[1:]:
+        every = every.unionByName(keys)
+    most = every.groupBy(F.col(on).alias("_long")).agg(F.max("_parts").alias("_parts"))
+    parts = F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)
+    expanded = objects.join(broadcast_checked(most), F.col(on) == F.col("_long"), "left")
+    expanded = expanded.withColumn(PART, F.explode(parts)).drop("_long", "_parts")
+    return expanded.withColumn(START, F.col(PART).cast("long") * max_rows)
 
 
 def nest_sources(
@@ -72,37 +86,40 @@ def nest_sources(
     """Objects with the rows of each source table nested in one column, sorted by time, nulls last.
 
     An object without sources gets a null array (``how="inner"`` drops objects that lack sources
-    in any table). ``_part`` is 0 for an object's first row; an object with more than
-    ``max_rows`` rows in a source table goes on in parts 1, 2, …, which repeat the object's
-    columns, so that no task ever holds an unbounded light curve. All sources of an id are
-    joined, wherever they lie.
+    in any table). A row holds the elements ``_start`` … ``_start + max_rows - 1`` of its light
+    curves, so no task ever holds an unbounded one; an object with more has further rows, ``_part`` 1,
+    2, …, which repeat the object's columns. All sources of an id are joined, wherever they lie.
     """
     if len(sources) != len(into):
         raise ValueError(f"{len(sources)} source tables for {len(into)} nested columns")
     if how not in ("left", "inner"):
         raise ValueError(f"how={how!r} is neither 'left' nor 'inner'")
-    result_columns = [*objects.columns, PART, *into]
-    collected = [
-        _collect_sources(table, on, column, sort_by, [c for c in tie_break if c in table.columns], max_rows)
-        for table, column in zip(sources, into)
-    ]
+    result_columns = [*objects.columns, PART, START, *into]
     if how == "inner":
         for table in sources:
             objects = objects.join(table.select(on), on, "left_semi")
-    if not any(split for _, split in collected):
-        # One row per object: every join is on the id alone, by which the arrays are grouped.
-        for table, _ in collected:
-            objects = objects.join(table.drop(PART), on, "left")
-        return objects.withColumn(PART, F.lit(0)).select(*result_columns)
-    nested = collected[0][0]
-    for table, _ in collected[1:]:
-        nested = nested.join(table, [on, PART], "full")
-    joined = objects.join(nested, on, "left")
-    return joined.withColumn(PART, F.coalesce(PART, F.lit(0))).select(*result_columns)
+    long_keys = [_long_keys(table, on, max_rows) for table in sources]
+    nested = _with_parts(objects, long_keys, on, max_rows)
+    for table, column, keys in zip(sources, into, long_keys):
+        order = _time_order(table, sort_by, [c for c in tie_break if c in table.columns])
+        rows = _in_parts(table, on, order, keys, max_rows)
+        fields = [c for c in table.columns if c != on]
+        nested = nested.join(_collected(rows, [on, PART], column, order, fields), [on, PART], "left")
+    return nested.select(*result_columns)
+
+
+def resort_nested(
+    df: DataFrame, on: str, column: str, fields: Sequence[str], sort_by: str, max_rows: int = MAX_ROWS_PER_PART
+) -> DataFrame:
+    """``on, _part, _start, column`` in order of one of its fields over all parts, nulls last; ties keep their order."""
+    flat = flatten(df, column, [on]).select(on, "_pos", *fields)
+    return nest_sources(
+        df.select(on).distinct(), [flat], on=on, into=[column], sort_by=sort_by, tie_break=["_pos"], how="inner", max_rows=max_rows
+    )
 
 
 def sort_nested(column: Column, sort_by: str) -> Column:
-    """A nested column in order of one of its fields, nulls last; equal keys keep their order."""
+    """One row's nested column in order of one of its fields, nulls last; equal keys keep their order."""
     keyed = F.transform(
         column, lambda e, i: F.struct(e[sort_by].isNull(), e[sort_by], i, e.alias("row"))
     )

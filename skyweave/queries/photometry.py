@@ -15,7 +15,7 @@ from skyweave.functions.nested import (
     select_columns,
 )
 from skyweave.operators.calibration import add_magnitudes, add_visit_time, calibrate, narrow_floats
-from skyweave.operators.nesting import PART, nest_sources, sort_nested
+from skyweave.operators.nesting import MAX_ROWS_PER_PART, PART, nest_sources, resort_nested
 from skyweave.operators.statistics import band_statistics
 from skyweave.queries import fixtures as data
 from skyweave.queries import sql
@@ -78,7 +78,7 @@ def calibrate_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def light_curves(spark: SparkSession, sf_dir: str, how: str = "left") -> DataFrame:
+def light_curves(spark: SparkSession, sf_dir: str, how: str = "left", max_rows: int = MAX_ROWS_PER_PART) -> DataFrame:
     return nest_sources(
         data.objects(spark, sf_dir),
         [data.forced_sources(spark, sf_dir), data.detections(spark, sf_dir)],
@@ -87,15 +87,17 @@ def light_curves(spark: SparkSession, sf_dir: str, how: str = "left") -> DataFra
         sort_by="midpointMjdTai",
         tie_break=[*data.FORCED_TIES, "detectionId"],
         how=how,
+        max_rows=max_rows,
     )
 
 
-@query(f"""
+_NESTED = f"""
 SELECT objectId, row_number() OVER (PARTITION BY objectId ORDER BY midpointMjdTai NULLS LAST,
        {sql.FORCED_TIES}) - 1 AS pos, sourceId, visit, detector, band, midpointMjdTai, psfFlux, psfFluxErr
-FROM ({sql.FORCED})""")
-def nest_forced_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One nested column, opened again with the position of each source in its light curve."""
+FROM ({sql.FORCED})"""
+
+
+def _opened(spark: SparkSession, sf_dir: str, max_rows: int) -> DataFrame:
     nested = nest_sources(
         data.objects(spark, sf_dir),
         [data.forced_sources(spark, sf_dir)],
@@ -103,34 +105,66 @@ def nest_forced_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         into=["forced"],
         sort_by="midpointMjdTai",
         tie_break=data.FORCED_TIES,
+        max_rows=max_rows,
     )
     fields = ["sourceId", "visit", "detector", "band", "midpointMjdTai", "psfFlux", "psfFluxErr"]
-    rows = flatten(nested, "forced", ["objectId"], position="pos")
-    return rows.select("objectId", F.col("pos").cast("long").alias("pos"), *fields)
+    return flatten(nested, "forced", ["objectId"], position="pos").select("objectId", "pos", *fields)
 
 
-@query(f"""
+@query(_NESTED)
+def nest_forced_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One nested column, opened again with the position of each source in its light curve."""
+    return _opened(spark, sf_dir, MAX_ROWS_PER_PART)
+
+
+@query(_NESTED)
+def nest_in_small_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with light curves that go on over rows of three sources each."""
+    return _opened(spark, sf_dir, 3)
+
+
+_SUMMARY = f"""
 WITH f AS (SELECT objectId, count(*) AS n_forced, min(midpointMjdTai) AS first_time,
                   max(midpointMjdTai) AS last_time, avg(psfFlux) AS mean_flux FROM ({sql.FORCED}) GROUP BY objectId),
      d AS (SELECT objectId, count(*) AS n_detected, min(midpointMjdTai) AS first_detected
            FROM ({sql.DETECTIONS}) GROUP BY objectId)
 SELECT o.objectId, coalesce(n_forced, 0) AS n_forced, first_time, last_time, mean_flux::FLOAT AS mean_flux,
        coalesce(n_detected, 0) AS n_detected, first_detected
-FROM ({sql.OBJECTS}) o LEFT JOIN f USING (objectId) LEFT JOIN d USING (objectId)""")
-def light_curve_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both source tables nested under their objects, and what can be read off the sorted arrays."""
-    nested = light_curves(spark, sf_dir)
+FROM ({sql.OBJECTS}) o LEFT JOIN f USING (objectId) LEFT JOIN d USING (objectId)"""
+
+
+def _summary(nested: DataFrame) -> DataFrame:
+    """What can be read off the sorted arrays of each row, put together over the rows of an object."""
     times, seen = F.col("forced.midpointMjdTai"), F.col("detected.midpointMjdTai")
-    total = F.aggregate("forced.psfFlux", F.lit(0.0), lambda a, b: a + b)
-    return nested.select(
+    rows = nested.select(
         "objectId",
-        F.coalesce(F.size("forced"), F.lit(0)).cast("long").alias("n_forced"),
+        F.coalesce(F.size("forced"), F.lit(0)).alias("n_forced"),
         F.get(times, 0).alias("first_time"),
         F.get(times, F.size(times) - 1).alias("last_time"),
-        F.try_divide(total, F.size("forced")).cast("float").alias("mean_flux"),
-        F.coalesce(F.size("detected"), F.lit(0)).cast("long").alias("n_detected"),
+        F.aggregate("forced.psfFlux", F.lit(0.0), lambda a, b: a + b).alias("total"),
+        F.coalesce(F.size("detected"), F.lit(0)).alias("n_detected"),
         F.get(seen, 0).alias("first_detected"),
     )
+    return rows.groupBy("objectId").agg(
+        F.sum("n_forced").alias("n_forced"),
+        F.min("first_time").alias("first_time"),
+        F.max("last_time").alias("last_time"),
+        F.try_divide(F.sum("total"), F.sum("n_forced")).cast("float").alias("mean_flux"),
+        F.sum("n_detected").alias("n_detected"),
+        F.min("first_detected").alias("first_detected"),
+    )
+
+
+@query(_SUMMARY)
+def light_curve_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both source tables nested under their objects, and what can be read off the sorted arrays."""
+    return _summary(light_curves(spark, sf_dir))
+
+
+@query(_SUMMARY)
+def summary_of_small_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with rows of two sources each."""
+    return _summary(light_curves(spark, sf_dir, max_rows=2))
 
 
 @query(f"""
@@ -138,8 +172,9 @@ SELECT objectId, count(*) AS n_forced FROM ({sql.FORCED})
 WHERE objectId IN (SELECT user_id FROM events) GROUP BY objectId""")
 def nest_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only objects that have sources in both tables."""
-    nested = light_curves(spark, sf_dir, how="inner")
-    return nested.select("objectId", F.size("forced").cast("long").alias("n_forced"))
+    nested = light_curves(spark, sf_dir, how="inner", max_rows=4)
+    sizes = F.coalesce(F.size("forced"), F.lit(0))
+    return nested.groupBy("objectId").agg(F.sum(sizes).alias("n_forced"))
 
 
 @query(f"""
@@ -149,7 +184,11 @@ SELECT band, count(*) AS len, avg(psfFlux)::FLOAT AS mean_psfFlux, min(psfFlux)
 FROM ({sql.FORCED}) GROUP BY band""")
 def nested_band_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Band statistics of nested sources."""
-    flat = flatten(light_curves(spark, sf_dir), "forced", ["objectId"])
+    nested = nest_sources(
+        data.objects(spark, sf_dir), [data.forced_sources(spark, sf_dir)], on="objectId", into=["forced"],
+        sort_by="midpointMjdTai", tie_break=data.FORCED_TIES,
+    )
+    flat = flatten(nested, "forced", ["objectId"])
     rows = band_statistics(flat, ["psfFlux", "psfFluxErr"])
     return rows.select(
         "band", "len", "min_psfFlux", "max_psfFlux", "min_psfFluxErr", "max_psfFluxErr",
@@ -168,11 +207,14 @@ def nested_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     upper = assign_fields(F.col("forced"), {"upper": lambda e: e["psfFlux"] + e["psfFluxErr"]})
     wider = cut.withColumn("forced", upper)
     slim = wider.withColumn("forced", drop_fields(wider, "forced", ["psfFlux", "psfFluxErr"]))
-    return slim.where(F.col("forced").isNotNull()).select(
+    rows = slim.where(F.col("forced").isNotNull()).select(
         "objectId",
-        F.size("forced").cast("long").alias("n"),
-        F.aggregate("forced.upper", F.lit(0.0), lambda a, b: a + b).cast("float").alias("upper_sum"),
-        F.size(F.filter("forced.band", lambda b: b == "g")).cast("long").alias("n_g"),
+        F.size("forced").alias("n"),
+        F.aggregate("forced.upper", F.lit(0.0), lambda a, b: a + b).alias("upper"),
+        F.size(F.filter("forced.band", lambda b: b == "g")).alias("g"),
+    )
+    return rows.groupBy("objectId").agg(
+        F.sum("n").alias("n"), F.sum("upper").cast("float").alias("upper_sum"), F.sum("g").alias("n_g")
     )
 
 
@@ -182,20 +224,17 @@ SELECT objectId, row_number() OVER (PARTITION BY objectId ORDER BY visit NULLS L
 FROM (SELECT *, row_number() OVER (PARTITION BY objectId ORDER BY midpointMjdTai NULLS LAST,
              {sql.FORCED_TIES}) AS pos FROM ({sql.FORCED}))""")
 def sort_nested_column(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A nested column flattened, nested back, and sorted by another of its fields."""
-    nested = light_curves(spark, sf_dir)
-    again = nest(
-        flatten(nested, "forced", ["objectId"]).select("objectId", "_pos", "visit", "sourceId"),
-        ["objectId"],
-        "forced",
-    )
-    resorted = again.withColumn("forced", sort_nested(F.col("forced"), "visit"))
+    """A nested column flattened, nested back, and sorted by another of its fields, over all its rows."""
+    nested = light_curves(spark, sf_dir, max_rows=5)
+    flat = flatten(nested, "forced", ["objectId"]).select("objectId", "_pos", "visit", "sourceId")
+    again = nest(flat, ["objectId"], "forced", max_rows=3)
+    resorted = resort_nested(again, "objectId", "forced", ["visit", "sourceId"], "visit", max_rows=4)
     rows = flatten(resorted, "forced", ["objectId"], position="pos")
-    return rows.select("objectId", F.col("pos").cast("long").alias("pos"), "visit", "sourceId")
+    return rows.select("objectId", "pos", "visit", "sourceId")
 
 
 @query(f"""
-SELECT objectId, sum(psfFlux) > 0 AS bright
+SELECT objectId, round(sum(psfFlux), 2) > 200000 AS bright
 FROM ({sql.FORCED}) GROUP BY objectId""")
 def default_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requested columns that exist, nested ones included; unknown names are left out."""
@@ -204,4 +243,4 @@ def default_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     assert missing == ["forced.unknown", "nowhere"] and PART in full_column_names(nested)
     rows = select_columns(nested, chosen).where(F.col("forced").isNotNull())
     total = F.aggregate("forced.psfFlux", F.lit(0.0), lambda a, b: a + b)
-    return rows.select("objectId", (total > 0).alias("bright"))
+    return rows.groupBy("objectId").agg((F.round(F.sum(total), 2) > 200_000).alias("bright"))

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyweave.operators.nesting import PART
 from skyweave.functions.labels import joined_label, readable_size
 from skyweave.sources.catalog import Catalog
 
@@ -47,8 +48,11 @@ def collection_summary(
     other_urls: Sequence[tuple[str, str]] = (),
     badges: Sequence[str] = (),
 ) -> DataFrame:
-    """One-row description of a collection, from its properties alone."""
+    """One-row description of a collection: its properties, and the objects of a nested catalog."""
     spark, properties = catalog.spark, catalog.properties
+    rows, n_rows = catalog.all_rows(), F.lit(properties["total_rows"])
+    if PART in rows.columns:
+        n_rows = F.lit(rows.where(F.col(PART) == 0).count())
     run_c, tag_c = F.lit(run).cast("string"), F.lit(tag).cast("string")
     titles = [F.struct(F.lit(badge).alias("title")) for badge in badges]
     path = joined_label("/", F.lit("DRP"), run_c, F.lit(version), tag_c)
@@ -59,7 +63,7 @@ def collection_summary(
         F.struct(F.lit(catalog.root).alias("catalog")).alias("urls"),
         _links(other_urls).alias("other_urls"),
         F.struct(
-            F.lit(properties["total_rows"]).cast("long").alias("numRows"),
+            n_rows.cast("long").alias("numRows"),
             F.lit(properties["n_columns"]).cast("long").alias("numColumns"),
             F.lit(properties["n_partitions"]).cast("long").alias("numPartitions"),
             readable_size(F.lit(properties["est_size_kb"]).cast("long") * 1024).alias("sizeOnDisk"),

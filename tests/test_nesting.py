@@ -10,7 +10,7 @@ from skyweave.functions.nested import (
     nest,
     select_columns,
 )
-from skyweave.operators.nesting import nest_sources, sort_nested
+from skyweave.operators.nesting import nest_sources, resort_nested, sort_nested
 from skyweave.operators.numbering import number_groups, number_rows, zip_by_position
 
 
@@ -30,7 +30,7 @@ def sources(spark):
 
 def test_left_nesting_sorts_nulls_last_and_keeps_lonely_objects(objects, sources):
     nested = nest_sources(objects, [sources], on="id", into=["s"], sort_by="t", tie_break=["tie"])
-    assert full_column_names(nested) == ["id", "ra", "_part", "s.t", "s.tie", "s.name"]
+    assert full_column_names(nested) == ["id", "ra", "_part", "_start", "s.t", "s.tie", "s.name"]
     found = {r["id"]: r["s"] and [e["name"] for e in r["s"]] for r in nested.collect()}
     assert found == {1: ["c", "d", "b", "a"], 2: ["e"], 3: None}
 
@@ -66,7 +66,14 @@ def test_crowded_object_goes_on_in_parts(spark, objects):
     assert [(r["id"], r["_part"], len(r["s"] or [])) for r in rows] == [
         *[(1, p, 300) for p in range(6)], (1, 6, 200), (2, 0, 2), (3, 0, 0),
     ]
+    flat = flatten(nested, "s", ["id"]).where("id = 1").orderBy("_pos").collect()
     whole = [(e["t"], e["k"]) for r in rows if r["id"] == 1 for e in r["s"]]
+    assert [(r["_pos"], r["t"], r["k"]) for r in flat] == [(i, *e) for i, e in enumerate(whole)]
+    again = nest(flatten(nested, "s", ["id"]), ["id"], "s", max_rows=450)
+    by_k = resort_nested(again, "id", "s", ["t", "k"], "k", max_rows=70)
+    found = flatten(by_k, "s", ["id"]).where("id = 1").orderBy("_pos").collect()
+    assert [(r["_pos"], r["k"]) for r in found] == [(i, i) for i in range(n)]
+    assert max(len(r["s"]) for r in by_k.collect()) == 70
     keyed = [(t is None, t or 0.0, k) for t, k in whole]
     assert keyed == sorted(keyed) and len({k for _, k in whole}) == n
     assert [len(r["few"] or []) for r in rows] == [2, 0, 0, 0, 0, 0, 0, 0, 0]
