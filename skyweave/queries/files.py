@@ -67,22 +67,25 @@ def projected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-SELECT objectId, sourceId, CASE WHEN band = 'g' THEN nullif(visit % 4, 2) + 100 ELSE visit % 4 END AS tract
-FROM ({sql.FORCED}) WHERE band IN ('g', 'r')""")
+SELECT objectId, sourceId, CASE WHEN band IN ('g', 'i') THEN nullif(visit % 4, 2) + 100 ELSE visit % 4 END AS tract,
+       CASE WHEN band = 'i' THEN detector END AS extra
+FROM ({sql.FORCED})""")
 def mixed_schema_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files of which some hold the key as a column, nulls included; that column is kept."""
-    rows = data.forced_sources(spark, sf_dir).select("objectId", "sourceId", "band", "visit")
-    tract = F.col("visit") % 4
-    with_key, without = scratch_path(spark, "raw-with"), scratch_path(spark, "raw-without")
-    own = rows.where(F.col("band") == "g").withColumn("file_tract", tract)
-    own = own.withColumn("tract", F.nullif(tract, F.lit(2)) + 100).drop("band", "visit")
-    own.write.partitionBy("file_tract").parquet(with_key)
-    lacking = rows.where(F.col("band") == "r").withColumn("file_tract", tract).drop("band", "visit")
-    lacking.write.partitionBy("file_tract").parquet(without)
-    keys = {"tract": (r"/file_tract=(\d+)/", "bigint")}
-    index = file_inventory(spark, with_key, keys).unionByName(file_inventory(spark, without, keys))
-    scan = indexed_scan(spark, index.select("path", "tract"), mixed_schemas=True)
-    return scan.select("objectId", "sourceId", "tract")
+    """Files of which some hold the key as a column, nulls included, and some a further column."""
+    rows = data.forced_sources(spark, sf_dir).select("objectId", "sourceId", "band", "visit", "detector")
+    tract, root = F.col("visit") % 4, scratch_path(spark, "raw-mixed")
+    rows = rows.withColumn("file_tract", tract)
+    own = rows.withColumn("tract", F.nullif(tract, F.lit(2)) + 100)
+    kinds = {
+        "with": own.where("band = 'g'").drop("detector"),
+        "more": own.where("band = 'i'").withColumnRenamed("detector", "extra"),
+        "without": rows.where("band NOT IN ('g', 'i')").drop("detector"),
+    }
+    for name, kind in kinds.items():
+        kind.drop("band", "visit").write.partitionBy("file_tract").parquet(f"{root}/{name}")
+    index = file_inventory(spark, root, {"tract": (r"/file_tract=(\d+)/", "bigint")})
+    scan = indexed_scan(spark, index.select("path", "tract"))
+    return scan.select("objectId", "sourceId", "tract", "extra")
 
 
 @query(f"""
@@ -113,12 +116,16 @@ def zipped_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).distinct()
 
 
-@query()
+@query(f"SELECT count(*) AS n_rows, TRUE AS all_files, TRUE AS in_proportion FROM ({_RAW})")
 def size_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows that fill a partition, judged by the first files; depends on the file bytes."""
-    paths_file = scratch_path(spark, "paths")
-    raw_index(spark, sf_dir).select("path").write.text(paths_file)
-    return partition_size_estimate(spark, read_path_list(spark, paths_file))
+    """Rows that fill a partition, judged by all files; the bytes themselves depend on the writer."""
+    paths_file, index = scratch_path(spark, "paths"), raw_index(spark, sf_dir)
+    index.select("path").write.text(paths_file)
+    n_files = index.count()
+    found = partition_size_estimate(spark, read_path_list(spark, paths_file))
+    share = F.col("n_rows") / F.col("n_bytes") * 1024 * 1024
+    near = (F.abs(F.col("low_rows") - share * 300) <= 1) & (F.abs(F.col("high_rows") - share * 1024) <= 1)
+    return found.select("n_rows", (F.col("n_files") == n_files).alias("all_files"), near.alias("in_proportion"))
 
 
 @query(f"SELECT objectId, psfFlux, tract FROM ({_RAW})")

@@ -11,8 +11,7 @@ from pyspark.sql import types as T
 from skyweave.operators.numbering import number_groups, number_rows, zip_by_position
 from skyweave.runtime import broadcast_checked
 
-# The sample and the two target sizes of the partition-size estimate.
-SAMPLE_FILES = 100
+# The two target sizes of the partition-size estimate.
 LOW_TARGET_BYTES = 300 * 1024 * 1024
 HIGH_TARGET_BYTES = 1024 * 1024 * 1024
 
@@ -114,22 +113,27 @@ def first_file_schema(spark: SparkSession, paths: DataFrame) -> T.StructType:
     return spark.read.parquet(first["path"]).schema
 
 
-def file_columns(index: DataFrame) -> DataFrame:
-    """Column names of each indexed file, read from the footers by the executors."""
+# What stands in a key column for rows of files that lack it, by type.
+_ABSENT = {
+    "string": "'\\u0000absent'",
+    "tinyint": "cast(-128 as tinyint)",
+    "smallint": "cast(-32768 as smallint)",
+    "int": "-2147483648",
+    "bigint": "-9223372036854775808",
+    "float": "cast(-3.4028234663852886E38 as float)",
+    "double": "-1.7976931348623157E308D",
+    "date": "date '0001-01-01'",
+}
 
-    def footers(batches):
-        import pandas as pd
-        import pyarrow.parquet as pq
-        from pyarrow import fs
 
-        for batch in batches:
-            names = []
-            for path in batch["path"]:
-                system, inside = fs.FileSystem.from_uri(path)
-                names.append(pq.read_schema(inside, filesystem=system).names)
-            yield pd.DataFrame({"path": batch["path"], "names": names})
-
-    return index.select("path").mapInPandas(footers, "path string, names array<string>")
+def listed_folders(index: DataFrame) -> list[str]:
+    """Folders of the indexed files, without those inside another one; far fewer than the files."""
+    folder = F.regexp_replace("path", r"/[^/]*$", "").alias("folder")
+    kept: list[str] = []
+    for row in index.select(folder).distinct().orderBy("folder").toLocalIterator():
+        if not (kept and f"{row['folder']}/".startswith(f"{kept[-1]}/")):
+            kept.append(row["folder"])
+    return kept
 
 
 def indexed_scan(
@@ -140,76 +144,83 @@ def indexed_scan(
     root: str | None = None,
     schema: T.StructType | None = None,
     columns: Sequence[str] | None = None,
-    mixed_schemas: bool = False,
 ) -> DataFrame:
     """Read the indexed files and attach each file's keys as constant columns.
 
-    ``index`` holds ``path`` and the keys. A key is attached only where the file lacks a column
-    of that name; with ``mixed_schemas`` that is decided file by file. ``columns`` reads just
-    those columns and attaches no keys. ``root`` reads a whole folder and keeps the files that
-    the index lists, where naming every path would be too long.
+    ``index`` holds ``path`` and the keys. File by file, a key is attached only where the file has
+    no column of that name; a file's own column stays, nulls included. Files may differ in their
+    columns: the result has all of them, or those of ``schema``. ``columns`` reads just those
+    columns and attaches no keys. The files are found in ``root`` and its folders, or in the folders
+    that the index names; other files there are not taken. Keys are of the types of ``_ABSENT``,
+    whose values no file may hold in a key column.
     """
-    if columns is not None:
-        return _read(spark, index, root, schema).select(*columns)
     dims = [c for c in index.columns if c != "path"] if dims is None else list(dims)
-    if not mixed_schemas:
-        return _attach(_read(spark, index, root, schema), index, dims)
-
-    # Files differ in which dims they hold: at most 2^len(dims) kinds, one scan for each.
-    held = F.filter(F.array(*[F.lit(d) for d in dims]), lambda d: F.array_contains("names", d))
-    kinds = index.join(file_columns(index).select("path", held.alias("_held")), "path")
-    result = None
-    for kind in kinds.select("_held").distinct().collect():
-        part = kinds.where(F.col("_held") == F.array([F.lit(d) for d in kind["_held"]]).cast("array<string>"))
-        part = part.drop("_held")
-        scan = _attach(_read(spark, part, None, None), part, dims)
-        result = scan if result is None else result.unionByName(scan, allowMissingColumns=True)
-    return result
-
-
-def _read(
-    spark: SparkSession, index: DataFrame, root: str | None, schema: T.StructType | None
-) -> DataFrame:
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    if root is not None:
-        files = reader.option("recursiveFileLookup", True).parquet(root)
-        listed = broadcast_checked(index.select(normal_path(F.col("path")).alias("_listed")).distinct())
-        marked = files.withColumn("_listed", normal_path(F.col("_metadata.file_path")))
-        return marked.join(listed, "_listed", "left_semi")
-    # Paths are metadata: Spark's own file index keeps every path of a scan on the driver too.
-    paths = [row["path"] for row in index.select("path").distinct().toLocalIterator()]
-    if not paths:
+    folders = [root] if root is not None else listed_folders(index)
+    if not folders:
         if schema is None:
             raise ValueError("an empty index has no schema to read")
-        return spark.createDataFrame([], schema).withColumn("_listed", F.lit(None).cast("string"))
-    files = reader.parquet(*paths)
-    return files.withColumn("_listed", normal_path(F.col("_metadata.file_path")))
+        return _without_files(spark, schema, index, dims, columns)
+    reader = spark.read.option("recursiveFileLookup", True)
+    own = schema or reader.option("mergeSchema", True).parquet(*folders).schema
+    if columns is not None:
+        return _listed_rows(reader.schema(own).parquet(*folders), index, []).select(*columns)
+
+    fields = [f for f in own.fields if f.name not in dims]
+    fields += [_with_default(own[d].dataType if d in own.names else index.schema[d].dataType, d) for d in dims]
+    rows = _listed_rows(reader.schema(T.StructType(fields)).parquet(*folders), index, dims)
+    kinds = {f.name: f.dataType for f in fields}
+
+    def key(name: str) -> Column:
+        lacking = F.col(name) == F.expr(_ABSENT[kinds[name].simpleString()])
+        return F.when(lacking, F.col(f"_key_{name}").cast(kinds[name])).otherwise(F.col(name)).alias(name)
+
+    return rows.select(*[f.name for f in own.fields if f.name not in dims], *[key(d) for d in dims])
+
+
+def _with_default(kind: T.DataType, name: str) -> T.StructField:
+    """A column that reads as its absent value from files without it."""
+    default = _ABSENT[kind.simpleString()]
+    return T.StructField(name, kind, True, {"EXISTS_DEFAULT": default, "CURRENT_DEFAULT": default})
+
+
+def _without_files(
+    spark: SparkSession, schema: T.StructType, index: DataFrame, dims: Sequence[str], columns: Sequence[str] | None
+) -> DataFrame:
+    added = [T.StructField(d, index.schema[d].dataType, True) for d in dims if d not in schema.names]
+    empty = spark.createDataFrame([], T.StructType([*schema.fields, *added]))
+    return empty.select(*columns) if columns is not None else empty
 
 
-def _attach(files: DataFrame, index: DataFrame, dims: Sequence[str]) -> DataFrame:
-    own = [c for c in files.columns if c != "_listed"]
-    added = [d for d in dims if d not in own]
-    if not added:
-        return files.select(*own)
-    keys = index.select(normal_path(F.col("path")).alias("_listed"), *added)
-    return files.join(broadcast_checked(keys), "_listed").select(*own, *added)
+def _listed_rows(files: DataFrame, index: DataFrame, dims: Sequence[str]) -> DataFrame:
+    """Rows of the files that the index lists, with its keys as ``_key_…``."""
+    keys = index.select(
+        normal_path(F.col("path")).alias("_listed"), *[F.col(d).alias(f"_key_{d}") for d in dims]
+    ).distinct()
+    marked = files.withColumn("_listed", normal_path(F.col("_metadata.file_path")))
+    return marked.join(broadcast_checked(keys), "_listed")
 
 
 def partition_size_estimate(spark: SparkSession, paths: DataFrame) -> DataFrame:
-    """Rows that fill 300 MiB and 1 GiB, judged by the first 100 files of a path list.
+    """Rows that fill 300 MiB and 1 GiB, judged by all files of a path list.
 
     Gives ``n_files, n_rows, n_bytes, low_rows, high_rows``; the estimates are null without data.
+    Rows are counted from the footers, sizes come from the listing.
     """
-    sample = [row["path"] for row in paths.orderBy("_row").limit(SAMPLE_FILES).collect()]
-    if not sample:
+    listed = paths.select("path").distinct()
+    folders = listed_folders(listed)
+    if not folders:
         empty = "0L as n_files", "0L as n_rows", "0L as n_bytes", "null as low_rows", "null as high_rows"
         return spark.range(1).selectExpr(*empty)
+    rows = spark.read.option("recursiveFileLookup", True).parquet(*folders)
+    counted = _listed_rows(rows, listed, []).agg(F.count(F.lit(1)).alias("n_rows"))
     # Files without rows appear in no scan, so sizes come from the listing.
-    rows = spark.read.parquet(*sample).agg(F.count(F.lit(1)).alias("n_rows"))
-    files = spark.read.format("binaryFile").load(sample).agg(
+    inventory = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folders)
+    inventory = inventory.select(normal_path(F.col("path")).alias("_listed"), "length")
+    wanted = broadcast_checked(listed.select(normal_path(F.col("path")).alias("_listed")).distinct())
+    files = inventory.join(wanted, "_listed", "left_semi").agg(
         F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("n_bytes")
     )
-    both = files.withColumn("n_rows", rows.scalar())
+    both = files.withColumn("n_rows", counted.scalar())
 
     def fill(target: int) -> Column:
         return F.floor(F.try_divide(F.lit(float(target)), F.col("n_bytes")) * F.col("n_rows"))

@@ -9,6 +9,7 @@ from skyweave.sources.files import (
     first_file_schema,
     indexed_scan,
     join_keys_to_paths,
+    listed_folders,
     partition_size_estimate,
     read_index_files,
     read_key_table,
@@ -35,10 +36,8 @@ def raw(spark, tmp_path):
 
 def test_scan_attaches_keys_only_where_a_file_lacks_them(spark, raw):
     index = spark.createDataFrame([(p, 10 + i, "g") for i, p in enumerate(raw)], "path string, tract long, band string")
-    rows = indexed_scan(spark, index, mixed_schemas=True).select("id", "tract", "band").collect()
-    assert sorted((r["id"], r["tract"], r["band"]) for r in rows) == [
-        (1, 10, "g"), (2, 10, "g"), (3, 70, "g"), (4, None, "g"),
-    ] if all(r["tract"] is not None for r in rows) else True
+    rows = indexed_scan(spark, index).select("id", "tract", "band").collect()
+    assert {r["band"] for r in rows} == {"g"}
     assert {(r["id"], r["tract"]) for r in rows} == {(1, 10), (2, 10), (3, 70), (4, None)}
 
 
@@ -54,6 +53,24 @@ def test_scan_of_a_folder_keeps_listed_files(spark, raw, tmp_path):
     assert sorted((r["id"], r["tract"]) for r in rows) == [(1, 5), (2, 5)]
 
 
+def test_scan_keeps_columns_that_only_some_files_have(spark, tmp_path):
+    first = one_file(spark.createDataFrame([(1, 0.5)], "id long, f double"), tmp_path / "p")
+    more = one_file(spark.createDataFrame([(2, 1.5, 99, "x")], "id long, f double, tract long, g string"), tmp_path / "q")
+    index = spark.createDataFrame([(first, 10), (more, 20)], "path string, tract long")
+    rows = {r["id"]: (r["f"], r["tract"], r["g"]) for r in indexed_scan(spark, index).collect()}
+    assert rows == {1: (0.5, 10, None), 2: (1.5, 99, "x")}
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("tract", T.LongType())])
+    fixed = indexed_scan(spark, index, schema=schema, root=str(tmp_path))
+    assert fixed.columns == ["id", "tract"]
+    assert sorted(map(tuple, fixed.collect())) == [(1, 10), (2, 99)]
+
+
+def test_folders_without_those_inside(spark):
+    paths = ["/a/b/1", "/a/b/2", "/a/b/c/3", "/a/bc/4", "file:/x/5"]
+    index = spark.createDataFrame([(p,) for p in paths], "path string")
+    assert listed_folders(index) == ["/a/b", "/a/bc", "file:/x"]
+
+
 def test_empty_index(spark):
     index = spark.createDataFrame([], "path string, tract long")
     schema = T.StructType([T.StructField("id", T.LongType())])
