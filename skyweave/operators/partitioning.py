@@ -60,9 +60,12 @@ def partition_map(histogram: DataFrame, order: int, threshold: int) -> DataFrame
     )
 
 
-def assign_partitions(df: DataFrame, partitions: DataFrame) -> DataFrame:
+def assign_partitions(df: DataFrame, partitions: DataFrame, outside: str = "error") -> DataFrame:
     """Add ``Norder, Dir, Npix`` to rows that carry a finest-order pixel.
 
+    A row that lies in no partition is an error, or with ``outside="drop"`` is left out, for
+    positions that need not have a partition.
+
     There are as many partitions as rows divided by the threshold, far fewer than pixels, so
     they are looked up order by order in small broadcast tables and the rows are not shuffled.
     Should the partitions be too many for that, the same lookups are joins by shuffle.
@@ -78,10 +81,14 @@ def assign_partitions(df: DataFrame, partitions: DataFrame) -> DataFrame:
         df = df.withColumn(pixel, parent_pixel(F.col(PIXEL), FINEST_ORDER, o))
         df = df.join(F.broadcast(known) if small else known, pixel, "left")
         found.append(F.when(F.col(f"_in{o}"), F.struct(F.lit(o).alias("o"), F.col(pixel).alias("p"))))
-    if not found:
-        nothing = df.withColumns({"Norder": F.lit(0), "Dir": F.lit(0).cast("long"), "Npix": F.lit(0).cast("long")})
-        return nothing.where(F.lit(False))
-    placed = df.withColumn("_place", F.coalesce(*found)).where(F.col("_place").isNotNull())
+    nowhere = F.lit(None).cast("struct<o:int,p:bigint>")
+    placed = df.withColumn("_place", F.coalesce(*found, nowhere))
+    if outside == "drop":
+        placed = placed.where(F.col("_place").isNotNull())
+    else:
+        message = F.concat(F.lit("a row lies in no planned partition, its pixel is "), F.col(PIXEL).cast("string"))
+        missing = F.raise_error(message).cast("struct<o:int,p:bigint>")
+        placed = placed.withColumn("_place", F.when(F.col("_place").isNull(), missing).otherwise(F.col("_place")))
     helpers = ["_place", *[f"_at{o}" for o in orders], *[f"_in{o}" for o in orders]]
     npix = F.col("_place.p")
     return placed.withColumns(

@@ -9,7 +9,7 @@ poles nor the wrap of right ascension are special.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -118,6 +118,25 @@ def partitions_in_cone(
     return spots.where(near).select(partitions.columns)
 
 
+def declination_bands(centres: Sequence[float], radius_arcsec: float, most: int = 64) -> list[tuple[float, float]]:
+    """At most ``most`` intervals of declination that hold all cones: close ones are joined."""
+    radius = radius_arcsec / 3600.0 + 1e-9
+    bands: list[list[float]] = []
+    for centre in sorted(centres):
+        if bands and centre - radius <= bands[-1][1]:
+            bands[-1][1] = centre + radius
+        else:
+            bands.append([centre - radius, centre + radius])
+    widest = sorted((b[0] - a[1] for a, b in zip(bands, bands[1:])), reverse=True)[: most - 1]
+    joined: list[list[float]] = []
+    for low, high in bands:
+        if joined and not (widest and low - joined[-1][1] >= widest[-1]):
+            joined[-1][1] = high
+        else:
+            joined.append([low, high])
+    return [(low, high) for low, high in joined]
+
+
 def multi_cone(
     df: DataFrame,
     fields: Mapping[str, tuple[float, float]],
@@ -131,19 +150,15 @@ def multi_cone(
     and equi-joined, so the work per row does not grow with the number of cones.
     """
     spark = df.sparkSession
-    radius = chord(radius_arcsec)
-    size = 2.0 * radius
+    radius = chord(min(radius_arcsec, 180.0 * 3600.0))
+    size = max(2.0 * radius, 1e-9)
     rows = [(name, *unit_vector_of(*position)) for name, position in fields.items()]
     centres = spark.createDataFrame(rows, "field string, _rx double, _ry double, _rz double")
     cells = broadcast_checked(with_touched_cells(centres, _RIGHT, size, radius))
-    boxes = [cone_prefilter(ra, dec, *position, radius_arcsec) for position in fields.values()]
-    boxed = df
-    if 0 < len(boxes) <= 64:
-        any_box = boxes[0]
-        for box in boxes[1:]:
-            any_box = any_box | box
-        boxed = df.where(any_box)
-    points = with_cell(with_unit_vector(boxed, ra, dec, _LEFT), _LEFT, size)
+    boxed = F.lit(False)
+    for low, high in declination_bands([position[1] for position in fields.values()], radius_arcsec):
+        boxed = boxed | F.col(dec).between(low, high)
+    points = with_cell(with_unit_vector(df.where(boxed), ra, dec, _LEFT), _LEFT, size)
     pairs = points.join(cells, list(CELL))
     return pairs.where(squared_chord(_LEFT, _RIGHT) <= radius * radius).select("field", *df.columns)
 
@@ -159,7 +174,7 @@ _FIRST_RADII = (1.0 / 64.0, 1.0 / 8.0)
 
 def _nearest(pairs: DataFrame, on: list[str], n: int) -> DataFrame:
     """The ``n`` nearest per left row, ties by right id; Spark cuts each task's rows to n first."""
-    by_distance = Window.partitionBy(*on).orderBy("_d2", "_rid")
+    by_distance = Window.partitionBy(*on).orderBy("_d2", "_rid", "_rno")
     return pairs.withColumn("_rank", F.row_number().over(by_distance)).where(F.col("_rank") <= n).drop("_rank")
 
 
@@ -181,7 +196,7 @@ def _match_hot(left: DataFrame, right: DataFrame, radius: float, n: int) -> Data
     """
     position = ["_lx", "_ly", "_lz"]
     spots = materialize(left.select(*position).distinct())
-    copies = Window.partitionBy(*_RIGHT).orderBy("_rid")
+    copies = Window.partitionBy(*_RIGHT).orderBy("_rid", "_rno")
     right = materialize(
         right.withColumn("_copy", F.row_number().over(copies)).where(F.col("_copy") <= n).drop("_copy")
     )
@@ -216,35 +231,37 @@ def crossmatch(
     """For each left row its at most ``n_neighbors`` nearest right rows within the radius.
 
     Gives ``left_id, {right_id}{suffix}, _dist_arcsec``; left rows without neighbours are absent.
-    ``left_id`` identifies a left row. Positions that are null or NaN match nothing.
+    Repeated rows are rows of their own on either side: each left row has its own neighbours, equal
+    right rows are several of them. Positions that are null or NaN match nothing.
     """
     radius = chord(radius_arcsec)
     size = max(4.0 * radius, 1e-5)
 
-    def points(df: DataFrame, row_id: str, position: tuple[str, str], out: str, vector) -> DataFrame:
+    def points(df: DataFrame, row_id: str, position: tuple[str, str], out: str, number: str, vector) -> DataFrame:
         ra, dec = position
         known = ~(F.isnan(F.col(ra).cast("double")) | F.isnan(F.col(dec).cast("double")))
         valid = df.where(known).select(F.col(row_id).alias(out), ra, dec)
-        return with_unit_vector(valid, ra, dec, vector).select(out, *vector)
+        numbered = valid.withColumn(number, F.monotonically_increasing_id())
+        return with_unit_vector(numbered, ra, dec, vector).select(out, number, *vector)
 
-    lefts = points(left, left_id, left_position, "_lid", _LEFT)
-    rights = points(right, right_id, right_position, "_rid", _RIGHT)
+    lefts = points(left, left_id, left_position, "_lid", "_lno", _LEFT)
+    rights = points(right, right_id, right_position, "_rid", "_rno", _RIGHT)
 
     touched = with_touched_cells(rights, _RIGHT, size, radius)
     crowded = touched.groupBy(*CELL).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_cell_rows)
     crowded = materialize(crowded.drop("_n"))
     if crowded.isEmpty():
-        matched = _nearest(_pairs(lefts, rights, radius, size), ["_lid"], n_neighbors)
+        matched = _nearest(_pairs(lefts, rights, radius, size), ["_lno"], n_neighbors)
     else:
         hot = broadcast_checked(crowded)
         celled = with_cell(lefts, _LEFT, size)
         cold_left = celled.join(hot, list(CELL), "left_anti")
         hot_left = celled.join(hot, list(CELL), "left_semi").drop(*CELL)
         # A right row goes to the hot side once, however many hot cells it touches.
-        hot_right = touched.join(hot, list(CELL), "left_semi").drop(*CELL).distinct()
+        hot_right = touched.join(hot, list(CELL), "left_semi").drop(*CELL).dropDuplicates(["_rno"])
         cold_right = touched.join(hot, list(CELL), "left_anti")
         pairs = cold_left.join(cold_right, list(CELL)).withColumn("_d2", squared_chord(_LEFT, _RIGHT))
-        cold = _nearest(pairs.where(F.col("_d2") <= radius * radius), ["_lid"], n_neighbors)
+        cold = _nearest(pairs.where(F.col("_d2") <= radius * radius), ["_lno"], n_neighbors)
         matched = cold.select("_lid", "_rid", "_d2").unionByName(
             _match_hot(hot_left, hot_right, radius, n_neighbors)
         )
@@ -360,7 +377,7 @@ def margin_rows(
     # Points of one order-K pixel are in one partition: look each pixel up once, by its first child.
     pixel = parent_pixel(F.col("_sample"), FINEST_ORDER, order)
     samples = samples.select("_strip", F.shiftleft(pixel, 2 * (FINEST_ORDER - order)).alias(PIXEL)).distinct()
-    targets = assign_partitions(samples, partitions).select("_strip", "Norder", "Dir", "Npix").distinct()
+    targets = assign_partitions(samples, partitions, outside="drop").select("_strip", "Norder", "Dir", "Npix").distinct()
     own = [c for c in df.columns if c not in ("Norder", "Dir", "Npix")]
     rows = close.select("_strip", F.col("Norder").alias("_o"), F.col("Npix").alias("_p"), *own)
     copies = rows.join(targets, "_strip").where(
