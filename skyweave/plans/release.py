@@ -7,10 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyweave.functions.nested import available_columns
+from skyweave.functions.nested import START, available_columns
 from skyweave.operators.calibration import calibrate
 from skyweave.operators.correction import Model, correct_errors
-from skyweave.operators.nesting import MAX_ROWS_PER_PART, PART, nest_sources
+from skyweave.operators.nesting import MAX_ROWS_PER_PART, PART, nest_sources, object_parts
 from skyweave.operators.partitioning import density_map, pixel_histogram
 from skyweave.operators.spatial import crossmatch, multi_cone
 from skyweave.operators.statistics import (
@@ -32,6 +32,7 @@ from skyweave.plans.settings import (
     NestingSettings,
     SurveySettings,
 )
+from skyweave.runtime import materialize
 from skyweave.sources.catalog import (
     Catalog,
     Collection,
@@ -42,7 +43,7 @@ from skyweave.sources.catalog import (
     write_catalog,
     write_in_same_partitions,
 )
-from skyweave.sources.files import indexed_scan
+from skyweave.sources.files import indexed_scan, seeded_schema, write_index_files
 
 
 def import_catalog(
@@ -54,12 +55,22 @@ def import_catalog(
     *,
     visits: DataFrame | None = None,
     resume: bool = False,
+    index_path: str | None = None,
     **scan,
 ) -> Catalog:
     """Indexed files → calibrated rows → sky partitions, as one plan with two actions.
 
-    The first action counts positions per pixel and reads only those; the second writes.
+    The first action counts positions per pixel and reads only those; the second writes. With
+    ``index_path`` the index is first written there, a folder for each key group. Where the settings
+    say so, all files are read with the schema of the first one and the keys it lacks.
     """
+    index = materialize(index)
+    if index_path is not None:
+        write_index_files(index, settings.dims, settings.group_by, index_path)
+    if settings.seed_schema and "schema" not in scan:
+        first = index.orderBy("path").limit(1).first()
+        seeded = seeded_schema(spark.read.parquet(first["path"]).schema, index.schema, settings.dims)
+        scan = {**scan, "schema": seeded}
     raw = indexed_scan(spark, index, dims=settings.dims, **scan)
     times = visits if settings.add_time else None
     rows = calibrate(raw, settings.flux_prefixes, times)
@@ -90,13 +101,15 @@ def nest_catalog(
     """Light-curve catalog: objects with their sources as time-sorted nested columns.
 
     The id join needs no margins, and rows are written once, straight to their partitions. The
-    nested rows are the objects' rows (and a few further parts), so the objects' positions
-    decide the partitions.
+    partitions are planned from the objects, each as often as it has nested rows. Where the settings
+    name density orders, a density map of each is written beside the data.
     """
     layout = ["_healpix_29", "Norder", "Dir", "Npix"]
+    own = objects.all_rows().drop(*layout)
+    tables = [s.all_rows().drop(*layout) for s in sources]
     nested = nest_sources(
-        objects.all_rows().drop(*layout),
-        [s.all_rows().drop(*layout) for s in sources],
+        own,
+        tables,
         on=settings.join_id,
         into=settings.nested_columns,
         sort_by=settings.sort_by,
@@ -104,8 +117,8 @@ def nest_catalog(
         max_rows=max_rows,
     )
     ra, dec = objects.position
-    default = [*settings.default_columns, PART] if settings.default_columns else []
-    return write_catalog(
+    default = [*settings.default_columns, PART, START] if settings.default_columns else []
+    catalog = write_catalog(
         nested,
         root,
         name=name,
@@ -114,16 +127,24 @@ def nest_catalog(
         dec=dec,
         threshold=settings.threshold,
         highest_order=settings.highest_order,
-        positions=objects.all_rows(),
+        positions=object_parts(own.select(settings.join_id, ra, dec), tables, settings.join_id, max_rows),
         default_columns=available_columns(nested, default)[0],
         resume=resume,
     )
+    if settings.density_orders:
+        catalog_density(catalog, settings.density_orders).write.mode("overwrite").parquet(catalog.density_path)
+    return catalog
 
 
 def catalog_density(catalog: Catalog, orders: Sequence[int]) -> DataFrame:
-    """Rows per pixel at several orders."""
+    """Rows per pixel at several orders; of an object with several rows the first counts."""
     finest = max(orders)
-    return density_map(pixel_histogram(catalog.all_rows(), finest), finest, orders)
+    return density_map(pixel_histogram(first_rows(catalog.all_rows()), finest), finest, orders)
+
+
+def first_rows(df: DataFrame) -> DataFrame:
+    """One row for each object, where light curves go on over several."""
+    return df.where(F.col(PART) == 0) if PART in df.columns else df
 
 
 def collect(catalog: Catalog, root: str, settings: CollectionSettings, resume: bool = False) -> Collection:
@@ -151,9 +172,7 @@ def match_surveys(
                 written[name] = f"{root}/{name}"
                 continue
             outside = read_remote(catalog.spark, survey.path, survey.endpoint, survey.anonymous)
-            rows = catalog.all_rows()
-            if PART in rows.columns:
-                rows = rows.where(F.col(PART) == 0)
+            rows = first_rows(catalog.all_rows())
             pairs = crossmatch(
                 rows,
                 outside,

@@ -7,7 +7,8 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyweave.operators.calibration import calibrate, is_processed
+from skyweave.functions.nested import flatten
+from skyweave.operators.calibration import calibrate
 from skyweave.operators.statistics import size_histogram
 from skyweave.plans.release import collect, correct_collection, match_surveys, nest_catalog
 from skyweave.plans.settings import (
@@ -27,6 +28,7 @@ from skyweave.runtime import scratch_path
 from skyweave.sources.catalog import (
     Catalog,
     Collection,
+    build_collection,
     catalog_problems,
     is_reusable_margin,
     is_valid_catalog,
@@ -82,7 +84,7 @@ _NESTING = NestingSettings(
 _COLLECTION = CollectionSettings("object_lc", "objectId", margin_arcsec=60.0)
 
 
-def light_curve_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
+def light_curve_catalog(spark: SparkSession, sf_dir: str, max_rows: int = 4) -> Catalog:
     sources = source_catalog(spark, sf_dir)
     timed = rewrite_catalog(sources, lambda df: calibrate(df, ["psf"], data.visits(spark, sf_dir)))
     return nest_catalog(
@@ -92,6 +94,7 @@ def light_curve_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
         "object_lc",
         _NESTING,
         tie_break=("sourceId", "visit", "detector", "quantity"),
+        max_rows=max_rows,
     )
 
 
@@ -114,11 +117,10 @@ def catalog_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT 'all' AS catalog_name, count(*) AS total_rows, 4::BIGINT + 3 AS n_columns FROM ({sql.CROWDED})""")
 def catalog_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals recorded with a catalog: rows counted from the files, columns with layout columns."""
-    properties = object_catalog(spark, sf_dir).properties
-    return data.table(spark, sf_dir, "region").limit(1).select(
-        F.lit("all").alias("catalog_name"),
-        F.lit(properties["total_rows"]).cast("long").alias("total_rows"),
-        F.lit(properties["n_columns"]).cast("long").alias("n_columns"),
+    catalog = object_catalog(spark, sf_dir)
+    n_columns = F.lit(catalog.properties["n_columns"]).cast("long").alias("n_columns")
+    return catalog.partitions().agg(
+        F.lit("all").alias("catalog_name"), F.sum("n_rows").alias("total_rows"), F.first(n_columns).alias("n_columns")
     )
 
 
@@ -170,32 +172,73 @@ def mapped_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_catalog(spark, sf_dir).map_batches(magnitudes, "objectId long, sourceId long, psfMag float")
 
 
-@query("SELECT 'none' AS problem, 0::BIGINT AS n LIMIT 0")
+@query(f"""
+SELECT 'difference to the recorded total' AS problem, count(*) AS n FROM ({sql.CROWDED}) WHERE objectId % 3 = 0""")
 def catalog_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Disagreements between records and files of a catalog: none."""
-    return catalog_problems(spark, object_catalog(spark, sf_dir).root)
+    """Disagreements between records and files: none, until every third object is lost from the files."""
+    catalog = object_catalog(spark, sf_dir)
+    assert is_valid_catalog(spark, catalog.root) and catalog_problems(spark, catalog.root).isEmpty()
+    lost, version = scratch_path(spark, "damaged"), catalog.properties["version"]
+    spark.read.text(f"{catalog.root}/properties").write.text(f"{lost}/properties")
+    catalog.partitions().write.parquet(f"{lost}/partitions-{version}")
+    kept = catalog.all_rows().where("objectId % 3 <> 0")
+    kept.write.partitionBy("Norder", "Dir", "Npix").parquet(f"{lost}/data-{version}")
+    assert not is_valid_catalog(spark, lost)
+    return catalog_problems(spark, lost).where("problem = 'difference to the recorded total'")
 
 
 @query(f"""
-SELECT (objectId % 2 = 0) AS even, count(*) AS n FROM ({sql.CROWDED}) GROUP BY even""")
+SELECT (objectId % 2 = 0) AS even, count(*) AS n, 2.0::DOUBLE AS rules FROM ({sql.CROWDED}) GROUP BY even""")
 def resumed_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Partitions processed once; a second run finds all of them finished."""
+    """Half of the partitions processed by old rules, a part of them again by new ones, then the rest."""
     catalog = object_catalog(spark, sf_dir)
     output = scratch_path(spark, "processed")
 
-    def add_flux(df: DataFrame) -> DataFrame:
-        return calibrate(df.withColumn("psfFlux", F.col("ra") + 1.0), ["psf"])
+    def add_flux(rules: float):
+        return lambda df: calibrate(df.withColumn("psfFlux", F.col("ra") + 1.0), ["psf"]).withColumn("rules", F.lit(rules))
 
-    def finished(columns: list[str]) -> bool:
-        return is_processed(columns, ["psf"], False)
+    def tally(rules: float, chosen: DataFrame | None = None) -> dict[str, int]:
+        done = process_partitions(catalog, output, add_flux(rules), f"rules {rules}", chosen)
+        return {r["status"]: r["n_partitions"] for r in done.collect()}
 
-    first = process_partitions(catalog, output, add_flux, finished).collect()
-    again = process_partitions(catalog, output, add_flux, finished).collect()
     n = catalog.properties["n_partitions"]
-    assert [(r["status"], r["n_partitions"]) for r in first] == [("processed", n)]
-    assert [(r["status"], r["n_partitions"]) for r in again] == [("skipped", n)]
+    even = catalog.partitions().where("Npix % 2 = 0").select("Norder", "Npix")
+    n_even, n_fourth = even.count(), even.where("Npix % 4 = 0").count()
+    assert tally(1.0, even).get("processed", 0) == n_even
+    assert tally(2.0, even.where("Npix % 4 = 0")).get("processed", 0) == n_fourth
+    rest = tally(2.0)
+    assert (rest.get("processed", 0), rest.get("skipped", 0)) == (n - n_fourth, n_fourth)
+    assert tally(2.0) == {"skipped": n}
     rows = spark.read.parquet(output)
-    return rows.groupBy((F.col("objectId") % 2 == 0).alias("even")).agg(F.count("psfMag").alias("n"))
+    return rows.groupBy((F.col("objectId") % 2 == 0).alias("even")).agg(
+        F.count("psfMag").alias("n"), F.min("rules").alias("rules")
+    )
+
+
+@query(f"""
+SELECT objectId, ra, dec FROM ({sql.CROWDED}) WHERE objectId IN (SELECT user_id FROM events WHERE event_type = 'error')""")
+def lookup_after_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalog written anew with finer partitions: its collection gets a new index and margin."""
+    first = object_collection(spark, sf_dir)
+    ra, dec = first.catalog.position
+    finer = write_catalog(
+        first.catalog.all_rows(), first.catalog.root, name="object", catalog_type="object", ra=ra, dec=dec,
+        threshold=1_000, highest_order=_ORDER, overwrite=True,
+    )
+    root = first.margin.root.removesuffix("/margin")
+    second = build_collection(finer, root, margin_arcsec=60.0, id_column="objectId", resume=True)
+    assert second.index_path != first.index_path
+    assert second.margin.properties["source_version"] == finer.properties["version"]
+    events = data.table(spark, sf_dir, "events").where(F.col("event_type") == "error")
+    return second.rows_of(events.select(F.col("user_id").alias("objectId"))).select("objectId", "ra", "dec")
+
+
+@query(f"""
+SELECT o AS map_order, pixel >> (2 * (6 - o)) AS pixel, count(*) AS n_rows
+FROM ({sql.pixels(6, sql.CROWDED)}), (SELECT unnest([2, 4, 6]) AS o) GROUP BY ALL""")
+def nested_density_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Density maps written with a nested catalog: objects count once, however many rows they fill."""
+    return spark.read.parquet(light_curve_catalog(spark, sf_dir).density_path).select("map_order", "pixel", "n_rows")
 
 
 @query(f"""
@@ -206,8 +249,7 @@ FROM (SELECT s.* EXCLUDE (midpointMjdTai), v.expMidptMJD AS midpointMjdTai
 def nested_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Objects and calibrated sources nested and written; the default columns opened again."""
     rows = light_curve_catalog(spark, sf_dir).rows()
-    flat = rows.select("objectId", F.posexplode("objectForcedSource.midpointMjdTai").alias("pos", "midpointMjdTai"))
-    return flat.select("objectId", F.col("pos").cast("long").alias("pos"), "midpointMjdTai")
+    return flatten(rows, "objectForcedSource", ["objectId"], position="pos").select("objectId", "pos", "midpointMjdTai")
 
 
 @query(f"""
@@ -232,8 +274,8 @@ def collection_margin(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Margin table of a collection: rows near another partition; a second build reuses it."""
     collection = object_collection(spark, sf_dir, margin_arcsec=150.0)
     margin = collection.margin
-    assert is_valid_catalog(spark, margin.root) and is_reusable_margin(spark, margin.root, 150.0)
-    assert not is_reusable_margin(spark, margin.root, 5.0)
+    assert is_valid_catalog(spark, margin.root) and is_reusable_margin(collection.catalog, margin.root, 150.0)
+    assert not is_reusable_margin(collection.catalog, margin.root, 5.0)
     assert write_margin(collection.catalog, margin.root, 150.0, resume=True).properties == margin.properties
     return margin.all_rows().select("objectId", "Norder", "Npix")
 
@@ -263,7 +305,7 @@ def collection_record(spark: SparkSession, sf_dir: str) -> DataFrame:
         other_urls=[("Column descriptions", "https://example.org/columns")],
     )
     write_summaries([summary], path)
-    sizes = F.coalesce(F.size("objectForcedSource.psfFlux"), F.lit(0))
+    sizes = F.coalesce(F.size("objectForcedSource.psfFlux"), F.lit(0)).cast("long")
     n_sources = catalog.all_rows().agg(F.sum(sizes).alias("n"))
     return spark.read.json(path).select(
         F.col("metadata.numRows").alias("numRows"),

@@ -2,8 +2,9 @@
 
 A catalog is a folder with one ``data-<version>`` dataset per version, laid out as
 ``Norder=/Dir=/Npix=`` folders, a ``partitions-<version>`` table of its pixels, and a
-``properties`` log. The newest row of the log names the version in force, so a rewrite becomes
-visible at once, and readers of the previous version keep their files.
+``properties`` log. The row with the highest number names the version in force, so a rewrite becomes
+visible at once, and readers of the previous version keep their files. Of two writers that took
+the same number at the same time, one wins for all readers and the other gets an error.
 """
 
 from __future__ import annotations
@@ -34,10 +35,10 @@ from skyweave.runtime import broadcast_checked, materialize
 DEFAULT_HIGHEST_ORDER = 10
 
 _PROPERTIES_SCHEMA = """
-    version string, created timestamp, catalog_name string, catalog_type string,
+    number bigint, version string, created timestamp, catalog_name string, catalog_type string,
     ra_column string, dec_column string, total_rows bigint, n_partitions bigint,
     n_columns bigint, est_size_kb bigint, highest_order int, builder string,
-    default_columns string, margin_threshold double, row_schema string
+    default_columns string, margin_threshold double, source_version string, row_schema string
 """
 _PARTITIONS_SCHEMA = "Norder int, Dir bigint, Npix bigint, n_rows bigint, n_bytes bigint"
 _LAYOUT = ("Norder", "Dir", "Npix")
@@ -55,6 +56,11 @@ class Catalog:
     def data_path(self) -> str:
         return f"{self.root}/data-{self.properties['version']}"
 
+    @property
+    def density_path(self) -> str:
+        """Where density maps of this version are kept."""
+        return f"{self.root}/density-{self.properties['version']}"
+
     @property
     def position(self) -> tuple[str, str]:
         return self.properties["ra_column"], self.properties["dec_column"]
@@ -111,10 +117,10 @@ def dataset_exists(spark: SparkSession, path: str) -> bool:
 
 
 def properties_of(spark: SparkSession, root: str) -> Row | None:
-    """Newest properties of a catalog, or None where there is no catalog."""
+    """Properties of the version in force, or None where there is no catalog."""
     try:
         log = spark.read.schema(_PROPERTIES_SCHEMA).json(f"{root}/properties")
-        return log.orderBy(F.desc("created"), F.desc("version")).limit(1).first()
+        return log.orderBy(F.desc("number"), "version").limit(1).first()
     except AnalysisException as missing:
         if missing.getCondition() == "PATH_NOT_FOUND":
             return None
@@ -204,8 +210,11 @@ def record_version(
     highest_order: int,
     default_columns: Sequence[str] = (),
     margin_threshold: float | None = None,
+    source_version: str | None = None,
 ) -> Catalog:
     """Count what was written, store the partition table and make the version the one in force."""
+    before = properties_of(spark, root)
+    number = 1 if before is None else before["number"] + 1
     data_path = f"{root}/data-{version}"
     partitions_path = f"{root}/partitions-{version}"
     schema = _stored_schema(schema)
@@ -218,6 +227,7 @@ def record_version(
         F.coalesce(F.floor(F.sum("n_bytes") / 1024), F.lit(0)).alias("est_size_kb"),
     )
     row = totals.select(
+        F.lit(number).cast("long").alias("number"),
         F.lit(version).alias("version"),
         F.current_timestamp().alias("created"),
         F.lit(name).alias("catalog_name"),
@@ -232,10 +242,14 @@ def record_version(
         F.lit(f"skyweave v{__version__}").alias("builder"),
         F.lit(",".join(default_columns)).alias("default_columns"),
         F.lit(margin_threshold).cast("double").alias("margin_threshold"),
+        F.lit(source_version).cast("string").alias("source_version"),
         F.lit(schema.json()).alias("row_schema"),
     )
     row.coalesce(1).write.mode("append").json(f"{root}/properties")
-    return open_catalog(spark, root)
+    catalog = open_catalog(spark, root)
+    if catalog.properties["number"] == number and catalog.properties["version"] != version:
+        raise RuntimeError(f"another writer made version {number} of {root} at the same time")
+    return catalog
 
 
 def write_catalog(
@@ -368,31 +382,37 @@ def repartition_catalog(
 
 
 def process_partitions(
-    catalog: Catalog, output: str, transform, is_finished
+    catalog: Catalog, output: str, transform, rules: str, partitions: DataFrame | None = None
 ) -> DataFrame:
     """Transform the partitions that ``output`` lacks, and leave the finished ones alone.
 
-    ``is_finished`` judges the columns found in ``output``; if they show that the work was done
-    by other rules, everything is done again. Gives the tally ``status, n_partitions``.
+    ``rules`` names what the transform does. A log beside the output holds, for each partition, the
+    rules it was last written by and the version it was read from; only partitions logged with both
+    the same are skipped. ``partitions`` (``Norder, Npix``) restricts the run. Gives the tally
+    ``status, n_partitions``.
     """
-    spark = catalog.spark
-    layout = list(_LAYOUT)
-    everything = catalog.partitions().select(*layout)
-    done = None
-    if dataset_exists(spark, output):
-        found = spark.read.parquet(output)
-        if is_finished(found.columns):
-            done = materialize(found.select(*layout).distinct())
-    todo = everything if done is None else everything.join(done, layout, "left_anti")
-    todo = materialize(todo)
+    spark, layout, log_path = catalog.spark, list(_LAYOUT), f"{output}-log"
+    wanted = catalog.partitions().select(*layout)
+    if partitions is not None:
+        wanted = wanted.join(partitions, ["Norder", "Npix"], "left_semi")
+    stamp = F.lit(f"{catalog.properties['version']} {rules}")
+    if dataset_exists(spark, log_path):
+        log = spark.read.parquet(log_path)
+        last = log.groupBy(*layout).agg(F.max(F.struct("run", "stamp")).alias("last"))
+        runs = log.agg(F.max("run")).first()[0] + 1
+        finished = last.where(F.col("last.stamp") == stamp).select(*layout, F.lit(True).alias("finished"))
+        wanted = wanted.join(finished, layout, "left")
+    else:
+        runs, wanted = 1, wanted.withColumn("finished", F.lit(None).cast("boolean"))
+    marked = materialize(wanted.withColumn("finished", F.coalesce("finished", F.lit(False))))
+    todo = marked.where(~F.col("finished")).select(*layout)
     # The comparison makes Spark prune the folders of finished partitions at run time.
     listed = broadcast_checked(todo.where(F.col("Npix") >= 0))
     rows = catalog.all_rows().join(listed, layout, "left_semi")
     _write_in_place(transform(rows), {"partitionOverwriteMode": "dynamic"}, output)
-    tally = todo.select(F.lit("processed").alias("status"))
-    if done is not None:
-        tally = tally.unionByName(done.select(F.lit("skipped").alias("status")))
-    return tally.groupBy("status").agg(F.count(F.lit(1)).alias("n_partitions"))
+    todo.select(*layout, stamp.alias("stamp"), F.lit(runs).alias("run")).write.mode("append").parquet(log_path)
+    status = F.when(F.col("finished"), "skipped").otherwise("processed").alias("status")
+    return marked.groupBy(status).agg(F.count(F.lit(1)).alias("n_partitions"))
 
 
 # ---------------------------------------------------------------------------------------------
@@ -430,19 +450,26 @@ def is_valid_catalog(spark: SparkSession, root: str, strict: bool = False) -> bo
         return catalog_problems(spark, root).isEmpty()
     try:
         catalog = Catalog(spark, root, properties)
-        total = catalog.partitions().agg(F.sum("n_rows").alias("n")).first()["n"] or 0
-        return total == properties["total_rows"] == catalog.all_rows().count()
+        recorded = catalog.partitions().select(*_LAYOUT, "n_rows")
+        found = _measured_partitions(catalog.all_rows()).select(*_LAYOUT, F.col("n_rows").alias("found"))
+        both = recorded.join(found, list(_LAYOUT), "full").agg(
+            F.count_if(~F.col("n_rows").eqNullSafe(F.col("found"))).alias("wrong"),
+            F.coalesce(F.sum("found"), F.lit(0)).alias("total"),
+        ).first()
+        return both["wrong"] == 0 and both["total"] == properties["total_rows"]
     except AnalysisException as missing:
         if missing.getCondition() == "PATH_NOT_FOUND":
             return False
         raise
 
 
-def is_reusable_margin(spark: SparkSession, root: str, threshold_arcsec: float) -> bool:
-    """Whether a valid margin table with the same threshold is there."""
-    if not is_valid_catalog(spark, root):
+def is_reusable_margin(catalog: Catalog, root: str, threshold_arcsec: float) -> bool:
+    """Whether a valid margin table of this version of the catalog, with the same threshold, is there."""
+    if not is_valid_catalog(catalog.spark, root):
         return False
-    return properties_of(spark, root)["margin_threshold"] == threshold_arcsec
+    margin = properties_of(catalog.spark, root)
+    same_source = margin["source_version"] == catalog.properties["version"]
+    return same_source and margin["margin_threshold"] == threshold_arcsec
 
 
 # ---------------------------------------------------------------------------------------------
@@ -457,7 +484,7 @@ def write_margin(
     The pixel column keeps the row's own pixel, which lies outside its folder here.
     """
     spark = catalog.spark
-    if resume and is_reusable_margin(spark, root, threshold_arcsec):
+    if resume and is_reusable_margin(catalog, root, threshold_arcsec):
         return open_catalog(spark, root)
     # Only orders in use matter: every partition is a union of pixels of the finest one.
     order = catalog.partitions().agg(F.max("Norder")).first()[0] or 0
@@ -479,6 +506,7 @@ def write_margin(
         dec=properties["dec_column"],
         highest_order=order,
         margin_threshold=threshold_arcsec,
+        source_version=properties["version"],
     )
 
 
@@ -511,9 +539,9 @@ class Collection:
 def build_collection(
     catalog: Catalog, root: str, *, margin_arcsec: float, id_column: str, resume: bool = False
 ) -> Collection:
-    """Margin table and id index beside a catalog."""
+    """Margin table and id index beside a catalog; both belong to its version."""
     margin = write_margin(catalog, f"{root}/margin", margin_arcsec, resume)
-    index_path = f"{root}/index"
+    index_path = f"{root}/index-{catalog.properties['version']}"
     if not (resume and dataset_exists(catalog.spark, index_path)):
         write_index(catalog, index_path, id_column)
     return Collection(catalog, margin, index_path, id_column)

@@ -3,9 +3,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from skyweave.functions.sky import PIXEL
+from skyweave.functions.sky import PIXEL, with_pixel
 from skyweave.operators.correction import Model, batch_scorer
 from skyweave.operators.nesting import PART
+from skyweave.operators.partitioning import assign_partitions, partition_map, pixel_histogram
 from skyweave.plans.release import (
     catalog_density,
     collect,
@@ -98,7 +99,6 @@ def test_existing_catalog_is_refused_resumed_or_replaced(spark, table, tmp_path)
 
 def test_absent_catalog(spark, tmp_path):
     assert not is_valid_catalog(spark, str(tmp_path / "none"))
-    assert not is_reusable_margin(spark, str(tmp_path / "none"), 5.0)
     assert not dataset_exists(spark, str(tmp_path / "none"))
     with pytest.raises(FileNotFoundError):
         open_catalog(spark, str(tmp_path / "none"))
@@ -191,14 +191,47 @@ def test_rewrite_keeps_old_files_and_partitions(spark, table, tmp_path):
 def test_unfinished_partitions_are_processed(spark, catalog, tmp_path):
     output = str(tmp_path / "done")
     add = lambda df: df.withColumn("psfMag", F.lit(1.0))
-    finished = lambda columns: "psfMag" in columns
     n = catalog.properties["n_partitions"]
-    some = catalog.all_rows().where(F.col("Norder") > 1)
-    some.transform(add).write.partitionBy("Norder", "Dir", "Npix").parquet(output)
-    n_some = some.select("Norder", "Npix").distinct().count()
-    tally = {r["status"]: r["n_partitions"] for r in process_partitions(catalog, output, add, finished).collect()}
-    assert tally == {"processed": n - n_some, "skipped": n_some} and 0 < n_some < n
+    some = catalog.partitions().where(F.col("Norder") > 1).select("Norder", "Npix")
+    n_some = some.count()
+    tally = lambda *args: {r["status"]: r["n_partitions"] for r in process_partitions(catalog, output, add, *args).collect()}
+    assert tally("a", some) == {"processed": n_some}
+    assert tally("a") == {"processed": n - n_some, "skipped": n_some} and 0 < n_some < n
     assert ids(spark.read.parquet(output)) == ids(catalog.all_rows())
+    assert tally("a") == {"skipped": n}
+    assert tally("b", some) == {"processed": n_some}
+    assert tally("b") == {"processed": n - n_some, "skipped": n_some}
+    assert ids(spark.read.parquet(output)) == ids(catalog.all_rows())
+
+
+def test_lost_partition_is_not_made_up_for_by_another(spark, table, tmp_path):
+    catalog = write(table, tmp_path / "v")
+    assert is_valid_catalog(spark, catalog.root)
+    record = f"{catalog.root}/partitions-{catalog.properties['version']}"
+    moved = catalog.partitions().withColumn("Npix", F.col("Npix") + 100_000).collect()
+    spark.createDataFrame(moved, catalog.partitions().schema).write.mode("overwrite").parquet(record)
+    assert not is_valid_catalog(spark, catalog.root)
+
+
+def test_stale_index_and_margin_are_built_anew(spark, table, tmp_path):
+    first = write(table, tmp_path / "s")
+    settings = CollectionSettings("s", "objectId", margin_arcsec=300.0)
+    collect(first, str(tmp_path / "k"), settings)
+    finer = write(table, tmp_path / "s", threshold=20, overwrite=True)
+    second = collect(finer, str(tmp_path / "k"), settings, resume=True)
+    wanted = table.select("objectId").limit(40)
+    assert second.rows_of(wanted).count() == wanted.count()
+    assert second.margin.properties["source_version"] == finer.properties["version"]
+    assert finer.properties["number"] == 2
+
+
+def test_row_outside_the_plan_is_an_error(spark, table):
+    placed = with_pixel(table, "ra", "dec")
+    plan = partition_map(pixel_histogram(placed.where("dec > 0"), 6), 6, 50)
+    assert assign_partitions(placed.where("dec > 0"), plan).count() == placed.where("dec > 0").count()
+    with pytest.raises(Exception, match="no planned partition"):
+        assign_partitions(placed, plan).collect()
+    assert assign_partitions(placed, plan, outside="drop").count() >= placed.where("dec > 0").count()
 
 
 def test_collection(spark, catalog, tmp_path):
@@ -206,8 +239,8 @@ def test_collection(spark, catalog, tmp_path):
     collection = collect(catalog, root, CollectionSettings("object_lc", "objectId", margin_arcsec=300.0))
     wanted = spark.createDataFrame([(3,), (1510,), (10**9,)], "objectId long")
     assert ids(collection.rows_of(wanted)) == [3, 1510]
-    assert is_reusable_margin(spark, collection.margin.root, 300.0)
-    assert not is_reusable_margin(spark, collection.margin.root, 5.0)
+    assert is_reusable_margin(collection.catalog, collection.margin.root, 300.0)
+    assert not is_reusable_margin(collection.catalog, collection.margin.root, 5.0)
     again = write_margin(catalog, collection.margin.root, 300.0, resume=True)
     assert again.properties["version"] == collection.margin.properties["version"]
     index = collection.index()
@@ -234,7 +267,7 @@ def test_light_curves_corrected(spark, catalog, table, tmp_path):
                                default_columns=("objectId", "objectForcedSource.visit"))
     nested = nest_catalog(catalog, [source_catalog], str(tmp_path / "lc"), "object_lc", settings)
     assert is_valid_catalog(spark, nested.root, strict=True)
-    assert nested.properties["default_columns"] == f"objectId,objectForcedSource.visit,{PART}"
+    assert nested.properties["default_columns"] == f"objectId,objectForcedSource.visit,{PART},_start"
     assert nested.rows().where("objectId = 3").first()["objectForcedSource"] == [(2,), (1,), (0,)]
     assert catalog_density(nested, (2, 4)).groupBy("map_order").agg(F.sum("n_rows").alias("n")).select("n").distinct().collect() == [(1500,)]
 

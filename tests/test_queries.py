@@ -1,16 +1,11 @@
-"""Every query beside its SQL. Queries that write catalogs run with ``TEST_ALL_QUERIES=1``."""
-
-import os
+"""Every query beside its SQL."""
 
 import pytest
 
 import __spark_entry__ as entry_points
 import check_sql
-from skyweave.queries import catalogs
 
 QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
-SLOW = {name for name, query in QUERIES.items() if query.__module__ == catalogs.__name__}
-CHOSEN = sorted(QUERIES) if os.environ.get("TEST_ALL_QUERIES") else sorted(set(QUERIES) - SLOW)
 
 
 @pytest.fixture(scope="module")
@@ -18,12 +13,12 @@ def duck(sf_dir):
     return check_sql.connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", CHOSEN)
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, sf_dir, duck, name):
     rows = QUERIES[name](spark, sf_dir).toArrow()
     assert len(set(rows.column_names)) == rows.num_columns
     if name in SQL:
-        assert check_sql.compare(rows, duck.execute(SQL[name]).to_arrow_table()) == ""
+        assert check_sql.compare(rows, duck.sql(SQL[name]).to_arrow_table()) == ""
 
 
 def test_entry(spark):
