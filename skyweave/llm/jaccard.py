@@ -25,8 +25,8 @@ from skyweave.runtime import broadcast_checked, materialize
 SHINGLE = 5
 SIMILARITY = 75  # per cent
 
-# Text that a task packs at a time.
-CHUNK_BYTES = 16 << 20
+# Hashes that a task packs at a time, in bytes.
+CHUNK_BYTES = 8 << 20
 
 # Parts of the hash space whose shared counts bound an overlap from above.
 PARTS = 16
@@ -70,7 +70,17 @@ def _short(keys: np.ndarray) -> bytes:
     return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:]).tobytes()
 
 
+def _owners(owners: np.ndarray) -> bytes:
+    """Ascending numbers of documents, by their steps."""
+    return texts.packed(np.diff(owners.astype(np.int64), prepend=0).astype("<u2"))
+
+
+def _read_owners(data: bytes) -> np.ndarray:
+    return np.cumsum(texts.unpacked(data, "<u2"), dtype=np.int64)
+
+
 def _long(data: bytes) -> np.ndarray:
+    """The hashes again; their low 16 bits are free for the bucket."""
     out = np.zeros((len(data) // 6, 8), np.uint8)
     out[:, 2:] = np.frombuffer(data, np.uint8).reshape(-1, 6)
     return out.reshape(-1).view("<u8")
@@ -98,7 +108,7 @@ def _pack(n_buckets: int, length: int, chunk_bytes: int):
         bucket, owner, shingle = bucket[order], owner[order], shingle[order]
         cuts = np.searchsorted(bucket, np.arange(n_buckets + 1))
         rows = [
-            (b, chunk, 0, _short(shingle[cuts[b] : cuts[b + 1]]), owner[cuts[b] : cuts[b + 1]].tobytes(), None, None, None, None)
+            (b, chunk, 0, _short(shingle[cuts[b] : cuts[b + 1]]), _owners(owner[cuts[b] : cuts[b + 1]]), None, None, None, None)
             for b in range(n_buckets)
             if cuts[b + 1] > cuts[b]
         ]
@@ -155,8 +165,9 @@ def _shared(table: pa.Table) -> pa.Table:
         at += len(mine)
         often = counts > 1
         if often.any():
-            owners = np.frombuffer(packed["owners"][k].as_py(), "<u2")[often]
-            rows.append((packed["bucket"][k].as_py(), packed["chunk"][k].as_py(), 0, _short(mine[often]), owners.tobytes(), counts[often].tobytes(), None, None, None))
+            owners = _owners(_read_owners(packed["owners"][k].as_py())[often])
+            of = packed["bucket"][k].as_py(), packed["chunk"][k].as_py()
+            rows.append((*of, 0, _short(mine[often]), owners, texts.packed(counts[often]), None, None, None))
     if not rows:
         return members
     found = pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), table.schema)], schema=table.schema)
@@ -182,13 +193,11 @@ def _assemble(similarity: int):
             return pa.Table.from_pylist([], names)
         names_of = members["nodes"][0].as_py()
         sizes = np.frombuffer(members["sizes"][0].as_py(), "<i4")
-        bucket = np.concatenate([np.full(len(o.as_py()) // 2, b.as_py(), np.uint64) for b, o in zip(packed["bucket"], packed["owners"])])
-        key = np.concatenate([_long(x.as_py()) for x in packed["keys"]])
-        owner = np.concatenate([np.frombuffer(x.as_py(), "<u2") for x in packed["owners"]])
-        count = np.concatenate([np.frombuffer(x.as_py(), "<u4") for x in packed["counts"]])
-        token = (key | bucket).astype(np.uint64)  # the low 16 bits of a key are free
-        order = np.lexsort((token, count, owner))
-        owner, token = owner[order], token[order]
+        key = np.concatenate([_long(x.as_py()) | np.uint64(b.as_py()) for b, x in zip(packed["bucket"], packed["keys"])])
+        owner = np.concatenate([_read_owners(x.as_py()) for x in packed["owners"]])
+        count = np.concatenate([texts.unpacked(x.as_py(), "<u4") for x in packed["counts"]])
+        order = np.lexsort((key, count, owner))
+        owner, token = owner[order], key[order]
         once = np.r_[True, (owner[1:] != owner[:-1]) | (token[1:] != token[:-1])]  # a chunk may have come twice
         owner, token = owner[once], token[once]
         cuts = np.searchsorted(owner, np.arange(len(sizes) + 1))

@@ -1,7 +1,7 @@
 """Words and hashes of a column of texts, computed on the bytes of an Arrow column.
 
 Texts stay one byte buffer with offsets; numpy marks word bytes, and polynomial prefix sums modulo
-2^64 give the hash of any byte or word run by one subtraction. Work goes in slices of a few MB, so
+2^64 give the hash of any byte or word run by one subtraction. Work goes in slices of a MB, so
 memory does not follow the batch.
 """
 
@@ -11,8 +11,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -55,6 +56,15 @@ def slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int
         row = end
 
 
+def packed(array: np.ndarray) -> bytes:
+    """The array's bytes, compressed."""
+    return zstandard.compress(np.ascontiguousarray(array).tobytes(), 3)
+
+
+def unpacked(data: bytes, kind: str) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(data), kind)
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     """Spread 64-bit values over all bits."""
     h = (h ^ (h >> np.uint64(33))) * _MIX
