@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyweave.functions.nested import START, available_columns
+from skyweave.functions.nested import START, available_columns, full_column_names
 from skyweave.operators.calibration import calibrate
 from skyweave.operators.correction import Model, correct_errors
 from skyweave.operators.nesting import MAX_ROWS_PER_PART, PART, nest_sources, object_parts
@@ -37,7 +37,8 @@ from skyweave.sources.catalog import (
     Catalog,
     Collection,
     build_collection,
-    dataset_exists,
+    is_valid_catalog,
+    open_catalog,
     read_remote,
     write_association,
     write_catalog,
@@ -159,18 +160,20 @@ def match_surveys(
     root: str,
     resume: bool = False,
 ) -> dict[str, str]:
-    """Association table of every collection with every survey; returns their paths by name.
+    """Association catalog of every collection with every survey; returns their folders by name.
 
-    With ``resume``, tables that exist are left alone.
+    With ``resume``, valid ones made from this version of the collection's catalog are left alone.
     """
     written = {}
     for survey_name, survey in surveys.items():
         for collection in collections.values():
             catalog, id_column = collection.catalog, collection.id_column
             name = f"{catalog.properties['catalog_name']}_x_{survey_name}"
-            if resume and dataset_exists(catalog.spark, f"{root}/{name}"):
-                written[name] = f"{root}/{name}"
-                continue
+            written[name] = f"{root}/{name}"
+            if resume and is_valid_catalog(catalog.spark, written[name]):
+                made_from = open_catalog(catalog.spark, written[name]).properties["source_version"]
+                if made_from == catalog.properties["version"]:
+                    continue
             outside = read_remote(catalog.spark, survey.path, survey.endpoint, survey.anonymous)
             rows = first_rows(catalog.all_rows())
             pairs = crossmatch(
@@ -184,7 +187,7 @@ def match_surveys(
                 left_position=catalog.position,
                 right_position=(survey.ra, survey.dec),
             )
-            written[name] = write_association(pairs, catalog, collection.index(), root, id_column, name)
+            write_association(pairs, catalog, collection.index(), root, id_column, name)
     return written
 
 
@@ -210,6 +213,19 @@ def correct_collection(
     return write_in_same_partitions(corrected, catalog, root)
 
 
+def catalog_report(catalog: Catalog) -> DataFrame:
+    """One row: ``catalog_name, valid, n_partitions, n_rows, n_columns``, measured, not as recorded."""
+    rows = catalog.all_rows()
+    measured = rows.groupBy("Norder", "Npix").agg(F.count(F.lit(1)).alias("n"))
+    return measured.agg(
+        F.lit(catalog.properties["catalog_name"]).alias("catalog_name"),
+        F.lit(is_valid_catalog(catalog.spark, catalog.root)).alias("valid"),
+        F.count(F.lit(1)).alias("n_partitions"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
+        F.lit(len(full_column_names(rows))).cast("long").alias("n_columns"),
+    )
+
+
 def verify_columns(
     df: DataFrame, rules: Mapping[str, Sequence[str]]
 ) -> tuple[DataFrame, DataFrame, DataFrame]:

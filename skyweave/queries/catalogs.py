@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from skyweave.functions.nested import flatten
 from skyweave.operators.calibration import calibrate
 from skyweave.operators.statistics import size_histogram
-from skyweave.plans.release import collect, correct_collection, match_surveys, nest_catalog
+from skyweave.plans.release import catalog_report, collect, correct_collection, match_surveys, nest_catalog
 from skyweave.plans.settings import (
     CollectionSettings,
     CorrectionSettings,
@@ -158,18 +158,68 @@ def rewritten_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_EDGES = (2_000.0, 9_000.0, 30_000.0, 55_000.0, 90_000.0)
+
+
 @query(f"""
-SELECT objectId, sourceId, ({sql.magnitude('psfFlux')})::FLOAT AS psfMag FROM ({sql.FORCED})""")
+SELECT objectId, sourceId, {' + '.join(f'(psfFlux >= {e})::BIGINT' for e in _EDGES)} AS bin FROM ({sql.FORCED})""")
 def mapped_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A function applied to pandas batches of a catalog."""
+    """A function applied to pandas batches of a catalog: fluxes sorted into uneven bins by bisection."""
 
-    def magnitudes(batch):
+    def binned(batch):
         import numpy as np
 
-        flux = batch["psfFlux"].to_numpy()
-        return batch[["objectId", "sourceId"]].assign(psfMag=(31.4 - 2.5 * np.log10(flux)).astype("float32"))
+        return batch[["objectId", "sourceId"]].assign(bin=np.digitize(batch["psfFlux"].to_numpy(), _EDGES).astype("int64"))
+
+    return source_catalog(spark, sf_dir).map_batches(binned, "objectId long, sourceId long, bin long")
+
 
-    return source_catalog(spark, sf_dir).map_batches(magnitudes, "objectId long, sourceId long, psfMag float")
+@query(f"SELECT 'object' AS catalog_name, TRUE AS valid, count(*) AS n_rows, 7::BIGINT AS n_columns FROM ({sql.CROWDED})")
+def catalog_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validity and sizes of a catalog as they are in its files."""
+    return catalog_report(object_catalog(spark, sf_dir)).select("catalog_name", "valid", "n_rows", "n_columns")
+
+
+@query(f"SELECT count(*) AS n_rows, TRUE AS in_chunks FROM ({sql.CROWDED})")
+def chunked_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalog written in files of at most 40 rows."""
+    catalog = write_catalog(
+        data.objects(spark, sf_dir, crowded=True), scratch_path(spark, "chunked"), name="object", catalog_type="object",
+        ra="ra", dec="dec", threshold=_ROWS, highest_order=_ORDER, max_records_per_file=40,
+    )
+    files = catalog.all_rows().groupBy(F.col("_metadata.file_path")).agg(F.count(F.lit(1)).alias("n"))
+    return files.agg(F.sum("n").alias("n_rows"), (F.max("n") <= 40).alias("in_chunks"))
+
+
+@query(f"""
+WITH m AS ({_match_sql(0.2, 20).replace(sql.OBJECTS, sql.CROWDED)})
+SELECT c.catalog, s.survey, m.objectId, m.objectid_ztf AS other
+FROM m, (SELECT unnest(['first', 'second']) AS catalog) c, (SELECT unnest(['near', 'far']) AS survey) s""")
+def association_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two collections matched with two surveys: four association catalogs, opened."""
+    collections, surveys = {}, {}
+    for name in ("first", "second"):
+        catalog = write_catalog(
+            data.objects(spark, sf_dir, crowded=True), scratch_path(spark, name), name=name, catalog_type="object",
+            ra="ra", dec="dec", threshold=_ROWS, highest_order=_ORDER,
+        )
+        collections[name] = collect(catalog, scratch_path(spark, f"{name}_collection"), _COLLECTION)
+    for name, suffix in (("near", "_n"), ("far", "_f")):
+        folder = scratch_path(spark, name)
+        data.survey(spark, sf_dir).write.parquet(folder)
+        surveys[name] = SurveySettings(folder, suffix, "objectid")
+    root = scratch_path(spark, "matches")
+    written = match_surveys(collections, surveys, root)
+    assert match_surveys(collections, surveys, root, resume=True) == written
+    rows = None
+    for catalog in collections:
+        for name, survey in surveys.items():
+            pairs = open_catalog(spark, written[f"{catalog}_x_{name}"]).all_rows().select(
+                F.lit(catalog).alias("catalog"), F.lit(name).alias("survey"), "objectId",
+                F.col(f"objectid{survey.suffix}").alias("other"),
+            )
+            rows = pairs if rows is None else rows.unionByName(pairs)
+    return rows
 
 
 @query(f"""
@@ -288,7 +338,7 @@ def association_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     data.survey(spark, sf_dir).write.parquet(folder)
     surveys = {"ztf_dr22": SurveySettings(folder, "_ztf", "objectid")}
     written = match_surveys({"object_collection": collection}, surveys, scratch_path(spark, "matches"))
-    rows = spark.read.parquet(written["object_x_ztf_dr22"])
+    rows = open_catalog(spark, written["object_x_ztf_dr22"]).all_rows()
     return rows.select("objectId", "objectid_ztf", F.round("_dist_arcsec", 6).alias("_dist_arcsec"))
 
 
@@ -316,12 +366,20 @@ def collection_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+@query(f"SELECT count(*) AS n_rows, 10::BIGINT AS n_bins, TRUE AS all_counted, TRUE AS in_bins FROM ({sql.CROWDED})")
 def partition_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Histogram of partition file sizes; depends on the file bytes."""
+    """Histogram of partition file sizes: every partition is in one of ten bins; the bytes depend on the writer."""
     sizes = object_catalog(spark, sf_dir).partitions()
-    sizes = sizes.withColumn("gib", gibibytes(F.col("n_bytes")))
-    return size_histogram(sizes, "gib")
+    bins = size_histogram(sizes.withColumn("gib", gibibytes(F.col("n_bytes"))), "gib")
+    counted = bins.agg(F.count(F.lit(1)).alias("n_bins"), F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+    parts = sizes.agg(
+        F.sum("n_rows").alias("n_rows"), F.count(F.lit(1)).alias("parts"),
+        F.min(gibibytes(F.col("n_bytes"))).alias("least"), F.max(gibibytes(F.col("n_bytes"))).alias("most"),
+    )
+    near = (F.abs(F.col("low") - F.col("least")) < 1e-12) & (F.abs(F.col("high") - F.col("most")) < 1e-12)
+    return parts.join(counted, F.col("parts") == F.col("n"), "left").select(
+        "n_rows", "n_bins", F.col("n").isNotNull().alias("all_counted"), near.alias("in_bins")
+    )
 
 
 @query("""

@@ -48,12 +48,13 @@ def narrow_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
 SELECT s.objectId, s.sourceId, s.visit, s.detector, v.expMidptMJD AS midpointMjdTai
-FROM ({sql.FORCED}) s LEFT JOIN (SELECT * FROM ({sql.VISITS}) WHERE visitId % 9 <> 0) v ON s.visit = v.visitId""")
+FROM (SELECT * REPLACE (CASE WHEN visit % 9 = 0 THEN -visit ELSE visit END AS visit) FROM ({sql.FORCED})) s
+LEFT JOIN ({sql.VISITS}) v ON s.visit = v.visitId""")
 def visit_time_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Time of each source's visit; every ninth visit is unknown."""
+    """Time of each source's visit; every ninth visit has an unknown number."""
     sources = data.forced_sources(spark, sf_dir).drop("midpointMjdTai")
-    known = data.visits(spark, sf_dir).where(F.col("visitId") % 9 != 0)
-    rows = add_visit_time(sources, known)
+    odd = F.when(F.col("visit") % 9 == 0, -F.col("visit")).otherwise(F.col("visit"))
+    rows = add_visit_time(sources.withColumn("visit", odd), data.visits(spark, sf_dir))
     return rows.select("objectId", "sourceId", "visit", "detector", "midpointMjdTai")
 
 
@@ -244,3 +245,13 @@ def default_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = select_columns(nested, chosen).where(F.col("forced").isNotNull())
     total = F.aggregate("forced.psfFlux", F.lit(0.0), lambda a, b: a + b)
     return rows.groupBy("objectId").agg((F.round(F.sum(total), 2) > 200_000).alias("bright"))
+
+
+@query(f"""
+SELECT band, count(*) AS len, min(psfFlux) AS min_psfFlux, max(psfFlux) AS max_psfFlux
+FROM ({sql.FORCED}) WHERE visit % 5 <> 0 AND visit % 7 <> 0 GROUP BY band""")
+def statistics_without_sky_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Band statistics leave out sky sources, and rows for which that is unknown."""
+    visit = F.col("visit")
+    rows = data.forced_sources(spark, sf_dir).withColumn("sky_source", F.when(visit % 7 != 0, visit % 5 == 0))
+    return band_statistics(rows, ["psfFlux"]).select("band", "len", "min_psfFlux", "max_psfFlux")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyweave.functions.labels import readable_size
 from skyweave.operators.keys import duplicate_keys, join_features, missing_keys
 from skyweave.operators.statistics import (
     VALUE_RANGES,
@@ -17,6 +18,8 @@ from skyweave.operators.calibration import add_magnitudes
 from skyweave.queries import fixtures as data
 from skyweave.queries import sql
 from skyweave.queries.registry import query
+from skyweave.runtime import scratch_path
+from skyweave.sources.exports import write_statistics
 
 # Some values missing, and the time of a fifth of the rows set beyond the accepted range.
 _CHECKED_COLUMNS = ("coord_ra", "coord_dec", "psfFlux", "psfFluxErr", "psfDiffFlux", "midpointMjdTai")
@@ -92,6 +95,31 @@ def null_percentages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.withColumn("percent", F.round("percent", 6))
 
 
+@query(f"WITH t AS ({_CHECKED}) {_STATS}")
+def stored_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of a table written and read back."""
+    path = scratch_path(spark, "statistics")
+    write_statistics(column_statistics(_checked(spark, sf_dir)), path)
+    return spark.read.parquet(path).select(
+        "column", F.col("min_value").cast("double").alias("min_value"), F.col("max_value").cast("double").alias("max_value"),
+        "null_count", "n_rows",
+    )
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN b = 1 THEN '1 Byte' WHEN b < 1024 THEN printf('%.0f Bytes', b)
+       WHEN b < 1048576 THEN printf('%.1f KiB', b / 1024) WHEN b < 1073741824 THEN printf('%.1f MiB', b / 1048576)
+       ELSE printf('%.1f GiB', b / 1073741824) END AS size
+FROM (SELECT o_orderkey, floor(o_totalprice)::BIGINT * CASE WHEN o_orderkey % 3 = 0 THEN 1 WHEN o_orderkey % 3 = 1 THEN 977
+             ELSE 99991 END::DOUBLE AS b FROM orders)""")
+def readable_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte counts of very different sizes as text."""
+    key = F.col("o_orderkey")
+    factor = F.when(key % 3 == 0, 1).when(key % 3 == 1, 977).otherwise(99991)
+    n_bytes = F.floor("o_totalprice") * factor
+    return data.table(spark, sf_dir, "orders").select("o_orderkey", readable_size(n_bytes).alias("size"))
+
+
 @query(f"""
 SELECT visit, detector, count(*) AS n_rows FROM ({sql.FORCED}) s
 WHERE NOT EXISTS (SELECT 1 FROM ({sql.VISIT_DETECTORS}) v

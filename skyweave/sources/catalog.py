@@ -549,11 +549,25 @@ def build_collection(
 
 def write_association(
     pairs: DataFrame, catalog: Catalog, index: DataFrame, root: str, id_column: str, name: str
-) -> str:
-    """Matched id pairs with distances, laid out like the primary catalog; returns the data path."""
+) -> Catalog:
+    """Matched id pairs with distances as a catalog of their own, in the partitions of the primary one.
+
+    Its position columns are named like the primary's, which it can be joined with by id.
+    """
     layout = list(_LAYOUT)
     placed = pairs.join(index.select(id_column, PIXEL, *layout).distinct(), id_column)
-    path = f"{root}/{name}"
-    laid_out = placed.hint("rebalance", *layout).sortWithinPartitions(*_LAYOUT, PIXEL)
-    laid_out.write.mode("overwrite").partitionBy(*_LAYOUT).parquet(path)
-    return path
+    version = uuid.uuid4().hex
+    _lay_out(placed, f"{root}/{name}/data-{version}", 0, {})
+    properties = catalog.properties
+    return record_version(
+        catalog.spark,
+        f"{root}/{name}",
+        version,
+        placed.schema,
+        name=name,
+        catalog_type="association",
+        ra=properties["ra_column"],
+        dec=properties["dec_column"],
+        highest_order=properties["highest_order"],
+        source_version=properties["version"],
+    )

@@ -33,6 +33,11 @@ def write_statistics(statistics: DataFrame, path: str) -> None:
     statistics.write.mode("overwrite").parquet(path)
 
 
+def write_feature_table(features: DataFrame, path: str, keys: Sequence[str] = ("visit", "detector")) -> None:
+    """Features sorted by their keys across files, so that a lookup of few keys reads few of them."""
+    features.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
+
+
 def _links(pairs: Sequence[tuple[str, str]]) -> Column:
     links = [F.struct(F.lit(label).alias("label"), F.lit(url).alias("url")) for label, url in pairs]
     return F.array(*links) if links else F.array().cast("array<struct<label:string,url:string>>")

@@ -250,7 +250,8 @@ def test_collection(spark, catalog, tmp_path):
     survey.where("objectid % 2 = 0").write.parquet(str(tmp_path / "survey"))
     surveys = {"ztf": SurveySettings(str(tmp_path / "survey"), "_ztf", "objectid")}
     written = match_surveys({"c": collection}, surveys, root)
-    pairs = spark.read.parquet(written["object_x_ztf"])
+    pairs = open_catalog(spark, written["object_x_ztf"]).all_rows()
+    assert open_catalog(spark, written["object_x_ztf"]).properties["catalog_type"] == "association"
     assert {PIXEL, "Norder", "Dir", "Npix", "_dist_arcsec", "objectid_ztf"} <= set(pairs.columns)
     assert ids(pairs) == sorted(i for i in ids(catalog.all_rows()) if i % 2 == 0)
     assert match_surveys({"c": collection}, surveys, root, resume=True) == written
