@@ -40,7 +40,7 @@ RULES = (
     Rule("symbols", "n_symbols", "n_words", high=10),
     Rule("shouts", "n_shouts", "n_words", high=20),
     Rule("word_length", "word_chars", "n_words", low=250, high=1200),
-    Rule("duplicate_lines", "n_dup_lines", "n_lines", high=30),
+    Rule("duplicate_lines", "n_dup_lines", "n_lines", high=50),
     Rule("stop_words", "n_stop_words", low=2),
 )
 

@@ -24,7 +24,7 @@ def measures(text):
     stops = len(set(words) & set(quality.STOP_WORDS))
     chars, n = sum(map(len, words)), len(words)
     dups = len(lines) - len(set(lines))
-    kept = 100 * symbols <= 10 * n and 100 * shouts <= 20 * n and 250 * n <= 100 * chars <= 1200 * n and 100 * dups <= 30 * len(lines)
+    kept = 100 * symbols <= 10 * n and 100 * shouts <= 20 * n and 250 * n <= 100 * chars <= 1200 * n and 100 * dups <= 50 * len(lines)
     return n, chars, symbols, dups, len(repeated), base, not base and kept and stops >= 2
 
 
