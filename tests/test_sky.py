@@ -23,6 +23,7 @@ from skyweave.operators.partitioning import (
 from skyweave.operators.spatial import (
     cone_search,
     crossmatch,
+    declination_bands,
     margin_rows,
     multi_cone,
     partitions_in_cone,
@@ -222,6 +223,35 @@ def test_crossmatch_in_a_crowded_cell(spark):
         assert match(spark, left, right, 1.0, n, hot_cell_rows=20) == brute_match(left, right, 1.0, n)
 
 
+def test_crowded_and_usual_cells_agree_on_repeated_rows(spark):
+    """Equal right rows are several neighbours, equal left rows have theirs each, in a clump finer than the first radius."""
+    rng = random.Random(4)
+    clump = [(i, 50 + rng.gauss(0, 1e-6), 10 + rng.gauss(0, 1e-6)) for i in range(60)]
+    right = spark.createDataFrame([*clump, *clump[:5], *clump[:5], (99, 50.0001, 10.0)], "objid long, ra double, dec double")
+    left = spark.createDataFrame([(1, 50.0, 10.0), (1, 50.0, 10.0), (1, 50.0002, 10.0), (2, 50.0, 10.0)], "id long, ra double, dec double")
+
+    def matched(hot):
+        pairs = crossmatch(left, right, left_id="id", right_id="objid", radius_arcsec=1.0, n_neighbors=7, suffix="_s", hot_cell_rows=hot)
+        return sorted((r["id"], r["objid_s"], round(r["_dist_arcsec"], 6)) for r in pairs.collect())
+
+    usual = matched(10**6)
+    assert matched(3) == usual
+    assert len(usual) == 4 * 7
+
+
+def test_cones_of_no_and_of_any_width(spark):
+    sky = spark.createDataFrame([(1, 10.0, 20.0), (2, 190.0, -20.0), (3, 11.0, 20.0)], "id long, ra double, dec double")
+    found = lambda radius: sorted(r["id"] for r in multi_cone(sky, {"f": (10.0, 20.0)}, radius).collect())
+    assert found(0.0) == [1]
+    assert found(200.0 * 3600) == [1, 2, 3]
+    many = {f"f{i}": ((i * 37) % 360, (i * 1.7) % 160 - 80) for i in range(90)}
+    bands = declination_bands([dec for _, dec in many.values()], 60.0)
+    assert len(bands) <= 64
+    assert all(any(low <= dec <= high for low, high in bands) for _, dec in many.values())
+    plan = multi_cone(sky, many, 60.0)._jdf.queryExecution().optimizedPlan().toString()
+    assert "dec" in plan and ">=" in plan
+
+
 def test_crossmatch_ignores_missing_positions(spark):
     left = [(1, 10.0, 10.0), (2, None, 1.0), (3, float("nan"), 1.0)]
     right = [(7, 10.0, 10.0), (8, 1.0, None), (9, 1.0, float("nan"))]
