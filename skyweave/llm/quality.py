@@ -119,8 +119,11 @@ def judge_quality(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] =
     """
     measured = quality_columns(F.col(f"_in.`{text}`"))
     kept = [c for c in docs.columns if c != out]
-    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_in")).select("_in", *[v.alias(k) for k, v in measured.items()])
-    inner = inner.select("_in", *[F.col(f"_counted.{c}") for c in ("n_words", "n_repeat_words", "n_stop_words")], "_lines.*", "word_chars", "n_symbols", "n_shouts")
+    # A one-row generator: filters on the verdict would otherwise be moved below with every measure written out.
+    once = F.inline(F.array(F.struct(*[v.alias(k) for k, v in measured.items()])))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_in")).select("_in", once)
+    counted = [F.col(f"_counted.{c}") for c in ("n_words", "n_repeat_words", "n_stop_words")]
+    inner = rows.select("_in", *counted, "_lines.*", "word_chars", "n_symbols", "n_shouts")
     failed_base = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEATED)
     failed = F.array_compact(F.array(*[F.when(~F.expr(" AND ".join(rule.tests())), F.lit(rule.name)) for rule in rules]))
     judged = inner.select("_in", *MEASURES, failed_base.alias("base_failed"), failed.alias("failed_rules"))
