@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyweave.llm import chat, decontaminate, jaccard, licenses, lines, mixing, quality, sharding, suffixes, urls
-from skyweave.llm.rows import text_of
+from skyweave.llm import chat, decontaminate, jaccard, licenses, lines, mixing, quality, sharding, sql, suffixes, urls
 from skyweave.queries.registry import query
 
 
@@ -51,7 +50,7 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
-@query()
+@query(sql.CONTAMINATION)
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     found = decontaminate.find_contamination(docs, items, out="c", keep=["doc_id"])
@@ -74,7 +73,7 @@ def op7_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+@query(sql.conversations())
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["conv_id", "turn", "role", "text"]
     rows = table(spark, sf_dir, "conversations").select(*columns)
@@ -95,7 +94,7 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+@query(sql.SIMILAR)
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_documents(table(spark, sf_dir, "documents"))
 
