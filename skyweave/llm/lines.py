@@ -1,18 +1,19 @@
 """Line dedup by a deletion-neighbourhood join, with DataFrame functions only.
 
 Two lines within one edit are P + x + S and P + y + S for some P and S, x and y being one character
-or none. So each line emits, for every place, the key of (P, S) with its character there left out
-(its deletion variants) and with none left out; lines that share a key are within one edit of each
-other, and the earliest of a key decides for all of it, without pairs. A key has at most as many
-lines as there are characters, so no key is hot.
-
-A line has two keys for each of its characters, so lines that cannot have a partner are set aside
-first: of lines within one edit, the first or the second half is equal.
+or none. So a line emits, for every place, the key of (P, S) with its character there left out (its
+deletion variants), or with none left out; lines that share a key are within one edit of each other,
+and the earliest of a key decides for all of it, without pairs. A key has at most as many lines as
+there are characters, so no key is hot.
+
+To keep the keys few, a line is first cut into quarters: the edit lies in one of them, and what
+stands before and after that quarter is equal. Only quarters whose surroundings stand in another
+line too emit their variants.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyweave.llm.rows import SPACE_CHARACTERS, let, text_of
@@ -21,22 +22,34 @@ from skyweave.runtime import broadcast_checked, materialize
 # Shorter lines match equal lines only: one edit changes too much of them.
 MIN_CHARACTERS = 20
 
+QUARTERS = 4
+
 # Characters hashed at a time, so that the keys of a long line cost its length times this.
 _BLOCK = 256
 
 _LAST = (1 << 63) - 1
 
 
-def _half_keys(line: Column, min_characters: int) -> Column:
-    """Keys that a line shares with every line within one edit, by the longer one's length."""
+def _bounds(longer: Column, quarter: Column) -> tuple[Column, Column]:
+    """First place of a quarter and of the next one, for the longer line's length."""
+    return (longer * quarter / QUARTERS).cast("int"), (longer * (quarter + 1) / QUARTERS).cast("int")
+
+
+def _surroundings(line: Column, min_characters: int) -> Column:
+    """Hashes of what stands round each quarter: four as the longer line of a pair, four as the shorter.
 
-    def keys(length: Column) -> Column:
-        half = (length / 2).cast("int")  # of M characters, ceil((M - 1) / 2) stand before or after the edit
-        head, tail = F.substr(line, F.lit(1), half), F.substr(line, F.length(line) - half + 1)
-        return F.array(F.xxhash64(F.lit("head"), length, head), F.xxhash64(F.lit("tail"), length, tail))
+    Null where the quarter is empty; nothing for short lines.
+    """
+
+    def around(i: Column) -> Column:
+        longer, quarter = F.length(line) + (i / QUARTERS).cast("int"), i % QUARTERS
+        low, high = _bounds(longer, quarter)
+        tail = longer - high
+        text = F.xxhash64(longer, quarter, F.substr(line, F.lit(1), low), F.substr(line, F.length(line) - tail + 1, tail))
+        return F.when(high > low, text)
 
-    both = let(F.length(line), lambda n: F.concat(keys(n), keys(n + 1)))
-    return F.when(F.length(line) >= min_characters, both).otherwise(F.array().cast("array<bigint>"))
+    every = F.transform(F.sequence(F.lit(0), F.lit(2 * QUARTERS - 1)), around)
+    return F.when(F.length(line) >= min_characters, every).otherwise(F.array().cast("array<bigint>"))
 
 
 def _prefix_hashes(line: Column, use) -> Column:
@@ -58,17 +71,20 @@ def _prefix_hashes(line: Column, use) -> Column:
     return let(blocks, chained)
 
 
-def neighbourhood(line: Column) -> Column:
-    """Hashed keys of all (P, S) with line = P + S or P + one character + S."""
-    n = F.length(line)
+def neighbourhood(line: Column, i: Column, around: Column) -> Column:
+    """Hashed keys of all (P, S) whose place lies in one quarter; ``i`` and ``around`` as in ``_surroundings``."""
+    shorter = (i / QUARTERS).cast("int")
+    low, high = _bounds(F.length(line) + shorter, i % QUARTERS)
+    middle = F.substr(line, low + 1, high - low - shorter)
+    n = high - low
 
     def keys(before, after) -> Column:
-        """``after`` counts from the end: the hash of the last characters, reversed."""
-        whole = F.transform(F.sequence(F.lit(0), n), lambda i: F.xxhash64(i, before(i), after(n - i)))
-        less = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.xxhash64(i, before(i), after(n - i - 1)))
-        return F.concat(whole, less)
+        """``after`` counts from the end of the quarter."""
+        return F.transform(F.sequence(F.lit(0), n - 1), lambda k: F.xxhash64(around, k, before(k), after(n - 1 - k)))
 
-    return _prefix_hashes(line, lambda before: _prefix_hashes(F.reverse(line), lambda after: keys(before, after)))
+    return let(
+        middle, lambda m: _prefix_hashes(m, lambda before: _prefix_hashes(F.reverse(m), lambda after: keys(before, after)))
+    )
 
 
 def _numbered_lines(text: Column) -> Column:
@@ -93,20 +109,26 @@ def kept_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_cha
     lines = narrow.select(
         F.coalesce("doc_id", F.lit(_LAST)).alias("doc"), F.inline(_numbered_lines(F.col("text")))
     )
-    hashed = lines.select(*_named(F.col("line")), F.struct("doc", "no").alias("at"), _half_keys(F.col("line"), min_characters).alias("keys"))
+    keys = _surroundings(F.col("line"), min_characters).alias("keys")
+    hashed = lines.select(*_named(F.col("line")), F.struct("doc", "no").alias("at"), keys)
     distinct = materialize(hashed.groupBy("h", "g").agg(F.min("at").alias("at"), F.any_value("keys").alias("keys")))
 
-    halves = distinct.select("h", "g", F.explode("keys").alias("key"))
-    several = halves.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    near = materialize(halves.join(several, "key").select("h", "g").distinct())
-    chosen = broadcast_checked(near)
+    quarters = distinct.select("h", "g", F.posexplode("keys").alias("i", "around")).where("around IS NOT NULL")
+    several = quarters.groupBy("around").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("around")
+    found = F.collect_list(F.struct("i", "around")).alias("found")  # eight at most
+    near = materialize(quarters.join(several, "around").groupBy("h", "g").agg(found))
+    chosen = broadcast_checked(near.select("h", "g"))
     texts = lines.select(*_named(F.col("line")), "line").join(chosen, ["h", "g"], "left_semi")
     texts = texts.groupBy("h", "g").agg(F.any_value("line").alias("line"))
-    placed = materialize(texts.join(distinct.select("h", "g", "at"), ["h", "g"]))
-
-    variants = placed.select("h", "g", "at", F.explode(neighbourhood(F.col("line"))).alias("key"))
-    first = variants.groupBy("key").agg(F.min(F.struct("at", "h", "g")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    pairs = variants.join(first, "key").where("first.at < at").select("h", "g", F.col("first.h").alias("fh"), F.col("first.g").alias("fg")).distinct()
+    placed = materialize(texts.join(distinct.select("h", "g", "at"), ["h", "g"]).join(near, ["h", "g"]))
+
+    opened = placed.select("h", "g", "at", "line", F.inline("found"))
+    variants = opened.select("h", "g", "at", F.explode(neighbourhood(F.col("line"), F.col("i"), F.col("around"))).alias("key"))
+    # A key has few lines, whatever the data, so a window over it is short.
+    first = F.min(F.struct("at", "h", "g")).over(Window.partitionBy("key")).alias("first")
+    pairs = variants.select("h", "g", "at", first).where("first.at < at").select(
+        "h", "g", F.col("first.h").alias("fh"), F.col("first.g").alias("fg")
+    ).distinct()
     earlier = placed.select(F.col("h").alias("fh"), F.col("g").alias("fg"), F.col("line").alias("first_line"))
     verified = pairs.join(placed.select("h", "g", "line"), ["h", "g"]).join(earlier, ["fh", "fg"])
     gone = verified.where(F.levenshtein("line", "first_line", 1) >= 0).select("h", "g").distinct()

@@ -70,10 +70,18 @@ def test_no_rows(make_docs):
 
 
 def test_keys_meet_exactly_within_one_edit(spark):
-    pairs = [("kitten", "sitten"), ("kitten", "kittn"), ("kitten", "kkitten"), ("kitten", "sittin"), ("ab", "ba"), ("", "a")]
-    pairs += [("x" * 300 + "a" + "y" * 300, "x" * 300 + "y" * 300), ("x" * 600, "x" * 598)]
+    pairs = [("kitten", "sitten"), ("kitten", "kittn"), ("kitten", "kkitten"), ("kitten", "sittin"), ("ab", "ba"), ("a", "ab"), ("a", "b")]
+    pairs += [("x" * 300 + "a" + "y" * 300, "x" * 300 + "y" * 300), ("x" * 600, "x" * 598), ("é" * 2100, "é" * 2099 + "e")]
     rows = spark.createDataFrame(pairs, "a string, b string")
-    met = rows.select("a", "b", F.arrays_overlap(lines.neighbourhood(F.col("a")), lines.neighbourhood(F.col("b"))).alias("met"))
+
+    def keys(column):
+        line = F.col(column)
+        each = F.filter(
+            F.transform(lines._surroundings(line, 1), lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda s: s["x"].isNotNull()
+        )
+        return F.flatten(F.transform(each, lambda s: lines.neighbourhood(line, s["i"], s["x"])))
+
+    met = rows.select("a", "b", F.arrays_overlap(keys("a"), keys("b")).alias("met"))
     assert [r.met for r in met.collect()] == [near(a, b) for a, b in pairs]
 
 
