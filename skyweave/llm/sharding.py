@@ -47,14 +47,10 @@ def shard_plan(
     )
     order = ["_fraction", "_source", "_shuffled", "doc_id", "text_crc32"]
     ordered = number_rows(placed, order, out="_row")
-    total = counts.agg(F.sum("_rows").alias("_total"))
-    shard = F.expr(f"_row * {n_shards} div _total")
+    total = counts.agg(F.coalesce(F.sum("_rows"), F.lit(1))).first()[0]
     # The first row of shard s is ceil(s * total / shards).
-    first = F.expr(f"(_shard * _total + {n_shards - 1}) div {n_shards}")
-    return (
-        ordered.crossJoin(F.broadcast(total))
-        .withColumn("_shard", shard)
-        .select(
-            "doc_id", "size", "text_crc32", F.col("_shard").cast("int").alias("shard"), (F.col("_row") - first).alias("slot")
-        )
+    shard = F.expr(f"_row * {n_shards} div {total}")
+    first = F.expr(f"(_shard * {total} + {n_shards - 1}) div {n_shards}")
+    return ordered.withColumn("_shard", shard).select(
+        "doc_id", "size", "text_crc32", F.col("_shard").cast("int").alias("shard"), (F.col("_row") - first).alias("slot")
     )
