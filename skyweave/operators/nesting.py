@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyweave.functions.nested import START, flatten
+from skyweave.functions.nested import START, flatten, keep_fields
 from skyweave.operators.numbering import number_rows
 from skyweave.runtime import broadcast_checked, scratch_path
 
@@ -113,9 +113,11 @@ def resort_nested(
 ) -> DataFrame:
     """``on, _part, _start, column`` in order of one of its fields over all parts, nulls last; ties keep their order."""
     flat = flatten(df, column, [on]).select(on, "_pos", *fields)
-    return nest_sources(
-        df.select(on).distinct(), [flat], on=on, into=[column], sort_by=sort_by, tie_break=["_pos"], how="inner", max_rows=max_rows
+    keys = df.select(on).distinct()
+    sorted_rows = nest_sources(
+        keys, [flat], on=on, into=[column], sort_by=sort_by, tie_break=["_pos"], how="inner", max_rows=max_rows
     )
+    return sorted_rows.withColumn(column, keep_fields(sorted_rows, column, fields))
 
 
 def sort_nested(column: Column, sort_by: str) -> Column:
