@@ -308,9 +308,10 @@ def similar_documents(
     rooted_nodes = sets.select("node", "nid").join(final.select(F.col("node").alias("nid"), "root"), "nid")
     lowest = rooted_nodes.join(first, "node").groupBy("root").agg(F.min("first").alias("lowest"))
     lowest = rooted_nodes.join(lowest, "root").select("node", "lowest")
-    placed = members.join(first, "node").join(lowest, "node", "left")
-    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.coalesce("lowest", "first"))
-    return placed.select("doc_id", "n_shingles", component.alias("component_id"))
+    # Fixed first, so that both sides of the last join are plain shuffles, of which Spark can split a node with many copies.
+    named = materialize(first.join(lowest, "node", "left").select("node", F.coalesce("lowest", "first").alias("named")))
+    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("named"))
+    return members.join(named, "node").select("doc_id", "n_shingles", component.alias("component_id"))
 
 
 def _prefix(similarity: int) -> Column:
