@@ -24,32 +24,38 @@ MIN_CHARACTERS = 20
 
 QUARTERS = 4
 
+# Lengths are rounded down to whole steps, so that most lines have one set of quarters.
+_STEP = 8
+
 # Characters hashed at a time, so that the keys of a long line cost its length times this.
 _BLOCK = 256
 
 _LAST = (1 << 63) - 1
 
 
-def _bounds(longer: Column, quarter: Column) -> tuple[Column, Column]:
-    """First place of a quarter and of the next one, for the longer line's length."""
-    return (longer * quarter / QUARTERS).cast("int"), (longer * (quarter + 1) / QUARTERS).cast("int")
+def _ends(length: Column, i: Column) -> tuple[Column, Column]:
+    """Characters before and after a quarter, by the length rounded down to whole steps.
+
+    ``i`` below four counts the quarters of the line's own length, from four on those of a line that is
+    one longer; both lines of a pair have the longer one's quarters among these.
+    """
+    longer = length + (i / QUARTERS).cast("int")
+    whole, quarter = longer - longer % _STEP, i % QUARTERS
+    return (whole * quarter / QUARTERS).cast("int"), whole - (whole * (quarter + 1) / QUARTERS).cast("int")
 
 
 def _surroundings(line: Column, min_characters: int) -> Column:
-    """Hashes of what stands round each quarter: four as the longer line of a pair, four as the shorter.
+    """Hashes of what stands round each quarter, nulls where the longer length has the same quarters."""
 
-    Null where the quarter is empty; nothing for short lines.
-    """
+    def around(n: Column) -> Column:
+        def one(i: Column) -> Column:
+            head, tail = _ends(n, i)
+            text = F.xxhash64(i % QUARTERS, head, tail, F.substr(line, F.lit(1), head), F.substr(line, n - tail + 1, tail))
+            return F.when((i < QUARTERS) | ((n + 1) % _STEP == 0), text)
 
-    def around(i: Column) -> Column:
-        longer, quarter = F.length(line) + (i / QUARTERS).cast("int"), i % QUARTERS
-        low, high = _bounds(longer, quarter)
-        tail = longer - high
-        text = F.xxhash64(longer, quarter, F.substr(line, F.lit(1), low), F.substr(line, F.length(line) - tail + 1, tail))
-        return F.when(high > low, text)
+        return F.transform(F.sequence(F.lit(0), F.lit(2 * QUARTERS - 1)), one)
 
-    every = F.transform(F.sequence(F.lit(0), F.lit(2 * QUARTERS - 1)), around)
-    return F.when(F.length(line) >= min_characters, every).otherwise(F.array().cast("array<bigint>"))
+    return let(F.length(line), lambda n: F.when(n >= min_characters, around(n)).otherwise(F.array().cast("array<bigint>")))
 
 
 def _prefix_hashes(line: Column, use) -> Column:
@@ -73,18 +79,22 @@ def _prefix_hashes(line: Column, use) -> Column:
 
 def neighbourhood(line: Column, i: Column, around: Column) -> Column:
     """Hashed keys of all (P, S) whose place lies in one quarter; ``i`` and ``around`` as in ``_surroundings``."""
-    shorter = (i / QUARTERS).cast("int")
-    low, high = _bounds(F.length(line) + shorter, i % QUARTERS)
-    middle = F.substr(line, low + 1, high - low - shorter)
-    n = high - low
 
-    def keys(before, after) -> Column:
+    def middle(n: Column) -> Column:
+        head, tail = _ends(n, i)
+        return F.substr(line, head + 1, n - head - tail)
+
+    def keys(n: Column, before, after) -> Column:
         """``after`` counts from the end of the quarter."""
-        return F.transform(F.sequence(F.lit(0), n - 1), lambda k: F.xxhash64(around, k, before(k), after(n - 1 - k)))
+        whole = F.transform(F.sequence(F.lit(0), n), lambda k: F.xxhash64(around, k, before(k), after(n - k)))
+        less = F.transform(F.sequence(F.lit(0), n), lambda k: F.xxhash64(around, k, before(k), after(n - k - 1)))
+        return F.concat(whole, F.slice(less, F.lit(1), n))
 
-    return let(
-        middle, lambda m: _prefix_hashes(m, lambda before: _prefix_hashes(F.reverse(m), lambda after: keys(before, after)))
-    )
+    def opened(m: Column) -> Column:
+        reverse = lambda before: _prefix_hashes(F.reverse(m), lambda after: keys(F.length(m), before, after))
+        return _prefix_hashes(m, reverse)
+
+    return let(let(F.length(line), middle), opened)
 
 
 def _numbered_lines(text: Column) -> Column:
