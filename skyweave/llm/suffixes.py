@@ -150,9 +150,10 @@ def _digests(data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
     return [hashlib.blake2b(data[a:b], digest_size=16).digest() for a, b in zip(offsets[:-1], offsets[1:])]
 
 
-def _send_seeds(n_buckets: int, chunk_bytes: int):
+def _send_seeds(n_buckets: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk, ids, data, offsets in _chunks(batches, chunk_bytes):
+        for text in (batch.slice(i, 1).to_pylist()[0] for batch in batches for i in range(len(batch))):
+            chunk, (data, offsets, ids) = text["chunk"], _read_text(text)
             key, row, _, _, cuts = _chunk_anchors(data, offsets, n_buckets)
             rows = []
             upper = np.ascontiguousarray(key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:])
@@ -228,6 +229,12 @@ def _read_text(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return _unzip(row["a"], np.uint8), _unzip(row["b"], "<i8"), np.frombuffer(row["c"], "<i8")
 
 
+def _check_replies(texts_of: list[dict], replies: list[dict]) -> None:
+    """Every chunk has documents, so their copies are answered; without an answer repeats would be lost."""
+    if not texts_of or not any(r["kind"] == 1 for r in replies):
+        raise ValueError("a chunk of texts and its replies do not meet")
+
+
 def _send_strings(n_buckets: int):
     """Of one chunk: the bytes around marked anchors of texts that are not copies."""
 
@@ -235,8 +242,9 @@ def _send_strings(n_buckets: int):
         replies = right.to_pylist()
         bits = {r["bucket"]: r["a"] for r in replies if r["kind"] == 0}
         copies = np.concatenate([np.zeros(0, "<u4"), *[np.frombuffer(r["a"], "<u4") for r in replies if r["kind"] == 1]])
-        rows = []
-        for text in left.to_pylist():
+        rows, mine_texts = [], left.to_pylist()
+        _check_replies(mine_texts, replies)
+        for text in mine_texts:
             data, offsets, ids = _read_text(text)
             _, row, low, count, cuts = _chunk_anchors(data, offsets, n_buckets)
             is_copy = np.zeros(len(offsets) - 1, bool)
@@ -335,8 +343,9 @@ def _cut(keep_text: bool):
         begins = np.concatenate([np.zeros(0, "<u4"), *[_unzip(r["a"], "<u4") for r in replies if r["kind"] == 3]]).astype(np.int64)
         sizes = np.concatenate([np.zeros(0, "<u4"), *[_unzip(r["b"], "<u4") for r in replies if r["kind"] == 3]]).astype(np.int64)
         copies = np.concatenate([np.zeros(0, "<u4"), *[np.frombuffer(r["a"], "<u4") for r in replies if r["kind"] == 1]])
-        out = []
-        for text in left.to_pylist():
+        out, mine_texts = [], left.to_pylist()
+        _check_replies(mine_texts, replies)
+        for text in mine_texts:
             data, offsets, ids = _read_text(text)
             whole = [c for c in copies.tolist() if offsets[c + 1] - offsets[c] >= MATCH]
             change = np.zeros(len(data) + 1, np.int32)
@@ -371,16 +380,17 @@ def remove_repeats(
 
     Null texts are empty. Rows of one id do not count against each other; a null id is larger than
     all others. Copies are found by their whole text first, so a group of copies is compared once.
-    Other columns are not read. The texts are read three times and must be the same each time, as
-    those of files are.
+    Other columns are not read. The rows are read once: packed in named chunks they are written to
+    the shared folder, and all steps read them there.
     """
     spark = docs.sparkSession
     n_buckets = n_buckets or min(0xFFFF, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     narrow = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    seeds = narrow.mapInArrow(_send_seeds(n_buckets, chunk_bytes), _ROWS)
+    # Written once: a second scan could cut or order the rows in another way and name other chunks.
+    packed = materialize(narrow.mapInArrow(_send_texts(chunk_bytes), _ROWS))
+    seeds = packed.mapInArrow(_send_seeds(n_buckets), _ROWS)
     marks = materialize(seeds.groupBy("bucket").applyInArrow(_mark, _ROWS))
-    packed = lambda: narrow.mapInArrow(_send_texts(chunk_bytes), _ROWS).groupBy("chunk")
-    strings = packed().cogroup(marks.groupBy("chunk")).applyInArrow(_send_strings(n_buckets), _ROWS)
+    strings = packed.groupBy("chunk").cogroup(marks.groupBy("chunk")).applyInArrow(_send_strings(n_buckets), _ROWS)
     covered = materialize(strings.groupBy("bucket").applyInArrow(_cover, _ROWS))
     replies = covered.union(marks.where("kind = 1"))
-    return packed().cogroup(replies.groupBy("chunk")).applyInArrow(_cut(keep_text), _RESULT)
+    return packed.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(_cut(keep_text), _RESULT)

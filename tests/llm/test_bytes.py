@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from skyweave.llm import suffixes
@@ -58,6 +59,23 @@ def test_small_chunks_and_few_buckets(make_docs, rows):
     assert found(docs, chunk_bytes=500, n_buckets=2) == brute(rows)
 
 
+def test_rows_in_another_order_at_each_scan(make_docs, rows):
+    def shuffled(batches):
+        for row in random.SystemRandom().sample(whole := [r for b in batches for r in b.to_pylist()], len(whole)):
+            yield pa.RecordBatch.from_pylist([row], pa.schema([("doc_id", pa.int64()), ("text", pa.string())]))
+
+    docs = make_docs(rows).coalesce(1).select("doc_id", "text").mapInArrow(shuffled, "doc_id long, text string")
+    assert found(docs) == brute(rows)
+
+
+def test_a_chunk_without_replies_is_an_error():
+    text = pa.RecordBatch.from_pydict({"doc_id": [1], "text": ["a text"]})
+    left = pa.Table.from_batches(suffixes._send_texts(1000)(iter([text])))
+    for step in (suffixes._send_strings(2), suffixes._cut(False)):
+        with pytest.raises(ValueError, match="do not meet"):
+            step(left, left.slice(0, 0))
+
+
 def test_kept_text(make_docs):
     passage = "one two three four five six seven eight nine ten eleven twelve"
     docs = make_docs([(1, passage), (2, "start " + passage + " end")])
