@@ -4,12 +4,13 @@ The suffix arrays are sparse. Of every ``MATCH`` bytes, the position whose next
 lowest is an anchor; equal strings of ``MATCH`` bytes have their anchor at the same place, so any
 match is found through suffixes that start at anchors, about one position in fourteen.
 
-1. Each chunk of documents sends the anchors' suffixes, as hashes of their first ``SEED`` bytes, to
-   buckets. A bucket sorts each chunk's suffixes, scans them against its family of sorted levels,
-   adds them as a new level and merges levels of about equal size. It returns one bit for each
-   anchor: whether another document has its seed.
+1. Each chunk of documents sends the anchors' distinct suffixes, as sorted hashes of their first
+   ``SEED`` bytes, to buckets. A bucket scans each chunk's suffixes against its family of sorted
+   levels, adds them as a new level and merges levels of about equal size. It returns two bits for
+   each suffix: whether another document has its seed, and whether the seed is crowded.
 2. Only around such anchors are the strings themselves compared, again by bucket: each string whose
-   equal starts in a document with a smaller id is covered.
+   equal starts in a document with a smaller id is covered. The strings of a crowded seed are first
+   reduced to distinct ones in their chunk, and spread over all buckets by their own hashes.
 3. The covered runs return to their chunk, which cuts them out.
 """
 
@@ -34,6 +35,9 @@ SEED = 24
 CHUNK_BYTES = 16 << 20
 SLICE_BYTES = 1 << 20
 
+# A seed at more anchors than this is crowded: its strings do not meet in one task.
+CROWDED = 1 << 15
+
 _LAST = np.iinfo(np.int64).max
 
 _ROWS = "bucket int, chunk long, kind int, a binary, b binary, c binary, d binary"
@@ -131,8 +135,22 @@ def _chunks(batches: Iterator[pa.RecordBatch], chunk_bytes: int) -> Iterator[tup
             yield int.from_bytes(name.digest(), "little", signed=True), mine, data, offsets
 
 
+def _starts(ordered: np.ndarray) -> np.ndarray:
+    """Where the runs of equal values begin."""
+    new = np.ones(len(ordered), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    return np.flatnonzero(new)
+
+
+_LOW = np.uint64((1 << 48) - 1)
+
+
 def _chunk_anchors(data: np.ndarray, offsets: np.ndarray, n_buckets: int):
-    """Anchors of a chunk, slice by slice: (key, row, start in the chunk, starts, bucket)."""
+    """Anchors of a chunk, slice by slice, ordered by seed: (seed, row, start in the chunk, starts, first, cuts).
+
+    A seed is its bucket and 48 bits of its hash. ``first`` has the first anchor of each distinct
+    seed, ``cuts`` the first distinct seed of each bucket.
+    """
     found, row = [], 0
     while row < len(offsets) - 1:
         end = int(np.searchsorted(offsets, offsets[row] + SLICE_BYTES, "right")) - 1
@@ -141,9 +159,12 @@ def _chunk_anchors(data: np.ndarray, offsets: np.ndarray, n_buckets: int):
         found.append((key, rows + row, low + offsets[row], count))
         row = end
     key, rows, low, count = (np.concatenate(c) for c in zip(*found))
-    bucket = ((key & np.uint64(0xFFFF)) % np.uint64(n_buckets)).astype(np.uint16)
-    order = np.argsort(bucket, kind="stable")
-    return key[order], rows[order], low[order], count[order], np.searchsorted(bucket[order], np.arange(n_buckets + 1))
+    seed = ((key & np.uint64(0xFFFF)) % np.uint64(n_buckets) << np.uint64(48)) | (key >> np.uint64(16))
+    order = np.argsort(seed, kind="stable")
+    seed = seed[order]
+    first = _starts(seed)
+    cuts = np.searchsorted(seed[first] >> np.uint64(48), np.arange(n_buckets + 1).astype(np.uint64))
+    return seed, rows[order], low[order], count[order], first, cuts
 
 
 def _digests(data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
@@ -154,14 +175,15 @@ def _send_seeds(n_buckets: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text in (batch.slice(i, 1).to_pylist()[0] for batch in batches for i in range(len(batch))):
             chunk, (data, offsets, ids) = text["chunk"], _read_text(text)
-            key, row, _, _, cuts = _chunk_anchors(data, offsets, n_buckets)
+            seed, row, _, _, first, cuts = _chunk_anchors(data, offsets, n_buckets)
             rows = []
-            upper = np.ascontiguousarray(key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:])
-            for b in range(n_buckets):
+            if len(first):
+                several = np.minimum.reduceat(row, first) != np.maximum.reduceat(row, first)
+                often = np.diff(np.r_[first, len(seed)]).astype("<u4")
+                short = np.ascontiguousarray((seed[first] & _LOW).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
+            for b in np.flatnonzero(np.diff(cuts)).tolist():
                 mine = slice(cuts[b], cuts[b + 1])
-                if cuts[b + 1] > cuts[b]:
-                    new = np.r_[True, row[mine][1:] != row[mine][:-1]]
-                    rows.append((b, chunk, 0, upper[mine].tobytes(), np.packbits(new).tobytes(), None, None))
+                rows.append((b, chunk, 0, short[mine].tobytes(), np.packbits(several[mine]).tobytes(), _zip(often[mine]), None))
             digests = _digests(data, offsets)
             where = np.array([int.from_bytes(d[:2], "little") % n_buckets for d in digests])
             for b in np.unique(where).tolist():
@@ -173,8 +195,12 @@ def _send_seeds(n_buckets: int):
     return send
 
 
-def _mark(table: pa.Table) -> pa.Table:
-    """Of one bucket: for each chunk, which seeds another document has, and which texts are copies."""
+def _mark(crowded: int):
+    return lambda table: _marks(table, crowded)
+
+
+def _marks(table: pa.Table, crowded: int) -> pa.Table:
+    """Of one bucket: for each chunk, which seeds another document has and which are crowded, and which texts are copies."""
     rows = table.to_pylist()
     family, marks, at, out = Family(), [], 0, []
     for r in rows:
@@ -182,28 +208,30 @@ def _mark(table: pa.Table) -> pa.Table:
             continue
         raw = np.frombuffer(r["a"], np.uint8).reshape(-1, 6)
         keys = np.zeros((len(raw), 8), np.uint8)
-        keys[:, 2:] = raw
+        keys[:, :6] = raw
         keys = keys.reshape(-1).view("<u8")
-        owner = np.cumsum(np.unpackbits(np.frombuffer(r["b"], np.uint8), count=len(keys)))
-        order = np.argsort(keys, kind="stable")
-        ordered, owner = keys[order], owner[order]
-        starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
-        several = np.minimum.reduceat(owner, starts) != np.maximum.reduceat(owner, starts)
-        found, entries = family.scan(ordered[starts])
-        marked = np.zeros(len(keys), bool)
-        marked[order] = np.repeat(several | found, np.diff(np.r_[starts, len(keys)]))
-        marks.append((r, at, marked, entries, order.astype(np.int32), starts))
-        family.add(ordered[starts], at + order[starts])
+        found, entries = family.scan(keys)
+        found |= np.unpackbits(np.frombuffer(r["b"], np.uint8), count=len(keys)).astype(bool)
+        marks.append((r, at, found, entries, keys, _unzip(r["c"], "<u4")))
+        family.add(keys, np.arange(at, at + len(keys)))
         at += len(keys)
     every = np.zeros(at, bool)
-    for _, begin, marked, entries, *_ in marks:
-        every[begin : begin + len(marked)] |= marked
+    for _, begin, found, entries, *_ in marks:
+        every[begin : begin + len(found)] |= found
         every[entries] = True
-    for r, begin, marked, _, order, starts in marks:
-        # A level names one entry for each seed of a chunk; the mark holds for all of them.
-        ordered = np.maximum.reduceat(every[begin : begin + len(marked)][order], starts)
-        marked[order] = np.repeat(ordered, np.diff(np.r_[starts, len(marked)]))
-        out.append((r["bucket"], r["chunk"], 0, np.packbits(marked).tobytes(), None, None, None))
+    full = np.zeros(0, np.uint64)
+    if marks and sum(int(m[5].sum()) for m in marks) > crowded:
+        shared = np.concatenate([m[4] for m in marks])[every]
+        often = np.concatenate([m[5] for m in marks])[every].astype(np.int64)
+        if len(shared):
+            order = np.argsort(shared, kind="stable")
+            shared, often = shared[order], often[order]
+            first_of = _starts(shared)
+            full = shared[first_of][np.add.reduceat(often, first_of) > crowded]
+    for r, begin, found, _, keys, _ in marks:
+        marked = every[begin : begin + len(found)]
+        at_full = np.isin(keys, full) if len(full) else np.zeros(len(keys), bool)
+        out.append((r["bucket"], r["chunk"], 0, np.packbits(marked).tobytes(), np.packbits(at_full).tobytes(), None, None))
     first: dict[bytes, int] = {}
     copies = [r for r in rows if r["kind"]]
     for r in copies:
@@ -240,18 +268,29 @@ def _send_strings(n_buckets: int):
 
     def send(left: pa.Table, right: pa.Table) -> pa.Table:
         replies = right.to_pylist()
-        bits = {r["bucket"]: r["a"] for r in replies if r["kind"] == 0}
+        bits = {r["bucket"]: (r["a"], r["b"]) for r in replies if r["kind"] == 0}
         copies = np.concatenate([np.zeros(0, "<u4"), *[np.frombuffer(r["a"], "<u4") for r in replies if r["kind"] == 1]])
         rows, mine_texts = [], left.to_pylist()
         _check_replies(mine_texts, replies)
         for text in mine_texts:
             data, offsets, ids = _read_text(text)
-            _, row, low, count, cuts = _chunk_anchors(data, offsets, n_buckets)
+            seed, row, low, count, first, cuts = _chunk_anchors(data, offsets, n_buckets)
+            ends_of = np.r_[first, len(seed)]
             is_copy = np.zeros(len(offsets) - 1, bool)
             is_copy[copies] = True
-            for b, packed in bits.items():
-                mine = np.arange(cuts[b], cuts[b + 1])
-                mine = mine[np.unpackbits(np.frombuffer(packed, np.uint8), count=len(mine)).astype(bool) & ~is_copy[row[mine]]]
+            spread = _Spread(text["chunk"], n_buckets)
+            for b in np.flatnonzero(np.diff(cuts)).tolist():
+                if b not in bits:
+                    raise ValueError("a chunk of texts and its replies do not meet")
+                distinct = int(cuts[b + 1] - cuts[b])
+                marked, full = (np.unpackbits(np.frombuffer(x, np.uint8), count=distinct).astype(bool) for x in bits[b])
+                places = ends_of[cuts[b] : cuts[b + 1] + 1]
+                mine = np.flatnonzero(np.repeat(marked, np.diff(places))) + places[0]
+                mine = mine[~is_copy[row[mine]]]
+                if full.any():
+                    at_full = np.repeat(full, np.diff(places))[mine - places[0]]
+                    spread.add(data, low[mine[at_full]], count[mine[at_full]], ids[row[mine[at_full]]])
+                    mine = mine[~at_full]
                 if not len(mine):
                     continue
                 lengths = count[mine] + MATCH - 1
@@ -261,11 +300,90 @@ def _send_strings(n_buckets: int):
                     b, text["chunk"], 0, _zip(data[index]), _zip(lengths.astype("<u4")),
                     _zip(np.diff(ids[row[mine]], prepend=0).astype("<i8")), _zip(np.diff(low[mine], prepend=0).astype("<i4")),
                 ))
+            rows += spread.rows()
         return _table(rows)
 
     return send
 
 
+class _Spread:
+    """Distinct strings of crowded seeds of one chunk, on their way to the buckets of their hashes.
+
+    A string goes once, with its smallest id and the places where this id has it. At its other places
+    in the chunk it is covered already.
+    """
+
+    def __init__(self, chunk: int, n_buckets: int):
+        self.chunk, self.n_buckets = chunk, n_buckets
+        self.covered, self.parts, self.size, self.out = [], [], 0, []
+
+    def add(self, data: np.ndarray, low: np.ndarray, count: np.ndarray, ids: np.ndarray) -> None:
+        """All strings of some seeds; the equal strings of a chunk are in one call."""
+        one, other, places, docs = [], [], [], []
+        step = max(1, SLICE_BYTES // (2 * MATCH))
+        for at in range(0, len(low), step):
+            some = slice(at, at + step)
+            lengths = count[some] + MATCH - 1
+            ends, total = np.cumsum(lengths), np.cumsum(count[some])
+            window = data[np.arange(ends[-1]) + np.repeat(low[some] - (ends - lengths), lengths)]
+            inside = np.arange(total[-1]) - np.repeat(total - count[some], count[some])
+            starts = inside + np.repeat(ends - lengths, count[some])
+            one.append(_string_hashes(window.astype(np.uint64) + np.uint64(1), starts))
+            other.append(_string_hashes(_second(window), starts))
+            places.append(inside + np.repeat(low[some], count[some]))
+            docs.append(np.repeat(ids[some], count[some]))
+        if not one:
+            return
+        h, g, place, doc = (np.concatenate(c) for c in (one, other, places, docs))
+        order = np.lexsort((place, doc, g, h))
+        h, g, place, doc = h[order], g[order], place[order], doc[order]
+        new = np.ones(len(h), bool)
+        new[1:] = (h[1:] != h[:-1]) | (g[1:] != g[:-1])
+        first = np.flatnonzero(new)
+        later = doc > np.repeat(doc[first], np.diff(np.r_[first, len(h)]))
+        if later.any():
+            self.covered.append(np.sort(place[later]).astype("<u4"))
+        kept = np.add.reduceat((~later).astype(np.int64), first)
+        self.parts.append((h[first], g[first], doc[first], kept.astype("<u4"), place[~later].astype("<u4")))
+        self.size += len(first)
+        if self.size > SLICE_BYTES:
+            self._flush()
+
+    def _flush(self) -> None:
+        if self.parts:
+            h, g, doc, kept, place = (np.concatenate(c) for c in zip(*self.parts))
+            bucket = (h >> np.uint64(32)) % np.uint64(self.n_buckets)
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.searchsorted(bucket[order], np.arange(self.n_buckets + 1).astype(np.uint64))
+            ends = np.cumsum(kept, dtype=np.int64)
+            for b in np.flatnonzero(np.diff(cuts)).tolist():
+                mine = order[cuts[b] : cuts[b + 1]]
+                many = kept[mine].astype(np.int64)
+                inside = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+                at = place[inside + np.repeat(ends[mine] - many, many)]
+                self.out.append((
+                    b, self.chunk, 4, h[mine].astype("<u8").tobytes() + g[mine].astype("<u8").tobytes(),
+                    _zip(doc[mine].astype("<i8")), _zip(kept[mine]), at.tobytes(),
+                ))
+        self.parts, self.size = [], 0
+
+    def rows(self) -> list[tuple]:
+        self._flush()
+        if self.covered:
+            self.out.append((0, *_run_row(self.chunk, np.concatenate(self.covered))))
+        return self.out
+
+
+def _run_row(chunk: int, places: np.ndarray) -> tuple:
+    """The byte runs made of the strings that start at some places, for their chunk."""
+    places = np.unique(places.astype(np.int64))
+    new = np.ones(len(places), bool)
+    new[1:] = np.diff(places) != 1
+    begin = places[new]
+    end = places[np.r_[new[1:], True]] + MATCH
+    return chunk, 3, _zip(begin.astype("<u4")), _zip((end - begin).astype("<u4")), None, None
+
+
 def _second(data: np.ndarray) -> np.ndarray:
     """Values of bytes for an independent hash."""
     return _OTHER[data]
@@ -275,20 +393,33 @@ _OTHER = texts.mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB866
 
 
 def _cover(table: pa.Table) -> pa.Table:
-    """Of one bucket: byte runs of each chunk made of strings that a smaller id has too."""
-    rows = table.to_pylist()
+    """Of one bucket: byte runs of each chunk made of strings that a smaller id has too.
+
+    The equal strings of a crowded seed come from all chunks as hashes (kind 4), all others as the
+    bytes around their anchor (kind 0); runs that a chunk found itself (kind 3) pass.
+    """
+    every = table.to_pylist()
+    out = [tuple(r[c] for c in _NAMES) for r in every if r["kind"] == 3]
+    rows = [r for r in every if r["kind"] != 3]
     if not rows:
-        return _table([])
+        return _table(out)
     one, other, doc, size = [], [], [], []
     for r in rows:
+        if r["kind"] == 4:
+            h, g = np.frombuffer(r["a"], "<u8").reshape(2, -1)
+            one.append(h)
+            other.append(g)
+            doc.append(_unzip(r["b"], "<i8"))
+            size.append(np.ones(len(h), np.int64))
+            continue
         data, lengths = _unzip(r["a"], np.uint8), _unzip(r["b"], "<u4").astype(np.int64)
         ids = np.cumsum(_unzip(r["c"], "<i8"))
         ends = np.cumsum(lengths)
         counts = lengths - (MATCH - 1)
         total = np.cumsum(counts)
         starts = np.arange(total[-1]) + np.repeat(ends - lengths - (total - counts), counts)
-        for values, out in ((data.astype(np.uint64) + np.uint64(1), one), (_second(data), other)):
-            out.append(_string_hashes(values, starts))
+        for values, hashes in ((data.astype(np.uint64) + np.uint64(1), one), (_second(data), other)):
+            hashes.append(_string_hashes(values, starts))
         doc.append(np.repeat(ids, counts))
         size.append(counts)
     h, g, doc = np.concatenate(one), np.concatenate(other), np.concatenate(doc)
@@ -300,19 +431,19 @@ def _cover(table: pa.Table) -> pa.Table:
     least = np.repeat(np.minimum.reduceat(doc[order], first), np.diff(np.r_[first, len(h)]))
     covered = np.zeros(len(h), bool)
     covered[order] = doc[order] > least
-    out, at = [], 0
+    at = 0
     for r, counts in zip(rows, size):
         n = int(counts.sum())
         mine = covered[at : at + n]
         at += n
         if mine.any():
-            low = np.repeat(np.cumsum(_unzip(r["d"], "<i4").astype(np.int64)), counts)
-            inside = np.arange(n) - np.repeat(np.cumsum(counts) - counts, counts)
-            places = (low + inside)[mine]  # where covered strings start in the chunk
-            new = np.r_[True, np.diff(places) != 1]
-            begin = places[new]
-            end = places[np.r_[new[1:], True]] + MATCH
-            out.append((r["bucket"], r["chunk"], 3, _zip(begin.astype("<u4")), _zip((end - begin).astype("<u4")), None, None))
+            if r["kind"] == 4:
+                places = np.frombuffer(r["d"], "<u4")[np.repeat(mine, _unzip(r["c"], "<u4"))]
+            else:
+                low = np.repeat(np.cumsum(_unzip(r["d"], "<i4").astype(np.int64)), counts)
+                inside = np.arange(n) - np.repeat(np.cumsum(counts) - counts, counts)
+                places = (low + inside)[mine]  # where covered strings start in the chunk
+            out.append((r["bucket"], *_run_row(r["chunk"], places)))
     return _table(out)
 
 
@@ -369,7 +500,7 @@ def _cut(keep_text: bool):
 
 def remove_repeats(
     docs: DataFrame, key: str = "doc_id", text: str = "text", keep_text: bool = False, chunk_bytes: int = CHUNK_BYTES,
-    n_buckets: int | None = None,
+    n_buckets: int | None = None, crowded: int = CROWDED,
 ) -> DataFrame:
     """``doc_id``, ``n_bytes``, ``n_removed``, ``spans``, ``kept`` of every row.
 
@@ -380,6 +511,7 @@ def remove_repeats(
 
     Null texts are empty. Rows of one id do not count against each other; a null id is larger than
     all others. Copies are found by their whole text first, so a group of copies is compared once.
+    The strings around a seed that stands at more than ``crowded`` anchors are spread over all buckets.
     Other columns are not read. The rows are read once: packed in named chunks they are written to
     the shared folder, and all steps read them there.
     """
@@ -389,7 +521,7 @@ def remove_repeats(
     # Written once: a second scan could cut or order the rows in another way and name other chunks.
     packed = materialize(narrow.mapInArrow(_send_texts(chunk_bytes), _ROWS))
     seeds = packed.mapInArrow(_send_seeds(n_buckets), _ROWS)
-    marks = materialize(seeds.groupBy("bucket").applyInArrow(_mark, _ROWS))
+    marks = materialize(seeds.groupBy("bucket").applyInArrow(_mark(crowded), _ROWS))
     strings = packed.groupBy("chunk").cogroup(marks.groupBy("chunk")).applyInArrow(_send_strings(n_buckets), _ROWS)
     covered = materialize(strings.groupBy("bucket").applyInArrow(_cover, _ROWS))
     replies = covered.union(marks.where("kind = 1"))

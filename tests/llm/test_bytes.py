@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from skyweave.llm import suffixes
@@ -68,6 +69,39 @@ def test_rows_in_another_order_at_each_scan(make_docs, rows):
     assert found(docs) == brute(rows)
 
 
+@pytest.mark.parametrize("crowded", [0, 3, 12])
+def test_crowded_seeds(make_docs, rows, crowded):
+    assert found(make_docs(rows).repartition(3), chunk_bytes=3000, n_buckets=5, crowded=crowded) == brute(rows)
+
+
+def string_rows(documents, n_buckets):
+    """The rows that the chunks of some texts send to ``_cover``, step by step without Spark."""
+    batch = lambda rows: pa.RecordBatch.from_pydict({"doc_id": [r[0] for r in rows], "text": [r[1] for r in rows]})
+    packed = [pa.Table.from_batches(suffixes._send_texts(1 << 20)(iter([batch(documents[i : i + 100])]))) for i in range(0, len(documents), 100)]
+    seeds = pa.concat_tables(pa.Table.from_batches(suffixes._send_seeds(n_buckets)(iter(p.to_batches()))) for p in packed)
+    mark = suffixes._mark(500)
+    marks = pa.concat_tables(mark(seeds.filter(pc.equal(seeds["bucket"], b))) for b in range(n_buckets))
+    sent = [suffixes._send_strings(n_buckets)(p, marks.filter(pc.equal(marks["chunk"], p["chunk"][0]))) for p in packed]
+    return pa.concat_tables(sent), seeds
+
+
+def test_a_passage_of_most_rows_is_spread_over_buckets(vocabulary):
+    rng = random.Random(2)
+    prose = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    passage = prose(8)[:30]  # one seed or few, in different surroundings everywhere
+    sent, seeds = string_rows([(i, prose(8) + passage + prose(8)) for i in range(2000)], 64)
+    load = [0] * 64
+    for r in sent.to_pylist():
+        if r["kind"] == 4:
+            load[r["bucket"]] += len(r["a"]) // 16
+        elif r["kind"] == 0:
+            load[r["bucket"]] += int((suffixes._unzip(r["b"], "<u4").astype(int) - 49).sum())
+    assert sum(load) > 2000 and max(load) < sum(load) / 8
+    # The seeds of the passage come once from each chunk, not once from each row.
+    twice = [r for r in seeds.to_pylist() if r["kind"] == 0]
+    assert all(len({r["a"][i : i + 6] for i in range(0, len(r["a"]), 6)}) * 6 == len(r["a"]) for r in twice)
+
+
 def test_a_chunk_without_replies_is_an_error():
     text = pa.RecordBatch.from_pydict({"doc_id": [1], "text": ["a text"]})
     left = pa.Table.from_batches(suffixes._send_texts(1000)(iter([text])))
