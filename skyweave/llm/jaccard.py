@@ -4,13 +4,15 @@ Shingles are counted where they meet, in packed arrays: a task sends, for each b
 one row with the hashes of a chunk of documents. A bucket returns only shingles that stand in two
 documents or more, with their frequency; one in a single document cannot be shared, comes first in
 the rare-first order, and only its number matters. A document whose prefix holds nothing else has
-no partner and drops out before any join.
+no partner and drops out before any join. All other distinct texts meet at their prefix shingles,
+and each pair that passes the filters is verified once; components follow from the pairs.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,9 @@ CHUNK_BYTES = 8 << 20
 # Parts of the hash space whose shared counts bound an overlap from above.
 PARTS = 16
 
+# Documents of one prefix shingle that meet in one group of rows.
+BLOCK = 1024
+
 _PACKED = "bucket int, chunk long, kind int, keys binary, owners binary, counts binary, ids binary, nodes binary, sizes binary"
 
 
@@ -238,20 +243,25 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     return joined.where(_similar(similarity, shared, "n_a", "n_b")).select("a", "b")
 
 
-def _candidates(postings: DataFrame, parts: DataFrame, similarity: int) -> DataFrame:
-    """Distinct pairs of different components that share a prefix shingle and pass the filters.
+def _candidates(postings: DataFrame, parts: DataFrame, similarity: int, block: int) -> DataFrame:
+    """Distinct pairs that share a prefix shingle and pass the length, positional and suffix filters.
 
-    Members of the largest component of a shingle meet only members of the others.
+    The documents of a frequent shingle are cut into blocks of about ``block``; each pair of blocks is
+    a key of its own, so the pairs of one shingle are the work of many tasks.
     """
-    sizes = postings.groupBy("token", "root").agg(F.count(F.lit(1)).alias("m"))
-    largest = sizes.groupBy("token").agg(F.max(F.struct("m", "root"))["root"].alias("big"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
-    mixed = postings.join(largest, "token")
-    x, y = mixed.where("root <> big").alias("x"), mixed.alias("y")
+    often = postings.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    n_blocks = F.ceil(F.col("m") / F.lit(block)).cast("int")
+    placed = postings.join(often, "token").withColumn("k", n_blocks).withColumn("own", F.pmod(F.xxhash64("nid"), F.col("k")).cast("int"))
+    narrow = ["token", "nid", "n", "place"]
+    x = placed.select(*narrow, F.col("own").alias("i"), F.explode(F.expr("sequence(own, k - 1)")).alias("j")).alias("x")
+    y = placed.select(*narrow, F.explode(F.expr("sequence(0, own)")).alias("i"), F.col("own").alias("j")).alias("y")
     least = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
     met = x.join(
         y,
         (F.col("x.token") == F.col("y.token"))
-        & (F.col("x.root") != F.col("y.root"))
+        & (F.col("x.i") == F.col("y.i"))
+        & (F.col("x.j") == F.col("y.j"))
+        & ((F.col("x.i") < F.col("x.j")) | (F.col("x.nid") < F.col("y.nid")))
         & (F.col("x.n") * 100 >= F.col("y.n") * similarity)
         & (F.col("y.n") * 100 >= F.col("x.n") * similarity)
         & (least * 100 >= (F.col("x.n") + F.col("y.n") - least) * similarity),
@@ -263,23 +273,15 @@ def _candidates(postings: DataFrame, parts: DataFrame, similarity: int) -> DataF
     return bounded.where(_similar(similarity, most, "n_a", "n_b")).select("a", "b")
 
 
-def similar_documents(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: int = SIMILARITY, length: int = SHINGLE,
-    chunk_bytes: int = CHUNK_BYTES, n_buckets: int | None = None,
-) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id`` of every row: components of the similarity join.
+class _Joined(NamedTuple):
+    members: DataFrame  # doc_id, node, n_shingles: every row
+    sets: DataFrame  # nid, node of the texts that may have a partner
+    links: DataFrame  # a, b: pairs of nid
 
-    Two texts link when 100 * shared >= ``similarity`` * united distinct ``length``-word shingles,
-    words being split at ASCII white space with A to Z lower-cased. Texts with fewer words are one
-    shingle; empty and null texts have none and link with nothing. ``component_id`` is the smallest
-    id reachable (nulls aside; null if there is no other). Equal texts are one node, whatever their
-    number; repeated rows and ids are rows of their own. Other columns are not read.
 
-    Pairs inside a component need no comparison, so each prefix shingle first links its documents
-    to the one with the fewest shingles of its own (the likely original), and only documents that
-    still lie in different components are then compared pair by pair, after the length, positional
-    and suffix filters. Each pair is verified once, on whole sets.
-    """
+def _joined(
+    docs: DataFrame, key: str, text: str, similarity: int, length: int, chunk_bytes: int, n_buckets: int | None, block: int
+) -> _Joined:
     spark = docs.sparkSession
     n_buckets = n_buckets or min(0xFFFF, int(spark.conf.get("spark.sql.shuffle.partitions")))
     narrow = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
@@ -291,21 +293,51 @@ def similar_documents(
 
     prefix = F.slice("tokens", F.lit(1), F.greatest(_prefix(similarity) - F.col("alone"), F.lit(0)))
     postings = sets.select("nid", "n", "alone", F.posexplode(prefix).alias("at", "token"))
-    postings = postings.select("nid", "n", "token", (F.col("alone") + F.col("at")).alias("place"), (F.col("alone") / F.col("n")).alias("own"))
-    hubs = postings.groupBy("token").agg(F.min(F.struct("own", "nid", "n")).alias("hub"), F.count(F.lit(1)).alias("m")).where("m > 1")
-    star = postings.join(hubs.select("token", F.col("hub.nid").alias("hub"), F.col("hub.n").alias("hub_n")), "token")
-    near = (F.col("n") * 100 >= F.col("hub_n") * similarity) & (F.col("hub_n") * 100 >= F.col("n") * similarity)
-    spokes = star.where(near & (F.col("nid") != F.col("hub"))).select(F.col("hub").alias("a"), F.col("nid").alias("b")).distinct()
-    linked = materialize(_verified(spokes, sets, similarity))
-
-    roots = components(linked)
-    rooted = postings.join(roots.select(F.col("node").alias("nid"), "root"), "nid", "left")
-    rooted = rooted.withColumn("root", F.coalesce("root", "nid"))
-    further = _verified(_candidates(rooted, sets, similarity), sets, similarity)
-    final = components(linked.union(materialize(further)))
+    postings = postings.select("nid", "n", "token", (F.col("alone") + F.col("at")).alias("place"))
+    links = materialize(_verified(_candidates(postings, sets, similarity, block), sets, similarity))
+    return _Joined(members, sets.select("nid", "node"), links)
+
+
+class SimilarPairs(NamedTuple):
+    pairs: DataFrame
+    members: DataFrame
+
+
+def similar_pairs(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: int = SIMILARITY, length: int = SHINGLE,
+    chunk_bytes: int = CHUNK_BYTES, n_buckets: int | None = None, block: int = BLOCK,
+) -> SimilarPairs:
+    """All similar pairs of distinct texts, and the rows that have each text.
+
+    ``pairs`` (``a``, ``b``: names of texts, ``a`` < ``b``) has each link of ``similar_documents`` once.
+    ``members`` (``doc_id``, ``node``, ``n_shingles``) names the text of every row; rows of one node
+    have equal words and, unless these are none, are similar to each other and to the same others.
+    """
+    members, sets, links = _joined(docs, key, text, similarity, length, chunk_bytes, n_buckets, block)
+    side = lambda x: sets.select(F.col("nid").alias(x), F.col("node").alias(f"node_{x}"))
+    named = links.join(side("a"), "a").join(side("b"), "b")
+    return SimilarPairs(named.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")), members)
+
+
+def similar_documents(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: int = SIMILARITY, length: int = SHINGLE,
+    chunk_bytes: int = CHUNK_BYTES, n_buckets: int | None = None, block: int = BLOCK,
+) -> DataFrame:
+    """``doc_id``, ``n_shingles``, ``component_id`` of every row: components of the similarity join.
+
+    Two texts link when 100 * shared >= ``similarity`` * united distinct ``length``-word shingles,
+    words being split at ASCII white space with A to Z lower-cased. Texts with fewer words are one
+    shingle; empty and null texts have none and link with nothing. ``component_id`` is the smallest
+    id reachable (nulls aside; null if there is no other). Equal texts are one node, whatever their
+    number; repeated rows and ids are rows of their own. Other columns are not read.
+
+    The components are those of all pairs that ``similar_pairs`` gives.
+    """
+    members, sets, links = _joined(docs, key, text, similarity, length, chunk_bytes, n_buckets, block)
+    final = components(links)
 
     first = members.groupBy("node").agg(F.min("doc_id").alias("first"))
-    rooted_nodes = sets.select("node", "nid").join(final.select(F.col("node").alias("nid"), "root"), "nid")
+    rooted_nodes = sets.join(final.select(F.col("node").alias("nid"), "root"), "nid")
     lowest = rooted_nodes.join(first, "node").groupBy("root").agg(F.min("first").alias("lowest"))
     lowest = rooted_nodes.join(lowest, "root").select("node", "lowest")
     # Fixed first, so that both sides of the last join are plain shuffles, of which Spark can split a node with many copies.

@@ -64,6 +64,20 @@ def test_small_chunks_and_few_buckets(make_docs, rows):
     assert found(make_docs(rows).repartition(3), chunk_bytes=4000, n_buckets=3) == brute(rows)
 
 
+@pytest.mark.parametrize("block", [2, 1000])
+def test_all_pairs(make_docs, rows, block):
+    joined = jaccard.similar_pairs(make_docs(rows).repartition(2), block=block)
+    pairs = [(bytes(r.a), bytes(r.b)) for r in joined.pairs.collect()]
+    node = {}
+    for r in joined.members.collect():
+        node.setdefault(r.doc_id, bytes(r.node))
+    sets = {node[d]: shingles(t) for d, t in rows if d is not None and d != 7}
+    near = lambda a, b: a and b and 100 * len(a & b) >= 75 * len(a | b)
+    wanted = {(m, n) for m, a in sets.items() for n, b in sets.items() if m < n and near(a, b)}
+    assert len(pairs) == len(set(pairs)) and set(pairs) == wanted
+    assert joined.members.count() == len(rows)
+
+
 def test_no_rows(make_docs):
     assert found(make_docs([])) == []
 
