@@ -14,7 +14,7 @@ LABEL = "label=block"
 
 MIN_SUPPORT = 0.001
 MIN_CONFIDENCE = 0.6
-MAX_TOKENS = 3
+MAX_TOKENS = 3  # for callers that want short rules only
 
 LISTED = (
     ("com", "/", "allow"),
@@ -68,20 +68,22 @@ def listed_rules(rules: Sequence[tuple[str, str, str]], host: Column, path: Colu
 
 
 def mine_rules(
-    labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, max_tokens: int = MAX_TOKENS
+    labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, max_tokens: int | None = None
 ) -> DataFrame:
     """Rules ``rule_id``, ``tokens``, ``support``, ``confidence`` from rows (``tokens``, ``bad``).
 
     Token sets that occur with the label in at least ``min_support`` of the rows and of whose rows at
     least ``min_confidence`` carry it. A rule is left out if a subset of its tokens is a rule of no
-    less confidence. The number of frequent tokens is at most the tokens of a row / ``min_support``,
-    whatever the number of rows. No rows, or no labelled ones, give no rules.
+    less confidence. Rules have any number of tokens unless ``max_tokens`` bounds it. The
+    number of frequent tokens is at most the tokens of a row / ``min_support``, whatever the number
+    of rows; that of frequent sets can grow as 2 to the tokens of a row. No rows, or no labelled ones, give no rules.
     """
     label = F.when(F.col("bad"), F.array(F.lit(LABEL))).otherwise(F.array().cast("array<string>"))
     baskets = labelled.where(F.size("tokens") > 0).select(F.concat("tokens", label).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=0.0).fit(baskets)
     total = max(1, baskets.count())
-    sets = materialize(model.freqItemsets.where(F.size("items") <= max_tokens + 1))
+    found = model.freqItemsets
+    sets = materialize(found if max_tokens is None else found.where(F.size("items") <= max_tokens + 1))
     has = F.array_contains("items", LABEL)
     bad = sets.where(has & (F.size("items") > 1)).select(
         F.array_sort(F.array_remove("items", LABEL)).alias("tokens"), F.col("freq").alias("n_bad")
@@ -92,28 +94,32 @@ def mine_rules(
         (F.col("n_bad") / total).alias("support"),
         (F.col("n_bad") / F.col("n")).alias("confidence"),
     ).where(F.col("confidence") >= min_confidence)
-    # A subset of a rule's tokens leaves out some of them; with few tokens these are few rows.
-    masks = F.expr("sequence(1, shiftleft(1, size(tokens)) - 2)")
-    smaller = rules.where(F.size("tokens") > 1).withColumn("_mask", F.explode(masks)).select(
-        F.col("tokens").alias("_whole"), F.col("confidence").alias("_of"),
-        F.filter("tokens", lambda x, i: F.expr("_mask").bitwiseAND(F.pow(F.lit(2), i).cast("int")) != 0).alias("tokens"),
-    )
-    covered = smaller.join(rules, "tokens").where(F.col("confidence") >= F.col("_of")).select(F.col("_whole").alias("tokens"))
+    rules = materialize(rules)
+    # Each rule meets the smaller rules listed under its own tokens; its subsets are never written out.
+    index = _by_rarest_token(rules, "tokens", "confidence").drop("tokens")
+    whole = rules.where(F.size("tokens") > 1).select(F.col("tokens").alias("_whole"), F.col("confidence").alias("_of"), F.explode("tokens").alias("token"))
+    smaller = (F.size("_needs") < F.size("_whole")) & (F.size(F.array_except("_needs", "_whole")) == 0)
+    covered = whole.join(index, "token").where((F.col("confidence") >= F.col("_of")) & smaller).select(F.col("_whole").alias("tokens"))
     pruned = rules.join(covered.distinct(), "tokens", "left_anti")
     return pruned.withColumn("rule_id", F.array_join("tokens", " & "))
 
 
+def _by_rarest_token(rules: DataFrame, name: str, *columns: str) -> DataFrame:
+    """Each rule (column ``name``, and ``columns``) under the one of its tokens in fewest rules; ``_needs`` has all."""
+    listed = rules.select(name, F.col("tokens").alias("_needs"), *columns, F.explode("tokens").alias("token"))
+    often = listed.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    return listed.join(often, "token").groupBy(name).agg(
+        F.min(F.struct("n", "token"))["token"].alias("token"), F.first("_needs").alias("_needs"), *[F.first(c).alias(c) for c in columns]
+    )
+
+
 def match_rules(tokens: DataFrame, key: str, rules: DataFrame) -> DataFrame:
     """(``key``, ``rules``) of the rows whose tokens hold all tokens of some rule.
 
     The index lists each rule under one of its tokens, the one in fewest rules; a row meets the
     rules listed under its own tokens, and the whole rule is then compared.
     """
-    listed = rules.select("rule_id", "tokens", F.explode("tokens").alias("token"))
-    often = listed.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    index = listed.join(often, "token").groupBy("rule_id").agg(
-        F.min(F.struct("n", "token"))["token"].alias("token"), F.first("tokens").alias("_needs")
-    )
+    index = _by_rarest_token(rules, "rule_id")
     found = tokens.select(key, F.col("tokens").alias("_has"), F.explode("tokens").alias("token")).join(
         F.broadcast(index) if _few(index) else index, "token"
     )

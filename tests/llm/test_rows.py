@@ -232,6 +232,16 @@ def test_mined_rules(spark):
     assert matched == {i for i, (t, _) in enumerate(kinds) if any(set(r) <= set(t) for r in found)}
 
 
+def test_rules_of_many_tokens(spark):
+    five = ["host=blog", "host=net", "path=es", "path=shop", "site=example.net"]
+    baskets = [(five, True)] * 10 + [([t for t in five if t != out], False) for out in five for _ in range(10)]
+    baskets += [(["host=a", "host=b", "x", "y"], True)] * 10 + [(["host=a", "x"], False)] * 10
+    table = spark.createDataFrame(baskets, "tokens array<string>, bad boolean")
+    found = {tuple(r.tokens) for r in urls.mine_rules(table, 0.05, 0.6).collect()}
+    assert found == brute_rules(baskets, 0.05, 0.6, 5)
+    assert tuple(five) in found
+
+
 def test_judged_urls(spark):
     pages = [(i, f"http://{'spam' if i % 2 else 'ok'}.org/x/{i}", "h", "v") for i in range(60)] + [(None, None, "h", "v"), (3, "http://spam.org/x/3", "h", "v")]
     labels = [(i, bool(i % 2)) for i in range(40)] + [(None, True), (5, None)]
