@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyweave.llm import chat, decontaminate, jaccard, licenses, lines, mixing, quality, sharding, sql, suffixes, urls
+from skyweave.llm import chat, decontaminate, exact, jaccard, licenses, lines, mixing, quality, sharding, sql, suffixes, urls
 from skyweave.queries.registry import query
 
 
@@ -103,3 +103,8 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge_quality(table(spark, sf_dir, "documents").select("doc_id", "text"), out="q")
     return judged.select("doc_id", *[f"q.{c}" for c in quality.MEASURES], "q.base_failed", "q.kept")
+
+
+@query(sql.EXACT)
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.exact_groups(table(spark, sf_dir, "documents"))

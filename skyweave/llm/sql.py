@@ -69,3 +69,9 @@ WITH RECURSIVE
      least AS (SELECT id, min(m) AS component FROM reach GROUP BY id)
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(component, d.doc_id) AS component_id
 FROM documents d JOIN t ON coalesce(d.text, '') = t.text LEFT JOIN n USING (id) LEFT JOIN least USING (id)"""
+
+
+EXACT = """
+SELECT doc_id, max(doc_id) OVER t AS keep_id, count(*) OVER t AS group_size, doc_id IS NOT DISTINCT FROM max(doc_id) OVER t AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW t AS (PARTITION BY coalesce(text, ''))"""
