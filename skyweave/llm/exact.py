@@ -92,8 +92,9 @@ class HashIndex:
         """Add ``depth, prefix`` of the bucket that owns each key: one look-up of its slot."""
         slots = materialize(self.slots(buckets))
         bits = slots.agg(F.max("global_depth")).first()[0]
-        slot = F.shiftrightunsigned("key", 64 - bits) if bits else F.lit(0).cast("long")
-        return df.withColumn("slot", slot).join(broadcast_checked(slots.drop("global_depth")), "slot").drop("slot")
+        if not bits:  # one bucket owns all keys
+            return df.withColumns({"depth": F.lit(0), "prefix": F.lit(0).cast("long")})
+        return df.withColumn("slot", F.shiftrightunsigned("key", 64 - bits)).join(broadcast_checked(slots.drop("global_depth")), "slot").drop("slot")
 
     def add(self, rows: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
         """Add rows (``doc_id``, ``text``) as the next version, and give its entries.
@@ -129,8 +130,9 @@ class HashIndex:
             once = old.join(kept, same).dropDuplicates(["key", "text"])
             texts.append(once.select("key", "text", "doc_id", F.col("n_rows").alias("n")))
         classes = self._classes(texts, again)
-        single = counted.join(again, "key", "left_anti").withColumn("chain", F.lit(0)).select(*_ENTRY)
-        untouched = known.join(again, "key", "left_anti").select(*_ENTRY)
+        few = broadcast_checked(again)
+        single = counted.join(few, "key", "left_anti").withColumn("chain", F.lit(0)).select(*_ENTRY)
+        untouched = known.join(few, "key", "left_anti").select(*_ENTRY)
         fresh = _fixed(single.unionByName(classes).unionByName(untouched), "exact-entries")
         self._write(fresh, touched, number)
         return self.entries()

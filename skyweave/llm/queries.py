@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyweave.llm import chat, decontaminate, exact, jaccard, licenses, lines, mixing, quality, sharding, sql, suffixes, urls
+from skyweave.llm import chat, decontaminate, exact, jaccard, licenses, lines, merkle, mixing, quality, sharding, sql, suffixes, urls
 from skyweave.queries.registry import query
 
 
@@ -105,6 +105,17 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[f"q.{c}" for c in quality.MEASURES], "q.base_failed", "q.kept")
 
 
+LEAF_COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+@query(sql.manifest())
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(*LEAF_COLUMNS)
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    seen = F.translate("text", merkle.UPPER, merkle.LOWER)
+    return merkle.check_rows(docs, seen, LEAF_COLUMNS, changed=tampered)
+
+
 @query(sql.EXACT)
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"))

@@ -75,3 +75,54 @@ EXACT = """
 SELECT doc_id, max(doc_id) OVER t AS keep_id, count(*) OVER t AS group_size, doc_id IS NOT DISTINCT FROM max(doc_id) OVER t AS kept,
        sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW t AS (PARTITION BY coalesce(text, ''))"""
+
+
+def _tree(name: str, below: str, levels: int) -> str:
+    """CTEs of a tree over ``below`` (tree, i, n, d): levels ``name0`` upwards and the siblings of each node."""
+    parts = [f"{name}0 AS (SELECT tree, i, n, d FROM {below})"]
+    for k in range(levels):
+        run = "PARTITION BY tree, i // 16 ORDER BY i ROWS BETWEEN"
+        parts.append(f"""{name}{k}w AS (SELECT tree, i, n > 1 AS step,
+            coalesce(string_agg(d, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+            coalesce(string_agg(d, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name}{k})""")
+        parts.append(f"""{name}{k + 1} AS (SELECT tree, i // 16 AS i, (any_value(n) + 15) // 16 AS n,
+            CASE WHEN any_value(n) = 1 THEN any_value(d) ELSE sha256(string_agg(d, '' ORDER BY i)) END AS d
+            FROM {name}{k} GROUP BY tree, i // 16)""")
+    return ", ".join(parts)
+
+
+def _folded(name: str, start: str, levels: int) -> str:
+    """CTEs ``name_f…``: (…, tree, i, h, p) carried through the levels of a tree."""
+    parts = []
+    for k in range(levels):
+        before = start if not k else f"{name}_f{k}"
+        parts.append(f"""{name}_f{k + 1} AS (SELECT f.* EXCLUDE (i, h, p), f.i // 16 AS i,
+            CASE WHEN step THEN sha256(l || h || r) ELSE h END AS h, CASE WHEN step THEN p || l || r ELSE p END AS p
+            FROM {before} f JOIN {name}{k}w w ON w.tree = f.tree AND w.i = f.i)""")
+    return ", ".join(parts)
+
+
+def manifest(own: int = 5, top: int = 3) -> str:
+    """Trees of ``own`` levels for each source and ``top`` above; more rows than 16 to that power need more."""
+    value = lambda c: f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c}::VARCHAR END"
+    leaf = lambda text: "sha256(" + " || ".join(value(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+    crc = """xor(4294967295, list_reduce(list_concat([4294967295], list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda i: ord(substr(doc_id::VARCHAR, i, 1))::BIGINT)),
+             lambda c, b: xor(c >> 8, list_extract(t, (xor(c, b) & 255) + 1))))"""
+    return f"""
+WITH crc AS (SELECT list_transform(range(256), lambda b: list_reduce(list_concat([b], range(8)),
+                    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+     d AS (SELECT doc_id, source, {leaf('text')} AS leaf,
+                  {leaf(f"translate(text, '{_UPPER}', '{_LOWER}')")} AS lowered, {crc} % 5 = 0 AS changed FROM documents, crc),
+     r AS (SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+                  row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY source) AS n FROM d),
+     leaves AS (SELECT tree, i, n, leaf AS d FROM r),
+     {_tree('s', 'leaves', own)},
+     subroots AS (SELECT 0 AS tree, tree AS i, count(*) OVER () AS n, d FROM s{own}),
+     {_tree('t', 'subroots', top)},
+     started AS (SELECT doc_id, leaf, tree AS source_no, tree, i, CASE WHEN changed THEN lowered ELSE leaf END AS h, '' AS p FROM r),
+     {_folded('s', 'started', own)},
+     crowned AS (SELECT f.* EXCLUDE (tree, i), 0 AS tree, source_no AS i FROM s_f{own} f),
+     {_folded('t', 'crowned', top)}
+SELECT doc_id, leaf, u.d AS subroot, (SELECT d FROM t{top}) AS root, sha256(p) AS proof_sha256, h AS folded_root,
+       h = (SELECT d FROM t{top}) AS verified
+FROM t_f{top} f JOIN subroots u ON u.i = f.source_no"""
