@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyweave.llm import chat, decontaminate, exact, jaccard, licenses, lines, merkle, mixing, quality, sharding, sql, suffixes, urls
+from skyweave.llm import chat, decontaminate, exact, jaccard, licenses, lines, merkle, mixing, quality, sharding, sql, suffixes, urls, whitening
 from skyweave.queries.registry import query
 
 
@@ -119,3 +119,8 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(sql.EXACT)
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
