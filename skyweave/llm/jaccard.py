@@ -5,7 +5,8 @@ one row with the hashes of a chunk of documents. A bucket returns only shingles
 documents or more, with their frequency; one in a single document cannot be shared, comes first in
 the rare-first order, and only its number matters. A document whose prefix holds nothing else has
 no partner and drops out before any join. All other distinct texts meet at their prefix shingles,
-and each pair that passes the filters is verified once; components follow from the pairs.
+and each pair that passes the filters is verified once. Components need fewer pairs: texts of a shingle
+are first compared with one of them, and then only with texts of other components.
 """
 
 from __future__ import annotations
@@ -33,6 +34,9 @@ CHUNK_BYTES = 8 << 20
 # Parts of the hash space whose shared counts bound an overlap from above.
 PARTS = 16
 
+# A text with more than this share of all rows is hot.
+MOST_HOT = 10_000
+
 # Documents of one prefix shingle that meet in one group of rows.
 BLOCK = 1024
 
@@ -243,45 +247,109 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     return joined.where(_similar(similarity, shared, "n_a", "n_b")).select("a", "b")
 
 
+def _far_enough(similarity: int) -> Column:
+    """Length and positional filter of x and y, which share the shingle at their places."""
+    least = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
+    return (
+        (F.col("x.n") * 100 >= F.col("y.n") * similarity)
+        & (F.col("y.n") * 100 >= F.col("x.n") * similarity)
+        & (least * 100 >= (F.col("x.n") + F.col("y.n") - least) * similarity)
+    )
+
+
+def _bounded(met: DataFrame, parts: DataFrame, similarity: int) -> DataFrame:
+    """Distinct pairs of x and y that pass the suffix filter."""
+    pairs = met.select(F.least("x.nid", "y.nid").alias("a"), F.greatest("x.nid", "y.nid").alias("b")).distinct()
+    side = lambda s: parts.select(F.col("nid").alias(s), F.col("n").alias(f"n_{s}"), F.col("parts").alias(f"p_{s}"))
+    bounded = pairs.join(side("a"), "a").join(side("b"), "b")
+    most = F.aggregate(F.zip_with("p_a", "p_b", lambda p, q: F.least(p, q)), F.lit(0), lambda s, p: s + p)
+    return bounded.where(_similar(similarity, most, "n_a", "n_b")).select("a", "b")
+
+
+def _shared_postings(postings: DataFrame) -> DataFrame:
+    often = postings.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    return postings.join(often, "token")
+
+
 def _candidates(postings: DataFrame, parts: DataFrame, similarity: int, block: int) -> DataFrame:
     """Distinct pairs that share a prefix shingle and pass the length, positional and suffix filters.
 
     The documents of a frequent shingle are cut into blocks of about ``block``; each pair of blocks is
     a key of its own, so the pairs of one shingle are the work of many tasks.
     """
-    often = postings.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     n_blocks = F.ceil(F.col("m") / F.lit(block)).cast("int")
-    placed = postings.join(often, "token").withColumn("k", n_blocks).withColumn("own", F.pmod(F.xxhash64("nid"), F.col("k")).cast("int"))
+    placed = _shared_postings(postings).withColumn("k", n_blocks).withColumn("own", F.pmod(F.xxhash64("nid"), F.col("k")).cast("int"))
     narrow = ["token", "nid", "n", "place"]
     x = placed.select(*narrow, F.col("own").alias("i"), F.explode(F.expr("sequence(own, k - 1)")).alias("j")).alias("x")
     y = placed.select(*narrow, F.explode(F.expr("sequence(0, own)")).alias("i"), F.col("own").alias("j")).alias("y")
-    least = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
     met = x.join(
         y,
         (F.col("x.token") == F.col("y.token"))
         & (F.col("x.i") == F.col("y.i"))
         & (F.col("x.j") == F.col("y.j"))
         & ((F.col("x.i") < F.col("x.j")) | (F.col("x.nid") < F.col("y.nid")))
-        & (F.col("x.n") * 100 >= F.col("y.n") * similarity)
-        & (F.col("y.n") * 100 >= F.col("x.n") * similarity)
-        & (least * 100 >= (F.col("x.n") + F.col("y.n") - least) * similarity),
+        & _far_enough(similarity),
     )
-    pairs = met.select(F.least("x.nid", "y.nid").alias("a"), F.greatest("x.nid", "y.nid").alias("b")).distinct()
-    side = lambda s: parts.select(F.col("nid").alias(s), F.col("n").alias(f"n_{s}"), F.col("parts").alias(f"p_{s}"))
-    bounded = pairs.join(side("a"), "a").join(side("b"), "b")
-    most = F.aggregate(F.zip_with("p_a", "p_b", lambda p, q: F.least(p, q)), F.lit(0), lambda s, p: s + p)
-    return bounded.where(_similar(similarity, most, "n_a", "n_b")).select("a", "b")
+    return _bounded(met, parts, similarity)
+
 
+def _joined_components(postings: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """(``node``, ``root``) of the texts that have a link, from as few pairs as decide it.
 
-class _Joined(NamedTuple):
+    The texts of a prefix shingle are compared with one of them, the hub, and components are formed.
+    Shingles whose texts lie in several components go on: a hub outside the largest of them is
+    compared with all texts of other components, until a round finds no link. Then every pair that is
+    left, of texts in different components, is compared. No pair is verified twice, and none is left
+    out but those within a component, whose links cannot change it.
+    """
+    groups = materialize(_shared_postings(postings).select("token", "nid", "n", "place"))
+    labels, tried = None, None
+    while True:
+        if labels is None:
+            rest = groups.withColumn("root", F.col("nid"))
+            hubs = rest.groupBy("token").agg(F.min(F.struct("nid", "n", "place", "root")).alias("hub"))
+        else:
+            own = labels.select(F.col("node").alias("nid"), "root")
+            rest = groups.join(own, "nid", "left").withColumn("root", F.coalesce("root", "nid"))
+            counted = rest.groupBy("token", "root").agg(F.count(F.lit(1)).alias("c"))
+            tops = counted.groupBy("token").agg(F.max(F.struct("c", "root"))["root"].alias("top"), F.count(F.lit(1)).alias("k"))
+            rest = rest.join(tops.where("k > 1").select("token", "top"), "token")
+            rest = materialize(rest)
+            groups = rest.select("token", "nid", "n", "place")
+            outside = rest.where("root <> top")
+            hubs = outside.groupBy("token").agg(F.min(F.struct("nid", "n", "place", "root")).alias("hub"))
+        x = hubs.select("token", "hub.*").alias("x")
+        apart = (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root"))
+        pairs = _bounded(x.join(rest.alias("y"), apart & _far_enough(similarity)), sets, similarity)
+        pairs = materialize(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
+        links = materialize(_verified(pairs, sets, similarity))
+        tried = pairs if tried is None else materialize(tried.union(pairs))
+        if links.isEmpty():
+            break
+        known = links if labels is None else links.union(labels.select(F.col("node").alias("a"), F.col("root").alias("b")))
+        labels = materialize(components(known))
+    if labels is None:
+        labels = components(links)
+        rest = rest.withColumn("top", F.lit(None).cast("long"))
+    # One side is the texts outside the largest component, so a large one costs no pairs of its own.
+    x = rest.where("top IS NULL OR root <> top").alias("x")
+    y = rest.alias("y")
+    apart = (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root"))
+    once = F.coalesce(F.col("y.root") == F.col("y.top"), F.lit(False)) | (F.col("x.nid") < F.col("y.nid"))
+    left = _bounded(x.join(y, apart & once & _far_enough(similarity)), sets, similarity)
+    links = materialize(_verified(left.join(tried, ["a", "b"], "left_anti"), sets, similarity))
+    if links.isEmpty():
+        return labels
+    return components(links.union(labels.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+
+
+class _Prefixed(NamedTuple):
     members: DataFrame  # doc_id, node, n_shingles: every row
-    sets: DataFrame  # nid, node of the texts that may have a partner
-    links: DataFrame  # a, b: pairs of nid
+    sets: DataFrame  # nid, node, n, tokens, parts of the texts that may have a partner
+    postings: DataFrame  # token, nid, n, place: their prefix shingles
 
 
-def _joined(
-    docs: DataFrame, key: str, text: str, similarity: int, length: int, chunk_bytes: int, n_buckets: int | None, block: int
-) -> _Joined:
+def _prefixed(docs: DataFrame, key: str, text: str, similarity: int, length: int, chunk_bytes: int, n_buckets: int | None) -> _Prefixed:
     spark = docs.sparkSession
     n_buckets = n_buckets or min(0xFFFF, int(spark.conf.get("spark.sql.shuffle.partitions")))
     narrow = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
@@ -290,12 +358,9 @@ def _joined(
     members = shared.where("kind = 1").select("ids", "nodes", "sizes").mapInArrow(_members, "doc_id long, node binary, n_shingles long")
     sets = shared.groupBy("chunk").applyInArrow(_assemble(similarity), _SETS).dropDuplicates(["node"])
     sets = materialize(sets.withColumn("nid", F.monotonically_increasing_id()))
-
     prefix = F.slice("tokens", F.lit(1), F.greatest(_prefix(similarity) - F.col("alone"), F.lit(0)))
     postings = sets.select("nid", "n", "alone", F.posexplode(prefix).alias("at", "token"))
-    postings = postings.select("nid", "n", "token", (F.col("alone") + F.col("at")).alias("place"))
-    links = materialize(_verified(_candidates(postings, sets, similarity, block), sets, similarity))
-    return _Joined(members, sets.select("nid", "node"), links)
+    return _Prefixed(members, sets, postings.select("nid", "n", "token", (F.col("alone") + F.col("at")).alias("place")))
 
 
 class SimilarPairs(NamedTuple):
@@ -313,7 +378,8 @@ def similar_pairs(
     ``members`` (``doc_id``, ``node``, ``n_shingles``) names the text of every row; rows of one node
     have equal words and, unless these are none, are similar to each other and to the same others.
     """
-    members, sets, links = _joined(docs, key, text, similarity, length, chunk_bytes, n_buckets, block)
+    members, sets, postings = _prefixed(docs, key, text, similarity, length, chunk_bytes, n_buckets)
+    links = materialize(_verified(_candidates(postings, sets, similarity, block), sets, similarity))
     side = lambda x: sets.select(F.col("nid").alias(x), F.col("node").alias(f"node_{x}"))
     named = links.join(side("a"), "a").join(side("b"), "b")
     return SimilarPairs(named.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")), members)
@@ -321,7 +387,7 @@ def similar_pairs(
 
 def similar_documents(
     docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: int = SIMILARITY, length: int = SHINGLE,
-    chunk_bytes: int = CHUNK_BYTES, n_buckets: int | None = None, block: int = BLOCK,
+    chunk_bytes: int = CHUNK_BYTES, n_buckets: int | None = None,
 ) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` of every row: components of the similarity join.
 
@@ -331,19 +397,25 @@ def similar_documents(
     id reachable (nulls aside; null if there is no other). Equal texts are one node, whatever their
     number; repeated rows and ids are rows of their own. Other columns are not read.
 
-    The components are those of all pairs that ``similar_pairs`` gives.
+    The components are those of all pairs that ``similar_pairs`` gives, found without making them all.
     """
-    members, sets, links = _joined(docs, key, text, similarity, length, chunk_bytes, n_buckets, block)
-    final = components(links)
+    members, sets, postings = _prefixed(docs, key, text, similarity, length, chunk_bytes, n_buckets)
+    final = _joined_components(postings, sets, similarity)
 
-    first = members.groupBy("node").agg(F.min("doc_id").alias("first"))
-    rooted_nodes = sets.join(final.select(F.col("node").alias("nid"), "root"), "nid")
+    first = members.groupBy("node").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies"))
+    first = materialize(first)
+    rooted_nodes = sets.select("nid", "node").join(final.select(F.col("node").alias("nid"), "root"), "nid")
     lowest = rooted_nodes.join(first, "node").groupBy("root").agg(F.min("first").alias("lowest"))
     lowest = rooted_nodes.join(lowest, "root").select("node", "lowest")
-    # Fixed first, so that both sides of the last join are plain shuffles, of which Spark can split a node with many copies.
-    named = materialize(first.join(lowest, "node", "left").select("node", F.coalesce("lowest", "first").alias("named")))
+    named = materialize(first.join(lowest, "node", "left").select("node", "copies", F.coalesce("lowest", "first").alias("named")))
+    # The name of a text with many copies travels to its rows; there are at most MOST_HOT such texts.
+    total = named.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
+    is_hot = F.col("copies") * MOST_HOT > total
+    marked = members.join(F.broadcast(materialize(named.where(is_hot).drop("copies"))), "node", "left")
+    others = marked.where("named IS NULL").drop("named").join(named.where(~is_hot).drop("copies"), "node")
+    both = marked.where("named IS NOT NULL").unionByName(others.select(*marked.columns))
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("named"))
-    return members.join(named, "node").select("doc_id", "n_shingles", component.alias("component_id"))
+    return both.select("doc_id", "n_shingles", component.alias("component_id"))
 
 
 def _prefix(similarity: int) -> Column:
