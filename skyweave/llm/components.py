@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyweave.runtime import materialize
+from skyweave.llm.rows import written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -13,10 +13,10 @@ def components(edges: DataFrame) -> DataFrame:
 
     Large and small stars replace edges by edges to the smallest neighbour until nothing changes;
     the number of edges never grows, and the rounds follow the logarithm of the longest path.
-    Every round reads a checkpoint of the last. Loops and repeated edges do no harm.
+    Every round reads what the last one wrote. Loops and repeated edges do no harm.
     """
     ordered = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).dropna().distinct()
-    current, seen = materialize(ordered), None
+    current, seen = written(ordered, "edges"), None
     while True:
         both = current.union(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -24,7 +24,7 @@ def components(edges: DataFrame) -> DataFrame:
         large = large.where("a <> b").distinct()
         lower = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(lower, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        current = materialize(small.union(lower.select("a", F.col("m").alias("b"))).where("a <> b").distinct())
+        current = written(small.union(lower.select("a", F.col("m").alias("b"))).where("a <> b").distinct(), "edges")
         mark = current.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if mark == seen:
             break

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from skyweave.llm.rows import written
 from skyweave.runtime import broadcast_checked, fits_broadcast, materialize, scratch_path
 from skyweave.sources.catalog import dataset_exists
 
@@ -42,13 +43,6 @@ def _prefix(depth: Column) -> Column:
     return F.when(depth == 0, F.lit(0).cast("long")).otherwise(F.expr("shiftrightunsigned(key, 64 - depth)"))
 
 
-def _fixed(df: DataFrame, name: str) -> DataFrame:
-    """Written to the shared folder and read again, for tables that stand in several plans."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 class HashIndex:
     """An index in ``path``: ``entries`` by bucket and version, and one ``directory`` for each version."""
 
@@ -111,7 +105,7 @@ class HashIndex:
         counted = keyed.groupBy("key").agg(
             F.count(F.lit(1)).alias("n_rows"), F.max("doc_id").alias("keep_id"), F.max("n_bytes").alias("n_bytes")
         )
-        counted = _fixed(counted, "exact-keys")
+        counted = written(counted, "exact-keys")
         placed = self._in_buckets(counted)
         touched = materialize(self.directory().join(
             broadcast_checked(placed.select(*_BUCKET).distinct()), _BUCKET, "left_semi"
@@ -133,7 +127,7 @@ class HashIndex:
         few = broadcast_checked(again)
         single = counted.join(few, "key", "left_anti").withColumn("chain", F.lit(0)).select(*_ENTRY)
         untouched = known.join(few, "key", "left_anti").select(*_ENTRY)
-        fresh = _fixed(single.unionByName(classes).unionByName(untouched), "exact-entries")
+        fresh = written(single.unionByName(classes).unionByName(untouched), "exact-entries")
         self._write(fresh, touched, number)
         return self.entries()
 

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from skyweave.llm import texts
 from skyweave.llm.components import components
+from skyweave.llm.rows import written
 from skyweave.runtime import broadcast_checked, materialize
 
 SHINGLE = 5
@@ -302,7 +303,7 @@ def _joined_components(postings: DataFrame, sets: DataFrame, similarity: int) ->
     left, of texts in different components, is compared. No pair is verified twice, and none is left
     out but those within a component, whose links cannot change it.
     """
-    groups = materialize(_shared_postings(postings).select("token", "nid", "n", "place"))
+    groups = written(_shared_postings(postings).select("token", "nid", "n", "place"), "postings")
     labels, tried = None, None
     while True:
         if labels is None:
@@ -314,20 +315,20 @@ def _joined_components(postings: DataFrame, sets: DataFrame, similarity: int) ->
             counted = rest.groupBy("token", "root").agg(F.count(F.lit(1)).alias("c"))
             tops = counted.groupBy("token").agg(F.max(F.struct("c", "root"))["root"].alias("top"), F.count(F.lit(1)).alias("k"))
             rest = rest.join(tops.where("k > 1").select("token", "top"), "token")
-            rest = materialize(rest)
+            rest = written(rest, "postings")
             groups = rest.select("token", "nid", "n", "place")
             outside = rest.where("root <> top")
             hubs = outside.groupBy("token").agg(F.min(F.struct("nid", "n", "place", "root")).alias("hub"))
         x = hubs.select("token", "hub.*").alias("x")
         apart = (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root"))
         pairs = _bounded(x.join(rest.alias("y"), apart & _far_enough(similarity)), sets, similarity)
-        pairs = materialize(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
-        links = materialize(_verified(pairs, sets, similarity))
-        tried = pairs if tried is None else materialize(tried.union(pairs))
+        pairs = written(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        links = written(_verified(pairs, sets, similarity), "links")
+        tried = pairs if tried is None else tried.union(pairs)
         if links.isEmpty():
             break
         known = links if labels is None else links.union(labels.select(F.col("node").alias("a"), F.col("root").alias("b")))
-        labels = materialize(components(known))
+        labels = written(components(known), "labels")
     if labels is None:
         labels = components(links)
         rest = rest.withColumn("top", F.lit(None).cast("long"))
@@ -337,7 +338,7 @@ def _joined_components(postings: DataFrame, sets: DataFrame, similarity: int) ->
     apart = (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root"))
     once = F.coalesce(F.col("y.root") == F.col("y.top"), F.lit(False)) | (F.col("x.nid") < F.col("y.nid"))
     left = _bounded(x.join(y, apart & once & _far_enough(similarity)), sets, similarity)
-    links = materialize(_verified(left.join(tried, ["a", "b"], "left_anti"), sets, similarity))
+    links = written(_verified(left.join(tried, ["a", "b"], "left_anti"), sets, similarity), "links")
     if links.isEmpty():
         return labels
     return components(links.union(labels.select(F.col("node").alias("a"), F.col("root").alias("b"))))
@@ -411,9 +412,10 @@ def similar_documents(
     # The name of a text with many copies travels to its rows; there are at most MOST_HOT such texts.
     total = named.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
     is_hot = F.col("copies") * MOST_HOT > total
-    marked = members.join(F.broadcast(materialize(named.where(is_hot).drop("copies"))), "node", "left")
-    others = marked.where("named IS NULL").drop("named").join(named.where(~is_hot).drop("copies"), "node")
-    both = marked.where("named IS NOT NULL").unionByName(others.select(*marked.columns))
+    hot = F.broadcast(materialize(named.where(is_hot).drop("copies").withColumn("hot", F.lit(True))))
+    marked = members.join(hot, "node", "left")
+    others = marked.where("hot IS NULL").drop("named").join(named.where(~is_hot).drop("copies"), "node")
+    both = marked.where("hot").unionByName(others.select(*marked.columns))
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("named"))
     return both.select("doc_id", "n_shingles", component.alias("component_id"))
 

@@ -16,8 +16,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skyweave.llm.rows import written
 from skyweave.operators.numbering import number_rows
-from skyweave.runtime import broadcast_checked, materialize, scratch_path
+from skyweave.runtime import broadcast_checked, materialize
 
 FANOUT = 16
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -44,12 +45,6 @@ def path_text(path: Column) -> Column:
     return F.array_join(F.transform(path, lambda step: F.concat(step["left"], step["right"])), "")
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _next_level(nodes: DataFrame) -> DataFrame:
     """Parents of the nodes (``tree, start, size, place, lo, hi, digest``) that are not alone in their tree.
 
@@ -75,7 +70,7 @@ def _levels(nodes: DataFrame, n_most: int) -> list[DataFrame]:
     """All levels above the nodes, lowest first; a tree is absent from the levels above its top."""
     found = []
     while n_most > 1:
-        nodes = _written(_next_level(nodes), f"merkle-level-{len(found) + 1}")
+        nodes = written(_next_level(nodes), f"merkle-level-{len(found) + 1}")
         found.append(nodes)
         n_most = -(-n_most // FANOUT)
     return found
@@ -188,7 +183,7 @@ def build_manifest(docs: DataFrame, leaf: Column, key: str = "doc_id", source: s
     own = [F.col(f"`{key}`").alias("_key"), F.col(f"`{source}`").cast("string").alias("_source"), leaf.alias("leaf")]
     rows = docs.select(*own, *[c.alias(f"_p_{name}") for name, c in payload.items()])
     order = ["_source", "_key", "leaf"]
-    ranked = _written(number_rows(rows, order, out="lo"), "merkle-leaves")
+    ranked = written(number_rows(rows, order, out="lo"), "merkle-leaves")
     # One row for each source and task; the ranks of a source follow one another.
     sources = ranked.groupBy("_source").agg(F.min("lo").alias("start"), F.count(F.lit(1)).alias("size"))
     sources = materialize(sources.withColumn("tree", F.col("start")))
@@ -200,7 +195,7 @@ def build_manifest(docs: DataFrame, leaf: Column, key: str = "doc_id", source: s
     )
     lowest = leaves.select("tree", "start", "size", "place", "lo", (F.col("lo") + 1).alias("hi"), F.col("leaf").alias("digest"))
     levels = _levels(lowest, sources.agg(F.max("size")).first()[0] or 0)
-    tops = _written(_tops(lowest, levels), "merkle-sources")
+    tops = written(_tops(lowest, levels), "merkle-sources")
     ordered = number_rows(tops, ["lo"], out="place")
     n_sources = tops.count()
     ordered = ordered.select(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyweave.runtime import materialize
+from skyweave.runtime import materialize, scratch_path
 
 # ASCII white space, as a Java regular expression.
 SPACES = "[\\x20\\x09-\\x0D]+"
@@ -16,6 +16,17 @@ SPACE_CHARACTERS = " \t\n\x0b\x0c\r"
 _IN_PARTITION = (1 << 33) - 1
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder, read again.
+
+    For tables that stand several times in one plan; Spark 4.1 does not carry the constraints of a
+    checkpoint over to its copies there.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def text_of(column: Column) -> Column:
     """The text, or an empty string for null."""
     return F.coalesce(column, F.lit(""))

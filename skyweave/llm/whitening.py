@@ -20,7 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyweave.runtime import scratch_path
+from skyweave.llm.rows import written
+
 
 COMPONENTS = 16
 
@@ -183,12 +184,6 @@ def combined(a: Spectrum, b: Spectrum) -> Spectrum:
 # over the rows
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def whole_entries(vector: Column, scale: int = SCALE, offset: int = OFFSET) -> Column:
     return F.transform(vector, lambda c: F.floor(c.cast("double") * scale).cast("long") + offset)
 
@@ -211,7 +206,7 @@ def _reduced(rows: DataFrame, add: Callable[[pd.DataFrame], pd.DataFrame], schem
     while n > 1:
         numbered = level.withColumn("_group", F.expr(f"part div {GROUP}"))
         level = numbered.groupBy("_group").applyInPandas(lambda key, own: add(own.sort_values("part")).assign(part=key[0]), schema)
-        level = _written(level, "whitening-level")
+        level = written(level, "whitening-level")
         n = -(-n // GROUP)
         if n > 1:
             n = level.count()
@@ -220,7 +215,7 @@ def _reduced(rows: DataFrame, add: Callable[[pd.DataFrame], pd.DataFrame], schem
 
 def _numbered(parts: DataFrame, schema: str) -> DataFrame:
     """Rows of tasks, written, with numbers from 0 that leave no gap beyond the tasks that had no row."""
-    return _written(parts.withColumn("part", F.spark_partition_id().cast("long")).selectExpr(*[c.split()[0] for c in schema.split(", ")]), "whitening-parts")
+    return written(parts.withColumn("part", F.spark_partition_id().cast("long")).selectExpr(*[c.split()[0] for c in schema.split(", ")]), "whitening-parts")
 
 
 _SPECTRUM = "part long, n long, mean array<double>, values array<double>, vectors array<double>"
@@ -301,7 +296,7 @@ class Whitening(NamedTuple):
 def fit_whitening(vectors: DataFrame, components: int = COMPONENTS, refinements: int = REFINEMENTS) -> Whitening | None:
     """Fit on the distinct vectors of column ``x`` (array of long, all of one length); None where there are none."""
     # Copies are reduced in the task that reads them, before they are moved.
-    fit = _written(vectors.select("x").distinct(), "whitening-fit")
+    fit = written(vectors.select("x").distinct(), "whitening-fit")
     dims = fit.select(F.size("x").alias("d")).first()
     if dims is None:
         return None
