@@ -294,49 +294,53 @@ def _candidates(postings: DataFrame, parts: DataFrame, similarity: int, block: i
     return _bounded(met, parts, similarity)
 
 
+def _distinct_postings(postings: DataFrame) -> DataFrame:
+    """Postings of the shingles of two texts or more, one shingle for each set of texts.
+
+    Shingles with the same texts come in the same order in all of them; the earliest gives every pair
+    that any of them gives, at the place that the positional filter needs. Equal sets of texts are
+    told by their number and two sums of hashes.
+    """
+    sums = [F.sum(F.xxhash64("nid", F.lit(k)).cast("decimal(20,0)")).alias(f"h{k}") for k in (1, 2)]
+    lists = postings.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("nid", "place")).alias("at"), *sums)
+    kept = lists.where("m > 1").groupBy("m", "h1", "h2", "at.nid").agg(F.min(F.struct("at.place", "token"))["token"].alias("token"))
+    return postings.join(kept.select("token"), "token")
+
+
 def _joined_components(postings: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     """(``node``, ``root``) of the texts that have a link, from as few pairs as decide it.
 
-    The texts of a prefix shingle are compared with one of them, the hub, and components are formed.
+    The texts of a prefix shingle are compared with one of them, the hub, and components are formed. The
+    hub is the text with the fewest shingles of its own, the likeliest original of the others.
     Shingles whose texts lie in several components go on: a hub outside the largest of them is
-    compared with all texts of other components, until a round finds no link. Then every pair that is
-    left, of texts in different components, is compared. No pair is verified twice, and none is left
+    compared with all texts of other components, while a round links one text in a hundred. Then every
+    pair that is left, of texts in different components, is compared. No pair is verified twice, and none is left
     out but those within a component, whose links cannot change it.
     """
-    groups = written(_shared_postings(postings).select("token", "nid", "n", "place"), "postings")
-    labels, tried = None, None
-    while True:
-        if labels is None:
-            rest = groups.withColumn("root", F.col("nid"))
-            hubs = rest.groupBy("token").agg(F.min(F.struct("nid", "n", "place", "root")).alias("hub"))
-        else:
-            own = labels.select(F.col("node").alias("nid"), "root")
-            rest = groups.join(own, "nid", "left").withColumn("root", F.coalesce("root", "nid"))
-            counted = rest.groupBy("token", "root").agg(F.count(F.lit(1)).alias("c"))
-            tops = counted.groupBy("token").agg(F.max(F.struct("c", "root"))["root"].alias("top"), F.count(F.lit(1)).alias("k"))
-            rest = rest.join(tops.where("k > 1").select("token", "top"), "token")
-            rest = written(rest, "postings")
-            groups = rest.select("token", "nid", "n", "place")
-            outside = rest.where("root <> top")
-            hubs = outside.groupBy("token").agg(F.min(F.struct("nid", "n", "place", "root")).alias("hub"))
-        x = hubs.select("token", "hub.*").alias("x")
-        apart = (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root"))
-        pairs = _bounded(x.join(rest.alias("y"), apart & _far_enough(similarity)), sets, similarity)
+    groups = written(_distinct_postings(postings), "postings")
+    n_texts = groups.select("nid").distinct().count()
+    hub = F.min(F.struct("alone", "nid", "n", "place", "root")).alias("hub")
+    apart = (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root"))
+    labels = tried = None
+    rest = groups.withColumns({"root": F.col("nid"), "top": F.lit(None).cast("long")})
+    pays = True
+    while pays:
+        hubs = rest.where("top IS NULL OR root <> top").groupBy("token").agg(hub).select("token", "hub.*")
+        pairs = _bounded(hubs.alias("x").join(rest.alias("y"), apart & _far_enough(similarity)), sets, similarity)
         pairs = written(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         links = written(_verified(pairs, sets, similarity), "links")
         tried = pairs if tried is None else tried.union(pairs)
-        if links.isEmpty():
-            break
         known = links if labels is None else links.union(labels.select(F.col("node").alias("a"), F.col("root").alias("b")))
         labels = written(components(known), "labels")
-    if labels is None:
-        labels = components(links)
-        rest = rest.withColumn("top", F.lit(None).cast("long"))
+        own = labels.select(F.col("node").alias("nid"), "root")
+        rest = rest.select(*groups.columns).join(own, "nid", "left").withColumn("root", F.coalesce("root", "nid"))
+        counted = rest.groupBy("token", "root").agg(F.count(F.lit(1)).alias("c"))
+        tops = counted.groupBy("token").agg(F.max(F.struct("c", "root"))["root"].alias("top"), F.count(F.lit(1)).alias("k"))
+        rest = written(rest.join(tops.where("k > 1").select("token", "top"), "token"), "postings")
+        pays = links.count() * 100 > n_texts
     # One side is the texts outside the largest component, so a large one costs no pairs of its own.
-    x = rest.where("top IS NULL OR root <> top").alias("x")
-    y = rest.alias("y")
-    apart = (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root"))
-    once = F.coalesce(F.col("y.root") == F.col("y.top"), F.lit(False)) | (F.col("x.nid") < F.col("y.nid"))
+    x, y = rest.where("root <> top").alias("x"), rest.alias("y")
+    once = (F.col("y.root") == F.col("y.top")) | (F.col("x.nid") < F.col("y.nid"))
     left = _bounded(x.join(y, apart & once & _far_enough(similarity)), sets, similarity)
     links = written(_verified(left.join(tried, ["a", "b"], "left_anti"), sets, similarity), "links")
     if links.isEmpty():
@@ -347,7 +351,7 @@ def _joined_components(postings: DataFrame, sets: DataFrame, similarity: int) ->
 class _Prefixed(NamedTuple):
     members: DataFrame  # doc_id, node, n_shingles: every row
     sets: DataFrame  # nid, node, n, tokens, parts of the texts that may have a partner
-    postings: DataFrame  # token, nid, n, place: their prefix shingles
+    postings: DataFrame  # token, nid, n, alone, place: their prefix shingles
 
 
 def _prefixed(docs: DataFrame, key: str, text: str, similarity: int, length: int, chunk_bytes: int, n_buckets: int | None) -> _Prefixed:
@@ -361,7 +365,7 @@ def _prefixed(docs: DataFrame, key: str, text: str, similarity: int, length: int
     sets = materialize(sets.withColumn("nid", F.monotonically_increasing_id()))
     prefix = F.slice("tokens", F.lit(1), F.greatest(_prefix(similarity) - F.col("alone"), F.lit(0)))
     postings = sets.select("nid", "n", "alone", F.posexplode(prefix).alias("at", "token"))
-    return _Prefixed(members, sets, postings.select("nid", "n", "token", (F.col("alone") + F.col("at")).alias("place")))
+    return _Prefixed(members, sets, postings.select("nid", "n", "alone", "token", (F.col("alone") + F.col("at")).alias("place")))
 
 
 class SimilarPairs(NamedTuple):
