@@ -9,9 +9,7 @@ row; only rows near or beyond the border of their cell travel.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyweave.functions.sky import FINEST_ORDER, PIXEL, parent_pixel
@@ -25,7 +23,7 @@ def cell_number(order: Column | str, pixel: Column | str) -> Column:
     """One number for a pixel of any order: the pixel under a leading bit that tells the order."""
     order = F.col(order) if isinstance(order, str) else order
     pixel = F.col(pixel) if isinstance(pixel, str) else pixel
-    return F.call_function("shiftleft", F.lit(1).cast("long"), (2 * order + 4).cast("int")) + pixel
+    return F.call_function("shiftleft", F.lit(1).cast("long"), (order.cast("int") * 2 + 4).cast("int")) + pixel
 
 
 def _ancestors(partitions: DataFrame, own: str, above: str) -> DataFrame:
@@ -82,31 +80,28 @@ def with_cell_of(df: DataFrame, partitions: DataFrame, out: str = CELL) -> DataF
     return df.withColumn(out, F.coalesce(*found)).drop(*[f"_in{o}" for o in orders])
 
 
-def rows_at_home(rows: DataFrame, reference: DataFrame, on: str) -> DataFrame:
-    """Rows whose key stands in their own cell of the reference; both sides aligned to it."""
-    return rows.where(F.col(CELL).isNotNull()).join(reference.select(CELL, on), [CELL, on], "left_semi")
+def stray_keys(rows: DataFrame, reference: DataFrame, on: str) -> DataFrame:
+    """Keys with a row in another cell than the reference has them in: ``on``, distinct.
 
+    Both tables are aligned to the same cells. What is missing in a row's own cell is found where the
+    row lies; only the keys of those rows are then looked up in all cells.
+    """
+    known = F.col(CELL).isNotNull()
+    inside = rows.where(known & F.col(on).isNotNull()).select(CELL, on)
+    away = inside.join(reference.where(known).select(CELL, on), [CELL, on], "left_anti").select(on)
+    outside = rows.where(F.col(CELL).isNull() & F.col(on).isNotNull()).select(on)
+    lost = materialize(away.unionByName(outside).distinct())
+    return reference.select(on).join(broadcast_checked(lost), on, "left_semi").distinct()
 
-def strays(rows: DataFrame, reference: DataFrame, on: str) -> DataFrame:
-    """Rows whose key stands in another cell of the reference than they do, with that cell as theirs.
 
-    They are found without moving a row, by what is missing in their own cell, and only they are
-    then joined by key. Rows whose key stands nowhere drop out.
-    """
+def crowded_keys(rows: DataFrame, on: str, most: int) -> DataFrame:
+    """Keys with more than ``most`` rows in their cell; keys are counted only in cells that hold as many."""
     inside = rows.where(F.col(CELL).isNotNull() & F.col(on).isNotNull())
-    away = inside.join(reference.select(CELL, on), [CELL, on], "left_anti")
-    outside = rows.where(F.col(CELL).isNull() & F.col(on).isNotNull())
-    lost = materialize(away.unionByName(outside).drop(CELL))
-    wanted = broadcast_checked(lost.select(on).distinct())
-    homes = reference.select(on, CELL).join(wanted, on, "left_semi").distinct()
-    return lost.join(broadcast_checked(materialize(homes)), on)
-
-
-def crowded_cells(reference: DataFrame, tables: Sequence[DataFrame], most: int) -> DataFrame:
-    """Cells in which a key may have more than ``most`` rows: those that hold more rows than that."""
-    crowded = None
-    for table in tables:
-        counted = table.where(F.col(CELL).isNotNull()).groupBy(CELL).agg(F.count(F.lit(1)).alias("n"))
-        own = counted.where(F.col("n") > most).select(CELL)
-        crowded = own if crowded is None else crowded.unionByName(own)
-    return materialize(crowded.distinct())
+    cells = inside.groupBy(CELL).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most).select(CELL)
+    counted = inside.join(broadcast_checked(materialize(cells)), CELL, "left_semi").groupBy(CELL, on).agg(F.count(F.lit(1)).alias("n"))
+    return counted.where(F.col("n") > most).select(on)
+
+
+def allow_co_located_joins(spark: SparkSession) -> None:
+    """Let the session join tables in equal buckets of the cell by (cell, id) as they lie."""
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyweave.functions.nested import START, flatten, keep_fields
+from skyweave.operators.alignment import CELL, allow_co_located_joins, crowded_keys, stray_keys
 from skyweave.operators.numbering import number_rows
 from skyweave.runtime import broadcast_checked, scratch_path
 
@@ -21,15 +22,18 @@ def _time_order(df: DataFrame, sort_by: str, tie_break: Sequence[str]) -> list[C
     return [F.col(sort_by).isNull(), F.col(sort_by), *[F.col(c) for c in tie_break]]
 
 
+def _entry(order: list[Column], fields: list[str]) -> Column:
+    keys = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)])
+    return F.struct(keys.alias("key"), F.struct(*fields).alias("row"))
+
+
 def _collected(rows: DataFrame, on: list[str], into: str, order: list[Column], fields: list[str]) -> DataFrame:
     """Fields of each key as one array in the given order.
 
     Collecting reduces nothing, so rows are shuffled as they are and grouped after, rather than
     packed into arrays on both sides of the shuffle.
     """
-    keys = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)])
-    entry = F.struct(keys.alias("key"), F.struct(*fields).alias("row"))
-    ordered = F.array_sort(F.collect_list(entry))
+    ordered = F.array_sort(F.collect_list(_entry(order, fields)))
     return rows.repartition(*on).groupBy(*on).agg(F.transform(ordered, lambda e: e["row"]).alias(into))
 
 
@@ -108,6 +112,51 @@ def nest_sources(
     return nested.select(*result_columns)
 
 
+def nest_in_cells(
+    objects: DataFrame,
+    sources: Sequence[DataFrame],
+    *,
+    on: str,
+    into: Sequence[str],
+    sort_by: str,
+    tie_break: Sequence[str] = (),
+    how: str = "left",
+    max_rows: int = MAX_ROWS_PER_PART,
+) -> DataFrame:
+    """What ``nest_sources`` gives, of tables that lie in equal buckets of the objects' cells (``Catalog.cells``).
+
+    Sources meet their object in the task that reads both, so they are not shuffled. Only objects with
+    a source in another cell, with more sources than a row holds, or with an id in several cells are
+    nested by id; their keys are found from what is missing or crowded in a cell, in narrow passes.
+    The result has no column of the alignment.
+    """
+    allow_co_located_joins(objects.sparkSession)
+    homes = objects.where(F.col(on).isNotNull()).groupBy(on).agg(F.min(CELL).alias("a"), F.max(CELL).alias("b"))
+    special = homes.where("a <> b").select(on)
+    for table in sources:
+        special = special.unionByName(stray_keys(table, objects, on)).unionByName(crowded_keys(table, on, max_rows))
+    path = scratch_path(objects.sparkSession, "special-keys")
+    special.distinct().write.parquet(path)
+    keys = broadcast_checked(objects.sparkSession.read.parquet(path).select(F.col(on).alias("_special")))
+    is_special = F.col(on) == F.col("_special")
+
+    bare = objects.drop(CELL)
+    result_columns = [*bare.columns, PART, START, *into]
+    nested = objects.join(keys, is_special, "left_anti").withColumns({PART: F.lit(0), START: F.lit(0).cast("long")})
+    for table, column in zip(sources, into):
+        order = _time_order(table, sort_by, [c for c in tie_break if c in table.columns])
+        fields = [c for c in table.columns if c not in (on, CELL)]
+        ordered = F.array_sort(F.collect_list(_entry(order, fields)))
+        own = table.where(F.col(on).isNotNull()).groupBy(CELL, on).agg(F.transform(ordered, lambda e: e["row"]).alias(column))
+        nested = nested.join(own, [CELL, on], "left" if how == "left" else "inner")
+    by_id = nest_sources(
+        bare.join(keys, is_special, "left_semi"),
+        [t.drop(CELL).join(keys, is_special, "left_semi") for t in sources],
+        on=on, into=into, sort_by=sort_by, tie_break=tie_break, how=how, max_rows=max_rows,
+    )
+    return nested.select(*result_columns).unionByName(by_id)
+
+
 def resort_nested(
     df: DataFrame, on: str, column: str, fields: Sequence[str], sort_by: str, max_rows: int = MAX_ROWS_PER_PART
 ) -> DataFrame:

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from skyweave.functions.nested import START, available_columns, full_column_names
 from skyweave.operators.calibration import calibrate
 from skyweave.operators.correction import Model, correct_errors
-from skyweave.operators.nesting import MAX_ROWS_PER_PART, PART, nest_sources, object_parts
+from skyweave.operators.alignment import CELL
+from skyweave.operators.nesting import MAX_ROWS_PER_PART, PART, nest_in_cells, nest_sources, object_parts
 from skyweave.operators.partitioning import density_map, pixel_histogram
 from skyweave.operators.spatial import crossmatch, multi_cone
 from skyweave.operators.statistics import (
@@ -101,16 +102,23 @@ def nest_catalog(
 ) -> Catalog:
     """Light-curve catalog: objects with their sources as time-sorted nested columns.
 
-    The id join needs no margins, and rows are written once, straight to their partitions. The
+    Sources in catalogs aligned to the objects' partitions are nested cell by cell and not shuffled; all
+    others by id. Neither needs margins, and rows are written once, straight to their partitions. The
     partitions are planned from the objects, each as often as it has nested rows. Where the settings
     name density orders, a density map of each is written beside the data.
     """
     layout = ["_healpix_29", "Norder", "Dir", "Npix"]
-    own = objects.all_rows().drop(*layout)
-    tables = [s.all_rows().drop(*layout) for s in sources]
-    nested = nest_sources(
-        own,
-        tables,
+    own = objects.all_rows().drop(*layout, CELL)
+    tables = [s.all_rows().drop(*layout, CELL) for s in sources]
+    aligned = objects.properties["n_buckets"] and all(
+        s.properties["cells_of"] == objects.properties["version"] for s in sources
+    )
+    join, left, right = nest_sources, own, tables
+    if aligned:
+        join, left, right = nest_in_cells, objects.cells().drop(*layout), [s.cells().drop(*layout) for s in sources]
+    nested = join(
+        left,
+        right,
         on=settings.join_id,
         into=settings.nested_columns,
         sort_by=settings.sort_by,

@@ -124,19 +124,20 @@ def catalog_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(f"SELECT objectId, ra, dec FROM ({sql.CROWDED})")
+@query(f"SELECT objectId, ra, dec, TRUE AS finer FROM ({sql.CROWDED})")
 def repartitioned_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A catalog written anew with smaller partitions, default columns and a finer order."""
-    first = object_catalog(spark, sf_dir, threshold=6_000)
+    n_rows = data.table(spark, sf_dir, "orders").count()
+    first = object_catalog(spark, sf_dir, threshold=n_rows)
     second = repartition_catalog(
         first,
         scratch_path(spark, "object_fine"),
-        threshold=1_000,
+        threshold=n_rows // 8,
         highest_order=9,
         default_columns=["objectId", "ra", "dec", "unknown"],
     )
-    assert second.properties["n_partitions"] > first.properties["n_partitions"]
-    return second.rows()
+    finer = second.properties["n_partitions"] > first.properties["n_partitions"]
+    return second.rows().withColumn("finer", F.lit(finer))
 
 
 _REWRITTEN = f"""
@@ -302,6 +303,40 @@ def nested_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten(rows, "objectForcedSource", ["objectId"], position="pos").select("objectId", "pos", "midpointMjdTai")
 
 
+def aligned_catalogs(spark: SparkSession, sf_dir: str, threshold: int = 100, n_buckets: int = 8) -> tuple[Catalog, Catalog]:
+    """Objects in buckets of their partitions, and sources scattered round them in the same buckets."""
+    common = dict(catalog_type="object", highest_order=_ORDER)
+    objects = write_catalog(
+        data.objects(spark, sf_dir, crowded=True), scratch_path(spark, "cells"), name="object", ra="ra", dec="dec",
+        threshold=threshold, n_buckets=n_buckets, **common,
+    )
+    ra, dec = data.crowded_position(F.col("objectId"))
+    shift = (F.col("sourceId") % 7 - 3) * 0.01
+    scattered = data.forced_sources(spark, sf_dir).withColumns({"coord_ra": ra, "coord_dec": F.greatest(F.lit(-90.0), F.least(F.lit(90.0), dec + shift))})
+    sources = write_catalog(
+        scattered, scratch_path(spark, "cell-sources"), name="forced", ra="coord_ra", dec="coord_dec",
+        threshold=4 * threshold, align_to=objects, **common,
+    )
+    return objects, sources
+
+
+_TIES = "sourceId, visit, detector, quantity"
+
+
+@query(f"""
+SELECT objectId, row_number() OVER (PARTITION BY objectId ORDER BY midpointMjdTai NULLS LAST, {_TIES}) - 1 AS pos, sourceId, psfFlux
+FROM ({sql.FORCED}) WHERE objectId IN (SELECT objectId FROM ({sql.CROWDED}))""")
+def nested_in_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources nested cell by cell, with some beyond the border of their object's cell and some objects in parts."""
+    objects, sources = aligned_catalogs(spark, sf_dir)
+    settings = replace(_NESTING, nested_columns=("lc",), default_columns=(), density_orders=())
+    nested = nest_catalog(
+        objects, [sources], scratch_path(spark, "nested-cells"), "object_lc", settings,
+        tie_break=("sourceId", "visit", "detector", "quantity"), max_rows=5,
+    )
+    return flatten(nested.all_rows(), "lc", ["objectId"], position="pos").select("objectId", "pos", "sourceId", "psfFlux")
+
+
 @query(f"""
 SELECT objectId, ra, dec FROM ({sql.CROWDED}) WHERE {sql.separation('ra', 'dec', '40.4', '10.3')} <= 1""")
 def catalog_cone(spark: SparkSession, sf_dir: str) -> DataFrame:

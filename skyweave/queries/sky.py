@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyweave.functions.sky import FINEST_ORDER, PIXEL, parent_pixel, settled, with_pixel
+from skyweave.operators.alignment import refinement
 from skyweave.operators.partitioning import (
     assign_partitions,
     density_map,
@@ -72,6 +73,34 @@ def adaptive_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _map(spark, sf_dir)[1]
 
 
+def _ranges_sql(alias: str) -> tuple[str, str]:
+    return f"({alias}.Npix << (2 * (29 - {alias}.Norder)))", f"(({alias}.Npix + 1) << (2 * (29 - {alias}.Norder)))"
+
+
+_COARSE_ROWS = 600
+
+
+@query(f"""{_MAP_CTE},
+     w AS (SELECT DISTINCT Norder, Npix FROM m),
+     u AS (SELECT DISTINCT o AS Norder, fine >> (2 * ({_MAP_ORDER} - o)) AS Npix FROM (
+           SELECT fine, n, coalesce(min(CASE WHEN total <= {_COARSE_ROWS} THEN o END), {_MAP_ORDER}) AS o
+           FROM l JOIN t USING (o, p) WHERE fine % 3 = 0 GROUP BY fine, n))
+SELECT w.Norder::INTEGER AS left_order, w.Npix AS left_pixel, u.Norder::INTEGER AS right_order, u.Npix AS right_pixel,
+       greatest(w.Norder, u.Norder)::INTEGER AS "order", CASE WHEN u.Norder >= w.Norder THEN u.Npix ELSE w.Npix END AS pixel
+FROM w LEFT JOIN u ON {_ranges_sql('w')[0]} < {_ranges_sql('u')[1]} AND {_ranges_sql('u')[0]} < {_ranges_sql('w')[1]}""")
+def aligned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Common refinement of a partition list and a coarser one that covers a part of it."""
+    rows = with_pixel(data.objects(spark, sf_dir, crowded=True))
+    histogram = materialize(pixel_histogram(rows, _MAP_ORDER))
+    fine = partition_map(histogram, _MAP_ORDER, _MAP_ROWS)
+    levels = materialize(partition_map(histogram, _MAP_ORDER, _COARSE_ROWS))
+    # Partitions that hold a pixel whose number divides by three.
+    some = histogram.where("pixel % 3 = 0").select(F.shiftleft("pixel", 2 * (FINEST_ORDER - _MAP_ORDER)).alias(PIXEL))
+    coarse = assign_partitions(some, levels).select("Norder", "Npix").distinct()
+    both = refinement(materialize(fine), materialize(coarse), how="left")
+    return both.withColumn("pixel", F.coalesce("pixel", "left_pixel"))
+
+
 @query(f"""{_MAP_CTE},
      f AS (SELECT Norder, Npix FROM m GROUP BY Norder, Npix ORDER BY Npix << (2 * (29 - Norder)) LIMIT 10),
      r AS (SELECT objectId, pixel FROM ({sql.pixels(_MAP_ORDER, sql.CROWDED)}))

@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from skyweave import __version__
 from skyweave.functions.nested import available_columns, full_column_names, select_columns
 from skyweave.functions.sky import FINEST_ORDER, LAYOUT_COLUMNS, PIXEL, with_pixel
+from skyweave.operators.alignment import CELL, cell_number, with_cell_of
 from skyweave.operators.keys import lookup_ids
 from skyweave.operators.partitioning import (
     assign_partitions,
@@ -38,7 +39,8 @@ _PROPERTIES_SCHEMA = """
     number bigint, version string, created timestamp, catalog_name string, catalog_type string,
     ra_column string, dec_column string, total_rows bigint, n_partitions bigint,
     n_columns bigint, est_size_kb bigint, highest_order int, builder string,
-    default_columns string, margin_threshold double, source_version string, row_schema string
+    default_columns string, margin_threshold double, source_version string, row_schema string,
+    n_buckets int, cells_of string
 """
 _PARTITIONS_SCHEMA = "Norder int, Dir bigint, Npix bigint, n_rows bigint, n_bytes bigint"
 _LAYOUT = ("Norder", "Dir", "Npix")
@@ -75,6 +77,22 @@ class Catalog:
         schema = T.StructType.fromJson(json.loads(self.properties["row_schema"]))
         return self.spark.read.schema(schema).parquet(self.data_path)
 
+    def cells(self) -> DataFrame:
+        """All rows with ``CELL``, in buckets of it, for joins that move no row; of a catalog written with buckets."""
+        n_buckets = self.properties["n_buckets"]
+        if not n_buckets:
+            raise ValueError(f"the catalog at {self.root} was written without buckets")
+        name = f"skyweave_{self.properties['version']}"
+        if not self.spark.catalog.tableExists(name):
+            schema = T.StructType.fromJson(json.loads(self.properties["row_schema"]))
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+            self.spark.sql(
+                f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY ({', '.join(_LAYOUT)})"
+                f" CLUSTERED BY ({CELL}) INTO {n_buckets} BUCKETS LOCATION '{self.data_path}'"
+            )
+            self.spark.sql(f"MSCK REPAIR TABLE {name}")
+        return self.spark.read.table(name)
+
     def rows(self, columns: Sequence[str] | str | None = None) -> DataFrame:
         """Default columns, all columns (``"all"``), or the listed ones (``nested.field`` too)."""
         data = self.all_rows()
@@ -166,12 +184,20 @@ def plan_partitions(df: DataFrame, threshold: int, highest_order: int) -> DataFr
     return materialize(partition_map(histogram, highest_order, threshold))
 
 
-def _lay_out(df: DataFrame, path: str, max_records_per_file: int, options: dict[str, str]) -> None:
+def _lay_out(
+    df: DataFrame, path: str, max_records_per_file: int, options: dict[str, str], n_buckets: int = 0, name: str = ""
+) -> None:
     """Write rows by partition, clustered along the sky curve inside each file.
 
     The rebalance splits a partition that is far larger than the others over several tasks and
-    files, so a crowded pixel is never written by one task.
+    files, so a crowded pixel is never written by one task. With ``n_buckets`` the files also go by
+    bucket of the cell, under a table name of the session, which is what Spark writes buckets for.
     """
+    if n_buckets:
+        rows = df.hint("rebalance", *_LAYOUT)
+        writer = rows.write.mode("errorifexists").format("parquet").options(**options).option("maxRecordsPerFile", max_records_per_file)
+        writer.partitionBy(*_LAYOUT).bucketBy(n_buckets, CELL).sortBy(PIXEL).option("path", path).saveAsTable(name)
+        return
     rows = df.hint("rebalance", *_LAYOUT).sortWithinPartitions(*_LAYOUT, PIXEL)
     writer = rows.write.mode("errorifexists").options(**options)
     writer.option("maxRecordsPerFile", max_records_per_file).partitionBy(*_LAYOUT).parquet(path)
@@ -211,6 +237,8 @@ def record_version(
     default_columns: Sequence[str] = (),
     margin_threshold: float | None = None,
     source_version: str | None = None,
+    n_buckets: int = 0,
+    cells_of: str | None = None,
 ) -> Catalog:
     """Count what was written, store the partition table and make the version the one in force."""
     before = properties_of(spark, root)
@@ -244,6 +272,8 @@ def record_version(
         F.lit(margin_threshold).cast("double").alias("margin_threshold"),
         F.lit(source_version).cast("string").alias("source_version"),
         F.lit(schema.json()).alias("row_schema"),
+        F.lit(n_buckets).alias("n_buckets"),
+        F.lit(cells_of).cast("string").alias("cells_of"),
     )
     row.coalesce(1).write.mode("append").json(f"{root}/properties")
     catalog = open_catalog(spark, root)
@@ -268,6 +298,8 @@ def write_catalog(
     overwrite: bool = False,
     max_records_per_file: int = 0,
     write_options: dict[str, str] | None = None,
+    n_buckets: int = 0,
+    align_to: Catalog | None = None,
 ) -> Catalog:
     """Partition a table adaptively on the sky and write it.
 
@@ -275,19 +307,30 @@ def write_catalog(
     be a cheaper frame with the same positions, such as the objects of a nested table. With
     ``resume`` a valid catalog is returned as it is; without ``overwrite`` an existing one is
     refused. Requested default columns that do not exist are left out.
+
+    With ``n_buckets`` rows carry their cell, the partition they lie in, and are stored in buckets of
+    it; ``align_to`` names another catalog of as many buckets, whose partitions are the cells then.
     """
+    if align_to is not None:
+        if n_buckets not in (0, align_to.properties["n_buckets"]) or not align_to.properties["n_buckets"]:
+            raise ValueError(f"{align_to.root} has {align_to.properties['n_buckets']} buckets")
+        n_buckets = align_to.properties["n_buckets"]
     spark = df.sparkSession
     existing = properties_of(spark, root)
     if existing is not None and resume and is_valid_catalog(spark, root):
         return open_catalog(spark, root)
     if existing is not None and not overwrite and not resume:
         raise FileExistsError(f"a catalog exists at {root}")
-    df = df.drop(*LAYOUT_COLUMNS)
+    df = df.drop(*LAYOUT_COLUMNS, CELL)
     counted = (df if positions is None else positions).select(ra, dec)
     partitions = plan_partitions(with_positions(counted, ra, dec), threshold, highest_order)
     rows = assign_partitions(with_positions(df, ra, dec), partitions)
     version = uuid.uuid4().hex
-    _lay_out(rows, f"{root}/data-{version}", max_records_per_file, write_options or {})
+    cells_of = None
+    if n_buckets:
+        cells_of = version if align_to is None else align_to.properties["version"]
+        rows = rows.withColumn(CELL, cell_number("Norder", "Npix")) if align_to is None else with_cell_of(rows, align_to.partitions())
+    _lay_out(rows, f"{root}/data-{version}", max_records_per_file, write_options or {}, n_buckets, f"skyweave_{version}")
     chosen, _ = available_columns(df, default_columns)
     return record_version(
         spark,
@@ -300,6 +343,8 @@ def write_catalog(
         dec=dec,
         highest_order=highest_order,
         default_columns=chosen,
+        n_buckets=n_buckets,
+        cells_of=cells_of,
     )
 
 
