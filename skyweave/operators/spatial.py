@@ -11,19 +11,19 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyweave.functions.pixels import REACH, coverage, edge_distance
 from skyweave.functions.sky import (
     ARCSEC_PER_RADIAN,
     FINEST_ORDER,
     PIXEL,
     chord,
     directory_of,
-    parent_pixel,
     pixel_reach,
-    pixel_width_arcsec,
-    ra_dec_of,
     separation_arcsec,
     squared_chord,
     unit_vector,
@@ -32,7 +32,6 @@ from skyweave.functions.sky import (
     with_pixel,
     with_unit_vector,
 )
-from skyweave.operators.partitioning import assign_partitions
 from skyweave.runtime import broadcast_checked, materialize
 
 CELL = ("_cx", "_cy", "_cz")
@@ -137,6 +136,32 @@ def declination_bands(centres: Sequence[float], radius_arcsec: float, most: int
     return [(low, high) for low, high in joined]
 
 
+def covered(ranges: Sequence[tuple[int, int]], low: Column, high: Column) -> Column:
+    """Whether finest-order pixels [low, high) meet any of the sorted ranges, as bounds the parquet scan can use."""
+    meets = F.lit(False)
+    for first, end in ranges:
+        meets = meets | ((low < F.lit(end)) & (high > F.lit(first)))
+    return meets
+
+
+def rows_in_coverage(df: DataFrame, ranges: Sequence[tuple[int, int]]) -> DataFrame:
+    """Rows of a catalog whose finest-order pixel lies in the ranges.
+
+    Files are sorted by that pixel, so the bounds let the scan skip row groups.
+    """
+    inside = F.lit(False)
+    for first, end in ranges:
+        inside = inside | F.col(PIXEL).between(F.lit(first), F.lit(end - 1))
+    return df.where(inside)
+
+
+def partitions_in_coverage(partitions: DataFrame, ranges: Sequence[tuple[int, int]]) -> DataFrame:
+    """Partitions (``Norder, Npix``) that overlap the ranges."""
+    shift = f"(2 * ({FINEST_ORDER} - cast(Norder as int)))"
+    low, high = F.expr(f"shiftleft(Npix, {shift})"), F.expr(f"shiftleft(Npix + 1, {shift})")
+    return partitions.where(covered(ranges, low, high))
+
+
 def multi_cone(
     df: DataFrame,
     fields: Mapping[str, tuple[float, float]],
@@ -285,102 +310,84 @@ def attach_matched_columns(
 # ---------------------------------------------------------------------------------------------
 # margins
 
-_RING_POINTS = 16
-_CORNER_POINTS = 8
 # Steepest change of the position on a face, in faces per radian, over the whole sphere.
 _FACE_SLOPE = 1.46
 
 
-def _ring(df: DataFrame, centre: tuple[str, str, str], angle: float, n_points: int, carry: list[str]) -> DataFrame:
-    """Points on a circle round each centre, one row each, as ``_pra, _pdec``."""
-    turn = 2.0 * math.pi / n_points
-    x, y, z = (F.col(c) for c in centre)
-    flat = F.hypot(x, y)
-    # East and north at the centre; at a pole any direction serves as east.
-    east_x = F.when(flat > 0, -y / F.nullif(flat, F.lit(0.0))).otherwise(0.0)
-    east_y = F.when(flat > 0, x / F.nullif(flat, F.lit(0.0))).otherwise(1.0)
-    around = df.withColumns({"_ex": east_x, "_ey": east_y}).withColumn(
-        "_turn", F.explode(F.array(*[F.lit(turn * k) for k in range(n_points)]))
-    )
-    ex, ey, cos, sin = F.col("_ex"), F.col("_ey"), F.cos("_turn"), F.sin("_turn")
-    near, far = math.cos(angle), math.sin(angle)
-    around = around.withColumns(
-        {
-            "_px": x * near + (ex * cos - z * ey * sin) * far,
-            "_py": y * near + (ey * cos + z * ex * sin) * far,
-            "_pz": z * near + (x * ey - y * ex) * sin * far,
-        }
-    )
-    ra, dec = ra_dec_of(F.col("_px"), F.col("_py"), F.col("_pz"))
-    return around.select(*carry, ra.alias("_pra"), dec.alias("_pdec"))
+def _edge_distances(x: Column, y: Column, z: Column, pixel: Column, order: Column) -> Column:
+    """Angle in radians from a unit vector to the outline of a pixel, in Arrow batches."""
+
+    @F.pandas_udf("double")
+    def measure(x: pd.Series, y: pd.Series, z: pd.Series, pixel: pd.Series, order: pd.Series) -> pd.Series:
+        vectors = np.stack([x.to_numpy(), y.to_numpy(), z.to_numpy()], -1)
+        pixels, orders, out = pixel.to_numpy(), order.to_numpy(), np.empty(len(x))
+        for at in range(0, len(out), 4096):
+            part = slice(at, at + 4096)
+            out[part] = edge_distance(vectors[part], pixels[part], orders[part])
+        return pd.Series(out)
+
+    return measure(x, y, z, pixel, order)
+
+
+def _near_partitions(spots: DataFrame, partitions: DataFrame, angle: float) -> DataFrame | None:
+    """``spots`` beside every partition whose pixel may lie within an angle of them; never misses one. None without partitions.
+
+    For each order in use, centres are copied to the grid cells that a box of the angle and the reach
+    of a pixel touches, and spots look up their own cell, so any angle costs one equi-join.
+    """
+    partitions = partitions.select("Norder", "Npix")
+    orders = sorted(row["Norder"] for row in partitions.select("Norder").distinct().collect())
+    radius = {o: chord(min(angle + REACH / (1 << o), math.pi) * ARCSEC_PER_RADIAN) for o in orders}
+    n = F.expr("shiftleft(1L, cast(Norder as int))")
+    centres = with_face_vector(with_face_position(partitions, "Npix", "Norder"), "_face", F.col("_ix") + 0.5, F.col("_iy") + 0.5, n, _RIGHT)
+    centres = materialize(centres.select("Norder", "Npix", *_RIGHT))
+    found = None
+    for o in orders:
+        size = 2.0 * _slack(radius[o])
+        own = broadcast_checked(with_touched_cells(centres.where(F.col("Norder") == o), _RIGHT, size, radius[o]))
+        near = with_cell(spots, _LEFT, size).join(own, list(CELL)).drop(*CELL)
+        limit = _slack(radius[o])
+        near = near.where(squared_chord(_LEFT, _RIGHT) <= limit * limit)
+        found = near if found is None else found.unionByName(near)
+    return None if found is None else found.drop(*_RIGHT)
 
 
 def margin_rows(
     df: DataFrame,
     partitions: DataFrame,
-    order: int,
     threshold_arcsec: float,
     ra: str = "ra",
     dec: str = "dec",
 ) -> DataFrame:
     """Copies of rows just outside each partition, keyed to that partition.
 
-    ``df`` carries its own ``Norder, Npix``; ``partitions`` lists all partitions and ``order`` is
-    the finest order among them. The result carries the target's ``Norder, Dir, Npix``. No row within the threshold is missing; rows up to about 2 % beyond it may be there.
-    The points of a ring round each row, and round a close pixel corner, tell which partitions
-    its disc touches.
+    ``df`` carries its own ``Norder, Npix`` (null for a row in no partition); ``partitions`` lists all
+    partitions. The result carries the target's ``Norder, Dir, Npix``, once for each partition whose
+    pixel lies within the threshold of the row, measured to its curved outline; the threshold may exceed
+    the pixels. Equal rows have separate copies, rows without a position have none.
     """
-    if threshold_arcsec > 0.1 * pixel_width_arcsec(order):
-        raise ValueError(f"a margin of {threshold_arcsec} arcsec is too wide for pixels of order {order}")
     angle = threshold_arcsec / ARCSEC_PER_RADIAN
-    ring_angle = angle / math.cos(math.pi / _RING_POINTS)
-    n = 1 << order
-
-    located = with_pixel(df, ra, dec, out="_own", keep_face=True)
+    columns = list(df.columns)
+    located = with_pixel(df, ra, dec, out="_own", keep_face=True).where(F.col("_own").isNotNull())
     # Position inside the row's own partition, as a share of its width; rows farther from every
     # edge than the threshold can be left out before anything is copied.
     size = F.expr(f"shiftleft(1L, {FINEST_ORDER} - cast(Norder as int))")
-    width = 2.0 ** FINEST_ORDER
-    margin = _FACE_SLOPE * ring_angle * width + 1.0
+    margin = _FACE_SLOPE * angle * 2.0**FINEST_ORDER + 1.0
     inside_x, inside_y = F.col("_ix") % size, F.col("_iy") % size
     edge = F.least(inside_x, inside_y, size - inside_x, size - inside_y)
-    close = located.where(edge <= margin)
+    close = located.where(F.col("Norder").isNull() | (edge <= margin))
     # The rows near an edge are a thin strip; fixing their numbers lets the copies travel without
     # the rows, and keeps equal rows apart.
     close = materialize(close.withColumn("_strip", F.monotonically_increasing_id()))
-    spots = close.select(
-        "_strip",
-        "_face",
-        F.shiftright("_ix", FINEST_ORDER - order).alias("_ix"),
-        F.shiftright("_iy", FINEST_ORDER - order).alias("_iy"),
-        *[c.alias(v) for c, v in zip(unit_vector(F.col(ra), F.col(dec)), _LEFT)],
-    )
-    around_row = _ring(spots, _LEFT, ring_angle, _RING_POINTS, ["_strip"])
-
-    corner = F.explode(
-        F.array(*[F.struct(F.lit(i).alias("x"), F.lit(j).alias("y")) for i in (0, 1) for j in (0, 1)])
-    )
-    corners = with_face_vector(
-        spots.withColumn("_corner", corner),
-        "_face",
-        F.col("_ix") + F.col("_corner.x"),
-        F.col("_iy") + F.col("_corner.y"),
-        F.lit(n),
-        _RIGHT,
-    )
-    limit = chord(threshold_arcsec * 1.02)
-    corners = corners.where(squared_chord(_LEFT, _RIGHT) <= limit * limit)
-    corner_angle = pixel_width_arcsec(order) / ARCSEC_PER_RADIAN * 1e-4
-    around_corner = _ring(corners, _RIGHT, corner_angle, _CORNER_POINTS, ["_strip"])
-
-    samples = with_pixel(around_row.unionByName(around_corner), "_pra", "_pdec", out="_sample")
-    # Points of one order-K pixel are in one partition: look each pixel up once, by its first child.
-    pixel = parent_pixel(F.col("_sample"), FINEST_ORDER, order)
-    samples = samples.select("_strip", F.shiftleft(pixel, 2 * (FINEST_ORDER - order)).alias(PIXEL)).distinct()
-    targets = assign_partitions(samples, partitions, outside="drop").select("_strip", "Norder", "Dir", "Npix").distinct()
-    own = [c for c in df.columns if c not in ("Norder", "Dir", "Npix")]
-    rows = close.select("_strip", F.col("Norder").alias("_o"), F.col("Npix").alias("_p"), *own)
-    copies = rows.join(targets, "_strip").where(
-        (F.col("Norder") != F.col("_o")) | (F.col("Npix") != F.col("_p"))
-    )
-    return copies.select(*own, "Norder", "Dir", "Npix")
+    vector = [c.alias(v) for c, v in zip(unit_vector(F.col(ra), F.col(dec)), _LEFT)]
+    spots = close.select("_strip", F.col("Norder").alias("_o"), F.col("Npix").alias("_p"), *vector)
+    candidates = _near_partitions(spots, partitions, angle)
+    own = [c for c in columns if c not in ("Norder", "Dir", "Npix")]
+    if candidates is None:
+        return df.select(*own, "Norder", directory_of(F.col("Npix")).alias("Dir"), "Npix").limit(0)
+    itself = F.col("Norder").eqNullSafe(F.col("_o")) & F.col("Npix").eqNullSafe(F.col("_p"))
+    # The numbers of the distant outlines pass through Python, a few for each row of the strip.
+    away = _edge_distances(*[F.col(v) for v in _LEFT], F.col("Npix"), F.col("Norder"))
+    targets = candidates.where(~itself).withColumn("_away", away).where(F.col("_away") <= angle)
+    targets = targets.select("_strip", "Norder", directory_of(F.col("Npix")).alias("Dir"), "Npix")
+    return close.select("_strip", *own).join(targets, "_strip").select(*own, "Norder", "Dir", "Npix")

@@ -91,6 +91,52 @@ def column_statistics(df: DataFrame, columns: Sequence[str] | None = None) -> Da
     return result
 
 
+def _is_summable(kind: T.DataType) -> bool:
+    return isinstance(kind, T.NumericType) and not isinstance(kind, T.DecimalType)
+
+
+def partition_statistics(df: DataFrame, by: Sequence[str] = ("Norder", "Dir", "Npix")) -> DataFrame:
+    """One row for each partition: ``n_rows`` and, for each column, a struct of what can be merged.
+
+    The struct ``stat_{column}`` has ``min_value, max_value`` in the column's own type, ``null_count``,
+    and for numbers ``total`` and ``n_values``, which leave out null and NaN. Layout columns and the fields
+    of nested columns have no extremes.
+    """
+    aggregates = [F.count(F.lit(1)).alias("n_rows")]
+    for field in df.schema.fields:
+        if field.name in by:
+            continue
+        column = F.col(f"`{field.name}`")
+        parts = [F.count_if(column.isNull()).alias("null_count")]
+        if not nested_fields(df, field.name):
+            value = _numbers_only(field, column)
+            parts += [F.min(value).alias("min_value"), F.max(value).alias("max_value")]
+            if _is_summable(field.dataType):
+                parts += [F.coalesce(F.sum(value.cast("double")), F.lit(0.0)).alias("total"), F.count(value).alias("n_values")]
+        aggregates.append(F.struct(*parts).alias(f"stat_{field.name}"))
+    return df.groupBy(*by).agg(*aggregates)
+
+
+def merged_statistics(kept: DataFrame, schema: T.StructType) -> DataFrame:
+    """``column_statistics`` of the rows behind some ``partition_statistics``, and ``mean_value`` of numbers."""
+    total = F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows")
+    aggregates, rows = [total], []
+    for i, field in enumerate(f for f in schema.fields if f"stat_{f.name}" in kept.columns):
+        own = f"`stat_{field.name}`"
+        names = kept.schema[f"stat_{field.name}"].dataType.fieldNames()
+        nothing = F.lit(None).cast("string")
+        low = F.min(F.col(f"{own}.min_value")).cast("string") if "min_value" in names else nothing
+        high = F.max(F.col(f"{own}.max_value")).cast("string") if "max_value" in names else nothing
+        mean = F.try_divide(F.sum(f"{own}.total"), F.sum(f"{own}.n_values")) if "total" in names else F.lit(None).cast("double")
+        nulls = F.coalesce(F.sum(f"{own}.null_count"), F.lit(0))
+        aggregates += [low.alias(f"_min{i}"), high.alias(f"_max{i}"), nulls.alias(f"_null{i}"), mean.alias(f"_mean{i}")]
+        rows.append(F.struct(
+            F.lit(field.name).alias("column"), F.col(f"_min{i}").alias("min_value"), F.col(f"_max{i}").alias("max_value"),
+            F.col(f"_null{i}").alias("null_count"), "n_rows", F.col(f"_mean{i}").alias("mean_value"),
+        ))
+    return kept.agg(*aggregates).select(F.inline(F.array(*rows)))
+
+
 def without_magnitudes(statistics: DataFrame) -> DataFrame:
     return statistics.where(~F.col("column").contains("Mag"))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from skyweave.functions.nested import flatten
 from skyweave.operators.calibration import calibrate
-from skyweave.operators.statistics import size_histogram
+from skyweave.operators.statistics import SKY_FIELDS, size_histogram
 from skyweave.plans.release import catalog_report, collect, correct_collection, match_surveys, nest_catalog
 from skyweave.plans.settings import (
     CollectionSettings,
@@ -23,7 +23,7 @@ from skyweave.queries import fixtures as data
 from skyweave.queries import sql
 from skyweave.queries.correction import demo_models, features
 from skyweave.queries.registry import query
-from skyweave.queries.sky import _match_sql
+from skyweave.queries.sky import _match_sql, margin_sql
 from skyweave.runtime import scratch_path
 from skyweave.sources.catalog import (
     Catalog,
@@ -38,6 +38,7 @@ from skyweave.sources.catalog import (
     rewrite_catalog,
     write_catalog,
     write_margin,
+    write_statistics,
 )
 from skyweave.sources.exports import collection_summary, write_summaries
 
@@ -354,15 +355,41 @@ def index_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collection.rows_of(wanted).select("objectId", "ra", "dec")
 
 
-@query()
+@query(f"{margin_sql(_ROWS, 150.0)} SELECT objectId, Norder, Npix, TRUE AS reused FROM margin")
 def collection_margin(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Margin table of a collection: rows near another partition; a second build reuses it."""
     collection = object_collection(spark, sf_dir, margin_arcsec=150.0)
     margin = collection.margin
-    assert is_valid_catalog(spark, margin.root) and is_reusable_margin(collection.catalog, margin.root, 150.0)
-    assert not is_reusable_margin(collection.catalog, margin.root, 5.0)
-    assert write_margin(collection.catalog, margin.root, 150.0, resume=True).properties == margin.properties
-    return margin.all_rows().select("objectId", "Norder", "Npix")
+    usable = is_valid_catalog(spark, margin.root) and is_reusable_margin(collection.catalog, margin.root, 150.0)
+    other = is_reusable_margin(collection.catalog, margin.root, 5.0)
+    again = write_margin(collection.catalog, margin.root, 150.0, resume=True).properties
+    reused = F.lit(usable and not other and again == margin.properties)
+    return margin.all_rows().select("objectId", "Norder", "Npix", reused.alias("reused"))
+
+
+_IN_CONES = f"SELECT field, objectId, ra, dec FROM ({sql.CROWDED}) JOIN ({sql.fields()}) ON {sql.separation('ra', 'dec', 'ra0', 'dec0')} <= 3"
+
+
+@query(f"""
+WITH r AS (SELECT * FROM ({sql.CROWDED}))
+SELECT 'objectId' AS "column", min(objectId)::DOUBLE AS min_value, max(objectId)::DOUBLE AS max_value, 0::BIGINT AS null_count, count(*) AS n_rows,
+       avg(objectId)::FLOAT AS mean_value FROM r
+UNION ALL SELECT 'ra', min(ra), max(ra), count(*) FILTER (ra IS NULL), count(*), avg(ra)::FLOAT FROM r
+UNION ALL SELECT 'dec', min(dec), max(dec), count(*) FILTER (dec IS NULL), count(*), avg(dec)::FLOAT FROM r""")
+def stored_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extremes, nulls and means of a written catalog from the statistics kept with it; no data row is read."""
+    catalog = object_catalog(spark, sf_dir, threshold=500)
+    write_statistics(catalog)
+    rows = catalog.statistics().where(F.col("column").isin("objectId", "ra", "dec"))
+    number = lambda c: F.col(c).cast("double").alias(c)
+    return rows.select("column", number("min_value"), number("max_value"), "null_count", "n_rows", F.col("mean_value").cast("float").alias("mean_value"))
+
+
+@query(_IN_CONES)
+def catalog_cones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All fields cut from a written catalog in one pass, by the pixel ranges that cover them."""
+    catalog = object_catalog(spark, sf_dir, threshold=100)
+    return catalog.cones(SKY_FIELDS, 3 * 3600.0).select("field", "objectId", "ra", "dec")
 
 
 @query(_match_sql(0.2, 20).replace(sql.OBJECTS, sql.CROWDED))

@@ -51,15 +51,29 @@ _MAP_ORDER, _MAP_ROWS = 7, 150
 _LEVELS = " UNION ALL ".join(
     f"SELECT pixel AS fine, n, {o} AS o, pixel >> {2 * (_MAP_ORDER - o)} AS p FROM h" for o in range(_MAP_ORDER + 1)
 )
-_MAP_CTE = f"""
+
+
+def map_sql(most: int) -> str:
+    """CTEs up to ``m`` (Norder, Npix, n), one row for each finest pixel with the partition it belongs to."""
+    return f"""
 WITH h AS (SELECT pixel, count(*) AS n FROM ({sql.pixels(_MAP_ORDER, sql.CROWDED)}) GROUP BY pixel),
      l AS ({_LEVELS}),
      t AS (SELECT o, p, sum(n) AS total FROM l GROUP BY o, p),
-     c AS (SELECT fine, n, coalesce(min(CASE WHEN total <= {_MAP_ROWS} THEN o END), {_MAP_ORDER}) AS o
+     c AS (SELECT fine, n, coalesce(min(CASE WHEN total <= {most} THEN o END), {_MAP_ORDER}) AS o
            FROM l JOIN t USING (o, p) GROUP BY fine, n),
      m AS (SELECT o AS Norder, fine >> (2 * ({_MAP_ORDER} - o)) AS Npix, n FROM c)"""
 
 
+def margin_sql(most: int, threshold_arcsec: float) -> str:
+    """``map_sql`` and further CTEs up to ``margin`` of the crowded objects."""
+    rows = f"""SELECT objectId, ra, dec, c.o, r.pixel >> (2 * ({_MAP_ORDER} - c.o)) AS p
+               FROM ({sql.pixels(_MAP_ORDER, sql.CROWDED)}) r JOIN c ON c.fine = r.pixel"""
+    return f"{map_sql(most)}, {sql.margins(rows, 'SELECT DISTINCT Norder, Npix FROM m', threshold_arcsec)}"
+
+
+_MAP_CTE = map_sql(_MAP_ROWS)
+
+
 def _map(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     rows = with_pixel(data.objects(spark, sf_dir, crowded=True))
     histogram = materialize(pixel_histogram(rows, _MAP_ORDER))
@@ -264,8 +278,9 @@ def crossmatch_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("_dist_arcsec", F.round("_dist_arcsec", 6))
 
 
-@query()
+@query(f"""{margin_sql(_MAP_ROWS, 2500.0)}
+SELECT objectId, Norder, Npix // 10000 * 10000 AS Dir, Npix FROM margin""")
 def margin_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Copies of objects within 150 arcsec of another partition; checked by brute force in the tests."""
+    """Copies of objects within 2,500 arcsec of another partition, more than the width of the smallest."""
     rows, partitions = _map(spark, sf_dir)
-    return margin_rows(assign_partitions(rows, partitions), partitions, _MAP_ORDER, 150.0).select("objectId", "Norder", "Dir", "Npix")
+    return margin_rows(assign_partitions(rows, partitions), partitions, 2500.0).select("objectId", "Norder", "Dir", "Npix")

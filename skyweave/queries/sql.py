@@ -130,3 +130,52 @@ FROM (SELECT *,
                                     ELSE sqrt(3 * (1 - abs(z))) END AS sc
                   FROM (SELECT *, sin(radians(dec)) AS z, cos(radians(dec)) AS cd,
                                ((ra % 360 + 360) % 360) / 90 AS tt FROM ({source})))))"""
+
+
+# Ring and longitude index of each base face of the pixel scheme, as lists.
+_FACE_RING, _FACE_LONGITUDE = "[2, 2, 2, 2, 3, 3, 3, 3, 4, 4, 4, 4]", "[1, 3, 5, 7, 0, 2, 4, 6, 1, 3, 5, 7]"
+
+
+def _face_point(source: str) -> str:
+    """``source`` (face, n, px, py and more) with the unit vector qx, qy, qz of that point of a face."""
+    return f"""
+SELECT * EXCLUDE (jr, nr, h, ph, fl), fl * cos(ph) AS qx, fl * sin(ph) AS qy, h AS qz
+FROM (SELECT *, CASE WHEN nr > 0 THEN pi() / 4 * ({_FACE_LONGITUDE}[face + 1] * nr + px - py) / nr ELSE 0 END AS ph,
+             CASE WHEN jr < n OR jr > 3 * n THEN nr / n * sqrt((1 + abs(h)) / 3) ELSE sqrt(greatest(1 - h * h, 0)) END AS fl
+      FROM (SELECT *, CASE WHEN jr < n THEN 1 - nr * nr / (3 * n * n) WHEN jr > 3 * n THEN nr * nr / (3 * n * n) - 1
+                           ELSE 2 * (2 * n - jr) / (3 * n) END AS h
+            FROM (SELECT *, CASE WHEN jr < n THEN jr WHEN jr > 3 * n THEN 4 * n - jr ELSE n END AS nr
+                  FROM (SELECT *, {_FACE_RING}[face + 1] * n - px - py AS jr FROM ({source})))))"""
+
+
+def margins(rows: str, partitions: str, threshold_arcsec: float) -> str:
+    """CTEs up to ``margin`` (objectId, Norder, Npix): rows within the threshold of a partition they are not in.
+
+    ``rows`` has objectId, ra, dec and the own o, p; ``partitions`` has Norder, Npix. The outline of every
+    near partition is tried at 33 points an edge, and then four times closer round the nearest ones.
+    """
+    angle = threshold_arcsec / 3600 * 3.141592653589793 / 180
+    even = lambda v: " + ".join(f"((({v}) >> {2 * b}) & 1) * {1 << b}" for b in range(12))
+    spread = "(2 * asin(least(1, sqrt(pow(qx - vx, 2) + pow(qy - vy, 2) + pow(qz - vz, 2)) / 2)))"
+    points = lambda source, width: f"""
+SELECT *, CASE e WHEN 0 THEN x + t WHEN 1 THEN x + t WHEN 2 THEN x ELSE x + 1 END AS px,
+       CASE e WHEN 0 THEN y WHEN 1 THEN y + 1 ELSE y + t END AS py
+FROM (SELECT * EXCLUDE (c, d), greatest(0, least(1, c + {width!r}::DOUBLE * s / 32)) AS t FROM ({source}), (SELECT unnest(range(-16, 17)) AS s))"""
+    best = lambda source: f"""
+SELECT k, any_value(objectId) AS objectId, any_value(Norder) AS Norder, any_value(Npix) AS Npix, any_value(vx) AS vx, any_value(vy) AS vy,
+       any_value(vz) AS vz, any_value(face) AS face, any_value(n) AS n, any_value(x) AS x, any_value(y) AS y, e, arg_min(t, d) AS c, min(d) AS d
+FROM (SELECT *, {spread} AS d FROM ({_face_point(source)})) GROUP BY k, e"""
+    steps = [f"z1 AS ({best(points('SELECT *, 0.5::DOUBLE AS c, 0 AS d FROM q, (SELECT unnest(range(4)) AS e)', 1.0))})"]
+    for level in range(2, 6):
+        keep = f"SELECT * FROM z{level - 1} WHERE d <= {angle!r}::DOUBLE + {3.0 / 16 ** (level - 2)!r}::DOUBLE / n"
+        steps.append(f"z{level} AS ({best(points(keep, 2.0 / 16 ** (level - 1)))})")
+    return f"""
+     a AS (SELECT *, cos(radians(dec)) * cos(radians(ra)) AS vx, cos(radians(dec)) * sin(radians(ra)) AS vy, sin(radians(dec)) AS vz FROM ({rows})),
+     b AS (SELECT *, Npix >> (2 * Norder) AS face, (1 << Norder)::DOUBLE AS n, Npix & ((1::BIGINT << (2 * Norder)) - 1) AS inside FROM ({partitions})),
+     f AS (SELECT Norder, Npix, face, n, ({even('inside')})::DOUBLE AS x, ({even('inside >> 1')})::DOUBLE AS y FROM b),
+     g AS ({_face_point('SELECT *, x + 0.5 AS px, y + 0.5 AS py FROM f')}),
+     q AS (SELECT row_number() OVER () AS k, objectId, vx, vy, vz, Norder, Npix, face, n, x, y FROM a, g
+           WHERE (a.o <> g.Norder OR a.p <> g.Npix) AND {spread} <= {angle!r}::DOUBLE + 1.1::DOUBLE / n),
+     {', '.join(steps)},
+     margin AS (SELECT k, any_value(objectId) AS objectId, any_value(Norder)::INTEGER AS Norder, any_value(Npix) AS Npix FROM z5
+                WHERE d <= {angle!r}::DOUBLE GROUP BY k)"""

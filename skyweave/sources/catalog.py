@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -23,13 +23,22 @@ from skyweave import __version__
 from skyweave.functions.nested import available_columns, full_column_names, select_columns
 from skyweave.functions.sky import FINEST_ORDER, LAYOUT_COLUMNS, PIXEL, with_pixel
 from skyweave.operators.alignment import CELL, cell_number, with_cell_of
-from skyweave.operators.keys import lookup_ids
+from skyweave.operators.keys import HASH, HASHES, id_hash, lookup_ids
 from skyweave.operators.partitioning import (
     assign_partitions,
     partition_map,
     pixel_histogram,
 )
-from skyweave.operators.spatial import cone_search, margin_rows, partitions_in_cone
+from skyweave.functions.pixels import coverage
+from skyweave.operators.spatial import (
+    cone_search,
+    margin_rows,
+    multi_cone,
+    partitions_in_cone,
+    partitions_in_coverage,
+    rows_in_coverage,
+)
+from skyweave.operators.statistics import merged_statistics, partition_statistics
 from skyweave.runtime import broadcast_checked, materialize
 
 # Finest partition order unless a catalog asks for another.
@@ -123,6 +132,29 @@ class Catalog:
         return rows.join(near, ["Norder", "Npix"], "left_semi")
 
 
+    def partition_statistics(self) -> DataFrame:
+        """Statistics of each partition, one row each, as kept by ``write_statistics``."""
+        return self.spark.read.parquet(f"{self.root}/statistics-{self.properties['version']}")
+
+    def statistics(self, partitions: DataFrame | None = None) -> DataFrame:
+        """``column_statistics`` of all or the given partitions (``Norder, Npix``), merged from what is kept."""
+        kept = self.partition_statistics()
+        if partitions is not None:
+            kept = kept.join(broadcast_checked(partitions.select("Norder", "Npix")), ["Norder", "Npix"], "left_semi")
+        return merged_statistics(kept, self.all_rows().schema)
+
+    def cones(self, fields: Mapping[str, tuple[float, float]], radius_arcsec: float) -> DataFrame:
+        """Rows of several named cones with the name as ``field``; see ``multi_cone``.
+
+        The cones are covered by ranges of pixels: folders outside them are skipped, and row groups
+        within folders are skipped by the pixel the files are sorted by.
+        """
+        ranges = coverage([(ra, dec, radius_arcsec) for ra, dec in fields.values()])
+        near = broadcast_checked(partitions_in_coverage(self.partitions().select("Norder", "Npix"), ranges))
+        rows = rows_in_coverage(self.all_rows(), ranges).join(near, ["Norder", "Npix"], "left_semi")
+        return multi_cone(rows, fields, radius_arcsec, *self.position)
+
+
 def dataset_exists(spark: SparkSession, path: str) -> bool:
     """Whether a parquet dataset can be read at a path."""
     try:
@@ -348,6 +380,24 @@ def write_catalog(
     )
 
 
+def write_statistics(catalog: Catalog, before: Catalog | None = None, changed: DataFrame | None = None) -> DataFrame:
+    """Keep minimum, maximum, sum, nulls and rows of every column and partition beside a version.
+
+    They are mergeable, so those of any set of partitions follow without reading a data row. With the
+    version ``before`` and the partitions that ``changed`` since (``Norder, Npix``), only these are read.
+    """
+    rows = catalog.all_rows()
+    if changed is not None:
+        listed = broadcast_checked(changed.select("Norder", "Npix").distinct().where(F.col("Npix") >= 0))
+        rows = rows.join(listed, ["Norder", "Npix"], "left_semi")
+    kept = partition_statistics(rows)
+    if changed is not None:
+        same = before.partition_statistics().join(listed, ["Norder", "Npix"], "left_anti")
+        kept = same.unionByName(kept, allowMissingColumns=True)
+    kept.write.mode("overwrite").parquet(f"{catalog.root}/statistics-{catalog.properties['version']}")
+    return catalog.partition_statistics()
+
+
 def _write_in_place(rows: DataFrame, writer_options: dict[str, str], path: str) -> None:
     """Write rows that were read from a catalog to the same partitions, without a shuffle.
 
@@ -533,9 +583,7 @@ def write_margin(
         return open_catalog(spark, root)
     # Only orders in use matter: every partition is a union of pixels of the finest one.
     order = catalog.partitions().agg(F.max("Norder")).first()[0] or 0
-    rows = margin_rows(
-        catalog.all_rows(), catalog.partitions(), order, threshold_arcsec, *catalog.position
-    )
+    rows = margin_rows(catalog.all_rows().drop(CELL), catalog.partitions(), threshold_arcsec, *catalog.position)
     version = uuid.uuid4().hex
     path = f"{root}/data-{version}"
     _lay_out(rows, path, 0, {})
@@ -555,13 +603,20 @@ def write_margin(
     )
 
 
-def write_index(catalog: Catalog, path: str, id_column: str) -> DataFrame:
-    """Table of ids and their places, sorted by id across files."""
+# Index rows in one folder.
+INDEX_ROWS = 1 << 22
+
+
+def write_index(catalog: Catalog, path: str, id_column: str, rows_per_folder: int = INDEX_ROWS) -> DataFrame:
+    """Table of ids and their places, in folders by id hash, sorted by id, with Bloom filters of the ids."""
+    n = max(1, -(-catalog.properties["total_rows"] // rows_per_folder))
     rows = catalog.all_rows().select(id_column, PIXEL, "Norder", "Dir", "Npix")
-    # The pixel splits the range of an id that fills many rows.
-    placed = rows.repartitionByRange(id_column, PIXEL).sortWithinPartitions(id_column, PIXEL)
-    placed.write.mode("overwrite").parquet(path)
-    return catalog.spark.read.parquet(path)
+    placed = rows.withColumns({HASHES: F.lit(n), HASH: id_hash(id_column, n)})
+    # The rebalance splits the folder of an id that fills many rows over several tasks.
+    placed = placed.hint("rebalance", HASHES, HASH).sortWithinPartitions(HASHES, HASH, id_column, PIXEL)
+    writer = placed.write.mode("overwrite").option(f"parquet.bloom.filter.enabled#{id_column}", "true")
+    writer.option(f"parquet.bloom.filter.expected.ndv#{id_column}", min(rows_per_folder, 1 << 20)).partitionBy(HASHES, HASH).parquet(path)
+    return catalog.spark.read.schema(placed.schema).parquet(path)
 
 
 @dataclass(frozen=True)

@@ -18,7 +18,8 @@ HIGH_TARGET_BYTES = 1024 * 1024 * 1024
 
 def normal_path(path: Column) -> Column:
     """One spelling for a path, with or without a ``file:`` scheme and repeated slashes."""
-    return F.regexp_replace(path, r"^file:/+", "/")
+    bare = F.concat(F.lit("/"), F.ltrim(F.substr(path, F.lit(6)), F.lit("/")))
+    return F.when(path.startswith("file:"), bare).otherwise(path)
 
 
 def _in_file_order(df: DataFrame) -> DataFrame:
@@ -126,14 +127,9 @@ _ABSENT = {
 }
 
 
-def listed_folders(index: DataFrame) -> list[str]:
-    """Folders of the indexed files, without those inside another one; far fewer than the files."""
-    folder = F.regexp_replace("path", r"/[^/]*$", "").alias("folder")
-    kept: list[str] = []
-    for row in index.select(folder).distinct().orderBy("folder").toLocalIterator():
-        if not (kept and f"{row['folder']}/".startswith(f"{kept[-1]}/")):
-            kept.append(row["folder"])
-    return kept
+def listed_files(index: DataFrame) -> list[str]:
+    """The indexed files, each once; only their paths come to the driver, which plans the scan of them."""
+    return [row["path"] for row in index.select("path").where(F.col("path").isNotNull()).distinct().orderBy("path").toLocalIterator()]
 
 
 def indexed_scan(
@@ -141,7 +137,6 @@ def indexed_scan(
     index: DataFrame,
     *,
     dims: Sequence[str] | None = None,
-    root: str | None = None,
     schema: T.StructType | None = None,
     columns: Sequence[str] | None = None,
 ) -> DataFrame:
@@ -150,24 +145,23 @@ def indexed_scan(
     ``index`` holds ``path`` and the keys. File by file, a key is attached only where the file has
     no column of that name; a file's own column stays, nulls included. Files may differ in their
     columns: the result has all of them, or those of ``schema``. ``columns`` reads just those
-    columns and attaches no keys. The files are found in ``root`` and its folders, or in the folders
-    that the index names; other files there are not taken. Keys are of the types of ``_ABSENT``,
-    whose values no file may hold in a key column.
+    columns and attaches no keys. Nothing but the listed files is opened, neither for the rows nor for
+    their schema. Keys are of the types of ``_ABSENT``, whose values no file may hold in a key column.
     """
     dims = [c for c in index.columns if c != "path"] if dims is None else list(dims)
-    folders = [root] if root is not None else listed_folders(index)
-    if not folders:
+    files = listed_files(index)
+    if not files:
         if schema is None:
             raise ValueError("an empty index has no schema to read")
         return _without_files(spark, schema, index, dims, columns)
     reader = spark.read.option("recursiveFileLookup", True)
-    own = schema or reader.option("mergeSchema", True).parquet(*folders).schema
+    own = schema or reader.option("mergeSchema", True).parquet(*files).schema
     if columns is not None:
-        return _listed_rows(reader.schema(own).parquet(*folders), index, []).select(*columns)
+        return reader.schema(own).parquet(*files).select(*columns)
 
     fields = [f for f in own.fields if f.name not in dims]
     fields += [_with_default(own[d].dataType if d in own.names else index.schema[d].dataType, d) for d in dims]
-    rows = _listed_rows(reader.schema(T.StructType(fields)).parquet(*folders), index, dims)
+    rows = _with_keys(reader.schema(T.StructType(fields)).parquet(*files), index, dims)
     kinds = {f.name: f.dataType for f in fields}
 
     def key(name: str) -> Column:
@@ -191,8 +185,8 @@ def _without_files(
     return empty.select(*columns) if columns is not None else empty
 
 
-def _listed_rows(files: DataFrame, index: DataFrame, dims: Sequence[str]) -> DataFrame:
-    """Rows of the files that the index lists, with its keys as ``_key_…``."""
+def _with_keys(files: DataFrame, index: DataFrame, dims: Sequence[str]) -> DataFrame:
+    """Rows with the keys of their file as ``_key_…``."""
     keys = index.select(
         normal_path(F.col("path")).alias("_listed"), *[F.col(d).alias(f"_key_{d}") for d in dims]
     ).distinct()
@@ -206,20 +200,14 @@ def partition_size_estimate(spark: SparkSession, paths: DataFrame) -> DataFrame:
     Gives ``n_files, n_rows, n_bytes, low_rows, high_rows``; the estimates are null without data.
     Rows are counted from the footers, sizes come from the listing.
     """
-    listed = paths.select("path").distinct()
-    folders = listed_folders(listed)
-    if not folders:
+    listed = listed_files(paths)
+    if not listed:
         empty = "0L as n_files", "0L as n_rows", "0L as n_bytes", "null as low_rows", "null as high_rows"
         return spark.range(1).selectExpr(*empty)
-    rows = spark.read.option("recursiveFileLookup", True).parquet(*folders)
-    counted = _listed_rows(rows, listed, []).agg(F.count(F.lit(1)).alias("n_rows"))
+    counted = spark.read.option("recursiveFileLookup", True).parquet(*listed).agg(F.count(F.lit(1)).alias("n_rows"))
     # Files without rows appear in no scan, so sizes come from the listing.
-    inventory = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folders)
-    inventory = inventory.select(normal_path(F.col("path")).alias("_listed"), "length")
-    wanted = broadcast_checked(listed.select(normal_path(F.col("path")).alias("_listed")).distinct())
-    files = inventory.join(wanted, "_listed", "left_semi").agg(
-        F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("n_bytes")
-    )
+    inventory = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(listed)
+    files = inventory.agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("n_bytes"))
     both = files.withColumn("n_rows", counted.scalar())
 
     def fill(target: int) -> Column:

@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 
 from skyweave.functions.sky import PIXEL, with_pixel
 from skyweave.operators.correction import Model, batch_scorer
+from skyweave.operators.keys import lookup_places
 from skyweave.operators.nesting import PART
 from skyweave.operators.partitioning import assign_partitions, partition_map, pixel_histogram
+from skyweave.operators.statistics import column_statistics
 from skyweave.plans.release import (
     catalog_density,
     collect,
@@ -36,7 +38,9 @@ from skyweave.sources.catalog import (
     repartition_catalog,
     rewrite_catalog,
     write_catalog,
+    write_index,
     write_margin,
+    write_statistics,
 )
 from skyweave.sources.exports import collection_summary, write_summaries
 
@@ -257,6 +261,43 @@ def test_collection(spark, catalog, tmp_path):
     assert match_surveys({"c": collection}, surveys, root, resume=True) == written
 
 
+def test_far_ids_read_their_folders_only(spark, catalog, tmp_path):
+    index = write_index(catalog, str(tmp_path / "index"), "objectId", rows_per_folder=50)
+    assert index.select("_h").distinct().count() == 30 == index.first()["_n"]
+    assert index.count() == catalog.properties["total_rows"]
+    wanted = spark.createDataFrame([(0,), (2_249,)], "objectId long")
+    places = lookup_places(index, wanted, "objectId")
+    assert sorted(r["objectId"] for r in places.collect()) == [0, 2249]
+    plan = places._jdf.queryExecution().executedPlan().toString()
+    assert "In(objectId, [0,2249])" in plan and "dynamicpruning" in plan
+    folders = index.where(F.col("objectId").isin(0, 2_249)).select(F.input_file_name()).distinct().count()
+    assert folders <= 2
+    assert lookup_places(index.limit(0), wanted, "objectId").isEmpty()
+
+
+def test_statistics_of_a_version(spark, tmp_path):
+    """Merged from partitions they are those of the rows; after a change only the changed partitions are read."""
+    rng = random.Random(3)
+    rows = [(i, ra, dec, None if i % 7 == 0 else float("nan") if i % 5 == 0 else rng.gauss(0, 9), f"s{i % 11}") for i, ra, dec in sky_rows(400)]
+    rows = spark.createDataFrame(rows, "objectId long, ra double, dec double, v double, s string")
+    first = write(rows, tmp_path / "c", threshold=30)
+    write_statistics(first)
+    columns = ["column", "min_value", "max_value", "null_count", "n_rows"]
+    direct = lambda df: sorted(map(tuple, column_statistics(df.drop("Norder", "Dir", "Npix")).select(*columns).collect()))
+    kept = lambda c, *a: sorted(map(tuple, c.statistics(*a).select(*columns).collect()))
+    assert kept(first) == direct(first.all_rows())
+    some = first.partitions().where("Npix % 2 = 0").select("Norder", "Npix")
+    assert kept(first, some) == direct(first.all_rows().join(some, ["Norder", "Npix"], "left_semi"))
+    mean = {r["column"]: r["mean_value"] for r in first.statistics().collect()}
+    assert mean["v"] == pytest.approx(first.all_rows().where("not isnan(v)").agg(F.avg("v")).first()[0])
+    assert mean["s"] is None
+    second = rewrite_catalog(first, lambda df: df.withColumn("v", F.when(F.col("Npix") % 2 == 0, F.col("v") * 2).otherwise(F.col("v"))))
+    write_statistics(second, before=first, changed=some)
+    assert kept(second) == direct(second.all_rows())
+    files = {f.rsplit("/", 2)[-2] for f in second.statistics().inputFiles()}
+    assert all("statistics-" in f for f in second.partition_statistics().inputFiles()) and files
+
+
 def test_light_curves_corrected(spark, catalog, table, tmp_path):
     sources = table.crossJoin(spark.range(3).withColumnRenamed("id", "n")).select(
         "objectId", "ra", "dec", F.col("n").alias("visit"), F.lit(1).cast("long").alias("detector"),

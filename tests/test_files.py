@@ -9,7 +9,7 @@ from skyweave.sources.files import (
     first_file_schema,
     indexed_scan,
     join_keys_to_paths,
-    listed_folders,
+    listed_files,
     partition_size_estimate,
     read_index_files,
     read_key_table,
@@ -49,7 +49,7 @@ def test_projected_scan_has_no_keys(spark, raw):
 def test_scan_of_a_folder_keeps_listed_files(spark, raw, tmp_path):
     index = spark.createDataFrame([(raw[0], 5)], "path string, tract long")
     schema = spark.read.parquet(raw[0]).schema
-    rows = indexed_scan(spark, index, root=str(tmp_path), schema=schema).collect()
+    rows = indexed_scan(spark, index, schema=schema).collect()
     assert sorted((r["id"], r["tract"]) for r in rows) == [(1, 5), (2, 5)]
 
 
@@ -60,15 +60,24 @@ def test_scan_keeps_columns_that_only_some_files_have(spark, tmp_path):
     rows = {r["id"]: (r["f"], r["tract"], r["g"]) for r in indexed_scan(spark, index).collect()}
     assert rows == {1: (0.5, 10, None), 2: (1.5, 99, "x")}
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("tract", T.LongType())])
-    fixed = indexed_scan(spark, index, schema=schema, root=str(tmp_path))
+    fixed = indexed_scan(spark, index, schema=schema)
     assert fixed.columns == ["id", "tract"]
     assert sorted(map(tuple, fixed.collect())) == [(1, 10), (2, 99)]
 
 
-def test_folders_without_those_inside(spark):
-    paths = ["/a/b/1", "/a/b/2", "/a/b/c/3", "/a/bc/4", "file:/x/5"]
-    index = spark.createDataFrame([(p,) for p in paths], "path string")
-    assert listed_folders(index) == ["/a/b", "/a/bc", "file:/x"]
+def test_only_listed_files_are_opened(spark, tmp_path):
+    """One listed file among many, one of them broken, and others of another schema."""
+    listed = one_file(spark.createDataFrame([(1, 0.5)], "id long, f double"), tmp_path / "many" / "a")
+    for i in range(5):
+        one_file(spark.createDataFrame([(i, "x")], "id long, other string"), tmp_path / "many" / f"o{i}")
+    (tmp_path / "many" / "a" / "broken.parquet").write_bytes(b"no parquet")
+    index = spark.createDataFrame([(listed, 3), (listed, 3)], "path string, tract long")
+    assert listed_files(index) == [listed]
+    rows = indexed_scan(spark, index)
+    assert rows.columns == ["id", "f", "tract"]
+    assert [tuple(r) for r in rows.collect()] == [(1, 0.5, 3)]
+    assert len(rows.inputFiles()) == 1
+    assert partition_size_estimate(spark, index).first()["n_files"] == 1
 
 
 def test_empty_index(spark):

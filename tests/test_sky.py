@@ -1,9 +1,11 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from skyweave.functions.pixels import coverage, face_vector, split_pixel
 from skyweave.functions.sky import (
     PIXEL,
     parent_pixel,
@@ -25,6 +27,7 @@ from skyweave.operators.spatial import (
     crossmatch,
     declination_bands,
     margin_rows,
+    rows_in_coverage,
     multi_cone,
     partitions_in_cone,
 )
@@ -287,7 +290,7 @@ def test_margin_misses_nothing_within_the_threshold(spark):
     df = with_pixel(points(spark, rows))
     pmap = partition_map(pixel_histogram(df, order), order, 40)
     placed = assign_partitions(df, pmap)
-    found = margin_rows(placed, pmap, order, threshold)
+    found = margin_rows(placed, pmap, threshold)
     assert found.columns == placed.select("id", "ra", "dec", PIXEL, "Norder", "Dir", "Npix").columns
     copies = {(r["id"], r["Norder"], r["Npix"]) for r in found.collect()}
     assert len(copies) == found.count()
@@ -315,11 +318,57 @@ def test_margin_misses_nothing_within_the_threshold(spark):
     assert len(copies) <= 1.15 * len(expected) + 50
 
 
-def test_margin_wider_than_a_pixel_is_refused(spark):
-    df = with_pixel(points(spark, uniform(10)))
-    pmap = partition_map(pixel_histogram(df, 9), 9, 1)
-    with pytest.raises(ValueError, match="too wide"):
-        margin_rows(assign_partitions(df, pmap), pmap, 9, 400.0)
+@pytest.mark.parametrize("order,threshold", [(3, 200.0), (4, 20_000.0), (2, 60_000.0)])
+def test_margin_against_dense_outlines(spark, order, threshold):
+    """Partitions of several orders, margins narrower and wider than a pixel; distances to outlines of many points."""
+    rows = uniform(250, seed=31) + [(9000 + i, 40 + i * 0.03, 10 + i * 0.02) for i in range(60)] + [(9900, 10.0, 90.0), (9901, 45.0, -89.99)]
+    df = with_pixel(points(spark, rows))
+    pmap = partition_map(pixel_histogram(df, order), order, 12)
+    placed = assign_partitions(df, pmap)
+    copies = [(r["id"], r["Norder"], r["Npix"]) for r in margin_rows(placed, pmap, threshold).collect()]
+    assert len(copies) == len(set(copies))
+    parts = [(r["Norder"], r["Npix"]) for r in pmap.collect()]
+    own = {r["id"]: (r["Norder"], r["Npix"]) for r in placed.collect()}
+    steps = np.linspace(0, 1, 4001)
+    wanted, close = set(), set()
+    vectors = {i: np.array([math.cos(math.radians(d)) * math.cos(math.radians(r)), math.cos(math.radians(d)) * math.sin(math.radians(r)), math.sin(math.radians(d))]) for i, r, d in rows}
+    for o, p in parts:
+        face, x, y = (int(v[0]) for v in split_pixel(np.array([p]), np.array([o])))
+        n = np.full(len(steps), float(1 << o))
+        faces = np.full(len(steps), face)
+        outline = np.concatenate([face_vector(faces, x + a, y + b, n) for a, b in ((steps, 0), (steps, 1), (0 * steps, steps), (0 * steps + 1, steps))])
+        for i, v in vectors.items():
+            away = 2 * math.asin(min(1.0, math.sqrt(((outline - v) ** 2).sum(1).min()) / 2)) * 206264.80624709636
+            if own[i] != (o, p) and away <= threshold * 1.001:
+                close.add((i, o, p))
+                if away <= threshold * 0.999:
+                    wanted.add((i, o, p))
+    assert len(wanted) > 5 and wanted <= set(copies) <= close
+
+
+def test_margin_of_rows_in_no_partition(spark):
+    df = with_pixel(points(spark, [(1, 45.0, 0.1), (2, 200.0, 0.0), (3, None, 1.0)]))
+    parts = spark.createDataFrame([(0, 4)], "Norder int, Npix long")
+    rows = df.withColumns({"Norder": F.lit(None).cast("int"), "Dir": F.lit(None).cast("long"), "Npix": F.lit(None).cast("long")})
+    assert [(r["id"], r["Norder"], r["Npix"]) for r in margin_rows(rows, parts, 3600.0 * 30).collect()] == [(1, 0, 4)]
+    assert margin_rows(rows, parts.limit(0), 10.0).count() == 0
+
+
+def test_coverage_misses_nothing(spark):
+    cones = [(40.0, 10.0, 3600.0), (0.0, 89.9, 7200.0), (359.99, -5.0, 100.0), (120.0, -45.0, 0.01), (200.0, 0.0, 3600.0 * 200)]
+    rng = random.Random(7)
+    for ra, dec, radius in cones:
+        ranges = coverage([(ra, dec, radius)])
+        assert len(ranges) <= 64 and all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+        near = [(i, (ra + rng.uniform(-1, 1) * radius / 3600 / max(0.01, math.cos(math.radians(dec)))) % 360, max(-90.0, min(90.0, dec + rng.uniform(-1, 1) * radius / 3600))) for i in range(300)]
+        placed = with_pixel(points(spark, near)).where(F.lit(True))
+        hits = cone_search(placed, ra, dec, radius)
+        assert hits.count() == rows_in_coverage(hits, ranges).count() > 0
+    pixels = 12 << 58
+    one = coverage([cones[0]])
+    assert sum(b - a for a, b in one) / pixels < 20 * math.radians(1.0) ** 2 / 4
+    both = coverage([cones[0], cones[2]], most=2)
+    assert len(both) == 2
 
 
 def test_equal_rows_have_separate_margin_copies(spark):
@@ -328,4 +377,4 @@ def test_equal_rows_have_separate_margin_copies(spark):
     pmap = partition_map(pixel_histogram(df, order), order, 0)
     placed = assign_partitions(df, pmap)
     assert placed.select("Npix").distinct().count() == 2
-    assert margin_rows(placed, pmap, order, 5.0).where("id = 1").count() == 3
+    assert margin_rows(placed, pmap, 5.0).where("id = 1").count() == 3
