@@ -191,10 +191,12 @@ def multi_cone(
 # ---------------------------------------------------------------------------------------------
 # cross-match
 
-# Candidates per cell beyond which a cell is matched by growing radius.
+# Candidates per cell beyond which a cell is matched through a tree of ever smaller cells.
 HOT_CELL_ROWS = 2_000
-# Share of the radius tried first in hot cells.
-_FIRST_RADII = (1.0 / 64.0, 1.0 / 8.0)
+# Rows of a tree cell that are compared one by one; at least twice the neighbours wanted.
+LEAF_ROWS = 32
+# Cells are halved no further than the steps of a coordinate near 1.
+_SMALLEST_CELL = 2.0**-52
 
 
 def _nearest(pairs: DataFrame, on: list[str], n: int) -> DataFrame:
@@ -211,32 +213,71 @@ def _pairs(left: DataFrame, right: DataFrame, radius: float, size: float) -> Dat
     return joined.withColumn("_d2", squared).where(F.col("_d2") <= radius * radius)
 
 
+def _box_distances(size: float) -> tuple[Column, Column]:
+    """Squared distances from a spot to the nearest and the farthest point of its row's cell."""
+    near, far = F.lit(0.0), F.lit(0.0)
+    for cell, axis in zip(CELL, _LEFT):
+        low, high = F.col(cell) * size, (F.col(cell) + 1) * size
+        gap = F.greatest(low - F.col(axis), F.col(axis) - high, F.lit(0.0))
+        reach = F.greatest(F.abs(F.col(axis) - low), F.abs(F.col(axis) - high))
+        near, far = near + gap * gap, far + reach * reach
+    return near * (1.0 - 1e-12), far * (1.0 + 1e-12)
+
+
+def tree_candidates(spots: DataFrame, right: DataFrame, radius: float, n: int) -> DataFrame:
+    """Pairs of spots and right rows that hold the ``n`` nearest of every spot within the radius.
+
+    Cells are halved level by level, where right rows are. A spot follows the cells that may hold one
+    of its n nearest: the rows of cells whose farthest points are closest, n of them together, bound the
+    distance of the n-th, and cells wholly beyond the least bound so far are dropped. A cell of few rows
+    is opened. So a spot meets rows in proportion to n, however many lie within the radius.
+    """
+    position = list(_LEFT)
+    leaf_rows = max(LEAF_ROWS, 2 * n)
+    size = 2.0 * _slack(radius)
+    limit = _slack(radius) ** 2
+    cells = lambda size: with_cell(right, _RIGHT, size).groupBy(*CELL).agg(F.count(F.lit(1)).alias("_rows"))
+    open_cells = with_touched_cells(spots, _LEFT, size, radius).withColumn("_bound", F.lit(limit))
+    found = None
+    while True:
+        near, far = _box_distances(size)
+        met = open_cells.join(cells(size), list(CELL)).withColumns({"_near": near, "_far": far})
+        met = met.where(F.col("_near") <= F.col("_bound"))
+        closest = Window.partitionBy(*position).orderBy("_far", *CELL).rowsBetween(Window.unboundedPreceding, 0)
+        enough = met.withColumn("_sum", F.sum("_rows").over(closest))
+        whole = Window.partitionBy(*position)
+        least = F.min(F.when(F.col("_sum") >= n, F.col("_far"))).over(whole)
+        kept = enough.withColumn("_bound", F.least("_bound", least)).where(F.col("_near") <= F.col("_bound"))
+        kept = materialize(kept.select(*position, *CELL, "_rows", "_bound"))
+        is_leaf = (F.col("_rows") <= leaf_rows) | F.lit(size <= _SMALLEST_CELL)
+        pairs = kept.where(is_leaf).join(with_cell(right, _RIGHT, size), list(CELL)).withColumn("_d2", squared_chord(_LEFT, _RIGHT))
+        pairs = pairs.where((F.col("_d2") <= F.col("_bound")) & (F.col("_d2") <= radius * radius))
+        pairs = pairs.select(*position, "_rid", "_rno", "_d2")
+        found = pairs if found is None else found.unionByName(pairs)
+        rest = kept.where(~is_leaf)
+        if rest.isEmpty():
+            return found
+        size /= 2.0
+        halves = rest.drop("_rows")
+        for c in CELL:
+            halves = halves.withColumn(c, F.explode(F.array(F.col(c) * 2, F.col(c) * 2 + 1)))
+        open_cells = halves
+
+
 def _match_hot(left: DataFrame, right: DataFrame, radius: float, n: int) -> DataFrame:
     """Exact n nearest where cells are crowded.
 
     Equal positions have equal neighbours, so left rows are matched once per position; of right
-    rows at one position only the n smallest ids can be among the n nearest. The rest is tried
-    with small radii first: a position that finds n neighbours within a radius has its n nearest
-    there, and only the others go on to the next, at last the full radius.
+    rows at one position only the n smallest ids can be among the n nearest. The candidates come from
+    a tree of cells pruned by the n-th distance.
     """
-    position = ["_lx", "_ly", "_lz"]
+    position = list(_LEFT)
     spots = materialize(left.select(*position).distinct())
     copies = Window.partitionBy(*_RIGHT).orderBy("_rid", "_rno")
     right = materialize(
         right.withColumn("_copy", F.row_number().over(copies)).where(F.col("_copy") <= n).drop("_copy")
     )
-    done = None
-    for share in (*_FIRST_RADII, 1.0):
-        step = radius * share
-        found = _nearest(_pairs(spots, right, step, 4.0 * step), position, n)
-        if share < 1.0:
-            found = materialize(found)
-            full = found.groupBy(*position).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= n)
-            full = materialize(full.drop("_n"))
-            spots = materialize(spots.join(full, position, "left_anti"))
-            found = found.join(full, position, "left_semi")
-        found = found.select(*position, "_rid", "_d2")
-        done = found if done is None else done.unionByName(found)
+    done = _nearest(tree_candidates(spots, right, radius, n), position, n).select(*position, "_rid", "_d2")
     return left.join(done, position).select("_lid", "_rid", "_d2")
 
 

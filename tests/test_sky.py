@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from skyweave.functions.pixels import coverage, face_vector, split_pixel
 from skyweave.functions.sky import (
     PIXEL,
+    chord,
     parent_pixel,
     pixel_reach,
     pixel_width_arcsec,
@@ -15,6 +16,7 @@ from skyweave.functions.sky import (
     with_face_position,
     with_face_vector,
     with_pixel,
+    with_unit_vector,
 )
 from skyweave.operators.partitioning import (
     assign_partitions,
@@ -30,6 +32,7 @@ from skyweave.operators.spatial import (
     rows_in_coverage,
     multi_cone,
     partitions_in_cone,
+    tree_candidates,
 )
 
 VECTOR = ("vx", "vy", "vz")
@@ -242,6 +245,20 @@ def test_crowded_and_usual_cells_agree_on_repeated_rows(spark):
     assert len(usual) == 4 * 7
 
 
+def test_clump_probed_from_outside(spark):
+    """A dense clump within the radius of far probes: candidates follow the neighbours wanted, not the clump."""
+    rng = random.Random(12)
+    clump = [(i, 50 + rng.gauss(0, 2e-6), 10 + rng.gauss(0, 2e-6)) for i in range(3000)] + [(5000 + i, 50.0, 10.0) for i in range(40)]
+    probes = [(i, 50 + 2e-4 * math.cos(i), 10 + 2e-4 * math.sin(i)) for i in range(12)] + [(90, 50.0, 10.0), (91, 50.1, 10.0)]
+    for n in (1, 6):
+        assert match(spark, probes, clump, 1.0, n, hot_cell_rows=50) == brute_match(probes, clump, 1.0, n)
+    left = with_unit_vector(points(spark, probes), "ra", "dec", ("_lx", "_ly", "_lz"))
+    right = with_unit_vector(points(spark, clump), "ra", "dec", ("_rx", "_ry", "_rz"))
+    right = right.select(F.col("id").alias("_rid"), F.col("id").alias("_rno"), "_rx", "_ry", "_rz")
+    pairs = tree_candidates(left.select("_lx", "_ly", "_lz"), right, chord(1.0), 6)
+    assert pairs.count() < 150 * len(probes)  # of 3,040 each
+
+
 def test_cones_of_no_and_of_any_width(spark):
     sky = spark.createDataFrame([(1, 10.0, 20.0), (2, 190.0, -20.0), (3, 11.0, 20.0)], "id long, ra double, dec double")
     found = lambda radius: sorted(r["id"] for r in multi_cone(sky, {"f": (10.0, 20.0)}, radius).collect())
