@@ -33,12 +33,12 @@ def normal_words(text: str | None) -> list[str]:
 class Windows:
     """The windows of some items: sorted hashes for each length, and the words behind each hash."""
 
-    def __init__(self, items: list[tuple[int, str | None]], length: int):
+    def __init__(self, items: list[tuple[int | None, str | None]], length: int):
         found: dict[tuple[str, ...], set[int]] = defaultdict(set)
         for item, text in items:
             words = normal_words(text)
             for i in range(max(1, len(words) - length + 1) if words else 0):
-                found[tuple(words[i : i + length])].add(item)
+                found[tuple(words[i : i + length])].update(() if item is None else (item,))
         self.hashes: dict[int, np.ndarray] = {}
         self.behind: dict[tuple[int, int], list[tuple[tuple[bytes, ...], list[int]]]] = defaultdict(list)
         by_length = defaultdict(list)
@@ -105,8 +105,8 @@ def find_contamination(
     word of a run. Items are sent to all tasks in parts of at most ``part_bytes`` of text; each part
     is one more pass over the rows, in the same stage, without a shuffle.
 
-    Null and empty texts have no words and no hits, such items no windows; items with a null id are
-    not looked for. Equal items are all named. Rows stay as they are, repeated or not; a column
+    Null and empty texts have no words and no hits, such items no windows; items with a null id mark
+    words like all others, but ``items`` cannot name them. Equal items are all named. Rows stay as they are, repeated or not; a column
     named like ``out`` is replaced. ``keep`` names the columns to return, by default all.
     """
     kept = [c for c in (docs.columns if keep is None else keep) if c != out]
@@ -114,7 +114,8 @@ def find_contamination(
         F.struct(F.lit(1).alias("_row"), *[F.col(f"`{c}`") for c in kept if c != text]).alias("_in"),
         F.col(f"`{text}`").alias("_text"),
     )
-    parts = list(_parts(benchmark.select(F.col(f"`{item}`").cast("long"), F.col(f"`{item_text}`")).dropna(), part_bytes))
+    windowed = benchmark.select(F.col(f"`{item}`").cast("long").alias("_item"), F.col(f"`{item_text}`").alias("_words"))
+    parts = list(_parts(windowed.where(F.col("_words").isNotNull()), part_bytes))
     fields = list(packed.schema.fields)
     for k, part in enumerate(parts or [[]]):
         drop = text not in kept and k + 1 >= len(parts)  # the last pass returns the text only if it is kept
@@ -148,7 +149,7 @@ def _merged(spans):
     return F.aggregate(F.array_sort(spans), empty, add)
 
 
-def _parts(items: DataFrame, part_bytes: int) -> Iterator[list[tuple[int, str]]]:
+def _parts(items: DataFrame, part_bytes: int) -> Iterator[list[tuple[int | None, str]]]:
     """All items in lists of at most ``part_bytes`` of text (a longer item alone), read one by one."""
     part, size = [], 0
     for row in items.toLocalIterator():

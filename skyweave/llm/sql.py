@@ -25,7 +25,7 @@ WITH d AS (SELECT doc_id, {_words('text', _LETTERED)} AS w FROM documents),
      found AS (SELECT doc_id, i, n, item_id FROM seen JOIN windows USING (n, x)),
      hit AS (SELECT doc_id, count(DISTINCT p)::BIGINT AS n_hit
              FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM found) GROUP BY doc_id),
-     named AS (SELECT doc_id, count(*)::BIGINT AS n_items, string_agg(item, ',' ORDER BY item) AS items
+     named AS (SELECT doc_id, count(item)::BIGINT AS n_items, string_agg(item, ',' ORDER BY item) AS items
                FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated

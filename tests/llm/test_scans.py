@@ -22,9 +22,9 @@ def brute(docs, items, length=10):
             need = words(item_text)
             for window in {tuple(need[i : i + length]) for i in range(max(1, len(need) - length + 1))} - {()}:
                 for i in range(len(have) - len(window) + 1):
-                    if item is not None and tuple(have[i : i + len(window)]) == window:
+                    if tuple(have[i : i + len(window)]) == window:
                         hit.update(range(i, i + len(window)))
-                        names.add(item)
+                        names.update({item} - {None})
         out.append((doc, len(have), len(hit), sorted(names)))
     return sorted(out, key=repr)
 
@@ -57,6 +57,15 @@ def test_contamination(spark, make_docs, case):
     assert found(make_docs(docs).repartition(3), table, window=4) == brute(docs, items, 4)
 
 
+def test_items_without_an_id_mark_words(spark, make_docs):
+    items = [(None, "alpha beta"), (None, None), (3, "beta gamma")]
+    docs = [(1, "so alpha beta it is"), (2, "Alpha Beta Gamma"), (3, "alpha, gamma")]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    for settings in ({}, {"part_bytes": 1}):
+        assert found(make_docs(docs), table, **settings) == [(1, 5, 2, []), (2, 3, 3, [3]), (3, 2, 0, [])]
+    assert [r.doc_id for r in decontaminate.decontaminate(make_docs(docs), table).collect()] == [3]
+
+
 def test_no_rows(spark, make_docs, case):
     empty = spark.createDataFrame([], "item_id long, text string")
     assert found(make_docs([]), empty) == []
