@@ -72,6 +72,8 @@ def mine_rules(
 ) -> DataFrame:
     """Rules ``rule_id``, ``tokens``, ``support``, ``confidence`` from rows (``tokens``, ``bad``).
 
+    ``rule_id`` is the JSON text of the tokens, which differs for different tokens whatever they contain.
+
     Token sets that occur with the label in at least ``min_support`` of the rows and of whose rows at
     least ``min_confidence`` carry it. A rule is left out if a subset of its tokens is a rule of no
     less confidence. Rules have any number of tokens unless ``max_tokens`` bounds it. The
@@ -101,7 +103,7 @@ def mine_rules(
     smaller = (F.size("_needs") < F.size("_whole")) & (F.size(F.array_except("_needs", "_whole")) == 0)
     covered = whole.join(index, "token").where((F.col("confidence") >= F.col("_of")) & smaller).select(F.col("_whole").alias("tokens"))
     pruned = rules.join(covered.distinct(), "tokens", "left_anti")
-    return pruned.withColumn("rule_id", F.array_join("tokens", " & "))
+    return pruned.withColumn("rule_id", F.to_json("tokens"))
 
 
 def _by_rarest_token(rules: DataFrame, name: str, *columns: str) -> DataFrame:
@@ -150,11 +152,12 @@ def judge_urls(
     labelled = parts.join(taught, "_key").select("tokens", "bad")
     rules = materialize(mine_rules(labelled, min_support, min_confidence))
     # One row for each token set: hosts and folders repeat, pages are many.
-    distinct = parts.select("tokens").distinct().withColumn("_set", F.array_join("tokens", " "))
+    parts = parts.withColumn("_set", F.to_json("tokens"))
+    distinct = parts.select("tokens", "_set").distinct()
     matched = match_rules(distinct, "_set", rules).select("_set", F.col("rules").alias("mined"))
     fitted = materialize(matched)
     rule, verdict = listed_rules(listed, F.col("host"), F.col("path"))
-    judged = parts.withColumn("_set", F.array_join("tokens", " ")).join(broadcast_checked_arrays(fitted), "_set", "left")
+    judged = parts.join(broadcast_checked_arrays(fitted), "_set", "left")
     mined = F.coalesce("mined", F.array().cast("array<string>"))
     fallback = F.when(F.size(mined) > 0, "block").otherwise("allow")
     return judged.select(
@@ -165,6 +168,5 @@ def judge_urls(
 
 def broadcast_checked_arrays(matched: DataFrame) -> DataFrame:
     """Broadcast the matched sets if they fit as strings, else let Spark shuffle."""
-    flat = matched.select("_set", F.array_join("mined", "\n").alias("_mined"))
-    split = lambda df: df.select("_set", F.split("_mined", "\n").alias("mined"))
-    return split(broadcast_checked(flat))
+    flat = matched.select("_set", F.to_json("mined").alias("_mined"))
+    return broadcast_checked(flat).select("_set", F.from_json("_mined", "array<string>").alias("mined"))

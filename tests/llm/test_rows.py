@@ -1,5 +1,6 @@
 """Quality rules, chat formatting, sharding, mixing and URL rules on small tables."""
 
+import json
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -252,3 +253,20 @@ def test_judged_urls(spark):
     assert {r.page_id: r.verdict for r in rows_} == {i: ("block" if i is not None and i % 2 else "allow") for i, *_ in pages}
     assert urls.judge_urls(table.limit(0), known).count() == 0
     assert {r.verdict for r in urls.judge_urls(table, known.limit(0)).collect()} == {"allow"}
+
+
+def test_names_with_blanks_and_signs(spark):
+    """Paths with blanks, newlines, quotes or signs of a rule's name keep their own tokens."""
+    bad = ["http://h.org/a b/x", "http://h.org/a/b & path=c/x", 'http://h.org/q"\n/x', "http://h.org/a\\u0041/x"]
+    fine = ["http://h.org/a/b/x", "http://h.org/a/b/path=c/x", "http://h.org/q/x", "http://h.org/aA/x", "http://h.org/x/a path=b/p", "http://h.org/x/a/b/p"]
+    urls_ = [(i, u) for i, u in enumerate((bad + fine) * 12)]
+    table = spark.createDataFrame(urls_, "page_id long, url string")
+    known = spark.createDataFrame([(i, u in bad) for i, u in urls_], "page_id long, bad boolean")
+    found = urls.judge_urls(table, known).collect()
+    assert {(r.page_id, r.verdict) for r in found} == {(i, "block" if u in bad else "allow") for i, u in urls_}
+    tokens = spark.createDataFrame(urls_, "page_id long, url string").select(
+        "page_id", urls.url_tokens(urls.host_of(F.col("url")), urls.path_of(F.col("url"))).alias("tokens")
+    )
+    have = {r.page_id: set(r.tokens) for r in tokens.collect()}
+    assert all(set(json.loads(rule)) <= have[r.page_id] for r in found for rule in r.mined)
+    assert any(r.mined for r in found)
