@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -157,6 +157,83 @@ def nest_in_cells(
     return nested.select(*result_columns).unionByName(by_id)
 
 
+def _merged_runs(held: Column, late: Column, sort_by: str, tie_break: Sequence[str]) -> Column:
+    """Two arrays in time order as one; the sort finds the two runs and merges them."""
+
+    def keyed(e: Column) -> Column:
+        keys = [e[sort_by].isNull(), e[sort_by], *[e[c] for c in tie_break]]
+        return F.struct(F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)]).alias("key"), e.alias("row"))
+
+    both = F.when(held.isNull(), late).otherwise(F.concat(held, late))
+    return F.transform(F.array_sort(F.transform(both, keyed)), lambda k: k["row"])
+
+
+def merge_sources(
+    nested: DataFrame,
+    late: Mapping[str, DataFrame],
+    *,
+    on: str,
+    into: Sequence[str],
+    sort_by: str,
+    tie_break: Sequence[str] = (),
+    max_rows: int = MAX_ROWS_PER_PART,
+) -> DataFrame:
+    """Nested rows with late sources put into their columns: what ``nest_sources`` of all sources gives.
+
+    ``late`` holds the late rows of some of the nested columns ``into``; fields they lack are null, others
+    are left out. Rows without an id, or of an id that ``nested`` lacks, are left out. A light curve that
+    fits in one row gets its late rows as a second sorted run. One that does not is flattened and nested
+    anew in parts; all other rows, also of long light curves without late sources, stay as they are.
+    """
+    unknown = set(late) - set(into)
+    if unknown:
+        raise ValueError(f"late sources for {sorted(unknown)}, nested are {list(into)}")
+    fields = {c: nested.schema[c].dataType.elementType.fields for c in into}
+    late = {
+        c: rows.where(F.col(on).isNotNull()).select(
+            F.col(on).cast(nested.schema[on].dataType).alias(on),
+            *[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields[c]],
+        )
+        for c, rows in late.items()
+    }
+    # Parts follow each other, so the last element's position counts a light curve, copies of an object or not.
+    held = [F.max(F.col(START) + F.greatest(F.size(F.col(f"`{c}`.`{fields[c][0].name}`")), F.lit(0))).alias(f"_held{i}") for i, c in enumerate(into)]
+    sizes = nested.groupBy(on).agg(*held)
+    for i, column in enumerate(into):
+        if column in late:
+            sizes = sizes.join(late[column].groupBy(on).agg(F.count(F.lit(1)).alias(f"_new{i}")), on, "left")
+        else:
+            sizes = sizes.withColumn(f"_new{i}", F.lit(None).cast("long"))
+    fresh = F.coalesce(*[F.col(f"_new{i}") for i in range(len(into))]).isNotNull()
+    most = [F.col(f"_held{i}") + F.coalesce(f"_new{i}", F.lit(0)) for i in range(len(into))]
+    path = scratch_path(nested.sparkSession, "long-light-curves")
+    outgrown = F.greatest(*most, F.lit(0)) > max_rows
+    sizes.where(fresh & outgrown).select(F.col(on).alias("_long")).write.parquet(path)
+    keys = broadcast_checked(nested.sparkSession.read.parquet(path))
+    is_long = F.col(on) == F.col("_long")
+
+    merged = nested.join(keys, is_long, "left_anti")
+    for column, rows in late.items():
+        names = [f.name for f in fields[column]]
+        ties = [c for c in tie_break if c in names]
+        short = rows.join(keys, is_long, "left_anti")
+        runs = _collected(short, [on], "_late", _time_order(short, sort_by, ties), names)
+        merged = merged.join(runs, on, "left")
+        both = F.when(F.col("_late").isNull(), F.col(column)).otherwise(_merged_runs(F.col(column), F.col("_late"), sort_by, ties))
+        merged = merged.withColumn(column, both).drop("_late")
+
+    old = nested.join(keys, is_long, "left_semi")
+    flat = []
+    for column in into:
+        rows = flatten(old, column, [on]).dropDuplicates([on, "_pos"]).drop("_pos")
+        if column in late:
+            rows = rows.unionByName(late[column].join(keys, is_long, "left_semi"))
+        flat.append(rows)
+    objects = old.where(F.col(PART) == 0).drop(PART, START, *into)
+    anew = nest_sources(objects, flat, on=on, into=into, sort_by=sort_by, tie_break=tie_break, max_rows=max_rows)
+    return merged.select(*nested.columns).unionByName(anew.select(*nested.columns))
+
+
 def resort_nested(
     df: DataFrame, on: str, column: str, fields: Sequence[str], sort_by: str, max_rows: int = MAX_ROWS_PER_PART
 ) -> DataFrame:

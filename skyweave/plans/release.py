@@ -6,12 +6,15 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skyweave.functions.nested import START, available_columns, full_column_names
 from skyweave.operators.calibration import calibrate
 from skyweave.operators.correction import Model, correct_errors
 from skyweave.operators.alignment import CELL
-from skyweave.operators.nesting import MAX_ROWS_PER_PART, PART, nest_in_cells, nest_sources, object_parts
+from skyweave.operators.keys import lookup_places
+from skyweave.operators.nesting import MAX_ROWS_PER_PART, PART, merge_sources, nest_in_cells, nest_sources, object_parts
+from skyweave.operators.numbering import number_rows
 from skyweave.operators.partitioning import density_map, pixel_histogram
 from skyweave.operators.spatial import crossmatch, multi_cone
 from skyweave.operators.statistics import (
@@ -33,14 +36,19 @@ from skyweave.plans.settings import (
     NestingSettings,
     SurveySettings,
 )
-from skyweave.runtime import materialize
+from skyweave.runtime import broadcast_checked, materialize
 from skyweave.sources.catalog import (
+    DEFAULT_HIGHEST_ORDER,
     Catalog,
     Collection,
+    append_rows,
     build_collection,
+    finished_files,
     is_valid_catalog,
     open_catalog,
+    properties_of,
     read_remote,
+    replace_partitions,
     write_association,
     write_catalog,
     write_in_same_partitions,
@@ -89,6 +97,83 @@ def import_catalog(
     )
 
 
+def import_new_files(
+    spark: SparkSession,
+    index: DataFrame,
+    root: str,
+    name: str,
+    settings: CatalogSettings,
+    *,
+    visits: DataFrame | None = None,
+    files_per_step: int = 10_000,
+    highest_order: int = DEFAULT_HIGHEST_ORDER,
+    schema: T.StructType | None = None,
+) -> list[str]:
+    """Import the indexed files that no version of the catalog has taken in yet, in steps; gives their versions.
+
+    Each step reads its own files only, appends their rows and records them with the version, in one
+    move: an import that was interrupted goes on with the files of the step that failed. A file counts by
+    its path; one that changed under the same path is not read again. Files in the index twice with
+    different keys give their rows for each, like ``indexed_scan``.
+    """
+    finished = finished_files(spark, root)
+    todo = materialize(index.join(finished.select("path").distinct(), "path", "left_anti"))
+    numbered = number_rows(todo.select("path").where(F.col("path").isNotNull()).distinct(), ["path"])
+    numbered = materialize(numbered.select("path", F.floor(F.col("_row") / files_per_step).alias("_step")))
+    n_steps = numbered.agg(F.coalesce(F.max("_step") + 1, F.lit(0))).first()[0]
+    versions = []
+    for step in range(n_steps):
+        files = numbered.where(F.col("_step") == step).select("path")
+        raw = indexed_scan(spark, todo.join(broadcast_checked(files), "path", "left_semi"), dims=settings.dims, schema=schema)
+        rows = calibrate(raw, settings.flux_prefixes, visits if settings.add_time else None)
+        if properties_of(spark, root) is None:
+            catalog = write_catalog(
+                rows, root, name=name, catalog_type=settings.catalog_type, ra=settings.ra, dec=settings.dec,
+                threshold=settings.threshold, highest_order=highest_order, positions=raw, files=files,
+            )
+        else:
+            catalog = append_rows(open_catalog(spark, root), rows, settings.threshold, files=files)
+        versions.append(catalog.properties["version"])
+    return versions
+
+
+def add_sources(
+    catalog: Catalog,
+    late: Mapping[str, DataFrame],
+    settings: NestingSettings,
+    *,
+    index: DataFrame | None = None,
+    tie_break: Sequence[str] = (),
+    max_rows: int = MAX_ROWS_PER_PART,
+) -> Catalog:
+    """The next version of a nested catalog, with late sources merged into their light curves.
+
+    ``late`` holds late rows by nested column. Only partitions with an object of theirs are read and
+    written, all others are shared with the version before. Those partitions are found in the id
+    ``index`` of this version, or else by a scan of the ids. Late rows of unknown objects are left out.
+    """
+    on, layout = settings.join_id, ["Norder", "Dir", "Npix"]
+    ids = [rows.select(F.col(on)).dropna().distinct() for rows in late.values()]
+    wanted = ids[0]
+    for more in ids[1:]:
+        wanted = wanted.unionByName(more)
+    wanted = materialize(wanted.distinct())
+    if index is None:
+        places = catalog.all_rows().select(on, *layout).join(broadcast_checked(wanted), on, "left_semi")
+    else:
+        places = lookup_places(index, wanted, on)
+    changed = materialize(places.select(*layout).distinct())
+    # The comparison makes Spark prune the folders of other partitions at run time.
+    rows = catalog.all_rows().join(broadcast_checked(changed.where(F.col("Npix") >= 0)), layout, "left_semi")
+    merged = merge_sources(
+        rows, late, on=on, into=settings.nested_columns, sort_by=settings.sort_by, tie_break=tie_break, max_rows=max_rows
+    )
+    result = replace_partitions(catalog, merged, changed)
+    if settings.density_orders:
+        catalog.spark.read.parquet(catalog.density_path).write.mode("overwrite").parquet(result.density_path)
+    return result
+
+
 def nest_catalog(
     objects: Catalog,
     sources: Sequence[Catalog],

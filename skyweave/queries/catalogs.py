@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from skyweave.functions.nested import flatten
 from skyweave.operators.calibration import calibrate
 from skyweave.operators.statistics import SKY_FIELDS, size_histogram
-from skyweave.plans.release import catalog_report, collect, correct_collection, match_surveys, nest_catalog
+from skyweave.operators.nesting import nest_sources
+from skyweave.plans.release import add_sources, catalog_report, collect, correct_collection, match_surveys, nest_catalog
 from skyweave.plans.settings import (
     CollectionSettings,
     CorrectionSettings,
@@ -28,6 +29,7 @@ from skyweave.runtime import scratch_path
 from skyweave.sources.catalog import (
     Catalog,
     Collection,
+    append_rows,
     build_collection,
     catalog_problems,
     is_reusable_margin,
@@ -338,6 +340,53 @@ def nested_in_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten(nested.all_rows(), "lc", ["objectId"], position="pos").select("objectId", "pos", "sourceId", "psfFlux")
 
 
+@query(f"""
+SELECT objectId, row_number() OVER (PARTITION BY objectId ORDER BY midpointMjdTai NULLS LAST, {_TIES}) - 1 AS pos, sourceId, psfFlux,
+       TRUE AS shared, TRUE AS valid
+FROM ({sql.FORCED}) WHERE objectId IN (SELECT objectId FROM ({sql.CROWDED}))""")
+def late_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Light curves written without half of the sources of crowded objects, which then come late; other partitions stay."""
+    settings = replace(_NESTING, nested_columns=("lc",), density_orders=())
+    sources = data.forced_sources(spark, sf_dir)
+    late = (F.col("objectId") % 3 == 0) & (F.col("sourceId") % 2 == 0)
+    ties, max_rows = tuple(_TIES.split(", ")), 4
+    nested = nest_sources(
+        data.objects(spark, sf_dir, crowded=True), [sources.where(~late)], on="objectId", into=["lc"],
+        sort_by=settings.sort_by, tie_break=ties, max_rows=max_rows,
+    )
+    before = write_catalog(
+        nested, scratch_path(spark, "growing"), name="object_lc", catalog_type="object", ra="ra", dec="dec", threshold=100, highest_order=_ORDER
+    )
+    after = add_sources(before, {"lc": sources.where(late)}, settings, tie_break=ties, max_rows=max_rows)
+    written = after.placed_partitions().where(F.col("data_version") == after.properties["version"])
+    shared = 0 < written.count() < after.properties["n_partitions"] == before.properties["n_partitions"]
+    valid = is_valid_catalog(spark, after.root, strict=True)
+    rows = flatten(open_catalog(spark, after.root).all_rows(), "lc", ["objectId"], position="pos")
+    return rows.select("objectId", "pos", "sourceId", "psfFlux", F.lit(shared).alias("shared"), F.lit(valid).alias("valid"))
+
+
+@query(f"""
+SELECT objectId, ra, dec, TRUE AS grown, TRUE AS valid FROM ({sql.CROWDED})""")
+def appended_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalog that grows by batches, one of them given twice; overfull partitions are split."""
+    threshold = max(20, data.table(spark, sf_dir, "orders").count() // 40)
+    objects = data.objects(spark, sf_dir, crowded=True)
+    batch = F.col("objectId") % 4
+    first = write_catalog(
+        objects.where(batch == 0), scratch_path(spark, "batches"), name="object", catalog_type="object", ra="ra", dec="dec",
+        threshold=threshold, highest_order=_ORDER,
+    )
+    catalog = first
+    for k in (1, 2, 2, 3):
+        catalog = append_rows(catalog, objects.where(batch == k), threshold, batch=f"batch {k}")
+    numbers = (first.properties["number"], catalog.properties["number"])
+    sizes = catalog.partitions()
+    overfull = sizes.where((F.col("n_rows") > threshold) & (F.col("Norder") < _ORDER)).count()
+    grown = numbers == (1, 4) and overfull == 0 and catalog.properties["n_partitions"] > first.properties["n_partitions"]
+    valid = is_valid_catalog(spark, catalog.root, strict=True)
+    return catalog.all_rows().select("objectId", "ra", "dec", F.lit(grown).alias("grown"), F.lit(valid).alias("valid"))
+
+
 @query(f"""
 SELECT objectId, ra, dec FROM ({sql.CROWDED}) WHERE {sql.separation('ra', 'dec', '40.4', '10.3')} <= 1""")
 def catalog_cone(spark: SparkSession, sf_dir: str) -> DataFrame:

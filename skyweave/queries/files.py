@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyweave.plans.release import import_catalog
+from skyweave.plans.release import import_catalog, import_new_files
 from skyweave.plans.settings import CatalogSettings
 from skyweave.queries import fixtures as data
 from skyweave.queries import sql
 from skyweave.queries.registry import query
-from skyweave.runtime import scratch_path
+from skyweave.runtime import materialize, scratch_path
+from skyweave.sources.catalog import finished_files, is_valid_catalog, open_catalog
 from skyweave.sources.exports import export_tables, visit_detector_source
 from skyweave.sources.files import (
     file_inventory,
@@ -160,6 +161,33 @@ def imported_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(f"""
+SELECT s.objectId, s.band, s.visit % 4 AS tract, v.expMidptMJD AS midpointMjdTai, s.psfFlux::FLOAT AS psfFlux,
+       ({sql.magnitude('psfFlux')})::FLOAT AS psfMag, TRUE AS each_file_once, TRUE AS valid
+FROM ({sql.FORCED}) s LEFT JOIN ({sql.VISITS}) v ON s.visit = v.visitId""")
+def imported_in_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw files imported as they come: first those of two tracts, then what is new in two steps, then nothing."""
+    threshold = max(50, data.table(spark, sf_dir, "lineitem").count() // 20)
+    settings = CatalogSettings(
+        dims=("band", "tract"), group_by=("tract",), ra="coord_ra", dec="coord_dec",
+        catalog_type="source", threshold=threshold, flux_prefixes=("psf",), add_time=True,
+    )
+    index, root = materialize(raw_index(spark, sf_dir)), scratch_path(spark, "forced")
+    some = index.where("tract < 2")
+    n_new = index.count() - some.count()
+
+    def run(files: DataFrame, step: int) -> int:
+        return len(import_new_files(spark, files, root, "forced", settings, visits=data.visits(spark, sf_dir), files_per_step=step))
+
+    steps = (run(some, 1_000_000), run(index, -(-n_new // 2)), run(index, 1))
+    once = steps == (1, 2, 0) and finished_files(spark, root).exceptAll(index.select("path")).isEmpty()
+    catalog = open_catalog(spark, root)
+    valid = is_valid_catalog(spark, root, strict=True)
+    return catalog.all_rows().select(
+        "objectId", "band", "tract", "midpointMjdTai", "psfFlux", "psfMag", F.lit(once).alias("each_file_once"), F.lit(valid).alias("valid")
+    )
+
+
 @query(f"SELECT * FROM ({sql.VISIT_DETECTORS})")
 def side_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A side table exported and its six columns read back."""

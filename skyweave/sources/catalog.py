@@ -3,7 +3,8 @@
 A catalog is a folder with one ``data-<version>`` dataset per version, laid out as
 ``Norder=/Dir=/Npix=`` folders, a ``partitions-<version>`` table of its pixels, and a
 ``properties`` log. The row with the highest number names the version in force, so a rewrite becomes
-visible at once, and readers of the previous version keep their files. Of two writers that took
+visible at once, and readers of the previous version keep their files. A version that changes or adds
+some partitions writes only these and names the earlier folders that hold the others. Of two writers that took
 the same number at the same time, one wins for all readers and the other gets an error.
 """
 
@@ -49,9 +50,9 @@ _PROPERTIES_SCHEMA = """
     ra_column string, dec_column string, total_rows bigint, n_partitions bigint,
     n_columns bigint, est_size_kb bigint, highest_order int, builder string,
     default_columns string, margin_threshold double, source_version string, row_schema string,
-    n_buckets int, cells_of string
+    n_buckets int, cells_of string, data_versions string, batch string, n_files bigint
 """
-_PARTITIONS_SCHEMA = "Norder int, Dir bigint, Npix bigint, n_rows bigint, n_bytes bigint"
+_PARTITIONS_SCHEMA = "Norder int, Dir bigint, Npix bigint, n_rows bigint, n_bytes bigint, data_version string"
 _LAYOUT = ("Norder", "Dir", "Npix")
 
 
@@ -76,15 +77,51 @@ class Catalog:
     def position(self) -> tuple[str, str]:
         return self.properties["ra_column"], self.properties["dec_column"]
 
+    @property
+    def data_versions(self) -> list[str]:
+        """Versions in whose folders the rows lie: earlier ones that share partitions, then its own."""
+        return (self.properties["data_versions"] or self.properties["version"]).split(",")
+
+    def placed_partitions(self) -> DataFrame:
+        """``partitions`` with ``data_version``, a row for each folder that holds rows of a partition."""
+        path = f"{self.root}/partitions-{self.properties['version']}"
+        own = F.coalesce("data_version", F.lit(self.properties["version"]))
+        return self.spark.read.schema(_PARTITIONS_SCHEMA).parquet(path).withColumn("data_version", own)
+
     def partitions(self) -> DataFrame:
         """``Norder, Dir, Npix, n_rows, n_bytes`` as recorded when the version was written."""
-        path = f"{self.root}/partitions-{self.properties['version']}"
-        return self.spark.read.schema(_PARTITIONS_SCHEMA).parquet(path)
+        placed = self.placed_partitions()
+        if len(self.data_versions) == 1:
+            return placed.drop("data_version")
+        sizes = [F.sum(c).alias(c) for c in ("n_rows", "n_bytes")]
+        return placed.groupBy(*_LAYOUT).agg(*sizes)
 
-    def all_rows(self) -> DataFrame:
-        """Everything, with the recorded schema; nothing has to be inferred, also not from no files."""
+    def _folder(self, version: str) -> DataFrame:
         schema = T.StructType.fromJson(json.loads(self.properties["row_schema"]))
-        return self.spark.read.schema(schema).parquet(self.data_path)
+        return self.spark.read.schema(schema).parquet(f"{self.root}/data-{version}")
+
+    def all_rows(self) -> DataFrame:
+        """Everything, with the recorded schema; nothing has to be inferred, also not from no files.
+
+        Of folders of earlier versions only the partitions that are still shared are read.
+        """
+        *earlier, own = self.data_versions
+        rows = self._folder(own)
+        for version in earlier:
+            held = self.placed_partitions().where((F.col("data_version") == version) & (F.col("Npix") >= 0))
+            folder = self._folder(version)
+            shared = folder.join(broadcast_checked(held.select("Norder", "Npix")), ["Norder", "Npix"], "left_semi")
+            rows = rows.unionByName(shared.select(*folder.columns))
+        return rows
+
+    def measured_partitions(self) -> DataFrame:
+        """``partitions`` as the files of all folders have them."""
+        *earlier, own = self.data_versions
+        found = _measured_partitions(self._folder(own))
+        for version in earlier:
+            held = self.placed_partitions().where(F.col("data_version") == version).select(*_LAYOUT)
+            found = found.unionByName(_measured_partitions(self._folder(version)).join(held, list(_LAYOUT), "left_semi"))
+        return found.groupBy(*_LAYOUT).agg(F.sum("n_rows").alias("n_rows"), F.sum("n_bytes").alias("n_bytes"))
 
     def cells(self) -> DataFrame:
         """All rows with ``CELL``, in buckets of it, for joins that move no row; of a catalog written with buckets."""
@@ -271,19 +308,36 @@ def record_version(
     source_version: str | None = None,
     n_buckets: int = 0,
     cells_of: str | None = None,
+    shared: DataFrame | None = None,
+    batch: str | None = None,
+    files: DataFrame | None = None,
 ) -> Catalog:
-    """Count what was written, store the partition table and make the version the one in force."""
+    """Count what was written, store the partition table and make the version the one in force.
+
+    ``shared`` lists partitions that stay in folders of earlier versions (``placed_partitions``),
+    ``batch`` and ``files`` (``path``) name what the version took in.
+    """
     before = properties_of(spark, root)
     number = 1 if before is None else before["number"] + 1
     data_path = f"{root}/data-{version}"
     partitions_path = f"{root}/partitions-{version}"
     schema = _stored_schema(schema)
     data = spark.read.schema(schema).parquet(data_path)
-    _measured_partitions(data).write.mode("overwrite").parquet(partitions_path)
+    measured = _measured_partitions(data).withColumn("data_version", F.lit(version))
+    if shared is not None:
+        measured = measured.unionByName(shared)
+    measured.write.mode("overwrite").parquet(partitions_path)
+    stored = spark.read.schema(_PARTITIONS_SCHEMA).parquet(partitions_path)
+    earlier = stored.where(F.col("data_version") != version).select("data_version").distinct().orderBy("data_version")
+    data_versions = [*[r[0] for r in earlier.collect()], version]
+    n_files = None
+    if files is not None:
+        files.select("path").write.mode("overwrite").parquet(f"{root}/files-{version}")
+        n_files = spark.read.schema("path string").parquet(f"{root}/files-{version}").count()
     n_columns = len(full_column_names(data))
-    totals = spark.read.schema(_PARTITIONS_SCHEMA).parquet(partitions_path).agg(
+    totals = stored.agg(
         F.coalesce(F.sum("n_rows"), F.lit(0)).alias("total_rows"),
-        F.count(F.lit(1)).alias("n_partitions"),
+        F.count_distinct("Norder", "Npix").alias("n_partitions"),
         F.coalesce(F.floor(F.sum("n_bytes") / 1024), F.lit(0)).alias("est_size_kb"),
     )
     row = totals.select(
@@ -306,6 +360,9 @@ def record_version(
         F.lit(schema.json()).alias("row_schema"),
         F.lit(n_buckets).alias("n_buckets"),
         F.lit(cells_of).cast("string").alias("cells_of"),
+        F.lit(",".join(data_versions)).alias("data_versions"),
+        F.lit(batch).cast("string").alias("batch"),
+        F.lit(n_files).cast("long").alias("n_files"),
     )
     row.coalesce(1).write.mode("append").json(f"{root}/properties")
     catalog = open_catalog(spark, root)
@@ -332,6 +389,8 @@ def write_catalog(
     write_options: dict[str, str] | None = None,
     n_buckets: int = 0,
     align_to: Catalog | None = None,
+    batch: str | None = None,
+    files: DataFrame | None = None,
 ) -> Catalog:
     """Partition a table adaptively on the sky and write it.
 
@@ -377,6 +436,8 @@ def write_catalog(
         default_columns=chosen,
         n_buckets=n_buckets,
         cells_of=cells_of,
+        batch=batch,
+        files=files,
     )
 
 
@@ -432,6 +493,104 @@ def rewrite_catalog(catalog: Catalog, transform) -> Catalog:
     )
 
 
+def _next_version(catalog: Catalog, rows: DataFrame, shared: DataFrame, **taken) -> Catalog:
+    """Record a version of laid-out ``rows`` beside partitions that stay where they are."""
+    version = uuid.uuid4().hex
+    stored = rows.select(*catalog.all_rows().columns)
+    _lay_out(stored, f"{catalog.root}/data-{version}", 0, {})
+    properties = catalog.properties
+    ra, dec = catalog.position
+    return record_version(
+        catalog.spark,
+        catalog.root,
+        version,
+        stored.schema,
+        name=properties["catalog_name"],
+        catalog_type=properties["catalog_type"],
+        ra=ra,
+        dec=dec,
+        highest_order=properties["highest_order"],
+        default_columns=[c for c in (properties["default_columns"] or "").split(",") if c],
+        shared=shared,
+        **taken,
+    )
+
+
+def replace_partitions(catalog: Catalog, rows: DataFrame, changed: DataFrame) -> Catalog:
+    """The next version, with ``rows`` in place of the partitions ``changed`` (``Norder, Npix``).
+
+    Rows carry the layout columns. All other partitions are shared with the version before: their
+    folders are neither read nor written. ``rewrite_catalog`` brings everything into one folder again.
+    """
+    gone = broadcast_checked(changed.select("Norder", "Npix").distinct())
+    return _next_version(catalog, rows, catalog.placed_partitions().join(gone, ["Norder", "Npix"], "left_anti"))
+
+
+def was_taken(spark: SparkSession, root: str, batch: str) -> bool:
+    """Whether a version of the catalog took in a batch of this name."""
+    log = spark.read.schema(_PROPERTIES_SCHEMA).json(f"{root}/properties")
+    return not log.where(F.col("batch") == batch).isEmpty()
+
+
+def finished_files(spark: SparkSession, root: str) -> DataFrame:
+    """``path`` of all files that versions of the catalog took in; none where there is no catalog."""
+    if properties_of(spark, root) is None:
+        return spark.createDataFrame([], "path string")
+    log = spark.read.schema(_PROPERTIES_SCHEMA).json(f"{root}/properties").where(F.col("n_files").isNotNull())
+    folders = [f"{root}/files-{row['version']}" for row in log.select("version").collect()]
+    return spark.read.schema("path string").parquet(*folders) if folders else spark.createDataFrame([], "path string")
+
+
+def append_rows(
+    catalog: Catalog, rows: DataFrame, threshold: int, batch: str | None = None, files: DataFrame | None = None
+) -> Catalog:
+    """The next version, with further rows added; only these and the partitions they overfill are written.
+
+    Rows in a partition with room become further files of it. A partition that would hold more than
+    ``threshold`` rows is read and split, down to the catalog's finest order; rows outside all
+    partitions get new ones, as coarse as the threshold and the other partitions allow. Columns that
+    the catalog lacks are left out, those that rows lack are null. A ``batch`` that was taken in
+    before changes nothing, so a step that is run again after a failure adds its rows once.
+    """
+    spark, order = catalog.spark, catalog.properties["highest_order"]
+    if batch is not None and was_taken(spark, catalog.root, batch):
+        return catalog
+    if catalog.properties["n_buckets"]:
+        raise ValueError(f"the catalog at {catalog.root} is stored in buckets of another layout")
+    schema = catalog.all_rows().schema
+    own = [f for f in schema.fields if f.name not in (*_LAYOUT, PIXEL)]
+    given = [F.col(f"`{f.name}`") if f.name in rows.columns else F.lit(None) for f in own]
+    rows = rows.select(*[c.cast(f.dataType).alias(f.name) for c, f in zip(given, own)])
+    ra, dec = catalog.position
+    counted = with_positions(rows.select(ra, dec), ra, dec).select(PIXEL)
+
+    before = materialize(catalog.partitions().select("Norder", "Npix", "n_rows"))
+    inside = assign_partitions(counted, before, outside="drop").groupBy("Norder", "Npix").agg(F.count(F.lit(1)).alias("added"))
+    full = inside.join(before, ["Norder", "Npix"]).where((F.col("n_rows") + F.col("added") > threshold) & (F.col("Norder") < order))
+    full = materialize(full.select("Norder", "Npix"))
+    kept = materialize(before.join(broadcast_checked(full), ["Norder", "Npix"], "left_anti").select("Norder", "Npix"))
+    opened = catalog.all_rows().join(broadcast_checked(full.where(F.col("Npix") >= 0)), ["Norder", "Npix"], "left_semi")
+
+    # Partitions that stay weigh more than a partition may, so no new one can hold any of them.
+    first = F.expr(f"shiftleft(Npix, 2 * ({order} - Norder))").alias("pixel")
+    stays = kept.select(first, F.lit(threshold + 1).cast("long").alias("n_rows"))
+    loose = pixel_histogram(counted.unionByName(opened.select(PIXEL)), order).select(F.col("pixel").alias("_at"), "n_rows")
+    covered = assign_partitions(
+        loose.withColumn(PIXEL, F.expr(f"shiftleft(_at, 2 * ({FINEST_ORDER} - {order}))")), kept, outside="drop"
+    )
+    loose = loose.join(covered.select("_at"), "_at", "left_anti").select(F.col("_at").alias("pixel"), "n_rows")
+    planned = partition_map(materialize(loose.unionByName(stays)), order, threshold)
+    blocked = stays.select(F.lit(order).alias("Norder"), F.col("pixel").alias("Npix"))
+    new = planned.join(blocked, ["Norder", "Npix"], "left_anti").select("Norder", "Npix")
+    partitions = materialize(new.unionByName(kept))
+
+    moved = opened.select(*[f.name for f in own]).unionByName(rows)
+    laid_out = assign_partitions(with_positions(moved, ra, dec), partitions)
+    gone = broadcast_checked(full)
+    shared = catalog.placed_partitions().join(gone, ["Norder", "Npix"], "left_anti")
+    return _next_version(catalog, laid_out, shared, batch=batch, files=files)
+
+
 def write_in_same_partitions(rows: DataFrame, like: Catalog, root: str) -> Catalog:
     """A new catalog of rows that carry the layout columns of an existing one."""
     version = uuid.uuid4().hex
@@ -546,7 +705,7 @@ def is_valid_catalog(spark: SparkSession, root: str, strict: bool = False) -> bo
     try:
         catalog = Catalog(spark, root, properties)
         recorded = catalog.partitions().select(*_LAYOUT, "n_rows")
-        found = _measured_partitions(catalog.all_rows()).select(*_LAYOUT, F.col("n_rows").alias("found"))
+        found = catalog.measured_partitions().select(*_LAYOUT, F.col("n_rows").alias("found"))
         both = recorded.join(found, list(_LAYOUT), "full").agg(
             F.count_if(~F.col("n_rows").eqNullSafe(F.col("found"))).alias("wrong"),
             F.coalesce(F.sum("found"), F.lit(0)).alias("total"),
