@@ -97,6 +97,30 @@ def import_catalog(
     )
 
 
+def take_in(
+    spark: SparkSession,
+    raw: DataFrame,
+    files: DataFrame,
+    root: str,
+    name: str,
+    settings: CatalogSettings,
+    *,
+    visits: DataFrame | None = None,
+    highest_order: int = DEFAULT_HIGHEST_ORDER,
+) -> Catalog:
+    """The raw rows of some files, calibrated and added to a catalog; the files (``path``) are recorded with its version.
+
+    The first call makes the catalog, later ones append. Rows and record become visible together.
+    """
+    rows = calibrate(raw, settings.flux_prefixes, visits if settings.add_time else None)
+    if properties_of(spark, root) is not None:
+        return append_rows(open_catalog(spark, root), rows, settings.threshold, files=files)
+    return write_catalog(
+        rows, root, name=name, catalog_type=settings.catalog_type, ra=settings.ra, dec=settings.dec,
+        threshold=settings.threshold, highest_order=highest_order, positions=raw, files=files,
+    )
+
+
 def import_new_files(
     spark: SparkSession,
     index: DataFrame,
@@ -125,14 +149,7 @@ def import_new_files(
     for step in range(n_steps):
         files = numbered.where(F.col("_step") == step).select("path")
         raw = indexed_scan(spark, todo.join(broadcast_checked(files), "path", "left_semi"), dims=settings.dims, schema=schema)
-        rows = calibrate(raw, settings.flux_prefixes, visits if settings.add_time else None)
-        if properties_of(spark, root) is None:
-            catalog = write_catalog(
-                rows, root, name=name, catalog_type=settings.catalog_type, ra=settings.ra, dec=settings.dec,
-                threshold=settings.threshold, highest_order=highest_order, positions=raw, files=files,
-            )
-        else:
-            catalog = append_rows(open_catalog(spark, root), rows, settings.threshold, files=files)
+        catalog = take_in(spark, raw, files, root, name, settings, visits=visits, highest_order=highest_order)
         versions.append(catalog.properties["version"])
     return versions
 

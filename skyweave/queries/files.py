@@ -26,18 +26,22 @@ from skyweave.sources.files import (
     write_index_files,
     write_size_table,
 )
-from skyweave.streaming.ingest import ingest_available, stream_files
+from skyweave.streaming.ingest import import_available, ingest_available, stream_files, stream_keyed_files
 
 _KEYS = {"band": (r"/band=([a-z])/", "string"), "tract": (r"/tract=(\d+)/", "bigint")}
 
 
+def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources with positions, and the tract that their files go by."""
+    rows = data.forced_sources(spark, sf_dir).drop("midpointMjdTai")
+    ra, dec = data.position(F.col("objectId"))
+    return rows.withColumns({"coord_ra": ra, "coord_dec": dec, "tract": F.col("visit") % 4})
+
+
 def raw_files(spark: SparkSession, sf_dir: str) -> str:
     """Sources as raw files whose band and tract stand only in their paths."""
     root = scratch_path(spark, "raw")
-    rows = data.forced_sources(spark, sf_dir).drop("midpointMjdTai")
-    ra, dec = data.position(F.col("objectId"))
-    rows = rows.withColumns({"coord_ra": ra, "coord_dec": dec, "tract": F.col("visit") % 4})
-    rows.write.partitionBy("tract", "band").parquet(root)
+    raw_rows(spark, sf_dir).write.partitionBy("tract", "band").parquet(root)
     return root
 
 
@@ -215,3 +219,50 @@ def streamed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         ingest_available(rows, output, checkpoint, ["psf"], data.visits(spark, sf_dir)).awaitTermination()
     return spark.read.parquet(output)
+
+
+@query(f"""
+SELECT s.objectId, s.band, s.visit % 4 AS tract, v.expMidptMJD AS midpointMjdTai, s.psfFlux::FLOAT AS psfFlux,
+       ({sql.magnitude('psfFlux')})::FLOAT AS psfMag, 3::BIGINT AS n_versions, TRUE AS each_file_once, TRUE AS split,
+       TRUE AS valid
+FROM ({sql.FORCED}) s LEFT JOIN ({sql.VISITS}) v ON s.visit = v.visitId""")
+def streamed_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw files streamed into a catalog in three batches; afterwards all of them arrive again and change nothing."""
+    threshold = max(50, data.table(spark, sf_dir, "lineitem").count() // 20)
+    settings = CatalogSettings(
+        dims=("band", "tract"), group_by=("tract",), ra="coord_ra", dec="coord_dec",
+        catalog_type="source", threshold=threshold, flux_prefixes=("psf",), add_time=True,
+    )
+    rows, folder = raw_rows(spark, sf_dir), scratch_path(spark, "arriving")
+    root, checkpoint = scratch_path(spark, "streamed"), scratch_path(spark, "streamed-checkpoint")
+    schema = rows.drop("band", "tract").schema
+    sizes = []
+
+    def arrive(tracts: str) -> None:
+        rows.where(tracts).coalesce(1).write.mode("append").partitionBy("tract", "band").parquet(folder)
+
+    def take(checkpoint: str, files_per_batch: int = 1_000) -> None:
+        stream = stream_keyed_files(spark, folder, schema, _KEYS, max_files_per_trigger=files_per_batch)
+        visits = data.visits(spark, sf_dir)
+        import_available(stream, root, "forced", settings, checkpoint, visits=visits).awaitTermination()
+        sizes.append(open_catalog(spark, root).properties["n_partitions"])
+
+    arrive("tract < 2")
+    n_files = file_inventory(spark, folder, _KEYS).count()
+    take(checkpoint, -(-n_files // 2))
+    arrive("tract >= 2")
+    take(checkpoint)
+    take(checkpoint)
+    take(f"{checkpoint}-new")
+    catalog = open_catalog(spark, root)
+    paths = file_inventory(spark, folder, _KEYS).select("path")
+    taken = finished_files(spark, root)
+    once = paths.exceptAll(taken).isEmpty() and taken.exceptAll(paths).isEmpty()
+    overfull = catalog.partitions().where((F.col("n_rows") > threshold) & (F.col("Norder") < 10)).count()
+    return catalog.all_rows().select(
+        "objectId", "band", "tract", "midpointMjdTai", "psfFlux", "psfMag",
+        F.lit(catalog.properties["number"]).cast("long").alias("n_versions"),
+        F.lit(once).alias("each_file_once"),
+        F.lit(overfull == 0 and sizes[0] < sizes[1]).alias("split"),
+        F.lit(is_valid_catalog(spark, root, strict=True)).alias("valid"),
+    )

@@ -11,6 +11,7 @@ from skyweave.plans import release
 from skyweave.plans.settings import CatalogSettings, NestingSettings
 from skyweave.sources.catalog import append_rows, finished_files, is_valid_catalog, open_catalog, rewrite_catalog, write_catalog
 from skyweave.sources.files import file_inventory
+from skyweave.streaming import ingest
 
 FIELDS = "objectId long, t double, k long, v string"
 
@@ -141,3 +142,52 @@ def test_interrupted_import_goes_on(spark, tmp_path, monkeypatch):
     found = sorted((r.id, r.tract) for r in open_catalog(spark, root).all_rows().collect())
     assert found == [(i, i % 6) for i in range(300)]
     assert is_valid_catalog(spark, root, strict=True)
+
+
+def test_streamed_batches_are_taken_once(spark, tmp_path, monkeypatch):
+    """A batch lost after its version was recorded, one lost before, a new checkpoint, and files imported by list."""
+    folder, root, state = (str(tmp_path / n) for n in ("raw", "catalog", "state"))
+    rows = spark.range(300).selectExpr("id", "id * 1.1 AS ra", "(id % 90) - 45.0 AS dec", "id % 6 AS tract")
+    settings = CatalogSettings(dims=("tract",), group_by=("tract",), ra="ra", dec="dec", catalog_type="object", threshold=40)
+    keys = {"tract": (r"/tract=(\d+)/", "bigint"), "absent": (r"/absent=(\d+)/", "int")}
+
+    def arrive(condition):
+        rows.where(condition).coalesce(1).write.mode("append").partitionBy("tract").parquet(folder)
+
+    def run(checkpoint=state):
+        stream = ingest.stream_keyed_files(spark, folder, rows.drop("tract").schema, keys, max_files_per_trigger=1)
+        ingest.import_available(stream, root, "x", settings, checkpoint).awaitTermination()
+
+    def found():
+        return sorted((r.id, r.tract) for r in open_catalog(spark, root).all_rows().where("absent is null").collect())
+
+    arrive("tract < 3")
+    real = ingest.take_in
+
+    def recorded_then_lost(*args, **kwargs):
+        real(*args, **kwargs)
+        raise RuntimeError("lost after")
+
+    monkeypatch.setattr(ingest, "take_in", recorded_then_lost)
+    with pytest.raises(Exception, match="lost after"):
+        run()
+    assert finished_files(spark, root).count() == 1
+    monkeypatch.setattr(ingest, "take_in", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost before")))
+    with pytest.raises(Exception, match="lost before"):
+        run()
+    monkeypatch.setattr(ingest, "take_in", real)
+    run()
+    assert found() == [(i, i % 6) for i in range(300) if i % 6 < 3]
+    assert open_catalog(spark, root).properties["number"] == 3
+
+    arrive("tract in (3, 4)")
+    index = file_inventory(spark, folder, {"tract": keys["tract"]}).where("tract = 3").select("path", "tract")
+    assert len(release.import_new_files(spark, index, root, "x", settings)) == 1
+    run()
+    run(f"{state}-new")
+    arrive("tract = 5")
+    run(f"{state}-new")
+    assert found() == [(i, i % 6) for i in range(300)]
+    assert open_catalog(spark, root).properties["number"] == 6
+    assert finished_files(spark, root).groupBy("path").count().where("count > 1").isEmpty()
+    assert is_valid_catalog(spark, root, strict=True)
