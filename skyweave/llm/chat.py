@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyweave.llm.rows import let, text_of
+from skyweave.llm.rows import STRETCH, let, running_totals, text_of
 
 
 @dataclass(frozen=True)
@@ -99,20 +99,20 @@ def format_conversations(
             F.array(piece(head, F.lit(False))), F.flatten(texts), F.array(piece(F.lit(template.close), F.lit(False)))
         )
 
-    def span(total: Column, piece: Column) -> Column:
-        end = total["end"] + F.length(piece["text"])
-        here = F.array(F.struct(total["end"].alias("start"), end.alias("end")))
-        spans = F.when(piece["learned"], F.concat(total["spans"], here)).otherwise(total["spans"])
-        return F.struct(end.alias("end"), spans.alias("spans"))
+    def spans(pieces: Column, ends: Column) -> Column:
+        """From where to where each learned piece reaches, given where every piece ends."""
+        places = F.filter(F.sequence(F.lit(0), F.size(pieces) - 1), lambda i: F.get(pieces, i)["learned"])
+        end = lambda i: F.get(ends, i)
+        return F.transform(
+            places, lambda i: F.struct((end(i) - F.length(F.get(pieces, i)["text"])).alias("start"), end(i).alias("end"))
+        )
 
-    begin = F.struct(
-        F.lit(0).alias("end"), F.array().cast("array<struct<start:int,end:int>>").alias("spans")
-    )
     listed = collected.select("k", F.flatten(F.transform(let(F.col("t"), merged), pieces)).alias("p"))
+    ends = running_totals(F.transform("p", lambda x: F.length(x["text"])))
     return listed.select(
         F.col("k").alias(key),
         F.array_join(F.transform("p", lambda x: x["text"]), "").alias("formatted"),
-        F.aggregate("p", begin, span)["spans"].alias("mask"),
+        let(ends, lambda e: spans(F.col("p"), e)).alias("mask"),
     )
 
 
@@ -131,6 +131,17 @@ def read_turns(formatted: Column, template: Template = TEMPLATE) -> Column:
 
 
 def read_learned(formatted: Column, mask: Column, template: Template = TEMPLATE) -> Column:
-    """All text under the mask, unescaped, nothing between."""
-    parts = F.transform(mask, lambda m: template.unescape(F.substr(formatted, m["start"] + 1, m["end"] - m["start"])))
-    return F.array_join(parts, "")
+    """All text under the mask, unescaped, nothing between.
+
+    The string is cut by stretches of spans first: to find a character, Spark counts from the start of
+    what it cuts. Escapes are whole in each span, so they are undone in all of them at once.
+    """
+    firsts = F.filter(F.sequence(F.lit(0), F.size(mask), F.lit(STRETCH)), lambda i: i < F.size(mask))
+
+    def learned(spans: Column) -> Column:
+        begin = spans[0]["start"]
+        around = F.substr(formatted, begin + 1, F.element_at(spans, -1)["end"] - begin)
+        cut = lambda text: F.transform(spans, lambda m: F.substr(text, m["start"] - begin + 1, m["end"] - m["start"]))
+        return F.array_join(let(around, cut), "")
+
+    return template.unescape(F.array_join(F.transform(firsts, lambda i: let(F.slice(mask, i + 1, F.lit(STRETCH)), learned)), ""))

@@ -42,6 +42,36 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+# Numbers in one stretch of a running total.
+STRETCH = 256
+
+
+def running_totals(numbers: Column) -> Column:
+    """For each whole number of an array the total up to it; null for null, empty for empty.
+
+    Totals run inside stretches and over the stretches, so no array of the whole length is copied for
+    each number.
+    """
+
+    def run(values: Column) -> Column:
+        empty = F.array().cast("array<int>")
+        last = lambda sums: F.coalesce(F.get(sums, F.size(sums) - 1), F.lit(0))
+        return F.aggregate(values, empty, lambda sums, n: F.concat(sums, F.array((last(sums) + n).cast("int"))))
+
+    def shifted(stretches: Column) -> Column:
+        totals = run(F.transform(stretches, lambda s: F.get(s, F.size(s) - 1)))
+        before = lambda t, i: F.when(i > 0, F.get(t, i - 1)).otherwise(0)
+        return let(
+            totals, lambda t: F.flatten(F.transform(stretches, lambda s, i: let(before(t, i), lambda b: F.transform(s, lambda n: n + b))))
+        )
+
+    def totals(values: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(values), F.lit(STRETCH)), lambda i: i < F.size(values))
+        return let(F.transform(starts, lambda i: run(F.slice(values, i + 1, F.lit(STRETCH)))), shifted)
+
+    return let(numbers, totals)
+
+
 def cumulate(
     df: DataFrame, order_by: Sequence[str], value: str, within: Sequence[str] = (), prefix: str = "_"
 ) -> DataFrame:

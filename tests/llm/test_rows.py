@@ -1,5 +1,6 @@
 """Quality rules, chat formatting, sharding, mixing and URL rules on small tables."""
 
+import itertools
 import json
 import re
 import zlib
@@ -83,6 +84,27 @@ def test_chat_round_trip(spark):
     assert chat.format_conversations(table.limit(0)).count() == 0
 
 
+def test_long_conversations(spark):
+    """Spans of thousands of turns, and the time for them, which grows with the turns."""
+    sizes = (1, 255, 256, 257, 700, 20_000)
+    ids = spark.createDataFrame([(k, n) for k, n in enumerate(sizes)], "conv_id long, n int")
+    turns = ids.select("conv_id", F.explode(F.sequence(F.lit(1), "n")).alias("turn"))
+    role = F.when(F.col("turn") % 3 == 0, "user").otherwise("assistant")
+    table = turns.select("conv_id", "turn", role.alias("role"), F.concat(F.lit("<s>é"), F.col("turn").cast("string")).alias("text"))
+    formatted = chat.format_conversations(table)
+    learned = chat.read_learned(F.col("formatted"), F.col("mask")).alias("learned")
+    for row in formatted.select("conv_id", F.size("mask").alias("n"), learned).collect():
+        wanted = [f"<s>é{i}" for i in range(1, sizes[row.conv_id] + 1) if i % 3]
+        assert (row.n, row.learned) == (len(wanted), "".join(wanted))
+
+
+def test_running_totals(spark):
+    arrays = [[], None, [5], list(range(255)), [1] * 256, [2] * 257, [3, 0] * 1000]
+    table = spark.createDataFrame([(k, a) for k, a in enumerate(arrays)], "k int, a array<int>")
+    found = dict(table.select("k", rows.running_totals(F.col("a"))).collect())
+    assert found == {k: None if a is None else list(itertools.accumulate(a)) for k, a in enumerate(arrays)}
+
+
 @pytest.fixture(scope="module")
 def mixed_rows():
     rows_ = [(i, "w " * (i % 37), "hot" if i % 3 else f"s{i % 7}") for i in range(900)]
