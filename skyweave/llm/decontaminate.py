@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyweave.llm import texts
+from skyweave.llm.rows import written
 
 WINDOW = 10
 
@@ -53,8 +54,8 @@ class Windows:
             for h, (window, of) in zip(joined.tolist(), all_windows, strict=True):
                 self.behind[n, h].append((tuple(w.encode() for w in window), of))
 
-    def scan(self, column: pa.Array) -> Iterator[dict]:
-        """Words, hit word runs, their byte runs and items of each text."""
+    def scan(self, column: pa.Array, earlier: list[dict] | None = None) -> Iterator[dict]:
+        """Words, hit word runs, their byte runs and items of each text, with what ``earlier`` scans found there."""
         lowered, _ = texts.LETTERED
         for first_row, end_row, data, offsets in texts.slices(column):
             starts, ends, row, hashes = texts.word_hashes(data, offsets, texts.LETTERED)
@@ -74,6 +75,10 @@ class Windows:
                             items[int(row[i])].update(of)
             for r in range(end_row - first_row):
                 base = int(bounds[r])
+                if earlier is not None:
+                    before = earlier[first_row + r]
+                    hits[r] += [(h["start"] + base, h["end"] + base) for h in before["hits"]]
+                    items[r].update(before["items"])
                 merged = union(hits.get(r, ()))
                 yield {
                     "n_words": int(bounds[r + 1]) - base,
@@ -102,8 +107,9 @@ def find_contamination(
 
     A window is ``window`` consecutive words of an item, or all of a shorter one; a document's word
     in any occurrence of a window is hit. ``bytes`` counts UTF-8 bytes from the first to the last
-    word of a run. Items are sent to all tasks in parts of at most ``part_bytes`` of text; each part
-    is one more pass over the rows, in the same stage, without a shuffle.
+    word of a run. Items are sent to all tasks in parts of at most ``part_bytes`` of text. Each part is
+    one pass over the rows, without a shuffle; between two passes rows and hits are written to the shared
+    folder, so the driver and the tasks hold the windows of one part at a time.
 
     Null and empty texts have no words and no hits, such items no windows; items with a null id mark
     words like all others, but ``items`` cannot name them. Equal items are all named. Rows stay as they are, repeated or not; a column
@@ -115,38 +121,20 @@ def find_contamination(
         F.col(f"`{text}`").alias("_text"),
     )
     windowed = benchmark.select(F.col(f"`{item}`").cast("long").alias("_item"), F.col(f"`{item_text}`").alias("_words"))
-    parts = list(_parts(windowed.where(F.col("_words").isNotNull()), part_bytes))
-    fields = list(packed.schema.fields)
-    for k, part in enumerate(parts or [[]]):
-        drop = text not in kept and k + 1 >= len(parts)  # the last pass returns the text only if it is kept
-        fields = [f for f in fields if not (drop and f.name == "_text")]
-        fields.append(T.StructField(f"_found{k}", T._parse_datatype_string(RESULT)))
+    parts = _parts(windowed.where(F.col("_words").isNotNull()), part_bytes)
+    found, part = T.StructField("_found", T._parse_datatype_string(RESULT)), next(parts, [])
+    while part is not None:
+        following = next(parts, None)
+        drop = following is None and text not in kept  # the last pass returns the text only if it is kept
+        fields = [f for f in packed.schema.fields if f.name != "_found" and not (drop and f.name == "_text")]
         shared = docs.sparkSession.sparkContext.broadcast(part)
-        packed = packed.mapInArrow(_scanner(shared, window, drop), T.StructType(fields))
-    found = [F.col(f"_found{k}") for k in range(max(1, len(parts)))]
+        packed = packed.mapInArrow(_scanner(shared, window, drop), T.StructType([*fields, found]))
+        if following is not None:
+            packed = written(packed, "contamination")
+            shared.unpersist()
+        part = following
     columns = [F.col("_text").alias(c) if c == text else F.col(f"_in.`{c}`") for c in kept]
-    if len(found) == 1:
-        return packed.select(*columns, found[0].alias(out))
-    result = F.struct(
-        found[0]["n_words"].alias("n_words"),
-        _merged(F.concat(*[f["hits"] for f in found])).alias("hits"),
-        _merged(F.concat(*[f["bytes"] for f in found])).alias("bytes"),
-        F.array_sort(F.array_distinct(F.concat(*[f["items"] for f in found]))).alias("items"),
-    )
-    return packed.select(*columns, result.alias(out))
-
-
-def _merged(spans):
-    """Union of runs found by several passes."""
-
-    def add(done, span):
-        last = F.element_at(done, -1)
-        joins = (F.size(done) > 0) & (span["start"] <= last["end"])
-        wider = F.struct(last["start"].alias("start"), F.greatest(last["end"], span["end"]).alias("end"))
-        return F.when(joins, F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(wider))).otherwise(F.concat(done, F.array(span)))
-
-    empty = F.array().cast("array<struct<start:int,end:int>>")
-    return F.aggregate(F.array_sort(spans), empty, add)
+    return packed.select(*columns, F.col("_found").alias(out))
 
 
 def _parts(items: DataFrame, part_bytes: int) -> Iterator[list[tuple[int | None, str]]]:
@@ -169,10 +157,11 @@ def _scanner(shared, window: int, drop_text: bool):
         run = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
         kind = pa.struct([("n_words", pa.int64()), ("hits", run), ("bytes", run), ("items", pa.list_(pa.int64()))])
         for batch in batches:
-            found = pa.array(list(known.scan(batch.column("_text"))), kind)
-            rest = batch.drop_columns(["_text"]) if drop_text else batch
-            name = f"_found{sum(n.startswith('_found') for n in rest.schema.names)}"
-            yield pa.RecordBatch.from_arrays([*rest.columns, found], [*rest.schema.names, name])
+            earlier = batch.column("_found").to_pylist() if "_found" in batch.schema.names else None
+            found = pa.array(list(known.scan(batch.column("_text"), earlier)), kind)
+            gone = ("_found", "_text") if drop_text else ("_found",)
+            rest = batch.select([n for n in batch.schema.names if n not in gone])
+            yield pa.RecordBatch.from_arrays([*rest.columns, found], [*rest.schema.names, "_found"])
 
     return scan
 

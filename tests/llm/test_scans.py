@@ -66,6 +66,20 @@ def test_items_without_an_id_mark_words(spark, make_docs):
     assert [r.doc_id for r in decontaminate.decontaminate(make_docs(docs), table).collect()] == [3]
 
 
+def test_parts_find_what_one_pass_finds(spark, make_docs, case):
+    """Runs that touch are one run of words and of bytes, also where their items are in different parts."""
+    items = [(1, "alpha beta"), (2, "gamma delta"), (3, "beta gamma"), (4, "omega"), *case[1]]
+    docs = [(20, "so Alpha beta, gamma delta - omega it is"), (21, None), *case[0]]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    rows = [
+        sorted((repr(r.c.asDict(True)) for r in decontaminate.find_contamination(make_docs(docs), table, out="c", **s).collect()))
+        for s in ({}, {"part_bytes": 1}, {"part_bytes": 40, "keep": ["doc_id"]})
+    ]
+    assert rows[0] == rows[1] == rows[2]
+    clean = decontaminate.decontaminate(make_docs([docs[0]]), table, remove="spans", part_bytes=1).collect()
+    assert [r.text for r in clean] == ["so  it is"]
+
+
 def test_no_rows(spark, make_docs, case):
     empty = spark.createDataFrame([], "item_id long, text string")
     assert found(make_docs([]), empty) == []
