@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyweave.functions.nested import START, available_columns, full_column_names
-from skyweave.operators.calibration import calibrate
-from skyweave.operators.correction import Model, correct_errors
+from skyweave.operators.calibration import calibrate, is_processed
+from skyweave.operators.correction import Model, correct_errors, detector_coordinates, visit_detector_features
 from skyweave.operators.alignment import CELL
 from skyweave.operators.keys import lookup_places
 from skyweave.operators.nesting import MAX_ROWS_PER_PART, PART, merge_sources, nest_in_cells, nest_sources, object_parts
@@ -49,10 +49,12 @@ from skyweave.sources.catalog import (
     properties_of,
     read_remote,
     replace_partitions,
+    rewrite_catalog,
     write_association,
     write_catalog,
     write_in_same_partitions,
 )
+from skyweave.sources.exports import write_feature_table
 from skyweave.sources.files import indexed_scan, seeded_schema, write_index_files
 
 
@@ -154,6 +156,24 @@ def import_new_files(
     return versions
 
 
+def calibrate_catalog(catalog: Catalog, settings: CatalogSettings, visits: DataFrame | None = None) -> Catalog:
+    """The catalog with the magnitudes and times that the settings ask for; the same version where it has them all.
+
+    Partitions of one version share their schema, so the schema tells whether anything is to do.
+    """
+    columns = catalog.all_rows().columns
+    wanted = bool(settings.flux_prefixes) or settings.add_time
+    if not wanted or is_processed(columns, settings.flux_prefixes, settings.add_time):
+        return catalog
+    return rewrite_catalog(catalog, lambda rows: calibrate(rows, settings.flux_prefixes, visits if settings.add_time else None))
+
+
+def build_features(visit_detectors: DataFrame, detectors: DataFrame, path: str) -> DataFrame:
+    """The feature table of the correction, written sorted by visit and detector, and read again."""
+    write_feature_table(visit_detector_features(visit_detectors, detector_coordinates(detectors)), path)
+    return visit_detectors.sparkSession.read.parquet(path)
+
+
 def add_sources(
     catalog: Catalog,
     late: Mapping[str, DataFrame],

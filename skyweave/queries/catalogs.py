@@ -7,19 +7,20 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyweave.functions.nested import flatten
+from skyweave.functions.nested import flatten, full_column_names
 from skyweave.operators.calibration import calibrate
 from skyweave.operators.statistics import SKY_FIELDS, size_histogram
 from skyweave.operators.nesting import nest_sources
-from skyweave.plans.release import add_sources, catalog_report, collect, correct_collection, match_surveys, nest_catalog
+from skyweave.plans.release import add_sources, calibrate_catalog, catalog_report, collect, correct_collection, match_surveys, nest_catalog
 from skyweave.plans.settings import (
+    CatalogSettings,
     CollectionSettings,
     CorrectionSettings,
     NestingSettings,
     SurveySettings,
     corrected_columns,
 )
-from skyweave.functions.labels import gibibytes
+from skyweave.functions.labels import gibibytes, readable_size
 from skyweave.queries import fixtures as data
 from skyweave.queries import sql
 from skyweave.queries.correction import demo_models, features
@@ -84,12 +85,16 @@ _NESTING = NestingSettings(
     highest_order=8,
     default_columns=("objectId", "ra", "dec", "objectForcedSource.psfFlux", "objectForcedSource.midpointMjdTai"),
 )
+_CALIBRATION = CatalogSettings(
+    dims=(), group_by=(), ra="coord_ra", dec="coord_dec", catalog_type="source", threshold=20_000,
+    flux_prefixes=("psf",), add_time=True,
+)
 _COLLECTION = CollectionSettings("object_lc", "objectId", margin_arcsec=60.0)
 
 
 def light_curve_catalog(spark: SparkSession, sf_dir: str, max_rows: int = 4) -> Catalog:
     sources = source_catalog(spark, sf_dir)
-    timed = rewrite_catalog(sources, lambda df: calibrate(df, ["psf"], data.visits(spark, sf_dir)))
+    timed = calibrate_catalog(sources, _CALIBRATION, data.visits(spark, sf_dir))
     return nest_catalog(
         object_catalog(spark, sf_dir),
         [timed],
@@ -453,27 +458,70 @@ def association_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("objectId", "objectid_ztf", F.round("_dist_arcsec", 6).alias("_dist_arcsec"))
 
 
+# Columns of the light curves: of the object, its part, the nested sources without their own key, and the layout.
+_SOURCE_FIELDS = (
+    "sourceId", "visit", "detector", "band", "psfFlux", "psfFluxErr", "psfDiffFlux", "psfDiffFluxErr", "quantity",
+    "coord_ra", "coord_dec", "psfMag", "psfMagErr", "midpointMjdTai",
+)
+_RECORDED = ",".join([
+    "objectId", "ra", "dec", "_part", "_start", *[f"objectForcedSource.{f}" for f in _SOURCE_FIELDS],
+    "_healpix_29", "Norder", "Dir", "Npix",
+])
+
+
+@query(f"""
+SELECT s.objectId, s.sourceId, v.expMidptMJD AS midpointMjdTai, ({sql.magnitude('psfFlux')})::FLOAT AS psfMag,
+       2::BIGINT AS n_versions
+FROM ({sql.FORCED}) s LEFT JOIN ({sql.VISITS}) v ON s.visit = v.visitId""")
+def calibrated_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources of a written catalog calibrated once; the second time the schema says that nothing is to do."""
+    catalog = source_catalog(spark, sf_dir)
+    for _ in range(2):
+        catalog = calibrate_catalog(catalog, _CALIBRATION, data.visits(spark, sf_dir))
+    number = F.lit(open_catalog(spark, catalog.root).properties["number"]).cast("long")
+    return catalog.all_rows().select("objectId", "sourceId", "midpointMjdTai", "psfMag", number.alias("n_versions"))
+
+
 @query(f"""
 SELECT (SELECT count(*) FROM ({sql.CROWDED})) AS "numRows", (SELECT count(*) FROM ({sql.FORCED})) AS n_sources,
        'w_2026_01/object_lc' AS label, 'd1 w_2026_01 object_lc' AS name,
-       'DRP/d1/w_2026_01/T-1 object_lc' AS description""")
+       'DRP/d1/w_2026_01/T-1 object_lc' AS description, len(string_split(fields, ','))::BIGINT AS "numColumns",
+       fields, TRUE AS partitions_agree, TRUE AS size_agrees, TRUE AS url_agrees, TRUE AS builder_agrees,
+       'Column descriptions' AS link, 'https://example.org/columns' AS link_url, 1 AS n_links, 'Internal,DP' AS badges
+FROM (SELECT '{_RECORDED}' AS fields)""")
 def collection_record(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The summary record of a nested catalog, written as JSON and read back."""
+    """The summary record of a nested catalog, written as JSON and read back, beside what its files hold."""
     catalog = light_curve_catalog(spark, sf_dir)
     path = scratch_path(spark, "summary")
     summary = collection_summary(
-        catalog, "object_lc", version="w_2026_01", run="d1", tag="T-1", badges=["Internal"],
+        catalog, "object_lc", version="w_2026_01", run="d1", tag="T-1", badges=["Internal", "DP"],
         other_urls=[("Column descriptions", "https://example.org/columns")],
     )
     write_summaries([summary], path)
+    rows = catalog.all_rows()
     sizes = F.coalesce(F.size("objectForcedSource.psfFlux"), F.lit(0)).cast("long")
-    n_sources = catalog.all_rows().agg(F.sum(sizes).alias("n"))
+    n_sources = rows.agg(F.sum(sizes).alias("n"))
+    # Measured anew: folders that hold rows, and bytes of the data files as the folder lists them.
+    n_partitions = rows.agg(F.count_distinct("Norder", "Npix").alias("n"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    n_bytes = files.load(catalog.data_path).agg((F.floor(F.sum("length") / 1024) * 1024).alias("n"))
+    fields = ",".join(full_column_names(rows))
     return spark.read.json(path).select(
         F.col("metadata.numRows").alias("numRows"),
         F.lit(n_sources.scalar()).alias("n_sources"),
         "label",
         "name",
         "description",
+        F.col("metadata.numColumns").alias("numColumns"),
+        F.lit(fields).alias("fields"),
+        (F.col("metadata.numPartitions") == n_partitions.scalar()).alias("partitions_agree"),
+        (F.col("metadata.sizeOnDisk") == readable_size(n_bytes.scalar())).alias("size_agrees"),
+        (F.col("urls.catalog") == catalog.root).alias("url_agrees"),
+        (F.col("metadata.builder") == catalog.properties["builder"]).alias("builder_agrees"),
+        F.col("other_urls")[0]["label"].alias("link"),
+        F.col("other_urls")[0]["url"].alias("link_url"),
+        F.size("other_urls").alias("n_links"),
+        F.array_join("badges.title", ",").alias("badges"),
     )
 
 

@@ -224,7 +224,12 @@ def open_catalog(spark: SparkSession, root: str) -> Catalog:
 def read_remote(
     spark: SparkSession, path: str, endpoint: str | None = None, anonymous: bool = False
 ) -> DataFrame:
-    """Parquet of an outside survey; an object-store endpoint can be read without credentials."""
+    """Parquet of an outside survey; an object-store endpoint can be read without credentials.
+
+    Spark lists no folders over https, so such a path is an error; copy the survey or name its bucket.
+    """
+    if path.startswith(("http://", "https://")):
+        raise ValueError(f"{path}: a survey is read from a folder or a bucket (s3://…), not over http")
     reader = spark.read
     if endpoint is not None:
         reader = reader.option("fs.s3a.endpoint", endpoint)

@@ -1,6 +1,7 @@
 """Catalogs that grow: late sources, appended rows, files imported in steps."""
 
 import random
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from skyweave.functions.nested import flatten
 from skyweave.operators.nesting import merge_sources, nest_sources
 from skyweave.plans import release
 from skyweave.plans.settings import CatalogSettings, NestingSettings
-from skyweave.sources.catalog import append_rows, finished_files, is_valid_catalog, open_catalog, rewrite_catalog, write_catalog
+from skyweave.sources.catalog import append_rows, finished_files, is_valid_catalog, open_catalog, read_remote, rewrite_catalog, write_catalog
 from skyweave.sources.files import file_inventory
 from skyweave.streaming import ingest
 
@@ -191,3 +192,24 @@ def test_streamed_batches_are_taken_once(spark, tmp_path, monkeypatch):
     assert open_catalog(spark, root).properties["number"] == 6
     assert finished_files(spark, root).groupBy("path").count().where("count > 1").isEmpty()
     assert is_valid_catalog(spark, root, strict=True)
+
+
+def test_catalog_is_calibrated_once(spark, tmp_path):
+    rows = spark.createDataFrame([(1, 10.0, 5.0, 7, 3631.0), (2, 20.0, 5.0, None, None)], "id long, ra double, dec double, visit long, psfFlux double")
+    visits = spark.createDataFrame([(7, 60000.5)], "visitId long, expMidptMJD double")
+    root = str(tmp_path / "sources")
+    catalog = write_catalog(rows, root, name="x", catalog_type="source", ra="ra", dec="dec", threshold=5)
+    plain = CatalogSettings(dims=(), group_by=(), ra="ra", dec="dec", catalog_type="source", threshold=5)
+    assert release.calibrate_catalog(catalog, plain).properties["number"] == 1
+    magnitudes = replace(plain, flux_prefixes=("psf",))
+    both = replace(magnitudes, add_time=True)
+    second = release.calibrate_catalog(catalog, magnitudes)
+    third = release.calibrate_catalog(second, both, visits)
+    assert [c.properties["number"] for c in (second, third, release.calibrate_catalog(third, both, visits))] == [2, 3, 3]
+    assert [r.midpointMjdTai for r in third.all_rows().orderBy("id").collect()] == [60000.5, None]
+    assert "midpointMjdTai" not in second.all_rows().columns and "psfMag" not in catalog.all_rows().columns
+
+
+def test_surveys_over_http_are_an_error(spark):
+    with pytest.raises(ValueError, match="not over http"):
+        read_remote(spark, "https://example.org/survey")
