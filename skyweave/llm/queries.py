@@ -26,7 +26,7 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     planned = mixing.mix(docs, mixing.word_count(F.col("text"))).documents
-    return planned.select("doc_id", "source", "size", "source_size", "target", "taken")
+    return planned.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
 @query(lines.lines_sql())
@@ -102,7 +102,9 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(quality.quality_sql())
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge_quality(table(spark, sf_dir, "documents").select("doc_id", "text"), out="q")
-    return judged.select("doc_id", *[f"q.{c}" for c in quality.MEASURES], "q.base_failed", "q.kept")
+    base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    further = [c for c in quality.MEASURES if c not in base]
+    return judged.select("doc_id", *[f"q.{c}" for c in (*base, *further)])
 
 
 LEAF_COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
