@@ -76,6 +76,41 @@ def edge_distance(vector: np.ndarray, pixel: np.ndarray, order: np.ndarray) -> n
     return 2.0 * np.arcsin(np.minimum(best / 2.0, 1.0))
 
 
+# Points of the first look at an edge, and by how much a stretch of it may exceed its chord.
+_LOOK, _BEND = 9, 1.05
+
+
+def near_edge(vector: np.ndarray, pixel: np.ndarray, order: np.ndarray, angle: float) -> np.ndarray:
+    """Whether the outline of a pixel lies within an angle of each unit vector: ``edge_distance <= angle``.
+
+    A corner or a few points of the edges mostly tell: one within the angle, or all farther by more than
+    the stretches between them could bend. Only for the rest the distance itself is found.
+    """
+    near, open_rows = np.zeros(len(pixel), bool), np.arange(len(pixel))
+    for points in (2, _LOOK):
+        nearest, bound = _first_look(vector[open_rows], pixel[open_rows], order[open_rows], points)
+        hit, miss = nearest <= angle * (1.0 - 1e-9), bound > angle * (1.0 + 1e-9)
+        near[open_rows[hit]] = True
+        open_rows = open_rows[~hit & ~miss if points == _LOOK else ~hit]
+    near[open_rows] = edge_distance(vector[open_rows], pixel[open_rows], order[open_rows]) <= angle
+    return near
+
+
+def _first_look(vector: np.ndarray, pixel: np.ndarray, order: np.ndarray, points: int) -> tuple[np.ndarray, np.ndarray]:
+    """Angles to the nearest of some points round each outline, and below the angle to any of its points."""
+    face, x, y = split_pixel(pixel, order)
+    n = np.left_shift(1, np.asarray(order, np.int64)).astype(np.float64)
+    t = np.linspace(0.0, 1.0, points)[:-1]
+    zero, one = np.zeros_like(t), np.ones_like(t)
+    px = x[:, None] + np.concatenate([t, one, 1.0 - t, zero])
+    py = y[:, None] + np.concatenate([zero, t, one, 1.0 - t])
+    outline = face_vector(np.broadcast_to(face[:, None], px.shape), px, py, n[:, None])
+    angles = 2.0 * np.arcsin(np.minimum(np.sqrt(((outline - vector[:, None, :]) ** 2).sum(-1)) / 2.0, 1.0))
+    steps = 2.0 * np.arcsin(np.minimum(np.sqrt(((outline - np.roll(outline, -1, 1)) ** 2).sum(-1)) / 2.0, 1.0))
+    below = (angles + np.roll(angles, -1, 1) - _BEND * steps) / 2.0
+    return angles.min(1), below.min(1)
+
+
 def cone_pixels(ra: float, dec: float, radius_arcsec: float, most: int = 256) -> list[tuple[int, int]]:
     """(order, pixel) of disjoint pixels that together hold a cone; never misses a point.
 

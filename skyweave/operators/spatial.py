@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyweave.functions.pixels import REACH, coverage, edge_distance
+from skyweave.functions.pixels import REACH, coverage, near_edge
 from skyweave.functions.sky import (
     ARCSEC_PER_RADIAN,
     FINEST_ORDER,
@@ -355,16 +355,16 @@ def attach_matched_columns(
 _FACE_SLOPE = 1.46
 
 
-def _edge_distances(x: Column, y: Column, z: Column, pixel: Column, order: Column) -> Column:
-    """Angle in radians from a unit vector to the outline of a pixel, in Arrow batches."""
+def _near_edges(x: Column, y: Column, z: Column, pixel: Column, order: Column, angle: float) -> Column:
+    """Whether the outline of a pixel lies within an angle of a unit vector, in Arrow batches."""
 
-    @F.pandas_udf("double")
+    @F.pandas_udf("boolean")
     def measure(x: pd.Series, y: pd.Series, z: pd.Series, pixel: pd.Series, order: pd.Series) -> pd.Series:
         vectors = np.stack([x.to_numpy(), y.to_numpy(), z.to_numpy()], -1)
-        pixels, orders, out = pixel.to_numpy(), order.to_numpy(), np.empty(len(x))
+        pixels, orders, out = pixel.to_numpy(), order.to_numpy(), np.empty(len(x), bool)
         for at in range(0, len(out), 4096):
             part = slice(at, at + 4096)
-            out[part] = edge_distance(vectors[part], pixels[part], orders[part])
+            out[part] = near_edge(vectors[part], pixels[part], orders[part], angle)
         return pd.Series(out)
 
     return measure(x, y, z, pixel, order)
@@ -418,8 +418,10 @@ def margin_rows(
     edge = F.least(inside_x, inside_y, size - inside_x, size - inside_y)
     close = located.where(F.col("Norder").isNull() | (edge <= margin))
     # The rows near an edge are a thin strip; fixing their numbers lets the copies travel without
-    # the rows, and keeps equal rows apart.
-    close = materialize(close.withColumn("_strip", F.monotonically_increasing_id()))
+    # the rows, and keeps equal rows apart. Crowded pixels are dealt over all tasks: the distances
+    # cost far more than the rows weigh.
+    close = close.withColumn("_strip", F.monotonically_increasing_id())
+    close = materialize(close.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_strip"))
     vector = [c.alias(v) for c, v in zip(unit_vector(F.col(ra), F.col(dec)), _LEFT)]
     spots = close.select("_strip", F.col("Norder").alias("_o"), F.col("Npix").alias("_p"), *vector)
     candidates = _near_partitions(spots, partitions, angle)
@@ -428,7 +430,7 @@ def margin_rows(
         return df.select(*own, "Norder", directory_of(F.col("Npix")).alias("Dir"), "Npix").limit(0)
     itself = F.col("Norder").eqNullSafe(F.col("_o")) & F.col("Npix").eqNullSafe(F.col("_p"))
     # The numbers of the distant outlines pass through Python, a few for each row of the strip.
-    away = _edge_distances(*[F.col(v) for v in _LEFT], F.col("Npix"), F.col("Norder"))
-    targets = candidates.where(~itself).withColumn("_away", away).where(F.col("_away") <= angle)
+    near = _near_edges(*[F.col(v) for v in _LEFT], F.col("Npix"), F.col("Norder"), angle)
+    targets = candidates.where(~itself).withColumn("_near", near).where("_near")
     targets = targets.select("_strip", "Norder", directory_of(F.col("Npix")).alias("Dir"), "Npix")
     return close.select("_strip", *own).join(targets, "_strip").select(*own, "Norder", "Dir", "Npix")

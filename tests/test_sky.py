@@ -5,7 +5,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from skyweave.functions.pixels import coverage, face_vector, split_pixel
+from skyweave.functions import pixels
+from skyweave.functions.pixels import coverage, edge_distance, face_vector, near_edge, split_pixel
 from skyweave.functions.sky import (
     PIXEL,
     chord,
@@ -395,3 +396,37 @@ def test_equal_rows_have_separate_margin_copies(spark):
     placed = assign_partitions(df, pmap)
     assert placed.select("Npix").distinct().count() == 2
     assert margin_rows(placed, pmap, 5.0).where("id = 1").count() == 3
+
+
+@pytest.mark.parametrize("order", [0, 1, 6, 17])
+def test_outlines_are_measured_only_where_a_first_look_cannot_tell(monkeypatch, order):
+    generator = np.random.default_rng(order)
+    pixel = np.concatenate([generator.integers(0, 12 << (2 * order), 3000), np.repeat([0, (1 << (2 * order)) - 1], 500)])
+    orders, n = np.full(len(pixel), order), np.full(len(pixel), float(1 << order))
+    face, x, y = split_pixel(pixel, orders)
+    vector = face_vector(face, x + 0.5, y + 0.5, n) + generator.normal(size=(len(pixel), 3)) / (1 << order)
+    vector /= np.linalg.norm(vector, axis=1)[:, None]
+    exact, measured = edge_distance(vector, pixel, orders), []
+    monkeypatch.setattr(pixels, "edge_distance", lambda *rows: measured.append(len(rows[1])) or edge_distance(*rows))
+    for share in (0.02, 0.3, 1.0):
+        measured.clear()
+        assert (near_edge(vector, pixel, orders, share / (1 << order)) == (exact <= share / (1 << order))).all()
+        assert sum(measured) < len(pixel) / 4
+
+
+def test_strip_of_a_margin_is_dealt_over_all_tasks(spark, monkeypatch):
+    from skyweave.operators import spatial
+    from skyweave.runtime import materialize
+
+    sizes = []
+
+    def watched(df):
+        if "_strip" in df.columns:
+            sizes.extend(row["count"] for row in df.groupBy(F.spark_partition_id()).count().collect())
+        return materialize(df)
+
+    monkeypatch.setattr(spatial, "materialize", watched)
+    rows = spark.range(0, 4000, 1, 1).select("id", (45.0 + F.col("id") * 1e-6).alias("ra"), F.lit(0.0).alias("dec"))
+    placed = rows.select("*", F.lit(0).alias("Norder"), F.lit(0).cast("long").alias("Dir"), F.lit(4).cast("long").alias("Npix"))
+    margin_rows(placed, spark.createDataFrame([(0, p) for p in range(12)], "Norder int, Npix long"), 3600.0 * 50).count()
+    assert len(sizes) == 4 and max(sizes) < 2000
