@@ -236,12 +236,12 @@ def tree_candidates(spots: DataFrame, right: DataFrame, radius: float, n: int) -
     leaf_rows = max(LEAF_ROWS, 2 * n)
     size = 2.0 * _slack(radius)
     limit = _slack(radius) ** 2
-    cells = lambda size: with_cell(right, _RIGHT, size).groupBy(*CELL).agg(F.count(F.lit(1)).alias("_rows"))
     open_cells = with_touched_cells(spots, _LEFT, size, radius).withColumn("_bound", F.lit(limit))
     found = None
     while True:
         near, far = _box_distances(size)
-        met = open_cells.join(cells(size), list(CELL)).withColumns({"_near": near, "_far": far})
+        cells = with_cell(right, _RIGHT, size).groupBy(*CELL).agg(F.count(F.lit(1)).alias("_rows"))
+        met = open_cells.join(cells, list(CELL)).withColumns({"_near": near, "_far": far})
         met = met.where(F.col("_near") <= F.col("_bound"))
         closest = Window.partitionBy(*position).orderBy("_far", *CELL).rowsBetween(Window.unboundedPreceding, 0)
         enough = met.withColumn("_sum", F.sum("_rows").over(closest))
@@ -252,11 +252,15 @@ def tree_candidates(spots: DataFrame, right: DataFrame, radius: float, n: int) -
         is_leaf = (F.col("_rows") <= leaf_rows) | F.lit(size <= _SMALLEST_CELL)
         pairs = kept.where(is_leaf).join(with_cell(right, _RIGHT, size), list(CELL)).withColumn("_d2", squared_chord(_LEFT, _RIGHT))
         pairs = pairs.where((F.col("_d2") <= F.col("_bound")) & (F.col("_d2") <= radius * radius))
-        pairs = pairs.select(*position, "_rid", "_rno", "_d2")
+        # Written level by level: one plan of all levels holds the broadcasts of all of them at once.
+        pairs = materialize(pairs.select(*position, "_rid", "_rno", "_d2"))
         found = pairs if found is None else found.unionByName(pairs)
         rest = kept.where(~is_leaf)
         if rest.isEmpty():
             return found
+        # Deeper levels see the rows of open cells only.
+        opened = rest.select(*CELL).distinct()
+        right = materialize(with_cell(right, _RIGHT, size).join(opened, list(CELL), "left_semi").select("_rid", "_rno", *_RIGHT))
         size /= 2.0
         halves = rest.drop("_rows")
         for c in CELL:

@@ -430,3 +430,29 @@ def test_strip_of_a_margin_is_dealt_over_all_tasks(spark, monkeypatch):
     placed = rows.select("*", F.lit(0).alias("Norder"), F.lit(0).cast("long").alias("Dir"), F.lit(4).cast("long").alias("Npix"))
     margin_rows(placed, spark.createDataFrame([(0, p) for p in range(12)], "Norder int, Npix long"), 3600.0 * 50).count()
     assert len(sizes) == 4 and max(sizes) < 2000
+
+
+def test_deeper_levels_of_a_tree_read_rows_of_open_cells_only(spark, monkeypatch):
+    from skyweave.operators import spatial
+    from skyweave.runtime import materialize
+
+    kept = []
+
+    def watched(df):
+        df = materialize(df)
+        if df.columns == ["_rid", "_rno", *spatial._RIGHT]:
+            kept.append(df.count())
+        return df
+
+    monkeypatch.setattr(spatial, "materialize", watched)
+    def clumps(step, clump):  # 500 rows, apart but for a clump
+        rows = spark.range(500).select("id", (F.col("id") * step % 3.0).alias("ra"), (F.col("id") % 31 * 0.09).alias("dec"))
+        close = spark.range(500, 600).select("id", (1.0 + F.col("id") * 1e-9).alias("ra"), (F.lit(clump) + F.col("id") % 7 * 1e-9).alias("dec"))
+        return rows.unionByName(close)
+
+    left, right = clumps(0.013, 1.0), clumps(0.017, 1.0)
+    options = dict(left_id="id", right_id="id", radius_arcsec=3600.0, n_neighbors=3, suffix="_r")
+    found = sorted(map(tuple, crossmatch(left, right, hot_cell_rows=50, **options).collect()))
+    assert len(kept) > 4 and max(kept[1:]) <= 600 and min(kept) <= 130
+    usual = sorted(map(tuple, crossmatch(left, right, hot_cell_rows=10_000, **options).collect()))
+    assert found == usual
