@@ -360,3 +360,25 @@ def test_settings_fit_together():
         assert len(nesting.source_catalogs) == len(nesting.nested_columns)
         assert collection.index_column == nesting.join_id
     assert set(RANGE_RULES) == set(CATALOGS)
+
+
+def test_small_files_are_dealt_over_tasks_and_crowded_partitions_in_pieces(spark, monkeypatch):
+    from skyweave.sources import catalog as module
+
+    monkeypatch.setattr(module, "FILES_PER_TASK", 8)
+    rows = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("Npix"))
+    rows = rows.withColumns({"Norder": F.lit(5), "Dir": F.lit(0).cast("long"), "_healpix_29": F.col("id")})
+    planned = rows.groupBy("Norder", "Dir", "Npix").agg(F.count(F.lit(1)).alias("n_rows"))
+    dealt = module._dealt(rows, planned, 0)
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 3 and max(sizes) < 1500
+    assert dealt.columns == rows.columns and sorted(r["id"] for r in dealt.collect()) == list(range(3000))
+    chunks = module._dealt(rows, planned, 10)
+    assert chunks.rdd.getNumPartitions() == 44
+
+
+def test_a_version_is_listed_once(spark, tmp_path):
+    rows = spark.range(100).select(F.col("id"), (F.col("id") * 3.0).alias("ra"), (F.col("id") * 0.5).alias("dec"))
+    catalog = write_catalog(rows, str(tmp_path / "c"), name="c", catalog_type="object", ra="ra", dec="dec", threshold=10)
+    assert catalog.all_rows() is catalog.all_rows()
+    assert catalog.all_rows().count() == open_catalog(spark, catalog.root).all_rows().count() == 100
