@@ -206,11 +206,17 @@ def _nearest(pairs: DataFrame, on: list[str], n: int) -> DataFrame:
 
 
 def _pairs(left: DataFrame, right: DataFrame, radius: float, size: float) -> DataFrame:
-    joined = with_cell(left, _LEFT, size).join(
-        with_touched_cells(right, _RIGHT, size, radius), list(CELL)
-    )
-    squared = squared_chord(_LEFT, _RIGHT)
-    return joined.withColumn("_d2", squared).where(F.col("_d2") <= radius * radius)
+    return _cell_pairs(with_cell(left, _LEFT, size), with_touched_cells(right, _RIGHT, size, radius), radius)
+
+
+def _cell_pairs(left: DataFrame, touched: DataFrame, radius: float) -> DataFrame:
+    """Pairs of one cell within the radius, by shuffle.
+
+    Spark takes the copies for as few as the rows they are made from, and would send them all through
+    the driver to every task; the tasks would also be as few as the files of the left.
+    """
+    joined = left.join(touched.hint("merge"), list(CELL))
+    return joined.withColumn("_d2", squared_chord(_LEFT, _RIGHT)).where(F.col("_d2") <= radius * radius)
 
 
 def _box_distances(size: float) -> tuple[Column, Column]:
@@ -330,8 +336,7 @@ def crossmatch(
         # A right row goes to the hot side once, however many hot cells it touches.
         hot_right = touched.join(hot, list(CELL), "left_semi").drop(*CELL).dropDuplicates(["_rno"])
         cold_right = touched.join(hot, list(CELL), "left_anti")
-        pairs = cold_left.join(cold_right, list(CELL)).withColumn("_d2", squared_chord(_LEFT, _RIGHT))
-        cold = _nearest(pairs.where(F.col("_d2") <= radius * radius), ["_lno"], n_neighbors)
+        cold = _nearest(_cell_pairs(cold_left, cold_right, radius), ["_lno"], n_neighbors)
         matched = cold.select("_lid", "_rid", "_d2").unionByName(
             _match_hot(hot_left, hot_right, radius, n_neighbors)
         )

@@ -456,3 +456,15 @@ def test_deeper_levels_of_a_tree_read_rows_of_open_cells_only(spark, monkeypatch
     assert len(kept) > 4 and max(kept[1:]) <= 600 and min(kept) <= 130
     usual = sorted(map(tuple, crossmatch(left, right, hot_cell_rows=10_000, **options).collect()))
     assert found == usual
+
+
+def test_copies_for_cells_are_not_broadcast(spark, tmp_path, capsys):
+    from skyweave.operators.spatial import _LEFT, _RIGHT, _pairs
+
+    spark.range(300).select("id", *[(F.col("id") * 0.001).alias(v) for v in (*_LEFT, *_RIGHT)]).write.parquet(str(tmp_path / "t"))
+    rows = spark.read.parquet(str(tmp_path / "t"))
+    pairs = _pairs(rows.select("id", *_LEFT), rows.select(F.col("id").alias("_rid"), *_RIGHT), 0.002, 0.01)
+    pairs.explain()
+    plan = capsys.readouterr().out
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert pairs.where("id = _rid").count() == 300
