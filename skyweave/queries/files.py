@@ -45,6 +45,11 @@ def raw_files(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
+def add_raw_files(rows: DataFrame, folder: str) -> None:
+    """Further raw files, one for each tract and band, or several where a task would get too many rows."""
+    rows.hint("rebalance", "tract", "band").write.mode("append").partitionBy("tract", "band").parquet(folder)
+
+
 def raw_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return file_inventory(spark, raw_files(spark, sf_dir), _KEYS).select("path", *_KEYS)
 
@@ -238,20 +243,17 @@ def streamed_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = rows.drop("band", "tract").schema
     sizes = []
 
-    def arrive(tracts: str) -> None:
-        rows.where(tracts).coalesce(1).write.mode("append").partitionBy("tract", "band").parquet(folder)
-
     def take(checkpoint: str, files_per_batch: int = 1_000) -> None:
         stream = stream_keyed_files(spark, folder, schema, _KEYS, max_files_per_trigger=files_per_batch)
         visits = data.visits(spark, sf_dir)
         import_available(stream, root, "forced", settings, checkpoint, visits=visits).awaitTermination()
         sizes.append(open_catalog(spark, root).properties["n_partitions"])
 
-    arrive("tract < 2")
+    add_raw_files(rows.where("tract < 2"), folder)
     n_files = file_inventory(spark, folder, _KEYS).count()
     take(checkpoint, -(-n_files // 2))
-    arrive("tract >= 2")
-    take(checkpoint)
+    add_raw_files(rows.where("tract >= 2"), folder)
+    take(checkpoint, file_inventory(spark, folder, _KEYS).count())
     take(checkpoint)
     take(f"{checkpoint}-new")
     catalog = open_catalog(spark, root)

@@ -171,3 +171,18 @@ def test_broadcast_is_bounded(spark):
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_raw_files_are_written_by_several_tasks(spark, tmp_path):
+    from skyweave.queries.files import add_raw_files
+
+    rows = spark.range(4000).select("id", (F.col("id") % 2).alias("tract"), F.element_at(F.array(F.lit("g"), F.lit("r")), (F.col("id") % 2 + 1).cast("int")).alias("band"))
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4k")
+    try:
+        for _ in range(2):
+            add_raw_files(rows, str(tmp_path / "raw"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    sizes = [r["count"] for r in spark.read.parquet(str(tmp_path / "raw")).groupBy(F.col("_metadata.file_path")).count().collect()]
+    assert sum(sizes) == 8000 and max(sizes) < 2000
