@@ -10,6 +10,7 @@ from skyweave.functions.nested import (
     nest,
     select_columns,
 )
+from skyweave.operators import nesting
 from skyweave.operators.nesting import nest_sources, resort_nested, sort_nested
 from skyweave.operators.numbering import number_groups, number_rows, zip_by_position
 
@@ -138,3 +139,41 @@ def test_zip_refuses_unequal_lengths(spark):
     assert sorted((r["a"], r["b"]) for r in zip_by_position(a, b).collect()) == [("x", "p"), ("y", "q")]
     with pytest.raises(Exception, match="unequal lengths"):
         zip_by_position(a, b.limit(1)).collect()
+
+
+def opened(nested, columns):
+    rows = nested.select("id", "_part", "_start", *columns).collect()
+    return sorted(([tuple(map(tuple, x)) if isinstance(x, list) else x for x in r] for r in rows), key=repr)
+
+
+def test_short_light_curves_are_cut_without_numbering(spark, monkeypatch):
+    objects = spark.createDataFrame([(i,) for i in (1, 1, 2, 3, 4, None)], "id long")
+    a = spark.createDataFrame([(i, float(k % 4) if k % 5 else None, k) for i, n in ((1, 7), (2, 4), (9, 3)) for k in range(n)], "id long, t double, k long")
+    b = spark.createDataFrame([(i, float(-k), k) for i, n in ((1, 2), (2, 9), (3, 5), (None, 2)) for k in range(n)], "id long, t double, k long")
+
+    def nested(held, how):
+        monkeypatch.setattr(nesting, "MAX_ROWS_HELD", held)
+        return opened(nest_sources(objects, [a, b], on="id", into=["a", "b"], sort_by="t", tie_break=["k"], how=how, max_rows=3), ["a", "b"])
+
+    for how in ("left", "inner"):
+        numbered = nested(3, how)
+        assert numbered == nested(5, how)
+        with monkeypatch.context() as patched:
+            patched.setattr(nesting, "number_rows", None)
+            assert nested(10, how) == numbered
+    assert [(r[0], r[1], r[2], r[3] and len(r[3]), len(r[4])) for r in nested(10, "inner") if r[0] == 2] == [(2, 0, 0, 3, 3), (2, 1, 3, 1, 3), (2, 2, 6, None, 3)]
+
+
+def test_resorting_runs_its_input_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    rows = spark.createDataFrame([(i % 3, i, float(-i)) for i in range(30)], "id long, k long, t double").mapInPandas(counted, "id long, k long, t double")
+    again = nest(rows.withColumn("_pos", F.col("k")), ["id"], "s", max_rows=10_000)
+    by_t = resort_nested(again, "id", "s", ["t"], "t", max_rows=4)
+    assert [r["t"] for r in flatten(by_t, "s", ["id"]).where("id = 1").orderBy("_pos").collect()] == [float(-i) for i in range(28, 0, -3)]
+    assert seen.value == 30
