@@ -318,6 +318,16 @@ def _lay_out(
     writer.option("maxRecordsPerFile", max_records_per_file).partitionBy(*_LAYOUT).parquet(path)
 
 
+def _lay_out_counted(rows: DataFrame, path: str) -> None:
+    """As ``_lay_out``, for rows whose number in each partition is not known: they are kept, counted and written.
+
+    There may be as many small files as partitions, which bytes alone would leave to a few tasks.
+    """
+    rows = materialize(rows)
+    planned = materialize(rows.groupBy(*_LAYOUT).agg(F.count(F.lit(1)).alias("n_rows")))
+    _lay_out(rows, path, 0, {}, planned=planned)
+
+
 def _measured_partitions(data: DataFrame) -> DataFrame:
     """Rows and bytes per partition as they are in the files; no column is read."""
     rows = data.select(
@@ -794,7 +804,7 @@ def write_margin(
     rows = margin_rows(catalog.all_rows().drop(CELL), catalog.partitions(), threshold_arcsec, *catalog.position)
     version = uuid.uuid4().hex
     path = f"{root}/data-{version}"
-    _lay_out(rows, path, 0, {})
+    _lay_out_counted(rows, path)
     properties = catalog.properties
     return record_version(
         spark,
@@ -865,7 +875,7 @@ def write_association(
     layout = list(_LAYOUT)
     placed = pairs.join(index.select(id_column, PIXEL, *layout).distinct(), id_column)
     version = uuid.uuid4().hex
-    _lay_out(placed, f"{root}/{name}/data-{version}", 0, {})
+    _lay_out_counted(placed, f"{root}/{name}/data-{version}")
     properties = catalog.properties
     return record_version(
         catalog.spark,

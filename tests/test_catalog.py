@@ -382,3 +382,19 @@ def test_a_version_is_listed_once(spark, tmp_path):
     catalog = write_catalog(rows, str(tmp_path / "c"), name="c", catalog_type="object", ra="ra", dec="dec", threshold=10)
     assert catalog.all_rows() is catalog.all_rows()
     assert catalog.all_rows().count() == open_catalog(spark, catalog.root).all_rows().count() == 100
+
+
+def test_small_files_of_margins_and_associations_are_dealt_over_tasks(spark, tmp_path, monkeypatch):
+    from skyweave.sources import catalog as module
+
+    monkeypatch.setattr(module, "FILES_PER_TASK", 8)
+    rows = spark.range(600).select(F.col("id"), (F.col("id") * 137.5 % 360).alias("ra"), (F.col("id") * 73.1 % 180 - 90).alias("dec"))
+    catalog = write_catalog(rows, str(tmp_path / "c"), name="c", catalog_type="object", ra="ra", dec="dec", threshold=10, highest_order=3)
+    collection = collect(catalog, str(tmp_path / "collection"), CollectionSettings("c", "id", margin_arcsec=7200.0))
+    rows.select(F.col("id").alias("other"), "ra", "dec").write.parquet(str(tmp_path / "survey"))
+    written = match_surveys({"c": collection}, {"s": SurveySettings(str(tmp_path / "survey"), "_s", "other")}, str(tmp_path / "matches"))
+    matches = open_catalog(spark, written["c_x_s"])
+    assert matches.properties["total_rows"] == 600
+    for table in (collection.margin, matches):
+        writers = table.all_rows().select(F.regexp_extract(F.col("_metadata.file_path"), r"/part-(\d+)-", 1)).distinct().count()
+        assert table.properties["n_partitions"] > 40 and writers > 3
