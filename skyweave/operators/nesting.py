@@ -306,11 +306,13 @@ def resort_nested(
     df: DataFrame, on: str, column: str, fields: Sequence[str], sort_by: str, max_rows: int = MAX_ROWS_PER_PART
 ) -> DataFrame:
     """``on, _part, _start, column`` in order of one of its fields over all parts, nulls last; ties keep their order."""
-    # Counted and nested: the rows are kept, or whatever made them would run for each.
-    flat = materialize(flatten(df, column, [on]).select(on, "_pos", *fields))
+    # Counted and nested: the rows are kept, or whatever made them would run for each. Of a parent that comes
+    # twice, elements may share a position; they stay in the order they come in.
+    flat = flatten(df, column, [on]).select(on, "_pos", *fields)
+    flat = materialize(flat.withColumn("_at", F.monotonically_increasing_id()))
     keys = flat.select(on).distinct()
     sorted_rows = nest_sources(
-        keys, [flat], on=on, into=[column], sort_by=sort_by, tie_break=["_pos"], how="inner", max_rows=max_rows
+        keys, [flat], on=on, into=[column], sort_by=sort_by, tie_break=["_pos", "_at"], how="inner", max_rows=max_rows
     )
     return sorted_rows.withColumn(column, keep_fields(sorted_rows, column, fields))
 
