@@ -21,6 +21,8 @@ from skyweave.operators.numbering import number_rows
 from skyweave.runtime import broadcast_checked, materialize
 
 FANOUT = 16
+# Nodes that a task writes at least: small levels of a tree make few files, whatever the shuffle partitions.
+TASK_NODES = 1 << 15
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 _STEP = "array<struct<left:string,right:string>>"
@@ -66,11 +68,16 @@ def _next_level(nodes: DataFrame) -> DataFrame:
     )
 
 
+def _few(df: DataFrame, n_rows: int) -> DataFrame:
+    """``df``, made from or of so many rows, in no more tasks than they are worth."""
+    return df.coalesce(1 + n_rows // TASK_NODES)
+
+
 def _levels(nodes: DataFrame, n_most: int) -> list[DataFrame]:
     """All levels above the nodes, lowest first; a tree is absent from the levels above its top."""
     found = []
     while n_most > 1:
-        nodes = written(_next_level(nodes), f"merkle-level-{len(found) + 1}")
+        nodes = written(_few(_next_level(nodes), nodes.count()), f"merkle-level-{len(found) + 1}")
         found.append(nodes)
         n_most = -(-n_most // FANOUT)
     return found
@@ -108,10 +115,11 @@ def _descend(tops: DataFrame, levels: list[DataFrame]) -> DataFrame:
         runs = own.join(up, bucket & inside).select("own.tree", "own.place", "own.children", "up.path", "up.top")
         opened = runs.select("tree", "place", "children", "path", "top", F.posexplode("children").alias("at", "child"))
         step = F.array(_siblings(F.col("children"), F.col("child.lo"), F.col("child.hi")))
-        below = materialize(opened.select(
+        below = opened.select(
             "tree", (F.col("place") * FANOUT + F.col("at")).alias("place"), F.col("child.lo").alias("lo"),
             F.col("child.hi").alias("hi"), F.concat(step, F.col("path")).alias("path"), "top",
-        ))
+        )
+        below = materialize(_few(below, FANOUT * level.count()))
     return below
 
 
@@ -183,10 +191,12 @@ def build_manifest(docs: DataFrame, leaf: Column, key: str = "doc_id", source: s
     own = [F.col(f"`{key}`").alias("_key"), F.col(f"`{source}`").cast("string").alias("_source"), leaf.alias("leaf")]
     rows = docs.select(*own, *[c.alias(f"_p_{name}") for name, c in payload.items()])
     order = ["_source", "_key", "leaf"]
-    ranked = written(number_rows(rows, order, out="lo"), "merkle-leaves")
+    ranked = number_rows(rows, order, out="lo")
+    n_rows = ranked.count()
+    ranked = written(_few(ranked, n_rows), "merkle-leaves")
     # One row for each source and task; the ranks of a source follow one another.
     sources = ranked.groupBy("_source").agg(F.min("lo").alias("start"), F.count(F.lit(1)).alias("size"))
-    sources = materialize(sources.withColumn("tree", F.col("start")))
+    sources = materialize(_few(sources.withColumn("tree", F.col("start")), n_rows))
     named = broadcast_checked(sources.withColumnRenamed("_source", "_s"))
     leaves = ranked.join(named, F.col("_source").eqNullSafe(F.col("_s"))).drop("_s", "_source")
     leaves = leaves.select(
@@ -195,7 +205,7 @@ def build_manifest(docs: DataFrame, leaf: Column, key: str = "doc_id", source: s
     )
     lowest = leaves.select("tree", "start", "size", "place", "lo", (F.col("lo") + 1).alias("hi"), F.col("leaf").alias("digest"))
     levels = _levels(lowest, sources.agg(F.max("size")).first()[0] or 0)
-    tops = written(_tops(lowest, levels), "merkle-sources")
+    tops = written(_few(_tops(lowest, levels), n_rows), "merkle-sources")
     ordered = number_rows(tops, ["lo"], out="place")
     n_sources = tops.count()
     ordered = ordered.select(

@@ -116,3 +116,17 @@ def test_nodes_are_nested(make_docs, tmp_path):
     assert one.keys() == two.keys()
     different = [k for k in one if one[k] != two[k]]
     assert len({k[:2] for k in different}) == len(different) >= 3
+
+
+def test_levels_are_written_by_as_few_tasks_as_their_nodes_need(spark, make_docs):
+    docs = make_docs([(i, f"text {i}", f"source {i % 3}") for i in range(400)]).repartition(16)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 16)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        manifest = merkle.build_manifest(docs, merkle.digest_of([F.col(c) for c in COLUMNS]))
+        assert [len(level.inputFiles()) for level in (*manifest.levels, *manifest.top_levels)] == [1] * 3
+        assert manifest.proofs().count() == 400
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
