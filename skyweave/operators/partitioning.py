@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyweave.functions.sky import FINEST_ORDER, PIXEL, directory_of, parent_pixel
-from skyweave.runtime import fits_broadcast
+from skyweave.runtime import broadcast_checked, fits_broadcast, materialize
 
 
 def pixel_histogram(df: DataFrame, order: int) -> DataFrame:
@@ -38,28 +38,38 @@ def partition_map(histogram: DataFrame, order: int, threshold: int) -> DataFrame
     threshold at the finest order stay as they are. Counts only fall with the order, so the
     partitions are disjoint and cover everything.
     """
-    ancestors = F.array(
-        *[
-            F.struct(F.lit(o).alias("o"), parent_pixel(F.col("pixel"), order, o).alias("p"))
-            for o in range(order + 1)
-        ]
-    )
-    levels = histogram.select("n_rows", F.explode(ancestors).alias("a"))
-    totals = levels.groupBy("a.o", "a.p").agg(F.sum("n_rows").alias("n_rows"))
-    fitting = totals.where((F.col("n_rows") <= threshold) | (F.col("o") == order))
-    # A chosen pixel is one that fits while its parent does not; each has one parent, so the
-    # test is an equi-join on (order, pixel) instead of a window over all levels.
-    parents = fitting.select(F.col("o").alias("po"), F.col("p").alias("pp"))
-    chosen = fitting.join(
-        parents,
-        (F.col("o") - 1 == F.col("po")) & (F.shiftright("p", 2) == F.col("pp")),
-        "left_anti",
+    # Most rows settle far above the finest order: those of a middle pixel that fits are looked at no deeper.
+    middle = order // 2
+    fine = histogram.withColumn("_at", parent_pixel(F.col("pixel"), order, middle))
+    coarse = materialize(fine.groupBy(F.col("_at").alias("pixel")).agg(F.sum("n_rows").alias("n_rows")))
+    levels = _levels(coarse, middle, range(middle + 1))
+    if order > middle:
+        crowded = coarse.where((F.col("n_rows") > threshold) | F.col("pixel").isNull()).select(F.col("pixel").alias("_crowded"))
+        deep = fine.join(broadcast_checked(crowded), F.col("_at").eqNullSafe(F.col("_crowded")), "left_semi")
+        levels = levels.unionByName(_levels(deep, order, range(middle + 1, order + 1)))
+    totals = levels.groupBy("o", "p").agg(F.sum("n_rows").alias("n_rows"))
+    # A chosen pixel is one that fits while its parent does not; a parent's rows are those of its (four) children.
+    child = F.struct("p", "n_rows").alias("child")
+    families = totals.groupBy("o", F.shiftright("p", 2).alias("parent")).agg(
+        F.sum("n_rows").alias("all"), F.collect_list(child).alias("children")
     )
+    # What has no pixel has no parent either.
+    split = (F.col("o") == 0) | (F.col("all") > threshold) | F.col("parent").isNull()
+    children = families.where(split).select("o", F.explode("children").alias("c"))
+    chosen = children.select("o", "c.p", "c.n_rows").where((F.col("n_rows") <= threshold) | (F.col("o") == order))
     return chosen.select(
         F.col("o").alias("Norder"), directory_of(F.col("p")).alias("Dir"), F.col("p").alias("Npix"), "n_rows"
     )
 
 
+def _levels(histogram: DataFrame, order: int, orders: Sequence[int]) -> DataFrame:
+    """Each pixel of a histogram as its ancestors of some orders: ``o, p, n_rows``."""
+    ancestors = [
+        F.struct(F.lit(o).alias("o"), parent_pixel(F.col("pixel"), order, o).alias("p")) for o in orders
+    ]
+    return histogram.select(F.explode(F.array(*ancestors)).alias("a"), "n_rows").select("a.o", "a.p", "n_rows")
+
+
 def assign_partitions(df: DataFrame, partitions: DataFrame, outside: str = "error") -> DataFrame:
     """Add ``Norder, Dir, Npix`` to rows that carry a finest-order pixel.
 

@@ -152,6 +152,38 @@ def test_partition_map_is_disjoint_complete_and_bounded(spark):
             assert df.where(parent == r["Npix"] >> 2).count() > threshold
 
 
+def plain_partition_map(counts, order, threshold):
+    """Chosen (order, pixel, rows) by definition; what has no pixel fits nowhere inside another."""
+    totals = {}
+    for pixel, n in counts:
+        for o in range(order + 1):
+            key = (o, None if pixel is None else pixel >> 2 * (order - o))
+            totals[key] = totals.get(key, 0) + n
+    fits = {k for k, n in totals.items() if n <= threshold or k[0] == order}
+    return sorted(
+        ((o, p, totals[o, p]) for o, p in fits if p is None or o == 0 or (o - 1, p >> 2) not in fits),
+        key=lambda r: (r[0], r[1] is not None, r[1] or 0),
+    )
+
+
+@pytest.mark.parametrize("order", [0, 1, 2, 5])
+@pytest.mark.parametrize("threshold", [0, 7, 60, 10_000])
+def test_partition_map_by_definition(spark, order, threshold):
+    rng = random.Random(order * 100 + threshold)
+    counts = [(rng.randrange(12 * 4**order) >> rng.choice([0, 0, 3]), rng.randrange(1, 20)) for _ in range(120)]
+    counts += [(None, 4), (None, 5)]
+    histogram = spark.createDataFrame(counts, "pixel long, n_rows long")
+    found = [(r["Norder"], r["Npix"], r["n_rows"]) for r in partition_map(histogram, order, threshold).collect()]
+    assert sorted(found, key=lambda r: (r[0], r[1] is not None, r[1] or 0)) == plain_partition_map(counts, order, threshold)
+
+
+def test_partition_map_adds_levels_up_once(spark):
+    histogram = spark.createDataFrame([(p, 5) for p in range(300)], "pixel long, n_rows long")
+    plan = partition_map(histogram, 6, 100)._jdf.queryExecution().optimizedPlan().toString()
+    # One sum over all levels, not one for the pixels and one for their parents; levels in two halves.
+    assert plan.count("sum(") <= 2 and "LeftAnti" not in plan
+
+
 def test_partition_map_of_nothing_and_of_one_row(spark):
     df = with_pixel(points(spark, [(1, 5.0, 5.0)]))
     assert partition_map(pixel_histogram(df.limit(0), 4), 4, 10).count() == 0
