@@ -5,29 +5,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyweave.llm.rows import written
+from skyweave.llm.rows import TASK_ROWS, written
+
+
+def _both(df: DataFrame, one: tuple[str, str], other: tuple[str, str]) -> DataFrame:
+    """Two edges (``a``, ``b``) for each row of ``df``."""
+    edge = lambda ends: F.struct(F.col(ends[0]).alias("a"), F.col(ends[1]).alias("b"))
+    return df.select(F.explode(F.array(edge(one), edge(other))).alias("edge")).select("edge.*")
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(``node``, ``root``) for all nodes of ``edges`` (long columns ``a``, ``b``); root is the component's smallest node.
 
-    Large and small stars replace edges by edges to the smallest neighbour until nothing changes;
-    the number of edges never grows, and the rounds follow the logarithm of the longest path.
-    Every round reads what the last one wrote. Loops and repeated edges do no harm.
+    Large and small stars replace edges by edges to the smallest neighbour until every node has one
+    root, itself or the one node it has an edge to; the number of edges never grows, and the rounds
+    follow the logarithm of the longest path. The first round reads ``edges`` several times, every
+    other what the last one wrote, without a shuffle if one task wrote it all. Loops and repeated
+    edges do no harm.
     """
-    ordered = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).dropna().distinct()
-    current, seen = written(ordered, "edges"), None
+    n_edges = edges.count()
+    current = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     while True:
-        both = current.union(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.where("a <> b").distinct()
+        least = _both(current, ("a", "b"), ("b", "a")).groupBy("a").agg(F.min("b").alias("m"))
+        large = current.join(least.select(F.col("a").alias("b"), F.least("a", "m").alias("m")), "b").select("a", F.col("m").alias("b"))
         lower = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(lower, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        current = written(small.union(lower.select("a", F.col("m").alias("b"))).where("a <> b").distinct(), "edges")
-        mark = current.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-        if mark == seen:
-            break
-        seen = mark
-    members = current.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    return members.union(current.select("b", "b").distinct()).distinct()
+        small = _both(large.join(lower, "a"), ("a", "m"), ("b", "m")).where("a <> b").distinct()
+        current = written(small, "edges", n_edges)
+        if n_edges < TASK_ROWS:
+            current = current.coalesce(1)
+        rooted = _both(current, ("a", "b"), ("b", "b")).groupBy("a").agg(F.min("b").alias("root"), F.max("b").alias("other"))
+        if rooted.where("root <> other").isEmpty():
+            return rooted.select(F.col("a").alias("node"), "root")

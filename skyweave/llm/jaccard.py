@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from skyweave.llm import texts
 from skyweave.llm.components import components
-from skyweave.llm.rows import written
+from skyweave.llm.rows import TASK_ROWS, written
 from skyweave.runtime import broadcast_checked, materialize
 
 SHINGLE = 5
@@ -32,6 +32,9 @@ SIMILARITY = 75  # per cent
 # Hashes that a task packs at a time, in bytes.
 CHUNK_BYTES = 8 << 20
 
+# Shared shingles in the sets that one task writes at least.
+TASK_TOKENS = 1 << 19
+
 # Parts of the hash space whose shared counts bound an overlap from above.
 PARTS = 16
 
@@ -240,12 +243,17 @@ def _similar(similarity: int, shared: Column, a: str, b: str) -> Column:
     return shared * 100 >= (F.col(a) + F.col(b) - shared) * similarity
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """Of distinct pairs (``a``, ``b``), those similar enough, by their whole sets."""
+def _judged(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """Distinct pairs (``a``, ``b``) and whether they are ``similar`` enough, by their whole sets."""
     side = lambda x: sets.select(F.col("nid").alias(x), F.col("n").alias(f"n_{x}"), F.col("tokens").alias(f"t_{x}"))
     joined = pairs.join(side("a"), "a").join(side("b"), "b")
     shared = F.size(F.array_intersect("t_a", "t_b"))
-    return joined.where(_similar(similarity, shared, "n_a", "n_b")).select("a", "b")
+    return joined.select("a", "b", _similar(similarity, shared, "n_a", "n_b").alias("similar"))
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """Of distinct pairs (``a``, ``b``), the similar ones."""
+    return _judged(pairs, sets, similarity).where("similar").select("a", "b")
 
 
 def _far_enough(similarity: int) -> Column:
@@ -299,12 +307,25 @@ def _distinct_postings(postings: DataFrame) -> DataFrame:
 
     Shingles with the same texts come in the same order in all of them; the earliest gives every pair
     that any of them gives, at the place that the positional filter needs. Equal sets of texts are
-    told by their number and two sums of hashes.
+    told by their number and two combined hashes. The texts of a frequent shingle are dealt over ``slots``
+    of about ``BLOCK`` texts.
     """
-    sums = [F.sum(F.xxhash64("nid", F.lit(k)).cast("decimal(20,0)")).alias(f"h{k}") for k in (1, 2)]
-    lists = postings.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("nid", "place")).alias("at"), *sums)
-    kept = lists.where("m > 1").groupBy("m", "h1", "h2", "at.nid").agg(F.min(F.struct("at.place", "token"))["token"].alias("token"))
-    return postings.join(kept.select("token"), "token")
+    hashes = [F.bit_xor(F.xxhash64("nid", F.lit(k))).alias(f"h{k}") for k in (1, 2)]
+    lists = postings.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min("nid").alias("nid"), F.min_by("place", "nid").alias("at"), *hashes)
+    kept = lists.where("m > 1").groupBy("m", "h1", "h2", "nid").agg(F.min_by("token", "at").alias("token"))
+    slots = F.ceil(F.col("m") / F.lit(BLOCK)).cast("int").alias("slots")
+    placed = postings.join(kept.select("token", slots), "token")
+    return placed.withColumn("slot", F.pmod(F.xxhash64("nid"), F.col("slots")).cast("int"))
+
+
+def _all_slots() -> Column:
+    return F.explode(F.sequence(F.lit(0), F.col("slots") - 1))
+
+
+def _met(x: DataFrame, y: DataFrame, similarity: int) -> DataFrame:
+    """x and y of different components that share a shingle and may be similar; x stands in all slots of the shingle."""
+    same = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("token", "slot")]
+    return x.alias("x").join(y.alias("y"), same[0] & same[1] & (F.col("x.root") != F.col("y.root")) & _far_enough(similarity))
 
 
 def _joined_components(postings: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
@@ -318,37 +339,44 @@ def _joined_components(postings: DataFrame, sets: DataFrame, similarity: int) ->
     out but those within a component, whose links cannot change it.
     """
     groups = written(_distinct_postings(postings), "postings")
-    n_texts = groups.select("nid").distinct().count()
+    n_postings, n_texts = groups.count(), sets.count()
     hub = F.min(F.struct("alone", "nid", "n", "place", "root")).alias("hub")
-    apart = (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root"))
     labels = tried = None
+
+    def labelled(links: DataFrame) -> DataFrame:
+        known = links if labels is None else links.union(labels.select(F.col("node").alias("a"), F.col("root").alias("b")))
+        return written(components(known), "labels", n_texts)
+
     rest = groups.withColumns({"root": F.col("nid"), "top": F.lit(None).cast("long")})
     pays = True
     while pays:
-        hubs = rest.where("top IS NULL OR root <> top").groupBy("token").agg(hub).select("token", "hub.*")
-        pairs = _bounded(hubs.alias("x").join(rest.alias("y"), apart & _far_enough(similarity)), sets, similarity)
-        pairs = written(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        links = written(_verified(pairs, sets, similarity), "links")
-        tried = pairs if tried is None else tried.union(pairs)
-        known = links if labels is None else links.union(labels.select(F.col("node").alias("a"), F.col("root").alias("b")))
-        labels = written(components(known), "labels")
+        hubs = rest.where("top IS NULL OR root <> top").groupBy("token", "slots").agg(hub)
+        pairs = _bounded(_met(hubs.select("token", "hub.*", _all_slots().alias("slot")), rest, similarity), sets, similarity)
+        pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
+        judged = written(_judged(pairs, sets, similarity), "pairs")
+        tried = judged.select("a", "b") if tried is None else tried.union(judged.select("a", "b"))
+        links = judged.where("similar").select("a", "b")
+        n_links = links.count()
+        if labels is not None and not n_links:
+            break
+        labels = labelled(links)
         own = labels.select(F.col("node").alias("nid"), "root")
         rest = rest.select(*groups.columns).join(own, "nid", "left").withColumn("root", F.coalesce("root", "nid"))
-        counted = rest.groupBy("token", "root").agg(F.count(F.lit(1)).alias("c"))
-        tops = counted.groupBy("token").agg(F.max(F.struct("c", "root"))["root"].alias("top"), F.count(F.lit(1)).alias("k"))
-        rest = written(rest.join(tops.where("k > 1").select("token", "top"), "token"), "postings")
-        pays = links.count() * 100 > n_texts
+        counted = rest.groupBy("token", "slots", "root").agg(F.count(F.lit(1)).alias("c"))
+        tops = counted.groupBy("token", "slots").agg(F.max(F.struct("c", "root"))["root"].alias("top"), F.count(F.lit(1)).alias("k"))
+        tops = tops.where("k > 1").select("token", "top", _all_slots().alias("slot"))
+        rest = written(rest.join(tops, ["token", "slot"]), "postings", n_postings)
+        pays = n_links * 100 > n_texts
     # One side is the texts outside the largest component, so a large one costs no pairs of its own.
-    x, y = rest.where("root <> top").alias("x"), rest.alias("y")
+    x = rest.where("root <> top").withColumn("slot", _all_slots())
     once = (F.col("y.root") == F.col("y.top")) | (F.col("x.nid") < F.col("y.nid"))
-    left = _bounded(x.join(y, apart & once & _far_enough(similarity)), sets, similarity)
+    left = _bounded(_met(x, rest, similarity).where(once), sets, similarity)
     links = written(_verified(left.join(tried, ["a", "b"], "left_anti"), sets, similarity), "links")
-    if links.isEmpty():
-        return labels
-    return components(links.union(labels.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+    return labels if links.isEmpty() else labelled(links)
 
 
 class _Prefixed(NamedTuple):
+    n_rows: int
     members: DataFrame  # doc_id, node, n_shingles: every row
     sets: DataFrame  # nid, node, n, tokens, parts of the texts that may have a partner
     postings: DataFrame  # token, nid, n, alone, place: their prefix shingles
@@ -360,12 +388,16 @@ def _prefixed(docs: DataFrame, key: str, text: str, similarity: int, length: int
     narrow = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     packed = narrow.mapInArrow(_pack(n_buckets, length, chunk_bytes), _PACKED)
     shared = materialize(packed.groupBy("bucket").applyInArrow(_shared, _PACKED))
+    total = lambda c: F.coalesce(F.sum(F.octet_length(c)), F.lit(0))
+    size_bytes, key_bytes = shared.agg(total("sizes"), total("keys")).first()
+    n_rows, n_tokens = size_bytes // 4, key_bytes // 6
     members = shared.where("kind = 1").select("ids", "nodes", "sizes").mapInArrow(_members, "doc_id long, node binary, n_shingles long")
+    members = written(members.coalesce(1 + n_rows // TASK_ROWS + n_tokens // TASK_TOKENS), "members")
     sets = shared.groupBy("chunk").applyInArrow(_assemble(similarity), _SETS).dropDuplicates(["node"])
-    sets = materialize(sets.withColumn("nid", F.monotonically_increasing_id()))
+    sets = written(sets.withColumn("nid", F.monotonically_increasing_id()).coalesce(1 + n_tokens // TASK_TOKENS), "sets")
     prefix = F.slice("tokens", F.lit(1), F.greatest(_prefix(similarity) - F.col("alone"), F.lit(0)))
     postings = sets.select("nid", "n", "alone", F.posexplode(prefix).alias("at", "token"))
-    return _Prefixed(members, sets, postings.select("nid", "n", "alone", "token", (F.col("alone") + F.col("at")).alias("place")))
+    return _Prefixed(n_rows, members, sets, postings.select("nid", "n", "alone", "token", (F.col("alone") + F.col("at")).alias("place")))
 
 
 class SimilarPairs(NamedTuple):
@@ -383,7 +415,7 @@ def similar_pairs(
     ``members`` (``doc_id``, ``node``, ``n_shingles``) names the text of every row; rows of one node
     have equal words and, unless these are none, are similar to each other and to the same others.
     """
-    members, sets, postings = _prefixed(docs, key, text, similarity, length, chunk_bytes, n_buckets)
+    _, members, sets, postings = _prefixed(docs, key, text, similarity, length, chunk_bytes, n_buckets)
     links = materialize(_verified(_candidates(postings, sets, similarity, block), sets, similarity))
     side = lambda x: sets.select(F.col("nid").alias(x), F.col("node").alias(f"node_{x}"))
     named = links.join(side("a"), "a").join(side("b"), "b")
@@ -404,23 +436,24 @@ def similar_documents(
 
     The components are those of all pairs that ``similar_pairs`` gives, found without making them all.
     """
-    members, sets, postings = _prefixed(docs, key, text, similarity, length, chunk_bytes, n_buckets)
+    n_rows, members, sets, postings = _prefixed(docs, key, text, similarity, length, chunk_bytes, n_buckets)
     final = _joined_components(postings, sets, similarity)
 
     first = members.groupBy("node").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies"))
-    first = materialize(first)
+    first = written(first, "first", n_rows)
     rooted_nodes = sets.select("nid", "node").join(final.select(F.col("node").alias("nid"), "root"), "nid")
     lowest = rooted_nodes.join(first, "node").groupBy("root").agg(F.min("first").alias("lowest"))
     lowest = rooted_nodes.join(lowest, "root").select("node", "lowest")
-    named = materialize(first.join(lowest, "node", "left").select("node", "copies", F.coalesce("lowest", "first").alias("named")))
+    named = first.join(lowest, "node", "left").select("node", "copies", F.coalesce("lowest", "first").alias("named"))
+    named = written(named, "named", n_rows)
     # The name of a text with many copies travels to its rows; there are at most MOST_HOT such texts.
-    total = named.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
-    is_hot = F.col("copies") * MOST_HOT > total
-    hot = F.broadcast(materialize(named.where(is_hot).drop("copies").withColumn("hot", F.lit(True))))
-    marked = members.join(hot, "node", "left")
-    others = marked.where("hot IS NULL").drop("named").join(named.where(~is_hot).drop("copies"), "node")
-    both = marked.where("hot").unionByName(others.select(*marked.columns))
-    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("named"))
+    # Its rows are dealt by their numbers, under which no text stands.
+    is_hot = F.col("copies") * MOST_HOT > n_rows
+    hot = F.broadcast(named.where(is_hot).select("node", F.col("named").alias("hot_name"), F.lit(True).alias("hot")))
+    number = F.monotonically_increasing_id().cast("string").cast("binary")
+    marked = members.join(hot, "node", "left").withColumn("at", F.when(F.col("hot"), F.concat("node", number)).otherwise(F.col("node")))
+    both = marked.join(named.where(~is_hot).select(F.col("node").alias("at"), "named"), "at", "left")
+    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).when(F.col("hot"), F.col("hot_name")).otherwise(F.col("named"))
     return both.select("doc_id", "n_shingles", component.alias("component_id"))
 
 

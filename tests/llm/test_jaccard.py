@@ -6,6 +6,7 @@ import re
 import pytest
 
 from skyweave.llm import components, jaccard
+from skyweave.llm import rows as rows_module
 
 
 def shingles(text):
@@ -78,6 +79,18 @@ def test_all_pairs(make_docs, rows, block):
     assert joined.members.count() == len(rows)
 
 
+def test_texts_of_a_shingle_in_many_slots(make_docs, rows, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 2)
+    assert found(make_docs(rows)) == brute(rows)
+
+
+def test_hot_copies_without_ids(make_docs, monkeypatch):
+    monkeypatch.setattr(jaccard, "MOST_HOT", 1)
+    text = "a b c d e f g h i j k l m n o p"
+    rows = [(None, text), (None, text), (None, "x y"), (None, "x y"), (None, "x y"), (4, text + " q"), (4, ""), (4, "")]
+    assert found(make_docs(rows)) == brute(rows)
+
+
 def test_no_rows(make_docs):
     assert found(make_docs([])) == []
 
@@ -99,3 +112,25 @@ def test_components(spark):
     found = components.components(spark.createDataFrame(edges, "a long, b long"))
     roots = {r.node: r.root for r in found.collect()}
     assert roots == {**{i: 0 for i in range(41)}, 50: 50, 60: 50, 70: 50, 100: 50, 80: 80, 81: 80}
+
+
+def test_small_tables_take_few_files_and_rounds(spark, monkeypatch):
+    tables = []
+
+    def kept(*args):
+        tables.append(rows_module.written(*args))
+        return tables[-1]
+
+    monkeypatch.setattr(components, "written", kept)
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        edges = spark.range(1, 2001).selectExpr("id AS a", "id % 7 AS b").where("a > 6")
+        roots = {r.node: r.root for r in components.components(edges).collect()}
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert roots == {**{n: n % 7 for n in range(7, 2001)}, **{n: n for n in range(7)}}
+    assert [len(t.inputFiles()) for t in tables] == [1]
