@@ -398,3 +398,21 @@ def test_small_files_of_margins_and_associations_are_dealt_over_tasks(spark, tmp
     for table in (collection.margin, matches):
         writers = table.all_rows().select(F.regexp_extract(F.col("_metadata.file_path"), r"/part-(\d+)-", 1)).distinct().count()
         assert table.properties["n_partitions"] > 40 and writers > 3
+
+
+def test_folders_are_listed_by_few_tasks_and_files_have_no_checksum_files(spark, tmp_path):
+    rows = spark.range(4_000).select("id", (F.col("id") % 360).cast("double").alias("ra"), (F.col("id") % 170 - 85.0).alias("dec"))
+    written = write_catalog(rows, f"{tmp_path}/c", name="c", catalog_type="object", ra="ra", dec="dec", threshold=20, highest_order=5)
+    most = 4 * spark.sparkContext.defaultParallelism
+    assert written.properties["n_partitions"] > most
+    spark.sparkContext.setJobGroup("listing", "folders of a catalog")
+    try:
+        again = open_catalog(spark, f"{tmp_path}/c").all_rows()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for job in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(job).stageIds]
+    tasks = [tracker.getStageInfo(s).numTasks for s in stages if tracker.getStageInfo(s)]
+    assert tasks and max(tasks) <= most
+    assert again.count() == 4_000
+    assert not list((tmp_path / "c" / f"data-{written.properties['version']}").rglob(".*.parquet.crc"))
