@@ -500,3 +500,22 @@ def test_copies_for_cells_are_not_broadcast(spark, tmp_path, capsys):
     plan = capsys.readouterr().out
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
     assert pairs.where("id = _rid").count() == 300
+
+
+def test_crowded_cells_write_in_proportion_to_the_neighbours_wanted(spark, monkeypatch):
+    """Many spots among many rows: the tables between the steps hold cells, spots and their n nearest, not all pairs in reach."""
+    from skyweave.operators import spatial
+    from skyweave.runtime import materialize
+
+    written = []
+
+    def watched(df):
+        df = materialize(df)
+        written.append(df.count())
+        return df
+
+    monkeypatch.setattr(spatial, "materialize", watched)
+    rng = random.Random(21)
+    left, right = ([(i, rng.uniform(20, 22), rng.uniform(-1, 1)) for i in range(n)] for n in (3000, 600))
+    assert match(spark, left, right, 7200.0, 3, hot_cell_rows=50) == brute_match(left, right, 7200.0, 3)
+    assert max(written) <= 6 * len(left)  # pairs of cells; pairs of spots within reach of the last cells were 40 times as many
