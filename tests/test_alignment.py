@@ -127,3 +127,25 @@ def test_buckets_must_agree(spark, catalogs, tmp_path):
         plain.cells()
     with pytest.raises(ValueError, match="buckets"):
         write_catalog(rows, str(tmp_path / "c"), align_to=plain, **settings)
+
+
+def test_keys_to_nest_by_id_are_found_in_one_reading_of_the_cells(catalogs, monkeypatch):
+    """Cells are many small files: the passes over the keys read what one scan kept of them, and opened none again."""
+    from skyweave.operators import nesting
+
+    opened = []
+
+    def watched(name):
+        function = getattr(nesting, name)
+
+        def call(*frames_and_options):
+            opened.extend(f.inputFiles() for f in frames_and_options if hasattr(f, "inputFiles"))
+            return function(*frames_and_options)
+
+        monkeypatch.setattr(nesting, name, call)
+
+    watched("stray_keys")
+    watched("crowded_keys")
+    in_cells, by_id = both(catalogs)
+    assert in_cells.count() == by_id.count()
+    assert opened == [[]] * 3
